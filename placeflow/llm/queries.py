@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.llm._common import table
+from placeflow.llm.bpe import digests, encode
 from placeflow.llm.pii import pii_report
 from placeflow.llm.token_counts import count_tokens, fresh_cache
 from placeflow.llm.topk import quantised, top_k
@@ -27,10 +28,15 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.where(F.col("id") % 50 == 0), vectors, 5)
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op5_pii": op5_pii,
     "op7_topk": op7_topk,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
