@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from placeflow.llm._common import table
 from placeflow.llm.bpe import digests, encode
+from placeflow.llm.line_dedup import drop_repeated_lines
 from placeflow.llm.pii import pii_report
 from placeflow.llm.token_counts import count_tokens, fresh_cache
 from placeflow.llm.topk import quantised, top_k
@@ -23,6 +24,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeated_lines(table(spark, sf_dir, "documents"), 40, 5)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantised(table(spark, sf_dir, "embeddings"))
     return top_k(vectors.where(F.col("id") % 50 == 0), vectors, 5)
@@ -35,11 +41,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op5_pii": op5_pii,
+    "op6_line_dedup": op6_line_dedup,
     "op7_topk": op7_topk,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": """
+WITH l AS (SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+           FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+f AS (SELECT key, max(doc_id) AS keep FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT l.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE l.doc_id <> f.keep) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.keep IS NULL OR l.doc_id = f.keep), '')) AS kept_sha256
+FROM l LEFT JOIN f ON l.key = f.key GROUP BY l.doc_id
+""",
     "op7_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
