@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from placeflow.llm._common import table
 from placeflow.llm.bpe import digests, encode
+from placeflow.llm.decontaminate import contamination_report, find_contamination
 from placeflow.llm.line_dedup import drop_repeated_lines
 from placeflow.llm.pii import pii_report
 from placeflow.llm.token_counts import count_tokens, fresh_cache
@@ -34,6 +35,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.where(F.col("id") % 50 == 0), vectors, 5)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 13))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -43,10 +48,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_line_dedup": op6_line_dedup,
     "op7_topk": op7_topk,
+    "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op9_decontamination": r"""
+WITH dw AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM documents),
+iw AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w FROM benchmark),
+ig AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS g
+       FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM iw WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM ig),
+dg AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n)),
+m AS (SELECT dg.doc_id, dg.i, dg.n, ig.item_id FROM dg JOIN ig ON dg.n = ig.n AND dg.g = ig.g),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM m)) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY doc_id)
+SELECT dw.doc_id, len(dw.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(it.s, '')) AS items_sha256,
+       coalesce(n_hit > 0 AND 20 * n_hit >= len(dw.w), false) AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+""",
     "op6_line_dedup": """
 WITH l AS (SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
            FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
