@@ -12,6 +12,7 @@ from placeflow.llm._common import table
 from placeflow.llm.bpe import digests, encode
 from placeflow.llm.decontaminate import contamination_report, find_contamination
 from placeflow.llm.line_dedup import drop_repeated_lines
+from placeflow.llm.ngram_join import near_duplicates
 from placeflow.llm.pii import pii_report
 from placeflow.llm.token_counts import count_tokens, fresh_cache
 from placeflow.llm.topk import quantised, top_k
@@ -35,6 +36,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors.where(F.col("id") % 50 == 0), vectors, 5)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), 4, 85)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 13))
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_line_dedup": op6_line_dedup,
     "op7_topk": op7_topk,
+    "op8_ngram_join": op8_ngram_join,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
