@@ -8,14 +8,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import table
+from placeflow.llm._common import crc_mod, table
 from placeflow.llm.bpe import digests, encode
 from placeflow.llm.decontaminate import contamination_report, find_contamination
 from placeflow.llm.line_dedup import drop_repeated_lines
 from placeflow.llm.ngram_join import near_duplicates
 from placeflow.llm.pii import pii_report
+from placeflow.llm.ppm import lm_scores
 from placeflow.llm.token_counts import count_tokens, fresh_cache
 from placeflow.llm.topk import quantised, top_k
+from placeflow.llm.toxicity import THRESHOLD, fit, score
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame):
+    """Learnt from labels whose id isn't held out."""
+    return fit(docs, labels.where(crc_mod(F.col("doc_id"), 4) != 2))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 1)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +66,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_ppm": op2_ppm,
     "op3_token_counts": op3_token_counts,
     "op5_pii": op5_pii,
     "op6_line_dedup": op6_line_dedup,
