@@ -1,7 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Words (ASCII letters and digits and all other letters, A-Z lower-cased) are hashed to buckets; a document is
-the set of its buckets. The buckets whose share differs most between the labels are the model's terms. The
+the set of its buckets. The buckets whose share differs most between the labels, by LEAST_Z standard errors at
+least, are the model's terms. The
 score is the logistic function of a bias, a weight for each term present and, for each pair of terms present,
 the product of their factor vectors: so pairs such as an insult and a mention of a group count beyond the sum
 of their weights. Scoring is one pass without a shuffle; whole texts are read.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from placeflow.llm._common import parts, raw, save, separators, texts, word_hashes, word_spans
 
-BITS, TERMS, SAMPLE = 20, 2048, 20_000
+BITS, TERMS, LEAST_Z, SAMPLE = 20, 2048, 4.0, 20_000
 FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 20, 256, 0.05, 1e-4
 THRESHOLD = 0.3
 _INSIDE = separators(keep_alnum_only=True)
@@ -114,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     each = rows.select(F.explode("buckets").alias("bucket"), "toxic").groupBy("bucket").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
     share = F.col("n") / n
     z = (F.col("a") / pos - (F.col("n") - F.col("a")) / (n - pos)) / F.sqrt(share * (1 - share) * (1 / pos + 1 / (n - pos)) + 1e-12)
-    best = each.where("n >= 5").orderBy(F.abs(z).desc(), "bucket").limit(TERMS).select("bucket").collect()
+    best = each.where((F.col("n") >= 5) & (F.abs(z) >= LEAST_Z)).orderBy(F.abs(z).desc(), "bucket").limit(TERMS).select("bucket").collect()
     terms[[r["bucket"] for r in best]] = np.arange(len(best))
     held = spark.sparkContext.broadcast(terms)
     table = rows.mapInArrow(lambda b: _flags(held.value)(b), "toxic int, terms binary").toArrow()
