@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Words (ASCII letters and digits and all other letters, A-Z lower-cased) are hashed to buckets; a document is
-the set of its buckets. The buckets whose share differs most between the labels, by LEAST_Z standard errors at
+Words (ASCII letters and digits and all other letters, A-Z lower-cased) and the beginnings of longer words are
+hashed to buckets, so that inflected and compound forms share terms; a document is the set of its buckets. The buckets whose share differs most between the labels, by LEAST_Z standard errors at
 least, are the model's terms. The
 score is the logistic function of a bias, a weight for each term present and, for each pair of terms present,
 the product of their factor vectors: so pairs such as an insult and a mention of a group count beyond the sum
@@ -30,6 +30,8 @@ from placeflow.llm._common import parts, raw, save, separators, texts, word_hash
 BITS, TERMS, LEAST_Z, SAMPLE = 20, 2048, 4.0, 20_000
 FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 20, 256, 0.05, 1e-4
 THRESHOLD = 0.3
+#: Lengths, in bytes, of the beginnings of words that are terms too.
+BEGINNINGS = (3, 4, 5, 6, 7)
 _INSIDE = separators(keep_alnum_only=True)
 
 
@@ -74,17 +76,26 @@ def fit_machine(x: np.ndarray, y: np.ndarray, seed: int = 1) -> tuple[float, np.
 
 
 def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each word, first word of each document and the total)."""
+    """(bucket of each term, document of each term)."""
     data, offsets = raw(part.column("text"))
     starts, ends, first = word_spans(data, offsets, _INSIDE)
-    return (word_hashes(data, starts, ends) >> np.uint64(64 - BITS)).astype(np.int64), first
+    docs = np.repeat(np.arange(part.num_rows), np.diff(first))
+    hashes, owners = [word_hashes(data, starts, ends)], [docs]
+    for size in BEGINNINGS:
+        longer = np.flatnonzero(ends - starts > size)
+        s = starts[longer]
+        hashes.append(~word_hashes(data, s, s + size))
+        owners.append(docs[longer])
+    return (np.concatenate(hashes) >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate(owners)
 
 
 def _buckets(batches):
     for batch in batches:
         for part in parts(batch):
-            buckets, first = _words(part)
-            sets = [np.unique(buckets[a:b]).astype(np.int32) for a, b in zip(first[:-1], first[1:], strict=True)]
+            buckets, docs = _words(part)
+            pairs = np.unique(docs << BITS | buckets)
+            cuts = np.searchsorted(pairs, np.arange(part.num_rows + 1) << BITS)
+            sets = [(pairs[a:b] & ((1 << BITS) - 1)).astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(sets, pa.list_(pa.int32()))], ["toxic", "buckets"])
 
 
@@ -135,10 +146,11 @@ def _score(sent, more: tuple[str, ...]):
         model = Model(model.terms, model.bias, weights, factors)
         for batch in batches:
             for part in parts(batch):
-                buckets, first = _words(part)
+                buckets, doc = _words(part)
                 term = model.terms[buckets]
-                doc = np.repeat(np.arange(part.num_rows), np.diff(first))[term >= 0]
-                term = term[term >= 0]
+                doc, term = doc[term >= 0], term[term >= 0]
+                order = np.argsort(doc, kind="stable")
+                doc, term = doc[order], term[order]
                 scores = np.empty(part.num_rows)
                 for lo in range(0, part.num_rows, 512):
                     hi = min(lo + 512, part.num_rows)
