@@ -15,6 +15,7 @@ from placeflow.llm.line_dedup import drop_repeated_lines
 from placeflow.llm.ngram_join import near_duplicates
 from placeflow.llm.pii import pii_report
 from placeflow.llm.ppm import lm_scores
+from placeflow.llm.secrets import find_secrets, secrets_report
 from placeflow.llm.token_counts import count_tokens, fresh_cache
 from placeflow.llm.topk import quantised, top_k
 from placeflow.llm.toxicity import THRESHOLD, fit, score
@@ -39,6 +40,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), fresh_cache(spark))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_report(find_secrets(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_ppm": op2_ppm,
     "op3_token_counts": op3_token_counts,
+    "op4_secrets": op4_secrets,
     "op5_pii": op5_pii,
     "op6_line_dedup": op6_line_dedup,
     "op7_topk": op7_topk,
