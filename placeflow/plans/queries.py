@@ -419,7 +419,7 @@ def turn_edges(spark, d):
 def _portals(spark, d):
     refs, nodes = view(spark, d, "way_refs"), view(spark, d, "nodes")
     graph = lambda f: refs.where(F.col("flag") == f).select(F.lit(f).alias("region_id"), "node_id").distinct().join(nodes, "node_id")
-    pairs = refs.select(F.lit("N").alias("region_a"), F.lit("R").alias("region_b")).limit(1)
+    pairs = refs.select(F.lit("N").alias("region_a"), F.lit("R").alias("region_b")).distinct()
     return roads.shared_portals(graph("N"), graph("R"), pairs)
 
 
@@ -644,6 +644,15 @@ def fingerprints(spark, d):
     return o.select(c("o_orderkey").alias("source_id"), X.fingerprint(status=c("o_orderstatus"), key=X.job_key(c("o_orderkey"), F.lit(None).cast("long")), date=F.unix_seconds(F.to_timestamp("o_orderdate"))).alias("fingerprint"), X.shard_fingerprint(content, F.lit("b1")).alias("shard"))
 
 
+@query(with_views("region_state") + """ SELECT region_id, profile, sha256(concat('{"neighbors":["a","b"],"options":"o","source":"', sha256(concat('{"format":"f2","profile":"', profile, '","schema":1,"source":"', required, '","turn_costs":', CASE WHEN profile = 'car' THEN 'true' ELSE 'false' END, '}')), '","version":"v1"}')) AS fingerprint
+FROM region_state, (SELECT unnest(['car', 'bike', 'foot']) AS profile)""")
+def road_fingerprints(spark, d):
+    _, profiles, _ = _roads(spark, d)
+    source = X.road_source_fingerprint(F.lit(1), F.lit("f2"), F.col("required"), F.col("profile"), F.col("profile") == "car")
+    rows = view(spark, d, "region_state").crossJoin(profiles)
+    return rows.select("region_id", "profile", X.road_index_fingerprint(source, F.array(F.lit("b"), F.lit("a")), F.lit("v1"), F.lit("o")).alias("fingerprint"))
+
+
 @query("""SELECT o_orderkey AS region_id, array_to_string(list_filter([CASE WHEN o_orderstatus = 'P' THEN 'schema' END, CASE WHEN o_totalprice < 50000 THEN 'documents' END, CASE WHEN o_custkey % 3 = 0 THEN 'source' END, CASE WHEN o_custkey % 5 = 0 THEN 'output' END], lambda x: x IS NOT NULL), ',') AS reasons,
 o_orderstatus <> 'P' AND o_totalprice >= 50000 AND o_custkey % 3 <> 0 AND o_custkey % 5 <> 0 AS valid FROM orders""")
 def corpus_validity(spark, d):
