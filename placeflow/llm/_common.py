@@ -6,6 +6,8 @@ bounded by BLOCK bytes of text (or one word, if a single word is longer).
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -54,6 +56,13 @@ def crc_mod(column, n: int):
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker is kept for later tasks and counts in its executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column, without a copy where there are no nulls."""
     if isinstance(column, pa.ChunkedArray):

@@ -29,9 +29,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import parts, texts
+from placeflow.llm._common import give_back, parts, texts
 
-SLICE = 32 << 20
+SLICE = 4 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -216,6 +216,8 @@ def _run(path: str):
                     [part.column("doc_id"), pa.array([len(x) for x, _ in done], pa.int64()), pa.array([x.astype("<u4").tobytes() for x, _ in done], pa.binary()), pa.array([d for _, d in done], pa.binary()).cast(pa.string())],
                     ["doc_id", "n_tokens", "ids", "decoded"],
                 )
+                del done
+                give_back()
 
     return run
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import parts, raw, save, separators, texts, word_hashes, word_spans
+from placeflow.llm._common import give_back, parts, raw, save, separators, texts, word_hashes, word_spans
 
 BITS, TERMS, LEAST_Z, SAMPLE = 20, 2048, 4.0, 20_000
 FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 20, 256, 0.05, 1e-4
@@ -91,7 +91,7 @@ def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _buckets(batches):
     for batch in batches:
-        for part in parts(batch):
+        for part in parts(batch, most=2 << 20):
             buckets, docs = _words(part)
             pairs = np.unique(docs << BITS | buckets)
             cuts = np.searchsorted(pairs, np.arange(part.num_rows + 1) << BITS)
@@ -145,7 +145,7 @@ def _score(sent, more: tuple[str, ...]):
         weights, factors = model.weights.astype(np.float32), model.factors.astype(np.float32)
         model = Model(model.terms, model.bias, weights, factors)
         for batch in batches:
-            for part in parts(batch):
+            for part in parts(batch, most=2 << 20):
                 buckets, doc = _words(part)
                 term = model.terms[buckets]
                 doc, term = doc[term >= 0], term[term >= 0]
@@ -159,6 +159,7 @@ def _score(sent, more: tuple[str, ...]):
                     x[doc[a:b] - lo, term[a:b]] = 1
                     scores[lo:hi] = model.score(x)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores), *(part.column(c) for c in more)], ["doc_id", "score", *more])
+            give_back()
 
     return run
 
