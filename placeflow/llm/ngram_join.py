@@ -1,18 +1,24 @@
 """Near-duplicate documents: a Jaccard self-join of n-gram sets, with a prefix tree in each group.
 
 A document's set holds 64-bit hashes of its n-word shingles. All sets are put in one global order: rare
-shingles by hash, then the frequent ones by count. Two sets that reach the threshold share one of their
-first `n - ceil(t n) + 1` shingles (the prefix). Each prefix shingle names the least digest among the sets
-that hold it, its pivot; a set joins the groups of its shingles' pivots, so any two sets that share a
-prefix shingle meet in a group, without a row for each pair.
+shingles by hash, then the frequent ones by count. Two sets that reach the threshold share at least l of their
+first `n - ceil(t n) + l` shingles (the prefix), whatever l is; l grows with the set here, so that a set with less
+than l prefix shingles that any other set has, such as a text with a common passage, is left out at once. Each
+prefix shingle names the least digest among the sets that hold it, its pivot; a set joins the groups of its
+shingles' pivots, so any two sets that share a prefix shingle meet in a group, without a row for each pair.
+Pivots of the frequent shingles (at most FREQUENT) are combined before the shuffle and broadcast.
+
+Before texts are sent to groups, short signatures are: bits (SIGNATURE, more for large sets), each the parity of the
+number of shingles that fall on it; a longer one folds to a shorter. Two sets differ in at least as many shingles as their signatures in bits, so a set whose signature
+is too far from all others of its group, or whose size is, has no link there.
 
 In a group, the ordered sets are stored in a trie. A set walks the trie once: all sets below a node share
 the overlap up to that node, and a subtree is left as soon as the overlap and the lengths that remain can't
 reach the threshold. Only links that connect are kept: sets already linked to the group's first set need
 no walk of their own, as every other set is compared with all.
 
-Copies are one set (by digest). Groups larger than a block are dealt to blocks that all hold the pivot;
-after that round, sets not connected to the pivot are compared with every block. No candidate is dropped.
+Copies are one set (by digest). Groups larger than a block are dealt to blocks that all hold one hub;
+after that round, sets not connected to the hub are compared with every block. No candidate is dropped.
 
 Null and empty texts, and texts without words, have empty sets, which link with nothing. Texts of fewer words
 than n are one shingle. Repeated rows are copies. Other columns are ignored; an empty table gives an empty table.
@@ -24,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placeflow.llm._common import mix, parts, raw, save, separators, texts, word_hashes, word_spans
@@ -33,6 +40,11 @@ from placeflow.operators.components import connected_components
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 2_000_000
 #: Shingles ordered last because they are frequent: at most so many, each in this many documents of a batch at least.
 FREQUENT, BATCH_LEAST = 65_536, 3
+SIGNATURE = 1024
+#: Sets of more shingles than these have signatures 4 and 16 times as long.
+LARGER = (1_000, 5_000)
+#: Rows of three numbers that may be broadcast (24 MB).
+BROADCAST_ROWS = 1_000_000
 _INSIDE = separators()
 _U = np.uint64
 _FACTORS = mix(np.arange(11, 43, dtype=np.uint64)) | _U(1)
@@ -63,10 +75,50 @@ def digest(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """The parity of the number of tokens on each bit."""
+    bits = SIGNATURE << 2 * sum(len(tokens) > n for n in LARGER)
+    counts = np.bincount((tokens & _U(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
+def with_partner(signatures: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether some other set may reach the threshold, by sizes and signatures."""
+    own = np.array([len(s) for s in signatures])
+    # By length: the sets whose signature has at least this length, with these folded to it.
+    folded = {}
+    for length in np.unique(own).tolist():
+        at = np.flatnonzero(own >= length)
+        rows = [np.bitwise_xor.reduce(np.frombuffer(signatures[i], np.uint64).reshape(-1, length // 8)) for i in at]
+        folded[length] = (at, np.stack(rows), np.searchsorted(at, np.arange(len(own) + 1)))
+    out = np.zeros(len(sizes), bool)
+    for i in range(len(sizes)):
+        if out[i]:
+            continue
+        for length, (at, rows, place) in folded.items():
+            if length > own[i]:
+                break
+            # Shorter signatures meet this one folded to theirs; all others meet it at its own length.
+            k = np.arange(len(at)) if length == own[i] else np.flatnonzero(own[at] == length)
+            other, size = at[k], sizes[at[k]]
+            # At similarity p / 100 two sets differ in at most (100 - p) / (100 + p) of both sizes' sum.
+            ok = np.bitwise_count(rows[k] ^ rows[place[i]]).sum(1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (size + sizes[i])
+            ok &= (100 * np.minimum(size, sizes[i]) >= percent * np.maximum(size, sizes[i])) & (other != i)
+            if ok.any():
+                out[i] = True
+                out[other[ok]] = True
+    return out
+
+
 def prefix_size(n: int, percent: int) -> int:
     return n + (-percent * n // 100) + 1
 
 
+def extra(n: int, percent: int) -> int:
+    """l - 1 for sets of n shingles. It doesn't shrink as n grows, so the smaller of two sets has the l that holds for both."""
+    return prefix_size(n, percent) // 2
+
+
 def _frequent(n: int):
     def run(batches):
         for batch in batches:
@@ -87,15 +139,23 @@ def _prefixes(n: int, percent: int, frequent):
                 rows = []
                 for s in shingle_sets(part.column("text"), n):
                     if not len(s):
-                        rows.append((0, None, []))
+                        rows.append((0, None, 0, None, [], []))
                         continue
                     place = np.zeros(len(s), np.int64)
                     if len(tokens):
                         at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
                         place = np.where(tokens[at] == s, places[at], 0)
                     order = np.argsort(place, kind="stable")  # s ascends
-                    rows.append((len(s), digest(s), s[order[: prefix_size(len(s), percent)]].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], ["doc_id", "n", "digest", "prefix"])
+                    order = order[: prefix_size(len(s), percent) + extra(len(s), percent)]
+                    rare = place[order] == 0
+                    # The least set that can link with this one has this many shingles, and so this l.
+                    least = extra(-(-percent * len(s) // 100), percent) + 1
+                    rows.append((len(s), digest(s), least, signature(s), s[order[rare]].view(np.int64), s[order[~rare]].view(np.int64)))
+                n_, digest_, least_, signature_, rare_, often_ = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(n_, pa.int64()), pa.array(digest_, pa.int64()), pa.array(least_, pa.int64()), pa.array(signature_, pa.binary()), pa.array(rare_, pa.list_(pa.int64())), pa.array(often_, pa.list_(pa.int64()))],
+                    ["doc_id", "n", "digest", "least", "signature", "rare", "often"],
+                )
 
     return run
 
@@ -231,34 +291,52 @@ def group_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
-def _link(n: int, percent: int):
-    """Batches sorted by (pivot, block) to links; a group may go over batches."""
+def _groups(batches, *keys: str):
+    """Rows of batches that are sorted by the keys, as one table for each group; a group may go over batches."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        new = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            new |= c[1:] != c[:-1]
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            now = tuple(c[lo] for c in columns)
+            if held and now != key:
+                yield held
+                held = []
+            key = now
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield held
+
+
+def _near(percent: int):
+    """Members of groups, sorted by pivot, that may have a link in their group."""
+
+    def run(batches):
+        for group in _groups(batches, "pivot"):
+            t = pa.Table.from_batches(group).combine_chunks()
+            kept = t.filter(pa.array(with_partner(t.column("signature").to_pylist(), t.column("n").to_numpy(), percent)))
+            yield from kept.select(["pivot", "digest", "key", "n"]).to_batches()
+
+    return run
+
 
-    def links(group: list[pa.RecordBatch]):
-        # Digests are taken from the texts, as rows that share an id may have different ones.
-        own = {digest(s): s for b in group for p in parts(b) for s in shingle_sets(p.column("text"), n) if len(s)}
-        digests = list(own)
-        return [(digests[a], digests[b]) for a, b in group_links(list(own.values()), percent)]
+def _link(n: int, percent: int):
+    """Texts of groups, sorted by (pivot, block), to links."""
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-        key = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            pivots, blocks = batch.column("pivot").to_numpy(), batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero((pivots[1:] != pivots[:-1]) | (blocks[1:] != blocks[:-1])) + 1).tolist(), batch.num_rows]
-            out = []
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if (k := (pivots[lo], blocks[lo])) != key and held:
-                    out += links(held)
-                    held = []
-                key = k
-                held.append(batch.slice(lo, hi - lo))
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["src", "dst"])
-        if held:
-            out = links(held)
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["src", "dst"])
+        for group in _groups(batches, "pivot", "block"):
+            # Digests are taken from the texts, as rows that share an id may have different ones.
+            own = {digest(s): s for b in group for p in parts(b) for s in shingle_sets(p.column("text"), n) if len(s)}
+            digests = list(own)
+            found = group_links(list(own.values()), percent)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([digests[a] for a, _ in found], pa.int64()), pa.array([digests[b] for _, b in found], pa.int64())], ["src", "dst"])
 
     return run
 
@@ -267,38 +345,52 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
     """doc_id, n_shingles, component_id: the least doc_id that links of Jaccard similarity percent / 100 or more reach."""
     spark = docs.sparkSession
     own = texts(docs, id_col, text_col).withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    often = own.select("text").mapInArrow(_frequent(n), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = own.select("text").mapInArrow(_frequent(n), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     # At most FREQUENT rows come to the driver.
-    top = often.orderBy(F.col("n").desc(), "token").limit(FREQUENT).toPandas()
+    top = counted.orderBy(F.col("n").desc(), "token").limit(FREQUENT).toPandas()
     tokens = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     frequent = spark.sparkContext.broadcast((tokens[order], (len(tokens) - np.arange(len(tokens)))[order].astype(np.int64)))
-    sets = save(own.select("doc_id", "text").mapInArrow(_prefixes(n, percent, frequent), "doc_id long, n long, digest long, prefix array<long>"), "shingle-prefixes")
-    classes = save(sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("key"), F.first("n").alias("n")), "shingle-classes")
-
-    held = sets.select(F.explode("prefix").alias("token"), "digest")
-    pivots = save(held.groupBy("token").agg(F.min("digest").alias("pivot"), F.max("digest").alias("most")).where("pivot <> most").select("token", "pivot"), "shingle-pivots")
-    members = save(held.join(pivots, "token").select("pivot", "digest").distinct().join(classes, "digest"), "shingle-groups")
-    blocks = members.groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("total")).select("pivot", F.ceil(F.greatest(F.col("m") / block_sets, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    large = save(blocks.where("blocks > 1"), "shingle-large")
+    sets = save(own.select("doc_id", "text").mapInArrow(_prefixes(n, percent, frequent), "doc_id long, n long, digest long, least long, signature binary, rare array<long>, often array<long>"), "shingle-prefixes")
+    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    classes = save(sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min(key).alias("key"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("signature").alias("signature")), "shingle-classes")
+
+    # Rare shingles: all holders of one meet, and are few. Frequent ones: a row for each comes back.
+    of = W.partitionBy("token")
+    rare = sets.select(F.explode("rare").alias("token"), "digest").select("token", "digest", F.min("digest").over(of).alias("pivot"), F.max("digest").over(of).alias("most"))
+    often = sets.select(F.explode("often").alias("token"), "digest")
+    heads = often.groupBy("token").agg(F.min("digest").alias("pivot"), F.max("digest").alias("most"))
+    both = rare.unionByName(often.join(F.broadcast(heads), "token").select("token", "digest", "pivot", "most")).where("pivot <> most")
+    met = both.groupBy("token", "digest").agg(F.min("pivot").alias("pivot")).groupBy("digest", "pivot").agg(F.count("*").alias("shared"))
+    enough = met.withColumn("all", F.sum("shared").over(W.partitionBy("digest"))).join(classes, "digest").where(F.col("all") >= F.col("least"))
+    members = save(enough.select("pivot", "digest", "key", "n", "signature"), "shingle-groups")
+    blocks = members.groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("total"), F.min("digest").alias("hub")).where("m > 1")
+    blocks = save(blocks.select("pivot", "hub", F.ceil(F.greatest(F.col("m") / block_sets, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "shingle-blocks")
+    # Groups of one block lose the sets that have no partner there; what is left of them needs no hub.
+    placed = members.join(blocks, "pivot")
+    small = placed.where("blocks = 1").select("pivot", "digest", "key", "n", "signature").repartition("pivot").sortWithinPartitions("pivot")
+    near = small.mapInArrow(_near(percent), "pivot long, digest long, key long, n long").withColumn("hub", F.lit(None).cast("long")).withColumn("blocks", F.lit(1))
+    rows = save(near.unionByName(placed.where("blocks > 1").select("pivot", "digest", "key", "n", "hub", "blocks")), "shingle-members")
     block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    rows = members.join(large, "pivot", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    # The pivot stands in each block of its group.
-    dealt = rows.withColumn("block", F.explode(F.when(F.col("digest") == F.col("pivot"), every).otherwise(F.array(block))))
+    # The hub stands in each block of its group.
+    dealt = rows.withColumn("block", F.explode(F.when(F.col("digest").eqNullSafe(F.col("hub")), every).otherwise(F.array(block))))
 
     def linked(placed: DataFrame) -> DataFrame:
-        with_text = placed.select("pivot", "block", "key").join(own.select("key", "text"), "key")
+        wanted = placed.select("pivot", "block", "key")
+        # Few members are sent to the texts, which then stay where they are; many are joined by a shuffle of both.
+        few = wanted.count() <= BROADCAST_ROWS
+        with_text = own.select("key", "text").join(F.broadcast(wanted) if few else wanted, "key")
         sorted_ = with_text.select("pivot", "block", "text").repartition("pivot", "block").sortWithinPartitions("pivot", "block")
         return save(sorted_.mapInArrow(_link(n, percent), "src long, dst long"), "shingle-links")
 
     links = linked(dealt)
-    if large.limit(1).count():
-        # Sets of large groups that aren't connected to their pivot meet every block.
+    if blocks.where("blocks > 1").limit(1).count():
+        # Sets of large groups that aren't connected to their hub meet every block.
         of = connected_components(links)
         placed = rows.where("blocks > 1").withColumn("home", block)
-        placed = placed.join(of.select(F.col("node").alias("digest"), F.col("component").alias("c")), "digest", "left").join(of.select(F.col("node").alias("pivot"), F.col("component").alias("p")), "pivot", "left")
-        placed = save(placed.withColumn("outside", ~F.coalesce(F.col("c") == F.col("p"), F.lit(False)) & (F.col("digest") != F.col("pivot"))), "shingle-outside")
+        placed = placed.join(of.select(F.col("node").alias("digest"), F.col("component").alias("c")), "digest", "left").join(of.select(F.col("node").alias("hub"), F.col("component").alias("p")), "hub", "left")
+        placed = save(placed.withColumn("outside", ~F.coalesce(F.col("c") == F.col("p"), F.lit(False)) & (F.col("digest") != F.col("hub"))), "shingle-outside")
         parts_ = placed.where("outside").groupBy("pivot").agg(F.ceil(F.greatest(F.count("*") / block_sets, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("outer"))
         again = placed.join(parts_, "pivot")
         part = F.pmod(F.xxhash64("digest", F.lit(7)), F.col("outer")).cast("int")
@@ -307,7 +399,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
         guests = again.where("outside").withColumn("part", part).withColumn("block", F.explode(F.transform(every, lambda b: F.col("part") * F.col("blocks") + b)))
         links = links.union(linked(homes.select("pivot", "block", "key").union(guests.select("pivot", "block", "key"))))
     of = save(connected_components(links).join(classes.select(F.col("digest").alias("node"), "doc_id"), "node"), "shingle-components")
-    least = of.groupBy("component").agg(F.min("doc_id").alias("least"))
-    known = of.join(least, "component").select(F.col("node").alias("digest"), "least")
-    names = classes.join(known, "digest", "left").select("digest", F.coalesce("least", "doc_id").alias("component_id"))
+    least = of.groupBy("component").agg(F.min("doc_id").alias("first_id"))
+    known = of.join(least, "component").select(F.col("node").alias("digest"), "first_id")
+    names = classes.join(known, "digest", "left").select("digest", F.coalesce("first_id", "doc_id").alias("component_id"))
     return sets.select("doc_id", "n", "digest").join(names, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

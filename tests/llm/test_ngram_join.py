@@ -57,3 +57,26 @@ def test_equals_all_pairs(spark, seed, families, copies, block):
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_signatures_lose_no_link(monkeypatch):
+    import numpy as np
+
+    from placeflow.llm import ngram_join as g
+
+    rnd = np.random.default_rng(1)
+    monkeypatch.setattr(g, "LARGER", (30, 80))
+    monkeypatch.setattr(g, "SIGNATURE", 64)
+    for _ in range(60):
+        sets = []
+        for _ in range(int(rnd.integers(1, 20))):
+            n = int(rnd.integers(1, 150))
+            base = rnd.integers(0, 1 << 60, n).astype(np.uint64)
+            near = base.copy()
+            near[rnd.integers(0, n, int(n * 0.08 * rnd.random()))] = rnd.integers(0, 1 << 60)
+            sets += [np.unique(base), np.unique(near)]
+        kept = g.with_partner([g.signature(s) for s in sets], np.array([len(s) for s in sets]), 85)
+        for i, a in enumerate(sets):
+            for j in range(i):
+                o = len(np.intersect1d(a, sets[j]))
+                assert 100 * o < 85 * (len(a) + len(sets[j]) - o) or (kept[i] and kept[j])
