@@ -7,7 +7,7 @@ weighted postings into a dense array of scores, a partition selects its k best,
 all blocks are merged. A block holds at most QUERIES or CANDIDATES rows, so memory is bounded.
 
 Vectors that are null, or hold a null or a component that isn't finite, and rows without an id take no
-part. Missing trailing dimensions count as 0. An empty vector scores 0. Rows that share a query's id
+part. Scores must fit a 64-bit integer. Missing trailing dimensions count as 0. An empty vector scores 0. Rows that share a query's id
 are not its candidates; other repeated rows each count. An empty table gives an empty table.
 """
 
