@@ -2,12 +2,14 @@
 
 Training texts are counted once, in all tasks: how often each symbol (a byte, A-Z lower-cased, or the end)
 follows each context of ORDER bytes, and how often each word stands. Shorter contexts are sums of longer ones.
-The most frequent contexts are a trie's nodes (MOST[k] of order k and their suffixes, fewer if the symbols seen
-are so many that the tables would pass CELLS). A node predicts the symbols seen after it by their counts; escape
-(method C) has the weight of the number of distinct symbols, and the next shorter context then predicts without
-the symbols already excluded; last, all symbols left are alike. As the model is fixed before it scores, a node's
-code lengths of all symbols are worked out once (rounded up to 1 / STEP of a decimal digit, so that no
-distribution sums to more than 1), and a text's code length is a sum of table look-ups, in one pass.
+A context predicts the symbols seen after it by their counts; escape (method C) has the weight of the number of
+distinct symbols, and the next shorter context then predicts without the symbols already excluded; last, all
+symbols left are alike. Code lengths are rounded up to 1 / STEP of a decimal digit, so that no distribution sums
+to more than 1. All contexts counted take part. Those of the places met most often are looked up in what is sent
+to all tasks: a trie of the most frequent contexts (MOST[k] of order k and their suffixes, fewer if the symbols
+seen are so many that its tables would pass CELLS) with the code lengths of all symbols, and the code lengths of
+at most PAIRS frequent (context, symbol) of other contexts. Each text's remaining places are joined by context and
+symbol to the tables of all counts. What is sent changes no score.
 
 The base score takes words at white space and one end for each text, with add-half smoothing over the
 training tokens. Words are told apart by a 64-bit hash. Counts of the HEAVY most frequent words are broadcast;
@@ -29,6 +31,7 @@ from placeflow.llm._common import give_back, parts, raw, save, separators, texts
 ORDER, SYMBOLS, END = 5, 257, 256
 MOST = {5: 49_152, 4: 32_768, 3: 16_384, 2: 8_192, 1: 256, 0: 1}
 CELLS, STEP = 12_000_000, 4096
+PAIRS, MOST_LENGTH = 2_000_000, 65_535
 HEAVY = 65_536
 _INSIDE = separators()
 _LOWER = np.arange(256, dtype=np.int64)
@@ -94,7 +97,7 @@ class Trie:
         for k, ids in nodes.items():
             for lo in range(0, len(ids), 2048):
                 logs = self._predict(k, ids[lo : lo + 2048], nodes, tables)
-                self.lengths[first[k] + lo : first[k] + lo + len(logs)] = np.minimum(np.ceil(-STEP * logs), 65535)
+                self.lengths[first[k] + lo : first[k] + lo + len(logs)] = np.minimum(np.ceil(-STEP * logs), MOST_LENGTH)
         # Children of the nodes that may have some; 0 (the root, no node's child) for none.
         self.child = np.zeros((first[ORDER], width), np.int32)
         for k in range(1, ORDER + 1):
@@ -120,8 +123,8 @@ class Trie:
         rest = np.maximum((~excluded).sum(1, keepdims=True) + self.others, 1)
         return np.log10(np.concatenate([np.where(excluded, p, escape / rest), escape / rest], 1))
 
-    def score(self, column: pa.Array) -> np.ndarray:
-        """log10 probability of each text, its end included."""
+    def lengths_of(self, column: pa.Array, pairs: np.ndarray, pair_lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Code length of each text without its light places, and these: first of each text (and their number), keys and times."""
         context, symbol, first = _symbols(column)
         width = self.child.shape[1]
         child, at = self.child.ravel(), np.zeros(len(context), np.int64)
@@ -130,22 +133,50 @@ class Trie:
             down = child[at[on] * width + self.column[(context[on] >> 8 * k) & 255]]
             on, down = on[down > 0], down[down > 0]
             at[on] = down
-        lengths = self.lengths.ravel()[at * width + self.column[symbol]]
-        return -np.add.reduceat(lengths.astype(np.int64), first) / STEP if len(first) else np.zeros(0)
+        lengths = self.lengths.ravel()[at * width + self.column[symbol]].astype(np.int64)
+        # A node of the full order tells all; at a shorter one a longer context may have been counted.
+        light = np.flatnonzero((at < len(self.child)) | (lengths == MOST_LENGTH))
+        lengths[light] = 0
+        keys = context[light] << 9 | symbol[light]
+        if len(pairs):
+            found = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
+            known = pairs[found] == keys
+            lengths[light[known]] = pair_lengths[found[known]]
+            light, keys = light[~known], keys[~known]
+        text = np.searchsorted(first, light, "right") - 1
+        order = np.lexsort((keys, text))
+        text, keys = text[order], keys[order]
+        new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (keys[1:] != keys[:-1])))) if len(keys) else np.zeros(0, np.int64)
+        times = np.diff(np.append(new, len(keys)))
+        whole = np.add.reduceat(lengths, first) if len(first) else np.zeros(0, np.int64)
+        return whole, np.searchsorted(text[new], np.arange(len(first) + 1)), keys[new], times
 
 
-def _trie(grams: DataFrame) -> Trie:
-    """From (key, n): sums for shorter contexts, then the most frequent contexts of each order with their suffixes."""
-    spark = grams.sparkSession
+def _levels(grams: DataFrame) -> tuple[dict[int, DataFrame], dict[int, DataFrame]]:
+    """By order: (context, symbol, n), sums for shorter contexts; and (context, total, kinds, below), where below is the count that the next shorter context gives to the same symbols."""
     sums = {ORDER: grams.select(F.shiftright("key", 9).alias("context"), F.col("key").bitwiseAND(511).alias("symbol"), "n")}
+    levels = {}
     for k in range(ORDER - 1, -1, -1):
-        shorter = F.col("context").bitwiseAND((1 << 8 * k) - 1).alias("context")
-        sums[k] = save(sums[k + 1].select(shorter, "symbol", "n").groupBy("context", "symbol").agg(F.sum("n").alias("n")), "lm-grams")
+        sums[k] = save(sums[k + 1].select(_suffix(k).alias("context"), "symbol", "n").groupBy("context", "symbol").agg(F.sum("n").alias("n")), "lm-grams")
+        shorter = sums[k].select(F.col("context").alias("shorter"), "symbol", F.col("n").alias("below"))
+        both = sums[k + 1].withColumn("shorter", _suffix(k)).join(shorter, ["shorter", "symbol"])
+        levels[k + 1] = save(both.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("below").alias("below")), "lm-contexts")
+    levels[0] = save(sums[0].groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.lit(0).cast("long").alias("below")), "lm-contexts")
+    return sums, levels
+
+
+def _suffix(k: int):
+    return F.col("context").bitwiseAND((1 << 8 * k) - 1)
+
+
+def _trie(sums: dict[int, DataFrame], levels: dict[int, DataFrame]) -> tuple[Trie, np.ndarray]:
+    """The most frequent contexts of each order with their suffixes, and those of the full order."""
+    spark = sums[0].sparkSession
     width = sums[0].count() + 1
     share = min(1.0, CELLS / (width * sum(MOST.values())))
     kept: dict[int, np.ndarray] = {}
     for k in range(ORDER, -1, -1):
-        best = sums[k].groupBy("context").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "context").limit(max(1, int(MOST[k] * share))).select("context").toArrow().column(0).to_numpy()
+        best = levels[k].orderBy(F.col("total").desc(), "context").limit(max(1, int(MOST[k] * share))).select("context").toArrow().column(0).to_numpy()
         kept[k] = np.union1d(best, kept[k + 1] & ((1 << 8 * k) - 1)) if k < ORDER else np.sort(best)
     counts = {}
     for k, ids in kept.items():
@@ -153,15 +184,60 @@ def _trie(grams: DataFrame) -> Trie:
         chosen = spark.createDataFrame(pa.table({"context": pa.array(ids, pa.int64())}))
         rows = sums[k].join(F.broadcast(chosen), "context").toArrow()
         counts[k] = tuple(rows.column(c).to_numpy() for c in ("context", "symbol", "n"))
-    return Trie(counts)
+    return Trie(counts), kept[ORDER]
+
+
+def _length(p):
+    return F.ceil(F.lit(-float(STEP)) * F.log10(p))
+
+
+def _pairs(sums: dict[int, DataFrame], levels: dict[int, DataFrame], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, and code lengths of at most PAIRS frequent (context, symbol) of the full order whose context isn't kept."""
+    spark = sums[0].sparkSession
+    chosen = spark.createDataFrame(pa.table({"context": pa.array(kept, pa.int64())}))
+    class_ = F.floor(16 * F.log2("n")).cast("int")
+    rest = sums[ORDER].join(F.broadcast(chosen), "context", "left_anti").withColumn("class", class_)
+    least, n = None, 0
+    # Below 16 x 64 classes.
+    for row in sorted(rest.groupBy("class").count().collect(), reverse=True):
+        n += row["count"]
+        if n > PAIRS:
+            break
+        least = row["class"]
+    if least is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint16)
+    length = _length(F.col("n") / (F.col("total") + F.col("kinds")))
+    rows = rest.where(F.col("class") >= least).join(levels[ORDER], "context").select(F.shiftleft("context", 9).bitwiseOR(F.col("symbol")).alias("key"), length.cast("int").alias("length")).where(F.col("length") < MOST_LENGTH).toArrow()
+    keys = rows.column("key").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], rows.column("length").to_numpy()[order].astype(np.uint16)
+
+
+def _lengths(keys: DataFrame, sums: dict[int, DataFrame], levels: dict[int, DataFrame]) -> DataFrame:
+    """(key, length) of distinct keys (key), from all contexts: from the full order down to where the symbol was counted."""
+    left = keys.select("key", F.shiftright("key", 9).alias("context"), F.col("key").bitwiseAND(511).alias("symbol"), F.lit(1.0).alias("escape"), F.lit(0).cast("long").alias("excluded"), F.lit(0).cast("long").alias("without"))
+    out = None
+    for k in range(ORDER, -1, -1):
+        of = levels[k].withColumnRenamed("context", "at")
+        here = left.withColumn("at", _suffix(k)).join(sums[k].withColumnRenamed("context", "at"), ["at", "symbol"], "left").join(of, "at", "left")
+        kinds = F.col("kinds") - F.col("excluded")
+        whole = F.col("total") - F.col("without") + kinds
+        on = F.col("escape") * F.when(F.col("n").isNotNull(), F.col("n") / whole).when(kinds > 0, kinds / whole).otherwise(1.0)
+        here = save(here.select("key", "context", "symbol", on.alias("escape"), F.coalesce("kinds", F.lit(0)).alias("excluded"), F.coalesce("below", F.lit(0)).alias("without"), F.col("n").isNotNull().alias("found")), "lm-lengths")
+        found = here.where("found").select("key", _length(F.col("escape")).alias("length"))
+        out = found if out is None else out.union(found)
+        left = here.where("not found").drop("found")
+    # All symbols never counted are alike; excluded now holds the number of those counted.
+    return out.union(left.select("key", _length(F.col("escape") / (SYMBOLS - F.col("excluded"))).alias("length")))
 
 
 def _score(sent):
     def run(batches):
-        trie, heavy, logs = sent.value
+        trie, pairs, pair_lengths, heavy, logs = sent.value
         for batch in batches:
             for part in parts(batch, most=2 << 20):
-                scores = trie.score(part.column("text"))
+                lengths, place, keys, often = trie.lengths_of(part.column("text"), pairs, pair_lengths)
+                place = pa.array(place, pa.int32())
                 data, offsets = raw(part.column("text"))
                 starts, ends, first = word_spans(data, offsets, _INSIDE)
                 hashes = word_hashes(data, starts, ends).view(np.int64)
@@ -179,8 +255,8 @@ def _score(sent):
                     light.append(words[~is_heavy])
                     times.append(counts[~is_heavy].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("n"), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(first) + 1, pa.int64()), pa.array(scores), pa.array(base, pa.float64()), pa.array(known, pa.int64()), pa.array(light, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
-                    ["n", "doc_id", "held_out", "n_tokens", "score", "base", "known", "light", "times"],
+                    [part.column("n"), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(first) + 1, pa.int64()), pa.array(lengths, pa.int64()), pa.array(base, pa.float64()), pa.array(known, pa.int64()), pa.array(light, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())), pa.ListArray.from_arrays(place, pa.array(keys, pa.int64())), pa.ListArray.from_arrays(place, pa.array(often, pa.int32()))],
+                    ["n", "doc_id", "held_out", "n_tokens", "length", "base", "known", "light", "times", "places", "often"],
                 )
 
     return run
@@ -199,21 +275,26 @@ def lm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str =
     heavy = words.orderBy(F.col("n").desc(), "key").limit(HEAVY).select("key", "n").toArrow()
     order = np.argsort(heavy.column("key").to_numpy())
     keys, logs = heavy.column("key").to_numpy()[order], np.log10(heavy.column("n").to_numpy()[order] + 0.5)
-    sent = spark.sparkContext.broadcast((_trie(counts.where(F.col("kind") == _GRAM)), keys, logs))
-    schema = "n long, doc_id long, held_out boolean, n_tokens long, score double, base double, known long, light array<long>, times array<int>"
+    levels = _levels(counts.where(F.col("kind") == _GRAM))
+    trie, kept = _trie(*levels)
+    sent = spark.sparkContext.broadcast((trie, *_pairs(*levels, kept), keys, logs))
+    schema = "n long, doc_id long, held_out boolean, n_tokens long, length long, base double, known long, light array<long>, times array<int>, places array<long>, often array<int>"
     scored = save(own.withColumn("n", F.monotonically_increasing_id()).mapInArrow(_score(sent), schema), "lm-scores")
     light = scored.select("n", F.explode(F.arrays_zip("light", "times")).alias("w")).select("n", F.col("w.light").alias("key"), F.col("w.times").alias("times"))
     found = light.join(words.select("key", F.col("n").alias("c")), "key", "left")
     c = F.coalesce("c", F.lit(0))
     sums = found.groupBy("n").agg(F.sum(F.col("times") * F.log10(c + 0.5)).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("seen"))
+    places = scored.select("n", F.explode(F.arrays_zip("places", "often")).alias("p")).select("n", F.col("p.places").alias("key"), F.col("p.often").alias("often"))
+    lengths = _lengths(places.select("key").distinct(), *levels)
+    further = places.join(lengths, "key").groupBy("n").agg(F.sum(F.col("often") * F.col("length")).alias("further"))
     end = float(np.log10(n_texts + 0.5))
     each = float(np.log10(total + 0.5 * (distinct + 1)))
-    return scored.drop("light", "times").join(sums, "n", "left").select(
+    return scored.drop("light", "times", "places", "often").join(sums, "n", "left").join(further, "n", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("seen", F.lit(0)) + int(n_texts > 0)).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) + F.lit(end) - F.col("n_tokens") * F.lit(each)).alias("base_score"),
-        "score",
+        (-(F.col("length") + F.coalesce("further", F.lit(0))) / STEP).alias("score"),
     )

@@ -80,3 +80,19 @@ def test_no_training_texts(spark):
     r = lm_scores(df, F.lit(True)).first()
     assert r.train_tokens == 0 and r.n_known == 0 and abs(r.base_score) < 1e-9 and r.score < 0
     assert lm_scores(df.limit(0), F.lit(False)).count() == 0
+
+
+def test_all_contexts_count(spark, monkeypatch):
+    # However few contexts are sent to the tasks, scores come from all that were counted.
+    rnd = random.Random(3)
+    rows = [(i, "".join(rnd.choice("abcdeé ") for _ in range(rnd.randint(0, 60)))) for i in range(60)] + [(70, "zebra ≠"), (71, "Zebra"), (None, "a\nb"), (72, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    train = [t for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
+    monkeypatch.setattr(ppm, "MOST", dict.fromkeys(range(ppm.ORDER + 1), 2))
+    for pairs in (0, 200):
+        monkeypatch.setattr(ppm, "PAIRS", pairs)
+        got = {r.doc_id: r.score for r in lm_scores(df, crc_mod(F.col("doc_id"), 5) == 1).collect()}
+        assert len(got) == len(rows)
+        for i, t in rows:
+            want = brute(train, t)
+            assert want - len(sequence(t)) / ppm.STEP <= got[i] <= want + 1e-6
