@@ -53,12 +53,15 @@ def gc_summary(objects: DataFrame, protections: DataFrame, candidates: DataFrame
     return all_.agg(*(c for k, t in kinds.items() for c in (F.count_if(t).alias(f"{k}_objects"), F.coalesce(F.sum(F.when(t, F.col("size"))), F.lit(0)).alias(f"{k}_bytes"))))
 
 
-def json_leaves(manifests: DataFrame, deepest: int = 12) -> DataFrame:
-    """(doc, base, key, value): the strings of JSON documents (doc, base, body VARIANT); what stands in an array has the array's key."""
+def json_leaves(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of JSON documents (doc, base, body VARIANT), at any depth: (doc, base, key, value), the strings, where what stands in an array has the array's key; (base, file), the directory and root files of objects with hot prefixes."""
     spark = manifests.sparkSession
     now = manifests.select("doc", "base", F.lit(None).cast("string").alias("key"), F.col("body").alias("v"))
-    out = None
-    for _ in range(deepest):
+    out = hot = None
+    while True:
+        files = F.array(*(F.try_variant_get("v", f"$.{k}.file", "string") for k in ("directory", "root")))
+        found = now.where(F.try_variant_get("v", "$.hot_prefixes", "double") > 0).select("base", F.explode(files).alias("file")).where("file is not null")
+        hot = found if hot is None else hot.union(found)
         now.createOrReplaceTempView("placeflow_json")
         opened = spark.sql("select w.doc, w.base, coalesce(e.key, w.key) as key, e.value as v, schema_of_variant(e.value) as t from placeflow_json w, lateral variant_explode(w.v) e")
         opened = saved(opened.select("doc", "base", "key", F.to_json("v").alias("j"), "t"), "json")
@@ -66,23 +69,19 @@ def json_leaves(manifests: DataFrame, deepest: int = 12) -> DataFrame:
         out = text if out is None else out.union(text)
         deeper = opened.where("t like 'OBJECT%' or t like 'ARRAY%'")
         if deeper.isEmpty():
-            break
+            return out, hot
         now = deeper.select("doc", "base", "key", F.parse_json("j").alias("v"))
-    return out
 
 
 def manifest_protections(manifests: DataFrame) -> DataFrame:
     """(kind, value) that manifests (doc, base, body VARIANT) refer to: binary files by name and, with a folder, by path; folders of pages and of keys ending in _path; hot prefixes beside directory and root files."""
-    leaves = json_leaves(manifests)
+    leaves, hot = json_leaves(manifests)
     binary = leaves.where(F.col("value").rlike(r"\.bin(\.gz)?$") & X.safe_path(F.col("value")).isNotNull())
     names = binary.select(F.lit("basename").alias("kind"), X.basename(F.col("value")).alias("value"))
     paths = binary.where(F.col("value").contains("/")).select(F.lit("path").alias("kind"), X.path_join(F.col("base"), F.col("value")).alias("value"))
     folders = leaves.where(((F.col("key") == "pages") | F.col("key").endswith("_path")) & F.col("value").endswith("/"))
     prefixes = folders.select(F.lit("prefix").alias("kind"), X.path_join(F.col("base"), F.col("value")).alias("value"))
-    hot = manifests.where(F.try_variant_get("body", "$.hot_prefixes", "double") > 0).select(
-        "base", F.explode(F.array(F.try_variant_get("body", "$.directory.file", "string"), F.try_variant_get("body", "$.root.file", "string"))).alias("file")
-    )
-    beside = hot.where("file is not null").select(F.lit("prefix").alias("kind"), X.path_join(F.col("base"), F.concat(F.when(X.dirname(F.col("file")) == "", "").otherwise(F.concat(X.dirname(F.col("file")), F.lit("/"))), F.lit("hot/"))).alias("value"))
+    beside = hot.select(F.lit("prefix").alias("kind"), X.path_join(F.col("base"), F.concat(F.when(X.dirname(F.col("file")) == "", "").otherwise(F.concat(X.dirname(F.col("file")), F.lit("/"))), F.lit("hot/"))).alias("value"))
     return names.union(paths).union(prefixes).union(beside).where("value is not null").distinct()
 
 

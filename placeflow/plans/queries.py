@@ -564,8 +564,12 @@ def manifest_protections(spark, d):
         F.struct(
             F.array(F.struct(F.concat(F.lit("docs/"), "o_orderkey", F.lit(".bin")).alias("file"), F.lit(1).alias("n"))).alias("packs"),
             F.struct(F.concat(F.lit("pages-"), "o_orderpriority", F.lit("/")).alias("pages"), F.lit("x/../y.bin").alias("bad")).alias("tree"),
-            F.when(F.col("o_totalprice") > 100000, 3).otherwise(0).alias("hot_prefixes"),
-            F.struct(F.lit("authority/directory.json").alias("file")).alias("directory"),
+            F.struct(
+                F.struct(
+                    F.when(F.col("o_totalprice") > 100000, 3).otherwise(0).alias("hot_prefixes"),
+                    F.struct(F.lit("authority/directory.json").alias("file")).alias("directory"),
+                ).alias("autocomplete")
+            ).alias("authority"),
         )
     )
     return gc.manifest_protections(o.select(F.col("o_orderkey").cast("string").alias("doc"), F.concat(F.lit("s/"), "o_custkey").alias("base"), F.parse_json(body).alias("body")))

@@ -147,6 +147,23 @@ def test_garbage(spark):
     assert [r.value for r in gc.catalog_protections(bases).collect()] == ["routes/car/a/"]
 
 
+def test_nested_protections(spark):
+    complete = {"hot_prefixes": 1330, "directory": {"file": "authority/lexicon-root.current.bin.gz"}}
+    deep = {"file": "deep/last.bin"}
+    for _ in range(15):
+        deep = {"next": [deep]}
+    bodies = [
+        ("m1", "shards/quebec", {"authority": {"autocomplete": complete}}),
+        ("m2", "", {"suggest_routing": {"authority": [{"autocomplete": {"hot_prefixes": 2048, "root": {"file": "authority/lexicon-root.current.bin.gz"}}}]}}),
+        ("m3", "shards/none", {"authority": {"autocomplete": {**complete, "hot_prefixes": 0}}}),
+        ("m4", "shards/deep", deep),
+    ]
+    m = spark.createDataFrame([(d, b, json.dumps(j)) for d, b, j in bodies], "doc string, base string, j string").select("doc", "base", F.parse_json("j").alias("body"))
+    got = {tuple(r) for r in gc.manifest_protections(m).collect()}
+    assert {v for k, v in got if k == "prefix"} == {"shards/quebec/authority/hot/", "authority/hot/"}
+    assert ("path", "shards/deep/deep/last.bin") in got
+
+
 def test_generation_manifests(spark):
     d = spark.createDataFrame([("shards/a", "gen-1/m.json"), ("shards/a", "shards/a/gen-1/m.json"), ("shards/a", "../m.json"), ("shards/a", None)], "b string, p string")
     assert [r[0] for r in d.select(X.generation_manifest_path(F.col("b"), F.col("p"))).collect()] == ["shards/a/gen-1/m.json", "shards/a/gen-1/m.json", None, None]
