@@ -16,15 +16,18 @@ def coverage_conflicts(regions: DataFrame, exempt: tuple[str, ...] = ()) -> Data
     return each.groupBy("code").agg(F.array_sort(F.collect_set("region_id")).alias("owners")).where(F.size("owners") > 1)
 
 
-def region_ancestors(features: DataFrame, most: int = 16) -> DataFrame:
-    """(id, ancestor, depth): by parent pointers, level after level until none is left. features: id, parent."""
+def region_ancestors(features: DataFrame) -> DataFrame:
+    """(id, ancestor, depth): by parent pointers, level after level until none is left; a circle of parents fails the job. features: id, parent."""
     up = features.select(F.col("id").alias("ancestor"), F.col("parent").alias("next"))
     level = features.where("parent is not null").select("id", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
     out, depth = level, 1
-    while depth < most:
+    while True:
         depth += 1
         level = saved(level.join(up, "ancestor").where("next is not null").select("id", F.col("next").alias("ancestor"), F.lit(depth).alias("depth")), "ancestors")
-        if level.isEmpty():
+        n, circles = level.agg(F.count("*"), F.count_if(F.col("id") == F.col("ancestor"))).first()
+        if circles:
+            raise ValueError("parents of regions run in a circle")
+        if not n:
             break
         out = out.unionByName(level)
     return out.groupBy("id", "ancestor").agg(F.min("depth").alias("depth"))
@@ -37,6 +40,29 @@ def inherited_codes(features: DataFrame, ancestors: DataFrame) -> DataFrame:
     return features.select("id", "codes").join(near, "id", "left").select("id", F.when(F.size("codes") > 0, F.col("codes")).otherwise(F.coalesce("inherited", "codes")).alias("codes"))
 
 
+def prefix_ancestors(features: DataFrame) -> DataFrame:
+    """(id, ancestor): all paths above an id, whatever its parent."""
+    parts = F.split("id", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
+    return features.where(F.size(parts) > 1).select("id", F.explode(above).alias("ancestor"))
+
+
+def united_codes(features: DataFrame, ancestors: DataFrame) -> DataFrame:
+    """(id, codes): own codes and those of all ancestors by pointer and by path, each once, in order. features: id, codes."""
+    every = ancestors.select("id", "ancestor").union(prefix_ancestors(features)).union(features.select("id", F.col("id").alias("ancestor"))).distinct()
+    each = every.join(features.select(F.col("id").alias("ancestor"), F.explode("codes").alias("code")), "ancestor")
+    found = each.groupBy("id").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    return features.select("id").join(found, "id", "left").select("id", F.coalesce("codes", F.expr("cast(array() as array<string>)")).alias("codes"))
+
+
+def region_groups(features: DataFrame, ancestors: DataFrame) -> DataFrame:
+    """(id, groups): labels of a region's groups: the first part of a longer path, then the last parts of its ancestors by pointer from the nearest, each once."""
+    chain = ancestors.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "ancestor"))), lambda a: X.basename(a["ancestor"])).alias("chain"))
+    none = F.expr("cast(array() as array<string>)")
+    first = F.when(F.col("id").contains("/"), F.array(F.split("id", "/")[0])).otherwise(none)
+    return features.select("id").join(chain, "id", "left").select("id", F.array_distinct(F.concat(first, F.coalesce("chain", none))).alias("groups"))
+
+
 def region_children(features: DataFrame, exclude: DataFrame | None = None) -> DataFrame:
     """(parent, id): by pointer, or by an id below the parent's; each pair once, without excluded ids."""
     pointed = features.where("parent is not null").select("parent", "id")

@@ -128,6 +128,20 @@ def inherited_codes(spark, d):
     return regions.inherited_codes(tree, regions.region_ancestors(tree.select("id", "parent"))).select("id", F.array_join("codes", ",").alias("codes"))
 
 
+@query("""SELECT concat('r', r_regionkey) AS id, 'XX' AS codes, '' AS groups FROM region
+UNION ALL SELECT concat('n', n_nationkey), CASE WHEN n_nationkey % 3 = 0 THEN 'CA,XX' ELSE 'XX' END, concat('r', n_regionkey) FROM nation
+UNION ALL SELECT concat('n', n_nationkey, '/s', s_suppkey), concat(CASE WHEN s_suppkey % 5 = 0 THEN 'AA,' ELSE '' END, CASE WHEN n_nationkey % 3 = 0 THEN 'CA,' ELSE '' END, 'XX'), concat('n', n_nationkey, ',r', n_regionkey) FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def region_metadata(spark, d):
+    """Codes and groups where suppliers lie below nations by path, but below regions by pointer."""
+    t = lambda n: spark.read.parquet(f"{d}/{n}.parquet")
+    upper = _tree(spark, d).where("size > 1").select("id", "parent", "codes")
+    own = F.when(F.col("s_suppkey") % 5 == 0, F.array(F.lit("AA"))).otherwise(F.array().cast("array<string>"))
+    low = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("n"), "n_nationkey", F.lit("/s"), "s_suppkey"), F.concat(F.lit("r"), "n_regionkey"), own)
+    tree = saved(upper.union(low), "tree")
+    up = regions.region_ancestors(tree.select("id", "parent"))
+    return regions.united_codes(tree, up).join(regions.region_groups(tree, up), "id").select("id", F.array_join("codes", ",").alias("codes"), F.array_join("groups", ",").alias("groups"))
+
+
 @query(TREE + " SELECT id FROM tree t WHERE size = 1 OR NOT EXISTS (SELECT 1 FROM tree c WHERE c.parent = t.id)")
 def expand_regions(spark, d):
     tree = saved(_tree(spark, d), "tree")

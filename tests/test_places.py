@@ -243,6 +243,20 @@ def test_hierarchy(spark):
         regions.refresh_coverage(spark.createDataFrame([("r", "x")], "region_id string, path string"), spark.createDataFrame([], "path string, codes array<string>, min_lat double, min_lon double, max_lat double, max_lon double")).collect()
 
 
+def test_united_codes_and_groups(spark):
+    rows = [("north-america", None, ["NA"]), ("us", "north-america", ["US"]), ("us/california", "north-america", []), ("x/y/z", "us", ["ZZ", "US"]), ("x/y", None, ["XY"]), ("alone", None, [])]
+    rows += [("k0", None, ["K0"])] + [(f"k{i}", f"k{i - 1}", []) for i in range(1, 20)]
+    f = spark.createDataFrame(rows, "id string, parent string, codes array<string>")
+    up = regions.region_ancestors(f.select("id", "parent"))
+    codes = {r.id: r.codes for r in regions.united_codes(f, up).collect()}
+    assert len(codes) == len(rows)
+    assert codes["us/california"] == ["NA", "US"] and codes["us"] == ["NA", "US"] and codes["x/y/z"] == ["NA", "US", "XY", "ZZ"] and codes["alone"] == [] and codes["k19"] == ["K0"]
+    groups = {r.id: r.groups for r in regions.region_groups(f, up).collect()}
+    assert groups["us/california"] == ["us", "north-america"] and groups["x/y/z"] == ["x", "us", "north-america"] and groups["alone"] == []
+    with pytest.raises(ValueError, match="circle"):
+        regions.region_ancestors(spark.createDataFrame([("a", "b"), ("b", "a")], "id string, parent string"))
+
+
 def test_nearest_equals_all(spark):
     import random
 
