@@ -461,20 +461,25 @@ def travel_times(spark, d):
 
 @query()
 def itinerary_costs(spark, d):
-    """Trips: the nodes of each way in order of position, from depot to depot, where a time is known; checked in tests."""
-    times = roads.travel_times(roads.road_edges(view(spark, d, "way_refs")), _depots(spark, d))
-    stops = _depots(spark, d).select(F.lit(1).alias("trip_id"), F.col("source").alias("pos"), F.col("source").alias("node"))
-    return roads.itinerary_costs(stops, times, open_end=False)
+    """Trips: the nodes of each way in order of position, by the way's own edges; staying at a node takes no time. Checked by brute force in tests."""
+    refs = view(spark, d, "way_refs")
+    of_way = lambda c: F.struct("way_id", F.col(c).alias("node_id"))
+    stops = refs.select(F.col("way_id").alias("trip_id"), "pos", of_way("node_id").alias("node"))
+    edges = roads.road_edges(refs).select(of_way("src").alias("source"), of_way("dst").alias("node"), F.col("seconds").cast("double").alias("seconds"))
+    stays = stops.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("seconds")).distinct()
+    return roads.itinerary_costs(stops, edges.union(stays))
 
 
 @query()
 def federated_travel_times(spark, d):
-    """Checked in tests; graphs of two flags as two regions."""
-    refs = view(spark, d, "way_refs").where("flag in ('N', 'R')")
+    """Checked by brute force in tests; the flags of ways as three regions, each a neighbour of the others."""
+    refs, nodes = view(spark, d, "way_refs"), view(spark, d, "nodes")
     flags = refs.groupBy("way_id").agg(F.min("flag").alias("region_id"))
-    edges = roads.road_edges(refs).join(flags, "way_id")
+    edges = saved(roads.road_edges(refs).join(flags, "way_id"), "edges")
+    graphs = edges.select("region_id", F.explode(F.array("src", "dst")).alias("node_id")).distinct().join(nodes, "node_id")
+    pairs = spark.createDataFrame([("A", "N"), ("A", "R"), ("N", "R")], "region_a string, region_b string")
     start = edges.where("region_id = 'N'").agg(F.min("src").alias("node_id")).select(F.lit("N").alias("region_id"), "node_id")
-    return roads.federated_travel_times(edges, _portals(spark, d), start)
+    return roads.federated_travel_times(edges, roads.shared_portals(graphs, graphs, pairs), start)
 
 
 ROADS = with_views("region_state") + """, pf AS (SELECT unnest(['car', 'bike', 'foot']) AS profile), rs AS (SELECT region_id, profile, concat(required, '-', profile) AS required, CASE WHEN built IS NOT NULL THEN concat(built, '-', profile) END AS built, CASE WHEN uploaded IS NOT NULL THEN concat(uploaded, '-', profile) END AS uploaded, ord AS nodes, ord * 2 AS edges FROM region_state, pf)"""

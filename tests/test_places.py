@@ -273,3 +273,39 @@ def test_nearest_equals_all(spark):
     for r in search.geo_near(q, p, 3).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.point_id)
     assert got == {i: [x[1] for x in sorted((metres(a, b, y, z), n) for n, y, z in pts)[:3]] for i, a, b in qs}
+
+
+def test_road_queries_equal_all_ways(spark):
+    import heapq
+
+    from placeflow.plans.bindings import view
+    from placeflow.plans.queries import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    ways, nodes = {}, {r.node_id: (r.lat, r.lon) for r in view(spark, d, "nodes").collect()}
+    for r in view(spark, d, "way_refs").orderBy("way_id", "pos").collect():
+        ways.setdefault(r.way_id, []).append(r)
+    trips, links, graphs = {}, {}, {}
+    for w, refs in ways.items():
+        times, region = {}, min(r.flag for r in refs)
+        for a, b in zip(refs, refs[1:], strict=False):
+            for x, y in [(a, b)] + [(b, a)] * (not a.one_way):
+                if x.node_id != y.node_id:
+                    times[x.node_id, y.node_id] = min(float(a.seconds), times.get((x.node_id, y.node_id), math.inf))
+        trips[w] = (sum(times.get((a.node_id, b.node_id), 0.0) for a, b in zip(refs, refs[1:], strict=False)), len(refs) - 1)
+        for (x, y), s in times.items():
+            links.setdefault((region, x), []).append((s, (region, y)))
+            graphs.setdefault(region, set()).update((x, y))
+    got = {r.trip_id: (r.seconds, r.legs) for r in QUERIES["itinerary_costs"](spark, d).collect()}
+    assert got == {w: t for w, t in trips.items() if t[1]}
+    start = ("N", min(x for r, x in links if r == "N"))
+    best, queue = {}, [(0.0, start)]
+    while queue:
+        s, at = heapq.heappop(queue)
+        if at in best:
+            continue
+        best[at] = s
+        for step, to in links.get(at, []) + [(0.0, (r, at[1])) for r in graphs if at[1] in nodes and at[1] in graphs[r]]:
+            heapq.heappush(queue, (s + step, to))
+    assert {r for r, _ in best} == {"A", "N", "R"}
+    assert {(r.region_id, r.node_id): r.seconds for r in QUERIES["federated_travel_times"](spark, d).collect()} == best
