@@ -2,26 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def saved(df: DataFrame, tag: str) -> DataFrame:
-    """df written to the shared folder and read back, which cuts its lineage."""
-    path = f"{checkpoint_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from placeflow.scratch import discard, save
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -31,7 +15,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     shared folder. A node's least neighbour is an aggregate that is combined before the shuffle.
     """
     own = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
-    now = saved(own.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
+    now = save(own.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
     mark = None
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -40,7 +24,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(down.select("u", F.col("m").alias("v")))
-        now = saved(small.distinct(), "components")
+        before, now = now, save(small.distinct(), "components")
+        discard(before)
         # The edges as a whole: their number and an order-free sum of hashes.
         new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
         if new == mark:

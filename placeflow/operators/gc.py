@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
-from placeflow.operators.components import saved
+from placeflow.scratch import save
 
 
 def stale_objects(listing: DataFrame, keep: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def json_leaves(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
         hot = found if hot is None else hot.union(found)
         now.createOrReplaceTempView("placeflow_json")
         opened = spark.sql("select w.doc, w.base, coalesce(e.key, w.key) as key, e.value as v, schema_of_variant(e.value) as t from placeflow_json w, lateral variant_explode(w.v) e")
-        opened = saved(opened.select("doc", "base", "key", F.to_json("v").alias("j"), "t"), "json")
+        opened = save(opened.select("doc", "base", "key", F.to_json("v").alias("j"), "t"), "json")
         text = opened.where("t = 'STRING'").select("doc", "base", "key", F.from_json(F.concat(F.lit('{"s":'), "j", F.lit("}")), "s string")["s"].alias("value"))
         out = text if out is None else out.union(text)
         deeper = opened.where("t like 'OBJECT%' or t like 'ARRAY%'")

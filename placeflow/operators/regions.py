@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
-from placeflow.operators.components import saved
+from placeflow.scratch import save
 
 
 def coverage_conflicts(regions: DataFrame, exempt: tuple[str, ...] = ()) -> DataFrame:
@@ -23,7 +23,7 @@ def region_ancestors(features: DataFrame) -> DataFrame:
     out, depth = level, 1
     while True:
         depth += 1
-        level = saved(level.join(up, "ancestor").where("next is not null").select("id", F.col("next").alias("ancestor"), F.lit(depth).alias("depth")), "ancestors")
+        level = save(level.join(up, "ancestor").where("next is not null").select("id", F.col("next").alias("ancestor"), F.lit(depth).alias("depth")), "ancestors")
         n, circles = level.agg(F.count("*"), F.count_if(F.col("id") == F.col("ancestor"))).first()
         if circles:
             raise ValueError("parents of regions run in a circle")
@@ -77,7 +77,7 @@ def expand_regions(selected: DataFrame, sizes: DataFrame, children: DataFrame, m
     large = sizes.where(F.col("size") > most).select("id").join(children.select(F.col("parent").alias("id")), "id", "left_semi")
     for _ in range(rounds):
         out = now.join(large, "id", "left_semi").select(F.col("id").alias("parent")).join(children, "parent").select("id")
-        now = saved(now.join(large, "id", "left_anti").union(out).distinct(), "expanded")
+        now = save(now.join(large, "id", "left_anti").union(out).distinct(), "expanded")
     return now
 
 

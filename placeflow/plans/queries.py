@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +9,8 @@ from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
 from placeflow.operators import delta, enrich, gc, identity, regions, roads, search, spatial, status
-from placeflow.operators.components import checkpoint_dir, saved
 from placeflow.plans.bindings import view, with_views
+from placeflow.scratch import new_path, save
 from placeflow.sources.writers import write_region_partitions
 from placeflow.streaming.partition import latest_counters, read_partitions, start_counters_stream, start_partition_stream
 
@@ -119,12 +118,12 @@ UNION ALL SELECT concat('s', s_suppkey), concat('n', s_nationkey), 1 FROM suppli
 
 @query(TREE + " SELECT id, parent AS ancestor, 1 AS depth FROM tree WHERE parent IS NOT NULL UNION ALL SELECT a.id, b.parent, 2 FROM tree a JOIN tree b ON a.parent = b.id WHERE b.parent IS NOT NULL")
 def region_ancestors(spark, d):
-    return regions.region_ancestors(saved(_tree(spark, d), "tree").select("id", "parent"))
+    return regions.region_ancestors(save(_tree(spark, d), "tree").select("id", "parent"))
 
 
 @query(TREE + ", c AS (SELECT n_nationkey % 3 = 0 AS own, concat('n', n_nationkey) AS id FROM nation) SELECT t.id, CASE WHEN t.id[1] = 'r' THEN 'XX' WHEN a.own OR b.own THEN 'CA' ELSE 'XX' END AS codes FROM tree t LEFT JOIN c a ON t.id = a.id LEFT JOIN c b ON t.parent = b.id")
 def inherited_codes(spark, d):
-    tree = saved(_tree(spark, d), "tree")
+    tree = save(_tree(spark, d), "tree")
     return regions.inherited_codes(tree, regions.region_ancestors(tree.select("id", "parent"))).select("id", F.array_join("codes", ",").alias("codes"))
 
 
@@ -137,14 +136,14 @@ def region_metadata(spark, d):
     upper = _tree(spark, d).where("size > 1").select("id", "parent", "codes")
     own = F.when(F.col("s_suppkey") % 5 == 0, F.array(F.lit("AA"))).otherwise(F.array().cast("array<string>"))
     low = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("n"), "n_nationkey", F.lit("/s"), "s_suppkey"), F.concat(F.lit("r"), "n_regionkey"), own)
-    tree = saved(upper.union(low), "tree")
+    tree = save(upper.union(low), "tree")
     up = regions.region_ancestors(tree.select("id", "parent"))
     return regions.united_codes(tree, up).join(regions.region_groups(tree, up), "id").select("id", F.array_join("codes", ",").alias("codes"), F.array_join("groups", ",").alias("groups"))
 
 
 @query(TREE + " SELECT id FROM tree t WHERE size = 1 OR NOT EXISTS (SELECT 1 FROM tree c WHERE c.parent = t.id)")
 def expand_regions(spark, d):
-    tree = saved(_tree(spark, d), "tree")
+    tree = save(_tree(spark, d), "tree")
     return regions.expand_regions(tree.where("parent is null").select("id"), tree.select("id", "size"), regions.region_children(tree), 4)
 
 
@@ -475,7 +474,7 @@ def federated_travel_times(spark, d):
     """Checked by brute force in tests; the flags of ways as three regions, each a neighbour of the others."""
     refs, nodes = view(spark, d, "way_refs"), view(spark, d, "nodes")
     flags = refs.groupBy("way_id").agg(F.min("flag").alias("region_id"))
-    edges = saved(roads.road_edges(refs).join(flags, "way_id"), "edges")
+    edges = save(roads.road_edges(refs).join(flags, "way_id"), "edges")
     graphs = edges.select("region_id", F.explode(F.array("src", "dst")).alias("node_id")).distinct().join(nodes, "node_id")
     pairs = spark.createDataFrame([("A", "N"), ("A", "R"), ("N", "R")], "region_a string, region_b string")
     start = edges.where("region_id = 'N'").agg(F.min("src").alias("node_id")).select(F.lit("N").alias("region_id"), "node_id")
@@ -719,7 +718,7 @@ def region_source_identity(spark, d):
 @query(ROUTED + " SELECT r.region_id, count(*) AS n, count(DISTINCT point_id) AS points FROM routed r GROUP BY r.region_id")
 def io_roundtrip(spark, d):
     """Routed records written as gzip JSON lines by region, and read again."""
-    out = f"{checkpoint_dir(spark)}/regions-{uuid.uuid4().hex}"
+    out = new_path(spark, "regions")
     write_region_partitions(view(spark, d, "addr_points").join(_routed(spark, d), "point_id"), out)
     rows = spark.read.schema("point_id long, region_id string").json(out)
     return rows.groupBy("region_id").agg(F.count("*").alias("n"), F.countDistinct("point_id").alias("points"))
@@ -735,7 +734,7 @@ def _stream(spark, d):
 @query(ROUTED + " SELECT r.region_id, count(*) AS n FROM routed r GROUP BY r.region_id")
 def partition_stream(spark, d):
     """Events as a stream, routed once each, although the stream is started twice on its checkpoint."""
-    at = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    at = new_path(spark, "stream")
     for _ in range(2):
         start_partition_stream(_stream(spark, d), view(spark, d, "place_regions"), f"{at}/out", f"{at}/checkpoint").awaitTermination()
     return read_partitions(spark, f"{at}/out").groupBy("region_id").agg(F.count("*").alias("n"))
@@ -743,6 +742,6 @@ def partition_stream(spark, d):
 
 @query("SELECT event_type AS kind, count(*) AS n FROM events GROUP BY event_type")
 def counters_stream(spark, d):
-    at = f"{checkpoint_dir(spark)}/counters-{uuid.uuid4().hex}"
+    at = new_path(spark, "counters")
     start_counters_stream(_stream(spark, d), "kind", f"{at}/out", f"{at}/checkpoint").awaitTermination()
     return latest_counters(spark, f"{at}/out").select("kind", "n")
