@@ -1,4 +1,4 @@
-"""Helpers shared by the operators of this subpackage: scratch tables and vectorised word hashing.
+"""Helpers shared by the operators of this subpackage: columns, slices of batches and vectorised word hashing.
 
 The numpy code runs inside Spark tasks on one Arrow batch at a time; its temporary arrays are
 bounded by BLOCK bytes of text (or one word, if a single word is longer).
@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,27 +20,6 @@ ASCII_SPACE = b" \t\n\x0b\x0c\r"
 _U = np.uint64
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = f"file:///tmp/checkpoints/{uuid.uuid4().hex}"
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-
-
-def save(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends there and survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

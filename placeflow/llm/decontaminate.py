@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import parts, raw, save, separators, word_hashes, word_spans
+from placeflow.llm._common import parts, raw, separators, word_hashes, word_spans
+from placeflow.scratch import save
 
 ITEM_WORDS = 2_000_000
 _INSIDE = separators(keep_alnum_only=True)

@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import ASCII_SPACE, mix, parts, save
+from placeflow.llm._common import ASCII_SPACE, mix, parts
+from placeflow.scratch import save
 
 KEYS_PER_SHARD = 1 << 19
 BROADCAST_BYTES = 64 << 20

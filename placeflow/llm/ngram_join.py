@@ -33,8 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import mix, parts, raw, save, separators, texts, word_hashes, word_spans
+from placeflow.llm._common import mix, parts, raw, separators, texts, word_hashes, word_spans
 from placeflow.operators.components import connected_components
+from placeflow.scratch import save
 
 #: A block of a group: at most so many sets, and about so many shingles.
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 2_000_000

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import give_back, parts, raw, save, separators, texts, word_hashes, word_spans
+from placeflow.llm._common import give_back, parts, raw, separators, texts, word_hashes, word_spans
+from placeflow.scratch import save
 
 ORDER, SYMBOLS, END = 5, 257, 256
 MOST = {5: 49_152, 4: 32_768, 3: 16_384, 2: 8_192, 1: 256, 0: 1}

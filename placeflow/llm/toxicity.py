@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import give_back, parts, raw, save, separators, texts, word_hashes, word_spans
+from placeflow.llm._common import give_back, parts, raw, separators, texts, word_hashes, word_spans
+from placeflow.scratch import save
 
 BITS, TERMS, LEAST_Z, SAMPLE = 20, 2048, 4.0, 20_000
 FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 20, 256, 0.05, 1e-4

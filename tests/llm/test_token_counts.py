@@ -39,3 +39,27 @@ def test_cache(spark):
     assert {r.n_tokens for r in count_tokens(docs, PATH, foreign).collect()} == {1, 2}
     assert read_cache(spark, foreign).where(F.col("tokenizer") == version).count() == 2
     assert count_tokens(docs.limit(0), PATH, fresh_cache(spark)).count() == 0 and len(CACHE_SCHEMA) > 0
+
+
+def test_known_contents_by_broadcast_or_shuffle(spark):
+    """With some contents known, only the others are encoded, whether these are broadcast or shuffled; copies share one entry."""
+    texts = [(i, f"word{i % 60} and more" if i % 3 else "copies of one text") for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want = sorted(tuple(r) for r in count_tokens(docs, PATH, fresh_cache(spark)).collect())
+    for most in (0, 1000):
+        cache = fresh_cache(spark)
+        count_tokens(docs.where("doc_id < 30"), PATH, cache).count()
+        before = read_cache(spark, cache).count()
+        assert sorted(tuple(r) for r in count_tokens(docs, PATH, cache, broadcast_rows=most).collect()) == want
+        assert before < read_cache(spark, cache).count() == len({t for _, t in texts})
+
+
+def test_long_texts_and_other_vocabularies(spark):
+    from tokenizers import Tokenizer
+
+    rows = [(1, "x" * 200_000), (2, "ab " * 200_000), (3, " lead  and\n trail ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for path in (PATH, public_tokenizers.path("byte_bpe_50k.json")):
+        library = Tokenizer.from_file(path)
+        got = {r.doc_id: r.n_tokens for r in count_tokens(docs, path, fresh_cache(spark)).collect()}
+        assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in rows}
