@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,7 +100,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BASE = 0x9E3779B97F4A7C15
+_BASE, _SEED = 0x9E3779B97F4A7C15, 0x5851F42D4C957F2D
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -120,8 +121,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+#: Words longer than this are hashed one by one: for long words, unlike ones with equal polynomials are easily built.
+_LONG = 32
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word with A-Z lower-cased: polynomial prefix sums, so that the cost is a few array passes."""
+    """A 64-bit hash of each word with A-Z lower-cased: polynomial prefix sums, so that the cost is a few array passes; XXH3 for long words."""
     out = np.empty(len(starts), np.uint64)
     i = 0
     with np.errstate(over="ignore"):
@@ -134,4 +139,6 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             s, e = starts[i:j] - lo, ends[i:j] - lo
             out[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * _U(0xA0761D6478BD642F))
             i = j
+    for k in np.flatnonzero(ends - starts > _LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(_LOWER[data[starts[k] : ends[k]]].tobytes(), _SEED)
     return out

@@ -6,11 +6,17 @@ first `n - ceil(t n) + l` shingles (the prefix), whatever l is; l grows with the
 than l prefix shingles that any other set has, such as a text with a common passage, is left out at once. Each
 prefix shingle names the least digest among the sets that hold it, its pivot; a set joins the groups of its
 shingles' pivots, so any two sets that share a prefix shingle meet in a group, without a row for each pair.
-Pivots of the frequent shingles (at most FREQUENT) are combined before the shuffle and broadcast.
+Pivots of the frequent shingles (at most FREQUENT) are combined before the shuffle and broadcast. What is not
+frequent has fewer holders than one in FREQUENT of all prefix shingles, or fewer than BATCH_LEAST in each slice.
+
+Of its groups a set leaves those in which it has the fewest shingles, up to (l - 1) / 2 shingles in all, l being
+the least that holds for any partner. Two sets that link share l prefix shingles or more, and both together left
+fewer, so they still meet. So chance meetings in a large corpus don't add groups.
 
 Before texts are sent to groups, short signatures are: bits (SIGNATURE, more for large sets), each the parity of the
-number of shingles that fall on it; a longer one folds to a shorter. Two sets differ in at least as many shingles as their signatures in bits, so a set whose signature
-is too far from all others of its group, or whose size is, has no link there.
+number of shingles that fall on it; a longer one folds to a shorter. Two sets differ in at least as many shingles as
+their signatures in bits, so a set whose signature is too far from all others it would meet, or whose size is, has
+no link there, and its text isn't sent.
 
 In a group, the ordered sets are stored in a trie. A set walks the trie once: all sets below a node share
 the overlap up to that node, and a subtree is left as soon as the overlap and the lengths that remain can't
@@ -18,10 +24,11 @@ reach the threshold. Only links that connect are kept: sets already linked to th
 no walk of their own, as every other set is compared with all.
 
 Copies are one set (by digest). Groups larger than a block are dealt to blocks that all hold one hub;
-after that round, sets not connected to the hub are compared with every block. No candidate is dropped.
+after that round, sets not connected to the hub meet every block, first by signature. No candidate is dropped.
 
 Null and empty texts, and texts without words, have empty sets, which link with nothing. Texts of fewer words
-than n are one shingle. Repeated rows are copies. Other columns are ignored; an empty table gives an empty table.
+than n are one shingle. Repeated rows are copies. A very long text is a slice of its own, its shingles some 50 bytes
+for each word. Other columns are ignored, or carried if they are named; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -33,9 +40,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import mix, parts, raw, separators, texts, word_hashes, word_spans
+from placeflow.llm._common import mix, parts, raw, separators, word_hashes, word_spans
 from placeflow.operators.components import connected_components
-from placeflow.scratch import save
+from placeflow.scratch import discard, save
 
 #: A block of a group: at most so many sets, and about so many shingles.
 BLOCK_SETS, BLOCK_SHINGLES = 2048, 2_000_000
@@ -83,8 +90,8 @@ def signature(tokens: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(bool)).tobytes()
 
 
-def with_partner(signatures: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Whether some other set may reach the threshold, by sizes and signatures."""
+def with_partner(signatures: list[bytes], sizes: np.ndarray, percent: int, asking: np.ndarray | None = None, digests: np.ndarray | None = None) -> np.ndarray:
+    """Whether some other set may reach the threshold, by sizes and signatures; only pairs with an asking set count, if these are given, and a set's own digest doesn't."""
     own = np.array([len(s) for s in signatures])
     # By length: the sets whose signature has at least this length, with these folded to it.
     folded = {}
@@ -93,8 +100,8 @@ def with_partner(signatures: list[bytes], sizes: np.ndarray, percent: int) -> np
         rows = [np.bitwise_xor.reduce(np.frombuffer(signatures[i], np.uint64).reshape(-1, length // 8)) for i in at]
         folded[length] = (at, np.stack(rows), np.searchsorted(at, np.arange(len(own) + 1)))
     out = np.zeros(len(sizes), bool)
-    for i in range(len(sizes)):
-        if out[i]:
+    for i in range(len(sizes)) if asking is None else np.flatnonzero(asking):
+        if out[i] and asking is None:
             continue
         for length, (at, rows, place) in folded.items():
             if length > own[i]:
@@ -105,6 +112,8 @@ def with_partner(signatures: list[bytes], sizes: np.ndarray, percent: int) -> np
             # At similarity p / 100 two sets differ in at most (100 - p) / (100 + p) of both sizes' sum.
             ok = np.bitwise_count(rows[k] ^ rows[place[i]]).sum(1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (size + sizes[i])
             ok &= (100 * np.minimum(size, sizes[i]) >= percent * np.maximum(size, sizes[i])) & (other != i)
+            if digests is not None:
+                ok &= digests[other] != digests[i]
             if ok.any():
                 out[i] = True
                 out[other[ok]] = True
@@ -132,7 +141,7 @@ def _frequent(n: int):
     return run
 
 
-def _prefixes(n: int, percent: int, frequent):
+def _prefixes(n: int, percent: int, frequent, more: tuple[str, ...]):
     def run(batches):
         tokens, places = frequent.value
         for batch in batches:
@@ -154,8 +163,8 @@ def _prefixes(n: int, percent: int, frequent):
                     rows.append((len(s), digest(s), least, signature(s), s[order[rare]].view(np.int64), s[order[~rare]].view(np.int64)))
                 n_, digest_, least_, signature_, rare_, often_ = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n_, pa.int64()), pa.array(digest_, pa.int64()), pa.array(least_, pa.int64()), pa.array(signature_, pa.binary()), pa.array(rare_, pa.list_(pa.int64())), pa.array(often_, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "digest", "least", "signature", "rare", "often"],
+                    [part.column("doc_id"), pa.array(n_, pa.int64()), pa.array(digest_, pa.int64()), pa.array(least_, pa.int64()), pa.array(signature_, pa.binary()), pa.array(rare_, pa.list_(pa.int64())), pa.array(often_, pa.list_(pa.int64())), *(part.column(c) for c in more)],
+                    ["doc_id", "n", "digest", "least", "signature", "rare", "often", *more],
                 )
 
     return run
@@ -316,13 +325,14 @@ def _groups(batches, *keys: str):
 
 
 def _near(percent: int):
-    """Members of groups, sorted by pivot, that may have a link in their group."""
+    """Members, sorted by (pivot, block), that may have a link in their block; where some are guests, a link with a guest."""
 
     def run(batches):
-        for group in _groups(batches, "pivot"):
+        for group in _groups(batches, "pivot", "block"):
             t = pa.Table.from_batches(group).combine_chunks()
-            kept = t.filter(pa.array(with_partner(t.column("signature").to_pylist(), t.column("n").to_numpy(), percent)))
-            yield from kept.select(["pivot", "digest", "key", "n"]).to_batches()
+            guest = t.column("guest").to_numpy(zero_copy_only=False)
+            kept = t.filter(pa.array(with_partner(t.column("signature").to_pylist(), t.column("n").to_numpy(), percent, guest if guest.any() else None, t.column("digest").to_numpy())))
+            yield from kept.select(["pivot", "block", "key"]).to_batches()
 
     return run
 
@@ -342,65 +352,79 @@ def _link(n: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_sets: int = BLOCK_SETS) -> DataFrame:
-    """doc_id, n_shingles, component_id: the least doc_id that links of Jaccard similarity percent / 100 or more reach."""
+def _groups_of(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(pivot, digest, key, n, signature): the groups of each set, without those it leaves."""
+    # Rare shingles: all holders of one meet, and are few. Frequent ones: a row for each comes back.
+    of = W.partitionBy("token")
+    rare = sets.select(F.explode("rare").alias("token"), "digest").select("digest", F.min("digest").over(of).alias("pivot"), F.max("digest").over(of).alias("most"))
+    often = sets.select(F.explode("often").alias("token"), "digest")
+    heads = often.groupBy("token").agg(F.min("digest").alias("pivot"), F.max("digest").alias("most"))
+    both = rare.unionByName(often.join(F.broadcast(heads), "token").select("digest", "pivot", "most")).where("pivot <> most")
+    # All copies of a set have the same shingles.
+    met = both.groupBy("digest", "pivot").agg(F.count("*").alias("rows")).join(classes, "digest").withColumn("shared", F.col("rows") / F.col("copies"))
+    own = W.partitionBy("digest")
+    met = met.withColumn("all", F.sum("shared").over(own)).withColumn("left", F.sum("shared").over(own.orderBy("shared", F.col("pivot").desc()).rowsBetween(W.unboundedPreceding, 0)))
+    return met.where((F.col("all") >= F.col("least")) & (F.col("left") * 2 > F.col("least") - 1)).select("pivot", "digest", "key", "n", "signature")
+
+
+def near_duplicates(
+    docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", block_sets: int = BLOCK_SETS, broadcast_rows: int = BROADCAST_ROWS, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, n_shingles, component_id: the least doc_id that links of Jaccard similarity percent / 100 or more reach; then docs' columns named in carry."""
     spark = docs.sparkSession
-    own = texts(docs, id_col, text_col).withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    low = F.lit(-(1 << 63))
+    more = tuple(f"c{i}" for i in range(len(carry)))
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *(F.col(f"`{c}`").alias(m) for c, m in zip(carry, more, strict=True)))
     counted = own.select("text").mapInArrow(_frequent(n), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     # At most FREQUENT rows come to the driver.
     top = counted.orderBy(F.col("n").desc(), "token").limit(FREQUENT).toPandas()
     tokens = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     frequent = spark.sparkContext.broadcast((tokens[order], (len(tokens) - np.arange(len(tokens)))[order].astype(np.int64)))
-    sets = save(own.select("doc_id", "text").mapInArrow(_prefixes(n, percent, frequent), "doc_id long, n long, digest long, least long, signature binary, rare array<long>, often array<long>"), "shingle-prefixes")
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    classes = save(sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min(key).alias("key"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("signature").alias("signature")), "shingle-classes")
-
-    # Rare shingles: all holders of one meet, and are few. Frequent ones: a row for each comes back.
-    of = W.partitionBy("token")
-    rare = sets.select(F.explode("rare").alias("token"), "digest").select("token", "digest", F.min("digest").over(of).alias("pivot"), F.max("digest").over(of).alias("most"))
-    often = sets.select(F.explode("often").alias("token"), "digest")
-    heads = often.groupBy("token").agg(F.min("digest").alias("pivot"), F.max("digest").alias("most"))
-    both = rare.unionByName(often.join(F.broadcast(heads), "token").select("token", "digest", "pivot", "most")).where("pivot <> most")
-    met = both.groupBy("token", "digest").agg(F.min("pivot").alias("pivot")).groupBy("digest", "pivot").agg(F.count("*").alias("shared"))
-    enough = met.withColumn("all", F.sum("shared").over(W.partitionBy("digest"))).join(classes, "digest").where(F.col("all") >= F.col("least"))
-    members = save(enough.select("pivot", "digest", "key", "n", "signature"), "shingle-groups")
+    schema = "doc_id long, n long, digest long, least long, signature binary, rare array<long>, often array<long>" + "".join(f", {m} {own.schema[m].dataType.simpleString()}" for m in more)
+    sets = save(own.mapInArrow(_prefixes(n, percent, frequent, more), schema), "shingle-prefixes")
+    key = F.coalesce("doc_id", low)
+    classes = save(sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min(key).alias("key"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("signature").alias("signature"), F.count("*").alias("copies")), "shingle-classes")
+    members = save(_groups_of(sets, classes), "shingle-groups")
     blocks = members.groupBy("pivot").agg(F.count("*").alias("m"), F.sum("n").alias("total"), F.min("digest").alias("hub")).where("m > 1")
     blocks = save(blocks.select("pivot", "hub", F.ceil(F.greatest(F.col("m") / block_sets, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "shingle-blocks")
-    # Groups of one block lose the sets that have no partner there; what is left of them needs no hub.
     placed = members.join(blocks, "pivot")
-    small = placed.where("blocks = 1").select("pivot", "digest", "key", "n", "signature").repartition("pivot").sortWithinPartitions("pivot")
-    near = small.mapInArrow(_near(percent), "pivot long, digest long, key long, n long").withColumn("hub", F.lit(None).cast("long")).withColumn("blocks", F.lit(1))
-    rows = save(near.unionByName(placed.where("blocks > 1").select("pivot", "digest", "key", "n", "hub", "blocks")), "shingle-members")
     block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    # The hub stands in each block of its group.
-    dealt = rows.withColumn("block", F.explode(F.when(F.col("digest").eqNullSafe(F.col("hub")), every).otherwise(F.array(block))))
 
-    def linked(placed: DataFrame) -> DataFrame:
-        wanted = placed.select("pivot", "block", "key")
+    def linked(dealt: DataFrame) -> DataFrame:
+        """Links of what is dealt to (pivot, block), by signatures first."""
+        sorted_ = dealt.select("pivot", "block", "digest", "key", "n", "signature", "guest").repartition("pivot", "block").sortWithinPartitions("pivot", "block")
+        wanted = save(sorted_.mapInArrow(_near(percent), "pivot long, block int, key long"), "shingle-members")
         # Few members are sent to the texts, which then stay where they are; many are joined by a shuffle of both.
-        few = wanted.count() <= BROADCAST_ROWS
-        with_text = own.select("key", "text").join(F.broadcast(wanted) if few else wanted, "key")
-        sorted_ = with_text.select("pivot", "block", "text").repartition("pivot", "block").sortWithinPartitions("pivot", "block")
-        return save(sorted_.mapInArrow(_link(n, percent), "src long, dst long"), "shingle-links")
+        few = wanted.count() <= broadcast_rows
+        with_text = own.select(key.alias("key"), "text").join(F.broadcast(wanted) if few else wanted, "key")
+        texts_ = with_text.select("pivot", "block", "text").repartition("pivot", "block").sortWithinPartitions("pivot", "block")
+        out = save(texts_.mapInArrow(_link(n, percent), "src long, dst long"), "shingle-links")
+        discard(wanted)
+        return out
 
-    links = linked(dealt)
-    if blocks.where("blocks > 1").limit(1).count():
+    # The hub stands in each block of its group.
+    links = linked(placed.withColumn("block", F.explode(F.when(F.col("digest") == F.col("hub"), every).otherwise(F.array(block)))).withColumn("guest", F.lit(False)))
+    if not blocks.where("blocks > 1").isEmpty():
         # Sets of large groups that aren't connected to their hub meet every block.
         of = connected_components(links)
-        placed = rows.where("blocks > 1").withColumn("home", block)
-        placed = placed.join(of.select(F.col("node").alias("digest"), F.col("component").alias("c")), "digest", "left").join(of.select(F.col("node").alias("hub"), F.col("component").alias("p")), "hub", "left")
-        placed = save(placed.withColumn("outside", ~F.coalesce(F.col("c") == F.col("p"), F.lit(False)) & (F.col("digest") != F.col("hub"))), "shingle-outside")
-        parts_ = placed.where("outside").groupBy("pivot").agg(F.ceil(F.greatest(F.count("*") / block_sets, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("outer"))
-        again = placed.join(parts_, "pivot")
+        large = placed.where("blocks > 1").withColumn("home", block)
+        large = large.join(of.select(F.col("node").alias("digest"), F.col("component").alias("c")), "digest", "left").join(of.select(F.col("node").alias("hub"), F.col("component").alias("p")), "hub", "left")
+        large = save(large.withColumn("outside", ~F.coalesce(F.col("c") == F.col("p"), F.lit(False)) & (F.col("digest") != F.col("hub"))), "shingle-outside")
+        parts_ = large.where("outside").groupBy("pivot").agg(F.ceil(F.greatest(F.count("*") / block_sets, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("outer"))
+        again = large.join(parts_, "pivot")
         part = F.pmod(F.xxhash64("digest", F.lit(7)), F.col("outer")).cast("int")
         outer = F.sequence(F.lit(0), F.col("outer") - 1)
-        homes = again.withColumn("block", F.explode(F.transform(outer, lambda o: o * F.col("blocks") + F.col("home"))))
-        guests = again.where("outside").withColumn("part", part).withColumn("block", F.explode(F.transform(every, lambda b: F.col("part") * F.col("blocks") + b)))
-        links = links.union(linked(homes.select("pivot", "block", "key").union(guests.select("pivot", "block", "key"))))
+        homes = again.withColumn("block", F.explode(F.transform(outer, lambda o: o * F.col("blocks") + F.col("home")))).withColumn("guest", F.lit(False))
+        guests = again.where("outside").withColumn("part", part).withColumn("block", F.explode(F.transform(every, lambda b: F.col("part") * F.col("blocks") + b))).withColumn("guest", F.lit(True))
+        columns = ["pivot", "block", "digest", "key", "n", "signature", "guest"]
+        links = links.union(linked(homes.select(columns).union(guests.select(columns))))
+        discard(large)
     of = save(connected_components(links).join(classes.select(F.col("digest").alias("node"), "doc_id"), "node"), "shingle-components")
     least = of.groupBy("component").agg(F.min("doc_id").alias("first_id"))
     known = of.join(least, "component").select(F.col("node").alias("digest"), "first_id")
     names = classes.join(known, "digest", "left").select("digest", F.coalesce("first_id", "doc_id").alias("component_id"))
-    return sets.select("doc_id", "n", "digest").join(names, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = sets.select("doc_id", "n", "digest", *more).join(names, "digest", "left")
+    discard(members, blocks)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), *(F.col(m).alias(c) for m, c in zip(more, carry, strict=True)))

@@ -80,3 +80,35 @@ def test_signatures_lose_no_link(monkeypatch):
             for j in range(i):
                 o = len(np.intersect1d(a, sets[j]))
                 assert 100 * o < 85 * (len(a) + len(sets[j]) - o) or (kept[i] and kept[j])
+
+
+def shared_passages(seed):
+    """Texts made of passages that many share, near the threshold, with chance meetings."""
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(60)]
+    passages = [[rnd.choice(words) for _ in range(rnd.randint(4, 30))] for _ in range(12)]
+    rows = []
+    for i in range(160):
+        text = [w for p in rnd.sample(passages, rnd.randint(1, 4)) for w in p]
+        if rnd.random() < 0.5:
+            text = text[: rnd.randint(1, len(text))]
+        for _ in range(rnd.randint(0, 2)):
+            text.insert(rnd.randrange(len(text) + 1), rnd.choice(words))
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize(("seed", "block", "broadcast"), [(1, 2048, 10**6), (2, 3, 10**6), (3, 5, 0)])
+def test_shared_passages_by_broadcast_or_shuffle(spark, seed, block, broadcast):
+    rows = shared_passages(seed)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85, block_sets=block, broadcast_rows=broadcast)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows, 4, 85)
+
+
+def test_carried_columns_and_long_texts(spark):
+    rnd = random.Random(5)
+    long = [f"w{rnd.randrange(50_000)}" for _ in range(120_000)]
+    rows = [(1, "a b c d e", "x"), (5, "A B c d e", "y"), (5, "quite another text here", None), (7, " ".join(long), "l"), (8, " ".join(long[:-50]), "m"), (9, "x" * 500_000, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    got = near_duplicates(df, 4, 85, carry=("digest",)).collect()
+    assert sorted(((r.doc_id, r.component_id, r.digest) for r in got), key=str) == [(1, 1, "x"), (5, 1, "y"), (5, 5, None), (7, 7, "l"), (8, 7, "m"), (9, 9, "n")]
