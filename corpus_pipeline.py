@@ -35,10 +35,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the least id; of rows that share an id and a group, all stay."""
-    kept = near_duplicates(docs.select("doc_id", "text"), 4, 85)
-    gone = kept.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each group of near copies, that with the least id.
+
+    A row goes by its id and text: an unlike row that shares the id of one that goes stays, and so do all rows that
+    share both with the one that stays.
+    """
+    text_key = F.xxhash64(F.coalesce("text", F.lit("")))
+    kept = near_duplicates(docs.select("doc_id", "text", text_key.alias("text_key")), 4, 85, carry=("text_key",))
+    gone = kept.where("component_id <> doc_id").select("doc_id", "text_key").distinct()
+    return docs.withColumn("text_key", text_key).join(gone, ["doc_id", "text_key"], "left_anti").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
