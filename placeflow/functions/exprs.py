@@ -116,9 +116,20 @@ def qualify_subdivision(country: Column, state: Column) -> Column:
     return F.when(s.contains("-"), s).otherwise(F.concat_ws("-", c, s))
 
 
-def fingerprint(**fields: Column) -> Column:
-    """SHA-256 of the fields as JSON with sorted names; nulls stay out."""
-    return F.sha2(F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields)))), 256)
+def _sorted(fields: dict) -> Column:
+    return F.struct(*((_sorted(v) if isinstance(v, dict) else v).alias(k) for k, v in sorted(fields.items())))
+
+
+def fingerprint(**fields: Column | dict) -> Column:
+    """SHA-256 of the fields as JSON with sorted names, also within fields given as dicts; nulls stay out."""
+    return F.sha2(F.to_json(_sorted(fields)), 256)
+
+
+def sum_digest(row: Column) -> Column:
+    """An aggregate: a hash of all rows' texts whatever their order, combined in every task before any shuffle. Put a row's place in its text where order counts."""
+    one = F.sha2(row, 256)
+    part = lambda k: F.conv(F.substring(one, 1 + 12 * k, 12), 16, 10).cast("decimal(38,0)")
+    return F.sha2(F.concat_ws("|", *(F.coalesce(F.sum(part(k)), F.lit(0)).cast("decimal(38,0)").cast("string") for k in range(4))), 256)
 
 
 def content_fingerprint(identity: Column, schema: Column, enrichment: Column) -> Column:
@@ -129,12 +140,12 @@ def shard_fingerprint(content: Column, builder: Column) -> Column:
     return F.concat_ws(":", content, F.coalesce(builder, F.lit("?")))
 
 
-def road_source_fingerprint(schema: Column, fmt: Column, identity: Column, profile: Column, turn_costs: Column) -> Column:
-    return fingerprint(schema=schema, format=fmt, source=identity, profile=profile, turn_costs=turn_costs)
+def road_source_fingerprint(schema: Column, fmt: Column, identity: Column, profile: Column, turn_costs: Column, neighbors: Column, version: Column) -> Column:
+    return fingerprint(schema=schema, format=fmt, source=identity, profile=profile, turn_costs=turn_costs, neighbors=F.array_sort(neighbors), version=version)
 
 
-def road_index_fingerprint(source: Column, neighbors: Column, version: Column, options: Column) -> Column:
-    return fingerprint(source=source, neighbors=F.array_sort(neighbors), version=version, options=options)
+def road_index_fingerprint(schema: Column, fmt: Column, source: Column, version: Column, options: Column) -> Column:
+    return fingerprint(schema=schema, format=fmt, source=source, version=version, options=options)
 
 
 def road_partitions(size: Column, target: int = 512 << 20, most: int = 8) -> Column:
@@ -151,8 +162,8 @@ def dirname(path: Column) -> Column:
 
 
 def safe_path(path: Column) -> Column:
-    """The path without ./ parts; null for a blank, absolute or upward path."""
-    p = clean(path)
+    """The path without ./ parts; null for an empty, absolute or upward path."""
+    p = F.coalesce(path.cast("string"), F.lit(""))
     parts = F.filter(F.split(p, "/"), lambda x: (x != ".") & (x != ""))
     bad = (p == "") | p.startswith("/") | F.array_contains(parts, "..")
     joined = F.concat(F.array_join(parts, "/"), F.when(p.endswith("/"), "/").otherwise(""))
@@ -165,10 +176,18 @@ def path_join(base: Column, path: Column) -> Column:
     return F.when(p.isNotNull(), F.when(F.coalesce(base, F.lit("")) == "", p).otherwise(F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/"), p)))
 
 
-def generation_manifest_path(base: Column, declared: Column) -> Column:
-    """A generation's manifest, declared from the root or from the shard's folder; null if unsafe."""
-    p = safe_path(declared)
-    return F.when(p.startswith(F.concat(base, F.lit("/"))), p).otherwise(path_join(base, declared))
+def generation_manifest_path(base: Column, path: Column, manifest: Column) -> Column:
+    """A generation's manifest (manifest.min.json if none is named), declared from the shard's folder or from the generation's own path; null if either is unsafe."""
+    own, declared = F.coalesce(path, F.lit("")), F.coalesce(F.nullif(manifest, F.lit("")), F.lit("manifest.min.json"))
+    from_shard = (own != "") & declared.startswith(own)
+    below = F.when(own == "", base).otherwise(path_join(base, own))
+    return F.when(from_shard & safe_path(own).isNotNull(), path_join(base, declared)).when(~from_shard & below.isNotNull(), path_join(below, declared))
+
+
+def join_path(folder: Column, path: Column) -> Column:
+    """A path below a folder of one's own, with single slashes and no leading ./."""
+    whole = F.concat_ws("/", F.nullif(folder, F.lit("")), path)
+    return F.regexp_replace(F.regexp_replace(whole, "/(?:\\./|/)+", "/"), r"^(?:\./)+", "")
 
 
 def pct(n: Column, d: Column) -> Column:
@@ -187,8 +206,9 @@ def source_metadata(**fields: Column) -> Column:
 
 
 def publish_rank(path: Column) -> Column:
-    """0: build scratch, not published; 1: content; 2: manifests that others depend on; 3: the root manifest."""
-    return F.when(path.rlike(r"(?:^|/)(?:\.build|tmp|scratch)/"), 0).when(path == "manifest.json", 3).when(path.rlike(r"(?:^|/)manifest[^/]*\.json$"), 2).otherwise(1)
+    """Of paths below a shard's folder. 0: build scratch, not published; 1: content; 2: manifests that others depend on; 3: the root manifests."""
+    root = path.isin("manifest.json", "manifest.min.json", "manifest.full.json")
+    return F.when(path.startswith("_build/"), 0).when(root, 3).when(basename(path).rlike(r"^manifest.*\.json$"), 2).otherwise(1)
 
 
 def is_immutable(path: Column) -> Column:
@@ -210,4 +230,5 @@ def tile(lat: Column, lon: Column, zoom: int) -> tuple[Column, Column]:
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
+    """Runs of letters and digits of all scripts, in lower case."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))

@@ -16,15 +16,18 @@ def corpus_diff(snapshot: DataFrame, fresh: DataFrame) -> DataFrame:
     """(seq, doc_id, raw, change) of (seq, raw) lines: added, changed, unchanged, and deleted with the snapshot's line.
 
     Blank lines don't count. Of a repeated id the snapshot's last line holds; the first fresh line is compared
-    with it, later ones are added.
+    with it, later ones are added. First and last lines are aggregates, so neither the lines of one id nor those
+    without any meet in one task.
     """
     lines = lambda df: df.where(F.trim("raw") != "").withColumn("doc_id", line_id(F.col("raw")))
-    of = W.partitionBy("doc_id")
-    old = lines(snapshot).withColumn("r", F.row_number().over(of.orderBy(F.col("seq").desc()))).where("r = 1").select("doc_id", F.col("raw").alias("old_raw"), F.col("seq").alias("old_seq"))
-    new = lines(fresh).withColumn("r", F.row_number().over(of.orderBy("seq")))
-    both = new.join(old, "doc_id", "full_outer")
-    change = F.when(F.col("raw").isNull(), "deleted").when(F.col("old_raw").isNull() | (F.col("r") > 1), "added").when(F.sha1(F.col("raw")) == F.sha1(F.col("old_raw")), "unchanged").otherwise("changed")
-    return both.select(F.coalesce("seq", "old_seq").alias("seq"), "doc_id", F.coalesce("raw", "old_raw").alias("raw"), change.alias("change"))
+    old = lines(snapshot).groupBy("doc_id").agg(F.max_by("raw", "seq").alias("old_raw"), F.max("seq").alias("old_seq"))
+    new = lines(fresh)
+    first = new.groupBy("doc_id").agg(F.min("seq").alias("seq"), F.min_by("raw", "seq").alias("raw"))
+    both = first.join(old, "doc_id", "full_outer")
+    change = F.when(F.col("raw").isNull(), "deleted").when(F.col("old_raw").isNull(), "added").when(F.sha1(F.col("raw")) == F.sha1(F.col("old_raw")), "unchanged").otherwise("changed")
+    compared = both.select(F.coalesce("seq", "old_seq").alias("seq"), "doc_id", F.coalesce("raw", "old_raw").alias("raw"), change.alias("change"))
+    later = new.join(first.select("doc_id", "seq"), ["doc_id", "seq"], "left_anti")
+    return compared.unionByName(later.select("seq", "doc_id", "raw", F.lit("added").alias("change")))
 
 
 def diff_summary(diff: DataFrame, *keys: str) -> DataFrame:
@@ -61,16 +64,30 @@ def refresh_decision(state: DataFrame, generations: int = 6, delta_ratio: float
     return state.select("*", decision.otherwise("delta").alias("decision"), reason.otherwise("small delta").alias("reason"))
 
 
+def stats_reasons(regions: DataFrame, stats: DataFrame, totals: DataFrame, drift: float = 0.1) -> DataFrame:
+    """One row, reason: why the frozen statistics must be made anew (forced, missing, regions, drift), or null.
+
+    regions, stats: region_id, stats without rows if there are none yet; totals: one row of forced, total, old_total.
+    """
+    there = stats.select("region_id", F.lit(True).alias("old")).distinct()
+    own = regions.select("region_id", F.lit(True).alias("new")).distinct()
+    sets = own.join(there, "region_id", "full_outer").agg(F.count_if(F.col("old").isNull() | F.col("new").isNull()).alias("unlike"), F.count("old").alias("known"))
+    moved = F.abs(F.col("total") - F.col("old_total")) / F.greatest(F.lit(1), F.col("old_total")) > drift
+    return sets.join(totals).select(F.when(F.col("forced"), "forced").when(F.col("known") == 0, "missing").when(F.col("unlike") > 0, "regions").when(moved, "drift").alias("reason"))
+
+
 def stats_reason(regions: DataFrame, stats: DataFrame | None, total: int, old_total: int, forced: bool = False, drift: float = 0.1) -> str | None:
-    """Why the frozen statistics must be made anew, or None. regions, stats: region_id."""
-    if forced:
-        return "forced"
-    if stats is None:
-        return "missing"
-    a, b = regions.select("region_id"), stats.select("region_id")
-    if not (a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()):
-        return "regions"
-    return "drift" if abs(total - old_total) / max(1, old_total) > drift else None
+    """The reason of stats_reasons() for figures at hand."""
+    spark = regions.sparkSession
+    known = regions.select("region_id").limit(0) if stats is None else stats
+    return stats_reasons(regions, known, spark.createDataFrame([(forced, total, old_total)], "forced boolean, total long, old_total long"), drift).first().reason
+
+
+def deleted_pending(generations: DataFrame) -> DataFrame:
+    """(region_id, deleted_pending): deletions of a region's deltas (region_id, generation, full, deleted) since its last full build."""
+    last = generations.groupBy("region_id").agg(F.max(F.when(F.col("full"), F.col("generation"))).alias("base"))
+    since = generations.join(last, "region_id").where(F.col("base").isNull() | (F.col("generation") > F.col("base"))).groupBy("region_id").agg(F.sum("deleted").alias("d"))
+    return last.join(since, "region_id", "left").select("region_id", F.coalesce("d", F.lit(0)).alias("deleted_pending"))
 
 
 def current_corpus(generations: DataFrame) -> DataFrame:

@@ -81,16 +81,18 @@ def lane_filter(enriched: DataFrame, lane: str) -> DataFrame:
 
 
 def read_job_catalog(jobs: DataFrame) -> DataFrame:
-    """Usable jobs with their key: output, job id and source known, layer addresses. Readers order by source, name, job."""
-    return jobs.where(F.coalesce("output", F.lit(False)) & F.col("job").isNotNull() & F.col("source").isNotNull() & (F.col("layer") == "addresses")).withColumn("job_key", X.job_key(F.col("job"), F.col("updated")))
+    """Usable jobs with their key, in order of source, name and job: output, job id and source known, layer addresses. A catalog without any fails the job."""
+    usable = jobs.where(F.coalesce("output", F.lit(False)) & F.col("job").isNotNull() & F.col("source").isNotNull() & (F.col("layer") == "addresses")).withColumn("job_key", X.job_key(F.col("job"), F.col("updated")))
+    if usable.isEmpty():
+        raise ValueError("the job catalog has no usable job")
+    return usable.orderBy("source", "name", "job")
 
 
 def catalog_identity(catalog: DataFrame) -> DataFrame:
-    """jobs, bytes, snapshot: a hash of the jobs' keys and sizes, each hashed first, so that only digests meet, summed by hash prefix."""
-    row = F.sha2(F.concat_ws("|", "source", "name", "job_key", F.greatest("size", F.lit(0)).cast("string")), 256)
-    part = lambda k: F.conv(F.substring(row, 1 + 12 * k, 12), 16, 10).cast("decimal(38,0)")
-    # The sum of digests doesn't depend on the order in which rows come.
-    return catalog.agg(F.count("*").alias("jobs"), F.sum(F.greatest("size", F.lit(0))).cast("long").alias("bytes"), F.sha2(F.concat_ws("|", *(F.sum(part(k)).cast("string") for k in range(4))), 256).alias("snapshot"))
+    """jobs, bytes, snapshot: a hash of the jobs' sources, names, keys and sizes."""
+    size = F.greatest("size", F.lit(0))
+    row = F.concat_ws("|", "source", "name", "job_key", size.cast("string"))
+    return catalog.agg(F.count("*").alias("jobs"), F.sum(size).cast("long").alias("bytes"), X.sum_digest(row).alias("snapshot"))
 
 
 def pending_jobs(catalog: DataFrame, completed: DataFrame) -> DataFrame:

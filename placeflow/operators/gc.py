@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
-from placeflow.scratch import save
 
 
 def stale_objects(listing: DataFrame, keep: DataFrame) -> DataFrame:
@@ -53,53 +55,91 @@ def gc_summary(objects: DataFrame, protections: DataFrame, candidates: DataFrame
     return all_.agg(*(c for k, t in kinds.items() for c in (F.count_if(t).alias(f"{k}_objects"), F.coalesce(F.sum(F.when(t, F.col("size"))), F.lit(0)).alias(f"{k}_bytes"))))
 
 
-def json_leaves(manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of JSON documents (doc, base, body VARIANT), at any depth: (doc, base, key, value), the strings, where what stands in an array has the array's key; (base, file), the directory and root files of objects with hot prefixes."""
-    spark = manifests.sparkSession
-    now = manifests.select("doc", "base", F.lit(None).cast("string").alias("key"), F.col("body").alias("v"))
-    out = hot = None
-    while True:
-        files = F.array(*(F.try_variant_get("v", f"$.{k}.file", "string") for k in ("directory", "root")))
-        found = now.where(F.try_variant_get("v", "$.hot_prefixes", "double") > 0).select("base", F.explode(files).alias("file")).where("file is not null")
-        hot = found if hot is None else hot.union(found)
-        now.createOrReplaceTempView("placeflow_json")
-        opened = spark.sql("select w.doc, w.base, coalesce(e.key, w.key) as key, e.value as v, schema_of_variant(e.value) as t from placeflow_json w, lateral variant_explode(w.v) e")
-        opened = save(opened.select("doc", "base", "key", F.to_json("v").alias("j"), "t"), "json")
-        text = opened.where("t = 'STRING'").select("doc", "base", "key", F.from_json(F.concat(F.lit('{"s":'), "j", F.lit("}")), "s string")["s"].alias("value"))
-        out = text if out is None else out.union(text)
-        deeper = opened.where("t like 'OBJECT%' or t like 'ARRAY%'")
-        if deeper.isEmpty():
-            return out, hot
-        now = deeper.select("doc", "base", "key", F.parse_json("j").alias("v"))
+def _references(batches):
+    """What the JSON documents of a batch refer to: (doc, base, kind, value) of binary files, folders and files beside hot prefixes, at any depth."""
+    for batch in batches:
+        rows: list[tuple] = []
+        for doc, base, body in zip(*(batch.column(c).to_pylist() for c in ("doc", "base", "body")), strict=True):
+            left = [("", json.loads(body))] if body is not None else []
+            while left:
+                key, value = left.pop()
+                if isinstance(value, list):
+                    left += [(key, v) for v in value]
+                elif isinstance(value, dict):
+                    left += value.items()
+                    file = next((f for k in ("directory", "root") if isinstance(d := value.get(k), dict) and (f := d.get("file"))), None)
+                    if isinstance(file, str) and _positive(value.get("hot_prefixes")):
+                        rows.append((doc, base, "hot", file))
+                elif isinstance(value, str):
+                    if value.endswith((".bin", ".bin.gz")):
+                        rows.append((doc, base, "binary", value))
+                    if (key == "pages" or key.endswith("_path")) and value.endswith("/"):
+                        rows.append((doc, base, "folder", value))
+        columns = list(zip(*rows, strict=True)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["doc", "base", "kind", "value"])
+
+
+def _positive(n) -> bool:
+    try:
+        return float(n) > 0
+    except (TypeError, ValueError):
+        return False
 
 
 def manifest_protections(manifests: DataFrame) -> DataFrame:
-    """(kind, value) that manifests (doc, base, body VARIANT) refer to: binary files by name and, with a folder, by path; folders of pages and of keys ending in _path; hot prefixes beside directory and root files."""
-    leaves, hot = json_leaves(manifests)
-    binary = leaves.where(F.col("value").rlike(r"\.bin(\.gz)?$") & X.safe_path(F.col("value")).isNotNull())
-    names = binary.select(F.lit("basename").alias("kind"), X.basename(F.col("value")).alias("value"))
-    paths = binary.where(F.col("value").contains("/")).select(F.lit("path").alias("kind"), X.path_join(F.col("base"), F.col("value")).alias("value"))
-    folders = leaves.where(((F.col("key") == "pages") | F.col("key").endswith("_path")) & F.col("value").endswith("/"))
-    prefixes = folders.select(F.lit("prefix").alias("kind"), X.path_join(F.col("base"), F.col("value")).alias("value"))
-    beside = hot.select(F.lit("prefix").alias("kind"), X.path_join(F.col("base"), F.concat(F.when(X.dirname(F.col("file")) == "", "").otherwise(F.concat(X.dirname(F.col("file")), F.lit("/"))), F.lit("hot/"))).alias("value"))
-    return names.union(paths).union(prefixes).union(beside).where("value is not null").distinct()
+    """(kind, value) that manifests (doc: their path, base: its folder, body VARIANT) refer to, themselves included: binary files by name and, with a folder, by path; folders of pages and of keys ending in _path; hot prefixes beside the directory file, else the root file, of an object.
+
+    JSON nests without a bound, so documents are walked in the tasks that read them; rules on paths are column expressions.
+    """
+    read = manifests.select(F.col("doc").cast("string"), F.col("base").cast("string"), F.to_json("body").alias("body"))
+    refs = read.mapInArrow(_references, "doc string, base string, kind string, value string")
+    inside = X.path_join(F.col("base"), F.col("value"))
+    folder = F.concat(F.regexp_replace(inside, "/$", ""), F.lit("/"))
+    above = X.dirname(inside)
+    hot = F.concat(F.when(above == "", "").otherwise(F.concat(above, F.lit("/"))), F.lit("hot/"))
+    kind = F.col("kind")
+    found = F.array(
+        F.when(kind == "binary", F.struct(F.lit("basename").alias("kind"), X.basename(F.col("value")).alias("value"))),
+        F.when((kind == "binary") & F.col("value").contains("/"), F.struct(F.lit("path").alias("kind"), inside.alias("value"))),
+        F.when(kind == "folder", F.struct(F.lit("prefix").alias("kind"), folder.alias("value"))),
+        F.when(kind == "hot", F.struct(F.lit("prefix").alias("kind"), hot.alias("value"))),
+    )
+    own = manifests.select(F.lit("path").alias("kind"), F.col("doc").cast("string").alias("value"))
+    return refs.select(F.inline(F.array_compact(found))).unionByName(own).where("value is not null").distinct()
+
+
+def catalog_protections(catalog: DataFrame, path: str = "routes/catalog.json") -> DataFrame:
+    """The road catalog's own path, and prefixes of its bases (base), those below routes/ that are safe."""
+    base = X.safe_path(F.col("base"))
+    live = catalog.where(base.startswith("routes/") & (base != "routes/catalog.json")).select(F.lit("prefix").alias("kind"), F.concat(F.regexp_replace(base, "/$", ""), F.lit("/")).alias("value"))
+    own = catalog.sparkSession.createDataFrame([("path", path)], "kind string, value string")
+    return live.distinct().union(own)
+
+
+#: Names of a shard's root manifests.
+ROOT_MANIFESTS = ("manifest.json", "manifest.min.json", "manifest.full.json")
 
 
-def catalog_protections(catalog: DataFrame) -> DataFrame:
-    """Prefixes of the bases (base) of a road catalog, those below routes/ that are safe."""
-    return catalog.select(F.lit("prefix").alias("kind"), X.safe_path(F.col("base")).alias("value")).where(F.col("value").startswith("routes/")).distinct()
+def shard_keep_paths(shards: DataFrame) -> DataFrame:
+    """Paths that a later delta needs of shards (base, id_map, generations array of (path, manifest, id_map)): root manifests, each generation's manifest under both names, id maps."""
+    file = lambda folder, name: F.when(F.coalesce(name, F.lit("")) != "", X.join_path(folder, name))
+    none = F.lit(None).cast("string")
 
+    def of(g):
+        full = F.when(g["manifest"].endswith(".min.json"), F.regexp_replace(g["manifest"], r"\.min\.json$", ".json")).otherwise(g["manifest"])
+        return F.array(file(none, g["manifest"]), file(none, full), X.join_path(g["path"], F.lit("manifest.json")), X.join_path(g["path"], F.lit("manifest.min.json")), file(g["path"], g["id_map"]))
 
-def shard_keep_paths(shards: DataFrame) -> DataFrame:
-    """Paths to keep of shards (base, root_files array, id_map, generations array of (manifest, id_map))."""
-    root = shards.select("base", F.explode(F.concat("root_files", F.array("id_map"))).alias("file")).select(X.path_join(F.col("base"), F.col("file")).alias("path"))
-    each = shards.select("base", F.explode("generations").alias("g"))
-    named = each.select(F.explode(F.array(X.generation_manifest_path(F.col("base"), F.col("g.manifest")), X.path_join(F.col("base"), F.col("g.manifest")), X.generation_manifest_path(F.col("base"), F.col("g.id_map")))).alias("path"))
-    return root.union(named).where("path is not null").distinct()
+    root = F.array(*map(F.lit, ROOT_MANIFESTS), file(none, F.col("id_map")))
+    generations = F.coalesce("generations", F.expr("array()").cast(shards.schema["generations"].dataType))
+    kept = F.concat(root, F.flatten(F.transform(generations, of)))
+    return shards.select("base", F.explode(F.array_distinct(F.array_compact(kept))).alias("file")).select(X.join_path(F.col("base"), F.col("file")).alias("path")).distinct()
 
 
 def reconcile_remote(state: DataFrame, listing: DataFrame) -> DataFrame:
-    """(region_id, action): keep, upload again (local copy whole) or rebuild, for regions whose manifest should be stored."""
+    """(region_id, action): keep, upload again (local copy whole) or rebuild, for regions whose manifest should be stored. With a column built, only uploads of what is built count."""
     stored = listing.select("path", F.lit(True).alias("there")).distinct()
     own = state.join(stored, F.col("manifest") == F.col("path"), "left")
-    return own.select("region_id", F.when(F.col("uploaded").isNull(), "keep").when(F.col("there"), "keep").when(F.col("local_complete"), "upload").otherwise("rebuild").alias("action"))
+    due = F.col("uploaded").isNotNull()
+    if "built" in state.columns:
+        due = due & F.col("uploaded").eqNullSafe(F.col("built"))
+    return own.select("region_id", F.when(~due, "keep").when(F.col("there"), "keep").when(F.col("local_complete"), "upload").otherwise("rebuild").alias("action"))

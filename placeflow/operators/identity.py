@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placeflow.functions import exprs as X
+
 
 def list_identity(rows: DataFrame, group: list[str], order: list[str], value: Column, name: str = "identity") -> DataFrame:
-    """A hash of the values in order. Lists are configuration: regions of a run or sources of a region."""
-    items = F.array_sort(F.collect_list(F.struct(*order, value.alias("_v"))))
-    return rows.groupBy(*group).agg(F.sha2(F.array_join(F.transform(items, lambda i: i["_v"]), ";"), 256).alias(name))
+    """A hash of each group's values and their places (order), combined in every task, so that no list is gathered."""
+    return rows.groupBy(*group).agg(X.sum_digest(F.concat_ws(";", *order, value)).alias(name))
 
 
 def routing_fingerprint(regions: DataFrame, schema: int) -> DataFrame:

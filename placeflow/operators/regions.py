@@ -64,9 +64,9 @@ def region_groups(features: DataFrame, ancestors: DataFrame) -> DataFrame:
 
 
 def region_children(features: DataFrame, exclude: DataFrame | None = None) -> DataFrame:
-    """(parent, id): by pointer, or by an id below the parent's; each pair once, without excluded ids."""
+    """(parent, id): by pointer, or by an id anywhere below the parent's path; each pair once, without excluded ids."""
     pointed = features.where("parent is not null").select("parent", "id")
-    below = features.select(X.dirname(F.col("id")).alias("parent"), "id").where("parent <> ''").join(features.select(F.col("id").alias("parent")), "parent", "left_semi")
+    below = prefix_ancestors(features).select(F.col("ancestor").alias("parent"), "id").join(features.select(F.col("id").alias("parent")), "parent", "left_semi")
     out = pointed.union(below).distinct()
     return out if exclude is None else out.join(exclude.select("id"), "id", "left_anti").select("parent", "id")
 

@@ -7,38 +7,65 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
+from placeflow.scratch import save
 
 K1, B = 1.2, 0.75
 
 
-def postings(corpus: DataFrame) -> DataFrame:
-    """(term, doc_id, region_id, tf, length) of (doc_id, region_id, text); tokens are counted in each text before any shuffle."""
-    words = corpus.select("doc_id", "region_id", X.tokens(F.col("text")).alias("t"))
-    return words.select("doc_id", "region_id", F.size("t").alias("length"), F.explode("t").alias("term")).groupBy("doc_id", "region_id", "length", "term").agg(F.count("*").alias("tf"))
+#: Rows of a query set's terms that may be sent to all tasks (some 20 MB); more are joined by a shuffle.
+BROADCAST_TERMS = 200_000
 
 
-def term_df(corpus: DataFrame) -> DataFrame:
-    """(term, df): documents that hold each term."""
-    return corpus.select(F.explode(F.array_distinct(X.tokens(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+def query_terms(queries: DataFrame) -> DataFrame:
+    return queries.select("query_id", F.explode(F.array_distinct(X.tokens(F.col("query")))).alias("term"))
 
 
-def scoring_stats(corpus: DataFrame) -> DataFrame:
-    """(region_id, docs, tokens): sums give the corpus totals."""
-    return corpus.select("region_id", F.size(X.tokens(F.col("text"))).alias("n")).groupBy("region_id").agg(F.count("*").alias("docs"), F.sum("n").alias("tokens"))
+def few(rows: DataFrame, most: int = BROADCAST_TERMS) -> DataFrame:
+    """rows, to be sent to all tasks if there are at most `most`."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    return queries.select("query_id", F.explode(F.array_distinct(X.tokens(F.col("query")))).alias("term"))
+def _terms(corpus: DataFrame, words: Column, queries: DataFrame | None, *keep: str) -> DataFrame:
+    """A row for each word; only words of the queries, if these are given, so that no other word is shuffled."""
+    rows = corpus.select(*keep, F.explode(words).alias("term"))
+    return rows if queries is None else rows.join(few(query_terms(queries).select("term").distinct()), "term", "left_semi")
+
+
+def postings(corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    """(doc_id, region_id, length, term, tf) of (doc_id, region_id, text), of the queries' terms if these are given.
+
+    Dealt by doc_id, so that scores of a document need no further shuffle.
+    """
+    words = corpus.select("doc_id", "region_id", X.tokens(F.col("text")).alias("t")).withColumn("length", F.size("t"))
+    rows = _terms(words, F.col("t"), queries, "doc_id", "region_id", "length")
+    return rows.repartition("doc_id").groupBy("doc_id", "region_id", "length", "term").agg(F.count("*").alias("tf"))
+
+
+def term_df(corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    """(term, df): documents that hold each term, of the queries' terms if these are given."""
+    return _terms(corpus, F.array_distinct(X.tokens(F.col("text"))), queries).groupBy("term").agg(F.count("*").alias("df"))
+
+
+def scoring_stats(corpus: DataFrame) -> DataFrame:
+    """(region_id, docs, tokens), and with lat and lon the region's box of documents: sums give the corpus totals."""
+    box = [f(c).alias(f"{n}_{c}") for n, f in (("min", F.min), ("max", F.max)) for c in ("lat", "lon") if c in corpus.columns]
+    kept = [c for c in ("lat", "lon") if c in corpus.columns]
+    return corpus.select("region_id", F.size(X.tokens(F.col("text"))).alias("n"), *kept).groupBy("region_id").agg(F.count("*").alias("docs"), F.sum("n").alias("tokens"), *box)
 
 
 def bm25_scores(queries: DataFrame, posts: DataFrame, df: DataFrame, stats: DataFrame) -> DataFrame:
-    """(query_id, doc_id, region_id, score) by the frozen statistics, rounded to 6 places."""
+    """(query_id, doc_id, region_id, score) by the frozen statistics, rounded to 6 places.
+
+    The part of a term in a document's score doesn't depend on the query, so it is worked out once for each posting;
+    queries meet them by their terms, and sums stay where the document's postings are.
+    """
     total = stats.agg(F.sum("docs").alias("n_docs"), (F.sum("tokens") / F.sum("docs")).alias("avg_length"))
-    weights = query_terms(queries).join(df, "term")
-    hits = posts.join(weights, "term").join(total)
+    asked = query_terms(queries)
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("avg_length")))
-    return hits.groupBy("query_id", "doc_id", "region_id").agg(F.round(F.sum(part), 6).alias("score"))
+    weights = few(df.join(few(asked.select("term").distinct()), "term", "left_semi").join(total).select("term", "avg_length", idf.alias("idf")))
+    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("avg_length")))
+    hits = posts.join(weights, "term").select("doc_id", "region_id", "term", part.alias("part"))
+    return hits.join(few(asked), "term").groupBy("doc_id", "query_id", "region_id").agg(F.round(F.sum("part"), 6).alias("score"))
 
 
 def best(scores: DataFrame, k: int, *by: str) -> DataFrame:
@@ -57,9 +84,9 @@ def bm25_sharded_topk(queries, posts, df, stats, k: int = 5) -> DataFrame:
     return best(local, k, "query_id").select("query_id", "rank", "doc_id", "score")
 
 
-def text_routing(corpus: DataFrame) -> DataFrame:
-    """(term, regions): the regions that hold each term."""
-    pairs = corpus.select("region_id", F.explode(F.array_distinct(X.tokens(F.col("text")))).alias("term")).distinct()
+def text_routing(corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    """(term, regions): the regions that hold each term, of the queries' terms if these are given."""
+    pairs = _terms(corpus, F.array_distinct(X.tokens(F.col("text"))), queries, "region_id").distinct()
     return pairs.groupBy("term").agg(F.array_sort(F.collect_set("region_id")).alias("regions"))
 
 
@@ -71,11 +98,12 @@ def routed_regions(queries: DataFrame, routing: DataFrame, regions: DataFrame) -
     return found.union(lost.join(regions.select("region_id"))).distinct()
 
 
-def routed_search(queries, routing, posts, df, stats, k: int = 5) -> DataFrame:
-    """bm25_topk over the postings of routed regions only."""
+def routed_search(queries, routing, corpus, df, stats, k: int = 5) -> DataFrame:
+    """bm25_topk over the documents of routed regions only: other regions' documents are left out before their texts are split, or read, where the corpus is partitioned by region."""
     routed = routed_regions(queries, routing, stats)
-    scores = bm25_scores(queries, posts.join(routed.select("region_id").distinct(), "region_id", "left_semi"), df, stats)
-    return best(scores.join(routed, ["query_id", "region_id"], "left_semi"), k, "query_id").select("query_id", "rank", "doc_id", "score")
+    open_ = corpus.join(F.broadcast(routed.select("region_id").distinct()), "region_id", "left_semi")
+    scores = bm25_scores(queries, postings(open_, queries), df, stats)
+    return best(scores.join(few(routed), ["query_id", "region_id"], "left_semi"), k, "query_id").select("query_id", "rank", "doc_id", "score")
 
 
 def suggest_lexicon(df: DataFrame, least: int = 3, depth: int = 10) -> DataFrame:
@@ -134,27 +162,39 @@ def category_search(queries: DataFrame, lexicon: DataFrame, regions: DataFrame,
 def geo_near(queries: DataFrame, points: DataFrame, k: int = 5, degrees: int = 5) -> DataFrame:
     """(query_id, rank, point_id, metres): the nearest points of each query (query_id, q_lat, q_lon).
 
-    Points within one grid ring of a query are compared; a query whose k-th distance isn't below the ring's reach is
-    compared with all points, in blocks by Spark, as the queries are few.
+    Points in the cells within a ring of a query are compared by an equi-join on the cell. Queries whose k-th distance
+    isn't below the ring's reach go on with a ring three times as wide, which at last is the whole grid.
     """
-    ok = points.where(X.valid_coord(F.col("lat"), F.col("lon")))
-    across = 360 // degrees
-    row, column = X.grid_row(F.col("q_lat"), degrees), X.grid_column(F.col("q_lon"), degrees)
-    ring = F.flatten(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda i: F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda j: F.struct((row + i).alias("r"), F.pmod(column + j, F.lit(across)).alias("c")))))
-    near = queries.withColumn("x", F.explode(F.array_distinct(F.filter(ring, lambda x: x["r"].between(0, 180 // degrees - 1))))).withColumn("cell", (F.col("x.r") * across + F.col("x.c")).cast("int")).drop("x")
+    ok = points.where(X.valid_coord(F.col("lat"), F.col("lon"))).withColumn("cell", X.grid_cell(F.col("lat"), F.col("lon"), degrees))
+    down, across = 180 // degrees, 360 // degrees
     metres = F.round(X.haversine(F.col("q_lat"), F.col("q_lon"), F.col("lat"), F.col("lon")), 3)
-    hits = ok.withColumn("cell", X.grid_cell(F.col("lat"), F.col("lon"), degrees)).join(near, "cell").select("query_id", "q_lat", "point_id", metres.alias("metres"))
     order = W.partitionBy("query_id").orderBy("metres", "point_id")
-    top = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    # A point outside the ring is at least one cell away, by latitude or by longitude at the parallel nearest the pole.
-    pole = F.least(F.abs(F.col("q_lat")) + 2 * degrees, F.lit(90.0))
-    # The shortest way to a meridian d degrees off: asin(cos(lat) sin(d)).
-    reach = X.EARTH_METRES * F.asin(F.cos(F.radians(pole)) * F.sin(F.radians(F.lit(float(degrees)))))
-    sure = top.groupBy("query_id").agg(F.max("metres").alias("far"), F.count("*").alias("n"), F.max(reach).alias("reach")).where((F.col("n") == k) & (F.col("far") < F.col("reach"))).select("query_id")
-    rest = queries.join(sure, "query_id", "left_anti")
-    whole = ok.join(rest).select("query_id", "point_id", metres.alias("metres")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     cols = ["query_id", "rank", "point_id", "metres"]
-    return top.join(sure, "query_id", "left_semi").select(*cols).unionByName(whole.select(*cols))
+    left, out, width = queries, None, 1
+    while True:
+        whole = width >= down
+        row, column = X.grid_row(F.col("q_lat"), degrees), X.grid_column(F.col("q_lon"), degrees)
+        rows = F.sequence(F.greatest(row - width, F.lit(0)), F.least(row + width, F.lit(down - 1)))
+        # Columns once around at most.
+        columns = F.transform(F.sequence(column - min(width, across // 2), column + min(width, across // 2 - 1)), lambda c: F.pmod(c, F.lit(across)))
+        cells = F.flatten(F.transform(rows, lambda r: F.transform(columns, lambda c: (r * across + c).cast("int"))))
+        near = left.withColumn("cell", F.explode(cells))
+        hits = ok.join(near, "cell").select("query_id", "q_lat", "point_id", metres.alias("metres"))
+        top = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        if whole:
+            found = top.select(cols)
+            return found if out is None else out.unionByName(found)
+        # A point outside the ring is at least `width` cells away, by latitude or by longitude at the parallel nearest
+        # the pole; the shortest way to a meridian d degrees off is asin(cos(lat) sin(d)).
+        pole = F.least(F.abs(F.col("q_lat")) + (width + 1) * degrees, F.lit(90.0))
+        reach = X.EARTH_METRES * F.asin(F.cos(F.radians(pole)) * F.sin(F.radians(F.lit(float(min(width * degrees, 90))))))
+        sure = top.groupBy("query_id").agg(F.max("metres").alias("far"), F.count("*").alias("n"), F.max(reach).alias("reach")).where((F.col("n") == k) & (F.col("far") < F.col("reach"))).select("query_id")
+        found = save(top.join(sure, "query_id", "left_semi").select(cols), "near")
+        out = found if out is None else out.unionByName(found)
+        left = left.join(found.select("query_id").distinct(), "query_id", "left_anti")
+        if left.isEmpty():
+            return out
+        width *= 3
 
 
 def geo_cell_counts(points: DataFrame, field: str, levels: tuple[int, ...] = (9, 12, 15)) -> DataFrame:

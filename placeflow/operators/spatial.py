@@ -7,8 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
+from placeflow.scratch import save
 
 BOX = ("min_lat", "min_lon", "max_lat", "max_lon")
+#: Pairs of cell and region that may be sent to all tasks (about 10 MB).
+BROADCAST_CELLS = 100_000
 
 
 def box(prefix: str = "") -> tuple[Column, ...]:
@@ -20,30 +23,53 @@ def region_cells(regions: DataFrame) -> DataFrame:
     return regions.where(F.col("min_lat").isNotNull()).withColumn("cell", F.explode(X.bbox_cells(*box())))
 
 
-def spatial_candidates(points: DataFrame, regions: DataFrame) -> DataFrame:
-    """Each valid point (lat, lon) with each region whose box contains it: an equi-join on grid cells, then the exact test."""
+def _codes(regions: DataFrame, kind: str) -> Column:
+    """A region's codes: the array column <kind>_codes, or the one code of <kind>_code."""
+    return X.norm_codes(F.col(f"{kind}_codes") if f"{kind}_codes" in regions.columns else F.array(f"{kind}_code"))
+
+
+def _with_boxes(points: DataFrame, regions: DataFrame, *columns: Column) -> DataFrame:
+    """Valid points with `inside`: an array of the regions (region_id and columns) whose box contains them.
+
+    The regions of a cell are one row, so points meet them by an equi-join on the cell and stay one row each. The
+    table of cells is sent to the points if it is small; configurations are.
+    """
+    box_ = F.struct("region_id", *BOX, *columns)
+    cells = region_cells(regions).groupBy("cell").agg(F.array_sort(F.collect_list(box_)).alias("boxes"))
+    if region_cells(regions).limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS:
+        cells = F.broadcast(cells)
     valid = points.where(X.valid_coord(F.col("lat"), F.col("lon"))).withColumn("cell", X.grid_cell(F.col("lat"), F.col("lon")))
-    return valid.join(region_cells(regions), "cell").where(X.bbox_contains(F.col("lat"), F.col("lon"), *box())).drop("cell", *BOX)
+    inside = F.filter("boxes", lambda r: X.bbox_contains(F.col("lat"), F.col("lon"), *(r[c] for c in BOX)))
+    return valid.join(cells, "cell").withColumn("inside", inside).drop("cell", "boxes")
 
 
-def route_points(points: DataFrame, regions: DataFrame) -> DataFrame:
-    """(point_id, region_id). Among several boxes a country code decides, else regions without codes, else all; then the subdivision."""
-    found = spatial_candidates(points, regions)
-    country = F.upper(X.clean(F.col("country")))
-    sub = X.qualify_subdivision(F.col("country"), F.col("state"))
-    of = W.partitionBy("point_id")
+def spatial_candidates(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """Each valid point (lat, lon) with the region_id of each region whose box contains it."""
+    found = _with_boxes(points, regions)
+    return found.withColumn("region_id", F.explode("inside.region_id")).drop("inside")
+
+
+def routed(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """points (lat, lon, country, state and any others) with region_id, a row for each region they go to.
+
+    Among several boxes a two-letter country code decides, else regions without codes, else all; among what is left
+    the subdivision decides, again only after a two-letter country code. No shuffle: all of a point's boxes are in its row.
+    """
+    found = _with_boxes(points, regions, _codes(regions, "country").alias("countries"), _codes(regions, "subdivision").alias("subdivisions"))
+    country, sub = F.upper(X.clean(F.col("country"))), X.qualify_subdivision(F.col("country"), F.col("state"))
     iso = country.rlike("^[A-Z]{2}$")
-    flagged = found.select(
-        "point_id",
-        "region_id",
-        (iso & (F.col("country_code") == country)).alias("own_country"),
-        iso.alias("iso"),
-        (F.col("country_code") == "").alias("uncoded"),
-        ((X.clean(F.col("state")) != "") & (F.col("subdivision_code") != "") & (F.col("subdivision_code") == sub)).alias("own_sub"),
-    ).select("*", F.count("*").over(of).alias("n"), F.max("own_country").over(of).alias("any_country"), F.max("uncoded").over(of).alias("any_uncoded"))
-    keep = F.when((F.col("n") < 2) | ~F.col("iso"), True).when(F.col("any_country"), F.col("own_country")).when(F.col("any_uncoded"), F.col("uncoded")).otherwise(True)
-    left = flagged.where(keep).select("*", F.count("*").over(of).alias("m"), F.max("own_sub").over(of).alias("any_sub"))
-    return left.where((F.col("m") < 2) | ~F.col("any_sub") | F.col("own_sub")).select("point_id", "region_id")
+    some = lambda test, among, other: F.when(F.exists(among, test), F.filter(among, test)).otherwise(other)
+    all_ = F.col("inside")
+    first = some(lambda r: F.array_contains(r["countries"], country), all_, some(lambda r: F.size(r["countries"]) == 0, all_, all_))
+    left = found.withColumn("inside", F.when(iso & (F.size(all_) > 1), first).otherwise(all_))
+    second = some(lambda r: F.array_contains(r["subdivisions"], sub), all_, all_)
+    left = left.withColumn("inside", F.when(iso & (F.size(all_) > 1) & (X.clean(F.col("state")) != ""), second).otherwise(all_))
+    return left.withColumn("region_id", F.explode("inside.region_id")).drop("inside")
+
+
+def route_points(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """(point_id, region_id) by the rules of routed()."""
+    return routed(points, regions).select("point_id", "region_id")
 
 
 def region_counts(routed: DataFrame, regions: DataFrame) -> DataFrame:
@@ -62,9 +88,11 @@ def partition_stats(points: DataFrame, routed: DataFrame) -> DataFrame:
 def region_neighbors(regions: DataFrame, margin: float = 0.02, overlap: float = 0.8) -> DataFrame:
     """(region_id, neighbor_id) and the neighbour's widened box, both ways, for boxes that touch within the margin but don't cover the same ground.
 
-    Candidates share a grid cell of their widened boxes; only pairs of such regions are compared.
+    Regions that want no roads (road_indexes false) have no neighbours. Candidates share a grid cell of their widened
+    boxes; only pairs of such regions are compared.
     """
-    wide = regions.where(F.col("min_lat").isNotNull()).select("region_id", *BOX)
+    wanted = F.coalesce("road_indexes", F.lit(True)) if "road_indexes" in regions.columns else F.lit(True)
+    wide = regions.where(F.col("min_lat").isNotNull() & wanted).select("region_id", *BOX)
     grown = X.expand_bbox(*box(), 2 * margin)
     cells = wide.withColumn("g", grown).withColumn("cell", F.explode(X.bbox_cells(*(F.col(f"g.{c}") for c in BOX)))).drop("g")
     a, b = cells.select("cell", *(F.col(c).alias(f"a_{c}") for c in ("region_id", *BOX))), cells.select("cell", *(F.col(c).alias(f"b_{c}") for c in ("region_id", *BOX)))
@@ -80,16 +108,18 @@ def region_neighbors(regions: DataFrame, margin: float = 0.02, overlap: float =
 
 
 def geometry_positions(features: DataFrame, key: str, geometry: str = "geometry") -> DataFrame:
-    """(key, lon, lat) of a GeoJSON geometry kept as VARIANT, whatever its depth: arrays are opened until pairs of numbers are left."""
+    """(key, lon, lat) of a GeoJSON geometry kept as VARIANT, whatever its depth: arrays are opened, level by level, until only pairs of numbers are left."""
+    spark = features.sparkSession
     now = features.select(F.col(key), F.variant_get(F.col(geometry), "$.coordinates", "variant").alias("v")).where("v is not null")
     out = None
-    for _ in range(5):  # Point to MultiPolygon
+    while True:
         number_first = F.try_variant_get("v", "$[0]", "double").isNotNull()
         leaf = now.where(number_first).select(key, F.try_variant_get("v", "$[0]", "double").alias("lon"), F.try_variant_get("v", "$[1]", "double").alias("lat"))
         out = leaf if out is None else out.unionByName(leaf)
-        now.createOrReplaceTempView("placeflow_positions")
-        now = features.sparkSession.sql(f"select {key}, e.value as v from placeflow_positions, lateral variant_explode(v) e where try_variant_get(v, '$[0]', 'double') is null and schema_of_variant(v) like 'ARRAY%'")
-    return out
+        opened = spark.sql("select w.*, e.value as e from {w} w, lateral variant_explode(w.v) e", w=now.where(~number_first))
+        now = save(opened.where("schema_of_variant(e) like 'ARRAY%'").select(key, F.col("e").alias("v")), "geometry")
+        if now.isEmpty():
+            return out
 
 
 def coverage_bbox(positions: DataFrame, key: str) -> DataFrame:
@@ -99,11 +129,14 @@ def coverage_bbox(positions: DataFrame, key: str) -> DataFrame:
     """
     ok = positions.where(F.col("lat").between(-90, 90) & F.col("lon").isNotNull()).select(key, "lat", X.normalize_lon(F.col("lon")).alias("lon"))
     lats = ok.groupBy(key).agg(F.min("lat").alias("min_lat"), F.max("lat").alias("max_lat"))
-    lons = ok.select(key, "lon").distinct()
+    # Gaps within a degree, dealt by degree; then gaps between the at most 360 degrees of a key.
+    lons = ok.select(key, F.floor("lon").alias("degree"), "lon").distinct()
+    inner = lons.withColumn("next", F.lead("lon").over(W.partitionBy(key, "degree").orderBy("lon")))
+    gap = lambda a, b: F.struct((b - a).alias("gap"), (-a).alias("west"), a.alias("lon"), b.alias("next"))
+    bins = inner.groupBy(key, "degree").agg(F.min("lon").alias("first"), F.max("lon").alias("last"), F.max(F.when(F.col("next").isNotNull(), gap(F.col("lon"), F.col("next")))).alias("inner"))
     of = W.partitionBy(key)
-    after = F.coalesce(F.lead("lon").over(of.orderBy("lon")), F.min("lon").over(of) + 360)
-    gaps = lons.select(key, "lon", after.alias("next"), (after - F.col("lon")).alias("gap"))
-    widest = gaps.groupBy(key).agg(F.max_by(F.struct("lon", "next", "gap"), F.struct("gap", -F.col("lon"))).alias("g"))
+    after = F.coalesce(F.lead("first").over(of.orderBy("degree")), F.min("first").over(of) + 360)
+    widest = bins.select(key, "inner", gap(F.col("last"), after).alias("outer")).groupBy(key).agg(F.greatest(F.max("inner"), F.max("outer")).alias("g"))
     whole = 360 - F.col("g.gap") >= 359.999999
     r = X.round_coord
     return lats.join(widest, key).select(

@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from placeflow.functions import exprs as X
 
 
-def status_snapshot(state: DataFrame, roads: DataFrame) -> DataFrame:
-    """One row. state: region_id, acquired, failed, required, built, uploaded, docs, modified; roads: built, uploaded, unavailable."""
-    is_built = F.col("built").isNotNull() & F.col("built").eqNullSafe(F.col("required"))
+def status_snapshot(state: DataFrame, roads: DataFrame, run: DataFrame) -> DataFrame:
+    """One row. state: region_id, acquired, built, has_manifest, uploaded, docs, modified; roads: built, has_manifest, uploaded; run: one row, status.
+
+    What is built has a manifest; an upload counts if it is of what is built; only a failed run makes the phase failed.
+    """
+    is_built = F.coalesce((F.col("built") != "") & F.col("has_manifest"), F.lit(False))
     is_up = is_built & F.col("uploaded").eqNullSafe(F.col("built"))
     a = state.agg(
-        F.count("*").alias("regions"), F.count_if("acquired").alias("acquired"), F.count_if("failed").alias("failed"), F.count_if(is_built).alias("built"),
-        F.count_if(is_up).alias("published"), F.coalesce(F.sum(F.when(is_built, F.col("docs"))), F.lit(0)).alias("documents"), F.max(F.when(is_up, F.col("modified"))).alias("data_time"),
+        F.count("*").alias("regions"), F.count_if("acquired").alias("acquired"), F.count_if(is_built).alias("built"),
+        F.count_if(is_up).alias("published"), F.coalesce(F.sum(F.when(is_up, F.col("docs"))), F.lit(0)).alias("documents"), F.max(F.when(is_up, F.col("modified"))).alias("data_time"),
     )
-    r = roads.agg(F.count_if(F.col("built").isNotNull()).alias("road_built"), F.count_if(F.col("uploaded").isNotNull()).alias("road_uploaded"), F.count_if("unavailable").alias("road_unavailable"))
-    phase = F.when(F.col("failed") > 0, "failed").when(F.col("acquired") < F.col("regions"), "acquiring").when(F.col("built") < F.col("regions"), "building").when(F.col("published") < F.col("regions"), "publishing").otherwise("ready")
-    return a.join(r).select("*", phase.alias("phase"), *(X.pct(F.col(c), F.col("regions")).alias(f"{c}_percent") for c in ("acquired", "built", "published")))
+    there = F.coalesce("has_manifest", F.lit(False))
+    r = roads.agg(F.count_if(is_built).alias("road_built"), F.count_if(there & F.col("uploaded").eqNullSafe(F.col("built"))).alias("road_uploaded"), F.count_if(F.coalesce(F.col("built") != "", F.lit(False)) & ~there).alias("road_unavailable"))
+    phase = F.when(F.col("status") == "failed", "failed").when(F.col("acquired") < F.col("regions"), "acquiring").when(F.col("built") < F.col("regions"), "building").when(F.col("published") < F.col("regions"), "publishing").otherwise("ready")
+    both = a.join(r).join(run.select("status"))
+    return both.select("*", phase.alias("phase"), *(X.pct(F.col(c), F.col("regions")).alias(f"{c}_percent") for c in ("acquired", "published")))
 
 
 def next_pending(state: DataFrame, k: int = 10) -> DataFrame:
@@ -26,6 +31,14 @@ def next_pending(state: DataFrame, k: int = 10) -> DataFrame:
     return state.where(~F.col("acquired")).orderBy("ord").limit(k).select("ord", "region_id")
 
 
+def next_pending_roads(rows: DataFrame, k: int = 10) -> DataFrame:
+    """The first k pairs of region and profile without a road index, in configuration order (ord, profile_ord)."""
+    return rows.where(F.coalesce("built", F.lit("")) == "").orderBy("ord", "profile_ord").limit(k).select("ord", "region_id", "profile")
+
+
 def root_summary(built: DataFrame, stats: DataFrame) -> DataFrame:
-    """(region_id, path, bbox, docs): the configured box, else that of the documents."""
-    return built.join(stats, "region_id", "left").select("region_id", F.concat(F.lit("shards/"), "region_id", F.lit("/")).alias("path"), F.coalesce("bbox", "doc_bbox").alias("bbox"), F.coalesce("docs", F.lit(0)).alias("docs"))
+    """(region_id, path, groups, bbox, docs, total): the configured box, else that of the documents; total: documents of all regions, the same in each row."""
+    rows = built.join(stats, "region_id", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
+    groups = F.col("groups") if "groups" in built.columns else F.expr("cast(array() as array<string>)")
+    out = rows.select("region_id", F.concat(F.lit("shards/"), "region_id", F.lit("/")).alias("path"), groups.alias("groups"), F.coalesce("bbox", "doc_bbox").alias("bbox"), "docs")
+    return out.join(rows.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("total")))

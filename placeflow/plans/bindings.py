@@ -28,7 +28,7 @@ VIEWS: dict[str, str] = {
     "way_refs": """SELECT l_orderkey AS way_id, l_linenumber AS pos, min(l_partkey) AS node_id, min(l_returnflag) AS flag, min(l_returnflag) = 'R' AS one_way, min(l_quantity) AS seconds FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
     "nodes": """SELECT p_partkey AS node_id, CAST(p_partkey % 170 AS DOUBLE) - 85 AS lat, CAST(p_size AS DOUBLE) * 7 - 179 AS lon FROM {part}""",
     "region_state": """SELECT lower(n_name) AS region_id, n_nationkey AS ord, n_nationkey % 7 <> 3 AS acquired, n_nationkey % 11 = 10 AS failed, concat('f', n_nationkey) AS required, CASE WHEN n_nationkey % 4 = 0 THEN NULL WHEN n_nationkey % 4 = 1 THEN 'old' ELSE concat('f', n_nationkey) END AS built,
-        CASE WHEN n_nationkey % 8 = 2 THEN concat('f', n_nationkey) WHEN n_nationkey % 4 = 1 THEN 'old' END AS uploaded, n_nationkey * 100 AS docs, CAST(n_nationkey AS BIGINT) AS modified FROM {nation}""",
+        CASE WHEN n_nationkey % 8 = 2 THEN concat('f', n_nationkey) WHEN n_nationkey % 4 = 1 THEN 'old' END AS uploaded, n_nationkey * 100 AS docs, CAST(n_nationkey AS BIGINT) AS modified, n_nationkey % 5 <> 2 AS has_manifest FROM {nation}""",
 }
 #: Corpus documents: languages as regions, sources as types.
 VIEWS["corpus"] = "SELECT doc_id, lang AS region_id, text, source AS type FROM {documents}"

@@ -11,7 +11,9 @@ from placeflow.functions import exprs as X
 from placeflow.operators import delta, enrich, gc, identity, regions, roads, search, spatial, status
 from placeflow.plans.bindings import view, with_views
 from placeflow.scratch import new_path, save
+from placeflow.sources import readers, writers
 from placeflow.sources.writers import write_region_partitions
+from placeflow.streaming import partition
 from placeflow.streaming.partition import latest_counters, read_partitions, start_counters_stream, start_partition_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +30,12 @@ def query(sql: str | None = None):
     return add
 
 
+def digest_sql(row: str) -> str:
+    """An aggregate: the order-free digest of rows' texts."""
+    part = lambda k: f"coalesce(sum(('0x' || substr(sha256({row}), {1 + 12 * k}, 12))::UBIGINT), 0)::VARCHAR"
+    return f"sha256(concat_ws('|', {', '.join(map(part, range(4)))}))"
+
+
 # Routing -------------------------------------------------------------------------------------------------------
 
 INSIDE = "p.lat BETWEEN r.min_lat AND r.max_lat AND CASE WHEN r.min_lon <= r.max_lon THEN p.lon BETWEEN r.min_lon AND r.max_lon ELSE p.lon >= r.min_lon OR p.lon <= r.max_lon END"
@@ -35,7 +43,7 @@ CAND = with_views("addr_points", "place_regions") + f""",
 cand AS (SELECT p.*, upper(trim(p.country)) AS cc, upper(trim(p.state)) AS ss, r.region_id, r.country_code, r.subdivision_code FROM addr_points p JOIN place_regions r ON {INSIDE} WHERE p.lat BETWEEN -90 AND 90 AND p.lon BETWEEN -180 AND 180)"""
 ROUTED = CAND + """,
 s1 AS (SELECT *, count(*) OVER w AS n, regexp_matches(cc, '^[A-Z][A-Z]$') AS iso, max(CASE WHEN country_code = cc THEN 1 ELSE 0 END) OVER w AS anyc, max(CASE WHEN country_code = '' THEN 1 ELSE 0 END) OVER w AS anyu,
-       CASE WHEN ss <> '' AND subdivision_code <> '' AND subdivision_code = CASE WHEN contains(ss, '-') THEN ss ELSE concat(cc, '-', ss) END THEN 1 ELSE 0 END AS sub FROM cand WINDOW w AS (PARTITION BY point_id)),
+       CASE WHEN regexp_matches(cc, '^[A-Z][A-Z]$') AND ss <> '' AND subdivision_code <> '' AND subdivision_code = CASE WHEN contains(ss, '-') THEN ss ELSE concat(cc, '-', ss) END THEN 1 ELSE 0 END AS sub FROM cand WINDOW w AS (PARTITION BY point_id)),
 s2 AS (SELECT * FROM s1 WHERE n < 2 OR NOT iso OR (anyc = 1 AND country_code = cc) OR (anyc = 0 AND (anyu = 0 OR country_code = ''))),
 s3 AS (SELECT *, count(*) OVER w AS m, max(sub) OVER w AS anys FROM s2 WINDOW w AS (PARTITION BY point_id)),
 routed AS (SELECT point_id, region_id FROM s3 WHERE m < 2 OR anys = 0 OR sub = 1)"""
@@ -68,9 +76,9 @@ IV = "SELECT region_id, min_lat, max_lat, min_lon AS lo, CASE WHEN min_lon <= ma
 pr AS (SELECT a.region_id, b.region_id AS neighbor_id, sum(greatest(least(a.max_lat, b.max_lat) - greatest(a.min_lat, b.min_lat), 0) * greatest(least(a.hi, b.hi) - greatest(a.lo, b.lo), 0)) AS shared,
        bool_or(a.min_lat - 0.02::DOUBLE <= b.max_lat AND b.min_lat - 0.02::DOUBLE <= a.max_lat AND greatest(a.lo - 0.02::DOUBLE, -180) <= least(b.hi + 0.02::DOUBLE, 180) AND greatest(b.lo - 0.02::DOUBLE, -180) <= least(a.hi + 0.02::DOUBLE, 180)) AS near
        FROM iv a JOIN iv b ON a.region_id <> b.region_id GROUP BY 1, 2)
-SELECT pr.region_id, pr.neighbor_id FROM pr JOIN area x ON x.region_id = pr.region_id JOIN area y ON y.region_id = pr.neighbor_id WHERE near AND shared / least(x.a, y.a) < 0.8""")
+SELECT pr.region_id, pr.neighbor_id FROM pr JOIN area x ON x.region_id = pr.region_id JOIN area y ON y.region_id = pr.neighbor_id WHERE near AND shared / least(x.a, y.a) < 0.8 AND pr.region_id NOT IN (SELECT region_id FROM place_regions WHERE k = 7) AND pr.neighbor_id NOT IN (SELECT region_id FROM place_regions WHERE k = 7)""")
 def region_neighbors(spark, d):
-    return spatial.region_neighbors(view(spark, d, "place_regions")).select("region_id", "neighbor_id")
+    return spatial.region_neighbors(view(spark, d, "place_regions").withColumn("road_indexes", F.col("k") != 7)).select("region_id", "neighbor_id")
 
 
 @query(with_views("addr_points") + """, ok AS (SELECT kind, lat, ((lon + 180) - 360 * floor((lon + 180) / 360)) - 180 AS lon FROM addr_points WHERE lat BETWEEN -90 AND 90),
@@ -141,6 +149,16 @@ def region_metadata(spark, d):
     return regions.united_codes(tree, up).join(regions.region_groups(tree, up), "id").select("id", F.array_join("codes", ",").alias("codes"), F.array_join("groups", ",").alias("groups"))
 
 
+@query("""WITH t AS (SELECT concat('r', r_regionkey) AS id, NULL AS parent FROM region UNION ALL SELECT concat('n', n_nationkey), concat('r', n_regionkey) FROM nation
+UNION ALL SELECT concat('n', n_nationkey, '/x/s', s_suppkey), concat('r', n_regionkey) FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT parent, id FROM t WHERE parent IS NOT NULL UNION SELECT p.id, t.id FROM t JOIN t p ON starts_with(t.id, concat(p.id, '/'))""")
+def region_children(spark, d):
+    """Suppliers by pointer below regions, and by path two levels below nations."""
+    t = lambda n: spark.read.parquet(f"{d}/{n}.parquet")
+    low = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("n"), "n_nationkey", F.lit("/x/s"), "s_suppkey"), F.concat(F.lit("r"), "n_regionkey"))
+    return regions.region_children(_tree(spark, d).where("size > 1").select("id", "parent").union(low))
+
+
 @query(TREE + " SELECT id FROM tree t WHERE size = 1 OR NOT EXISTS (SELECT 1 FROM tree c WHERE c.parent = t.id)")
 def expand_regions(spark, d):
     tree = save(_tree(spark, d), "tree")
@@ -271,9 +289,9 @@ def job_catalog(spark, d):
     return enrich.read_job_catalog(_jobs(spark, d)).select("source", "name", "job", "job_key")
 
 
-@query(JOBS + " SELECT count(*) AS jobs, sum(greatest(size, 0))::BIGINT AS bytes FROM cat")
+@query(JOBS + f" SELECT count(*) AS jobs, sum(greatest(size, 0))::BIGINT AS bytes, {digest_sql("concat_ws('|', source, name, job_key, greatest(size, 0))")} AS snapshot FROM cat")
 def catalog_identity(spark, d):
-    return enrich.catalog_identity(enrich.read_job_catalog(_jobs(spark, d))).select("jobs", "bytes")
+    return enrich.catalog_identity(enrich.read_job_catalog(_jobs(spark, d)))
 
 
 @query(JOBS + " SELECT job_key FROM cat WHERE size < 100000")
@@ -294,17 +312,19 @@ def way_anchors(spark, d):
 
 # Search --------------------------------------------------------------------------------------------------------
 
-TOK = with_views("corpus", "search_queries") + r""", tok AS (SELECT doc_id, region_id, type, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS t FROM corpus), words AS (SELECT doc_id, region_id, len(t) AS length, unnest(t) AS term FROM tok),
+TOK = with_views("corpus", "search_queries") + r""", tok AS (SELECT doc_id, region_id, type, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS t FROM corpus), words AS (SELECT doc_id, region_id, len(t) AS length, unnest(t) AS term FROM tok),
 post AS (SELECT doc_id, region_id, length, term, count(*) AS tf FROM words GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM post GROUP BY term)"""
-SCORES = TOK + """, qt AS (SELECT DISTINCT query_id, unnest(regexp_extract_all(lower(query), '[a-z0-9]+')) AS term FROM search_queries), st AS (SELECT count(*) AS n, sum(len(t)) / count(*) AS al FROM tok),
+SCORES = TOK + r""", qt AS (SELECT DISTINCT query_id, unnest(regexp_extract_all(lower(query), '[\p{L}\p{N}]+')) AS term FROM search_queries), st AS (SELECT count(*) AS n, sum(len(t)) / count(*) AS al FROM tok),
 sc AS (SELECT query_id, doc_id, region_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / al))), 6) AS score FROM qt JOIN df USING (term) JOIN post USING (term), st GROUP BY ALL),
 top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM sc) WHERE rank <= 5)"""
 TOP = SCORES + " SELECT query_id, rank, doc_id, score FROM top"
 
 
 def _search(spark, d):
-    c = view(spark, d, "corpus")
-    return view(spark, d, "search_queries"), search.postings(c), search.term_df(c), search.scoring_stats(c)
+    """The stated queries, postings of their terms, document frequencies and statistics."""
+    c, q = view(spark, d, "corpus"), view(spark, d, "search_queries")
+    posts = save(search.postings(c, q), "postings")
+    return q, posts, posts.groupBy("term").agg(F.count("*").alias("df")), search.scoring_stats(c)
 
 
 @query(TOK + " SELECT region_id, count(*) AS docs, sum(len(t))::BIGINT AS tokens FROM tok GROUP BY region_id")
@@ -332,13 +352,20 @@ def text_routing(spark, d):
     return search.text_routing(view(spark, d, "corpus")).select("term", F.array_join("regions", ",").alias("regions"))
 
 
-@query(TOP)
+@query(TOK + """, lw AS (SELECT doc_id, unnest(t) AS w FROM tok WHERE doc_id % 20 = 0), rq AS (SELECT doc_id AS query_id, max({'n': length(w), 'w': w}).w AS term FROM lw GROUP BY doc_id),
+st AS (SELECT count(*) AS n, sum(len(t)) / count(*) AS al FROM tok),
+sc AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / al))), 6) AS score FROM rq JOIN df USING (term) JOIN post USING (term), st GROUP BY ALL)
+SELECT query_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM sc) WHERE rank <= 5""")
 def routed_search(spark, d):
-    q, p, df, s = _search(spark, d)
-    return search.routed_search(q, search.text_routing(view(spark, d, "corpus")), p, df, s)
+    """The stated queries: the longest word of every twentieth document, found mostly in one region."""
+    c = view(spark, d, "corpus")
+    word = F.transform(X.tokens(F.col("text")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
+    q = save(c.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.array_max(word)["w"].alias("query")).where("query is not null"), "queries")
+    routing = save(search.text_routing(c, q), "routing")
+    return search.routed_search(q, routing, c, search.term_df(c, q), search.scoring_stats(c))
 
 
-@query(TOK + """, pre AS (SELECT DISTINCT left(item_word, n) AS prefix FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS item_word, n FROM benchmark, (SELECT unnest([2, 4]) AS n))),
+@query(TOK + r""", pre AS (SELECT DISTINCT left(item_word, n) AS prefix FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS item_word, n FROM benchmark, (SELECT unnest([2, 4]) AS n))),
 x AS (SELECT prefix, term, df FROM pre JOIN (SELECT * FROM df WHERE length(term) >= 3) ON left(term, length(prefix)) = prefix)
 SELECT prefix, rank, term, df FROM (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY df DESC, term)::INTEGER AS rank FROM x) WHERE rank <= 5""")
 def suggest_topk(spark, d):
@@ -488,7 +515,7 @@ def _roads(spark, d):
     s = view(spark, d, "region_state")
     profiles = s.select(F.explode(F.array(F.lit("car"), F.lit("bike"), F.lit("foot"))).alias("profile")).distinct()
     name = lambda c: F.when(F.col(c).isNotNull(), F.concat(c, F.lit("-"), "profile")).alias(c)
-    state = s.crossJoin(profiles).select("region_id", "profile", name("required"), name("built"), name("uploaded"), F.col("ord").alias("nodes"), (F.col("ord") * 2).alias("edges"))
+    state = s.crossJoin(profiles).select("region_id", "profile", "has_manifest", name("required"), name("built"), name("uploaded"), F.col("ord").alias("nodes"), (F.col("ord") * 2).alias("edges"))
     return s.select("region_id", (F.col("ord") != 7).alias("road_indexes")), profiles, state
 
 
@@ -548,49 +575,79 @@ def stale_objects(spark, d):
     return gc.stale_objects(o, o.where(X.is_immutable(F.col("path"))))
 
 
-@query(HELD + ", x AS (SELECT path, CASE WHEN contains(path, '/R/') THEN 0 WHEN ends_with(path, '.json') THEN 2 ELSE 1 END AS r FROM objects) SELECT path, r AS publish_rank FROM x WHERE r > 0")
+@query(HELD + ", x AS (SELECT path, CASE WHEN contains(path, '/R/') THEN 0 WHEN NOT ends_with(path, '.json') THEN 1 WHEN contains(path, '/A/') THEN 3 ELSE 2 END AS r FROM objects) SELECT path, r AS publish_rank FROM x WHERE r > 0")
 def publish_order(spark, d):
-    o = view(spark, d, "objects").select("path", F.regexp_replace(F.regexp_replace("path", "/R/", "/tmp/"), r"([^/]*)\.json$", "manifest-$1.json").alias("stored"))
-    return o.select("path", X.publish_rank(F.col("stored")).alias("publish_rank")).where("publish_rank > 0")
+    """Objects as files of a shard's folder: build scratch, root manifests, other manifests, and content below folders named tmp and _build."""
+    name, json = X.basename(F.col("path")), F.col("path").endswith(".json")
+    stored = F.when(F.col("path").contains("/R/"), F.concat(F.lit("_build/"), name)).when(~json, F.concat(F.lit("tmp/_build/"), name)).when(F.col("path").contains("/A/"), "manifest.full.json").otherwise(F.concat(F.lit("gen-1/manifest."), name))
+    return view(spark, d, "objects").select("path", X.publish_rank(stored).alias("publish_rank")).where("publish_rank > 0")
 
 
-@query(with_views("objects") + """, s AS (SELECT o_orderkey AS region_id, concat('shards/N/packs/', o_orderkey, '-2.json') AS manifest, o_orderstatus <> 'O' AS up, o_totalprice > 100000 AS local FROM orders)
+@query(with_views("objects") + """, s AS (SELECT o_orderkey AS region_id, concat('shards/N/packs/', o_orderkey, '-2.json') AS manifest, o_orderstatus <> 'O' AND o_custkey % 4 <> 0 AS up, o_totalprice > 100000 AS local FROM orders)
 SELECT region_id, CASE WHEN NOT up OR manifest IN (SELECT path FROM objects) THEN 'keep' WHEN local THEN 'upload' ELSE 'rebuild' END AS action FROM s""")
 def reconcile_remote(spark, d):
     o = spark.read.parquet(f"{d}/orders.parquet")
-    state = o.select(F.col("o_orderkey").alias("region_id"), F.concat(F.lit("shards/N/packs/"), "o_orderkey", F.lit("-2.json")).alias("manifest"), F.when(F.col("o_orderstatus") != "O", "f").alias("uploaded"), (F.col("o_totalprice") > 100000).alias("local_complete"))
+    state = o.select(F.col("o_orderkey").alias("region_id"), F.concat(F.lit("shards/N/packs/"), "o_orderkey", F.lit("-2.json")).alias("manifest"), F.when(F.col("o_orderstatus") != "O", "f").alias("uploaded"), F.when(F.col("o_custkey") % 4 == 0, "g").otherwise("f").alias("built"), (F.col("o_totalprice") > 100000).alias("local_complete"))
     return gc.reconcile_remote(state, view(spark, d, "objects"))
 
 
-@query("""WITH s AS (SELECT o_orderkey AS k, list_sort(list(DISTINCT l_linenumber)) AS g FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey),
-e AS (SELECT k, unnest(g) AS n FROM s) SELECT concat('shards/', k, '/manifest.json') AS path FROM s UNION SELECT concat('shards/', k, '/ids.json') FROM s UNION SELECT concat('shards/', k, '/gen-', n, '/m.json') FROM e WHERE n < 6 UNION SELECT concat('shards/', k, '/shards/', k, '/gen-', n, '/m.json') FROM e WHERE n < 6 AND n % 2 = 0 UNION SELECT concat('shards/', k, '/gen-', n, '/ids.json') FROM e""")
+GENERATIONS = "WITH g AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem)"
+
+
+def _generations(spark, d):
+    """Shards whose generations are declared from the shard's folder, by default, or from their own."""
+    n, base = F.col("l_linenumber"), F.concat(F.lit("shards/"), "l_orderkey")
+    own = F.concat(F.lit("gen-"), n, F.lit("/"))
+    manifest = F.when(n % 3 == 0, F.concat(own, F.lit("manifest.min.json"))).when(n % 3 == 2, F.concat(F.lit("./"), own, F.lit("m.json")))
+    g = F.struct(F.when(n < 6, own).when(n == 6, "../x/").alias("path"), manifest.alias("manifest"), F.when(n % 2 == 0, "ids.json").alias("id_map"))
+    return spark.read.parquet(f"{d}/lineitem.parquet").select(base.alias("base"), n.alias("n"), g.alias("g")).distinct()
+
+
+@query(GENERATIONS + """ SELECT concat('shards/', k) AS base, n, CASE WHEN n = 6 THEN NULL WHEN n >= 7 AND n % 3 = 1 THEN concat('shards/', k, '/manifest.min.json') WHEN n % 3 = 0 OR n % 3 = 1 THEN concat('shards/', k, '/gen-', n, '/manifest.min.json')
+WHEN n < 6 THEN concat('shards/', k, '/gen-', n, '/gen-', n, '/m.json') ELSE concat('shards/', k, '/gen-', n, '/m.json') END AS manifest FROM g""")
+def generation_manifests(spark, d):
+    return _generations(spark, d).select("base", "n", X.generation_manifest_path(F.col("base"), F.col("g.path"), F.col("g.manifest")).alias("manifest"))
+
+
+@query(GENERATIONS + """, k AS (SELECT DISTINCT concat('shards/', k, '/') AS b FROM g), e AS (SELECT concat('shards/', k, '/') AS b, n, CASE WHEN n < 6 THEN concat('gen-', n, '/') ELSE '' END AS p FROM g WHERE n <> 6)
+SELECT concat(b, unnest(['manifest.json', 'manifest.min.json', 'manifest.full.json', 'ids.json'])) AS path FROM k UNION SELECT concat(b, p, unnest(['manifest.json', 'manifest.min.json'])) FROM e UNION SELECT concat(b, p, 'ids.json') FROM e WHERE n % 2 = 0
+UNION SELECT concat(b, 'gen-', n, '/', unnest(['manifest.json', 'manifest.min.json'])) FROM e WHERE n % 3 = 0 UNION SELECT concat(b, 'gen-', n, '/m.json') FROM e WHERE n % 3 = 2""")
 def shard_keep_paths(spark, d):
-    li, o = spark.read.parquet(f"{d}/lineitem.parquet"), spark.read.parquet(f"{d}/orders.parquet")
-    base = F.concat(F.lit("shards/"), "l_orderkey")
-    # Even generations are declared from the root, others from the shard's folder; the last ones are unsafe.
-    declared = F.when(F.col("l_linenumber") >= 6, F.lit("../m.json")).when(F.col("l_linenumber") % 2 == 0, F.concat(base, F.lit("/gen-"), "l_linenumber", F.lit("/m.json"))).otherwise(F.concat(F.lit("./gen-"), "l_linenumber", F.lit("/m.json")))
-    each = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select(base.alias("base"), F.struct(declared.alias("manifest"), F.concat(F.lit("gen-"), "l_linenumber", F.lit("/ids.json")).alias("id_map")).alias("g"))
-    shards = each.groupBy("base").agg(F.collect_set("g").alias("generations")).select("base", F.array(F.lit("manifest.json")).alias("root_files"), F.lit("ids.json").alias("id_map"), "generations")
-    return gc.shard_keep_paths(shards)
+    shards = _generations(spark, d).where("n <> 6").groupBy("base").agg(F.collect_list("g").alias("generations"))
+    every = _generations(spark, d).select("base").distinct().join(shards, "base", "left")
+    return gc.shard_keep_paths(every.select("base", F.lit("ids.json").alias("id_map"), "generations"))
 
 
-@query("""SELECT DISTINCT * FROM (SELECT 'basename' AS kind, concat(o_orderkey, '.bin') AS value FROM orders UNION ALL SELECT 'path', concat('s/', o_custkey, '/docs/', o_orderkey, '.bin') FROM orders
-UNION ALL SELECT 'prefix', concat('s/', o_custkey, '/pages-', o_orderpriority, '/') FROM orders UNION ALL SELECT 'prefix', concat('s/', o_custkey, '/authority/hot/') FROM orders WHERE o_totalprice > 100000)""")
+@query("""WITH o AS (SELECT *, concat('s/', o_custkey) AS b FROM orders)
+SELECT DISTINCT * FROM (SELECT 'path' AS kind, concat(b, '/manifest-', o_orderkey, '.json') AS value FROM o UNION ALL SELECT 'basename', concat(o_orderkey, '.bin') FROM o UNION ALL SELECT 'path', concat(b, '/docs/', o_orderkey, '.bin') FROM o
+UNION ALL SELECT 'basename', concat('y-', o_orderkey % 7, '.bin.gz') FROM o UNION ALL SELECT 'prefix', concat(b, '/pages-', o_orderpriority, '/') FROM o UNION ALL SELECT 'prefix', concat(b, '/deep-', o_orderkey % 5, '/') FROM o
+UNION ALL SELECT 'prefix', concat(b, '/authority/hot/') FROM o WHERE o_totalprice > 100000 UNION ALL SELECT 'prefix', concat(b, '/hot/') FROM o WHERE o_totalprice > 100000)""")
 def manifest_protections(spark, d):
-    o = spark.read.parquet(f"{d}/orders.parquet")
-    body = F.to_json(
-        F.struct(
-            F.array(F.struct(F.concat(F.lit("docs/"), "o_orderkey", F.lit(".bin")).alias("file"), F.lit(1).alias("n"))).alias("packs"),
-            F.struct(F.concat(F.lit("pages-"), "o_orderpriority", F.lit("/")).alias("pages"), F.lit("x/../y.bin").alias("bad")).alias("tree"),
-            F.struct(
-                F.struct(
-                    F.when(F.col("o_totalprice") > 100000, 3).otherwise(0).alias("hot_prefixes"),
-                    F.struct(F.lit("authority/directory.json").alias("file")).alias("directory"),
-                ).alias("autocomplete")
-            ).alias("authority"),
-        )
+    """Manifests with references in arrays and at several depths, an unsafe path, and hot prefixes beside directory and root files."""
+    text = lambda a, c, b: F.concat(F.lit(a), c, F.lit(b))
+    key = F.col("o_orderkey")
+    hot = F.when(F.col("o_totalprice") > 100000, 3).otherwise(0).alias("hot_prefixes")
+    file = lambda f, name: F.struct(F.lit(f).alias("file")).alias(name)
+    deep = F.struct(text("deep-", key % 5, "/").alias("words_path"))
+    for level in range(14):
+        deep = F.struct(F.array(deep).alias(f"level{level}"))
+    body = F.struct(
+        F.array(F.struct(text("docs/", key, ".bin").alias("file"), F.lit(1).alias("n"))).alias("packs"),
+        F.struct(text("pages-", F.col("o_orderpriority"), "/").alias("pages"), text("x/../y-", key % 7, ".bin.gz").alias("bad")).alias("tree"),
+        F.struct(F.struct(hot, file("authority/directory.json", "directory"), file("other/root.json", "root")).alias("autocomplete")).alias("authority"),
+        F.array(F.struct(hot, file("lexicon.json", "root"))).alias("suggest"),
+        deep.alias("deep"),
     )
-    return gc.manifest_protections(o.select(F.col("o_orderkey").cast("string").alias("doc"), F.concat(F.lit("s/"), "o_custkey").alias("base"), F.parse_json(body).alias("body")))
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    base = F.concat(F.lit("s/"), "o_custkey")
+    return gc.manifest_protections(o.select(F.concat(base, F.lit("/manifest-"), key, F.lit(".json")).alias("doc"), base.alias("base"), F.parse_json(F.to_json(body)).alias("body")))
+
+
+@query("SELECT DISTINCT 'prefix' AS kind, concat('routes/car/', o_custkey, '/') AS value FROM orders WHERE o_orderkey % 3 <> 1 UNION ALL SELECT 'path', 'routes/catalog.json'")
+def catalog_protections(spark, d):
+    """Bases with and without a slash at the end, and unsafe ones."""
+    base = F.concat(F.when(F.col("o_orderkey") % 3 == 1, "routes/../").otherwise("routes/car/"), "o_custkey", F.when(F.col("o_orderkey") % 2 == 0, "/").otherwise(""))
+    return gc.catalog_protections(spark.read.parquet(f"{d}/orders.parquet").select(base.alias("base")))
 
 
 # Status and state ----------------------------------------------------------------------------------------------
@@ -598,13 +655,21 @@ def manifest_protections(spark, d):
 FLAGS = with_views("region_state") + ", f AS (SELECT *, coalesce(built = required, false) AS ib, coalesce(built = required AND uploaded = built, false) AS iu FROM region_state)"
 
 
-@query(FLAGS + """, a AS (SELECT count(*) AS regions, count(*) FILTER (WHERE acquired) AS acquired, count(*) FILTER (WHERE failed) AS failed, count(*) FILTER (WHERE ib) AS built, count(*) FILTER (WHERE iu) AS published, sum(docs) FILTER (WHERE ib)::BIGINT AS documents, max(modified) FILTER (WHERE iu) AS data_time FROM f),
-r AS (SELECT 3 * count(built) AS road_built, 3 * count(uploaded) AS road_uploaded, 3 * count(*) FILTER (WHERE ord < 2) AS road_unavailable FROM region_state)
-SELECT *, CASE WHEN failed > 0 THEN 'failed' WHEN acquired < regions THEN 'acquiring' WHEN built < regions THEN 'building' WHEN published < regions THEN 'publishing' ELSE 'ready' END AS phase,
-floor(acquired / regions * 1000 + 0.5) / 10 AS acquired_percent, floor(built / regions * 1000 + 0.5) / 10 AS built_percent, floor(published / regions * 1000 + 0.5) / 10 AS published_percent FROM a, r""")
+@query(FLAGS + """, m AS (SELECT *, coalesce(built IS NOT NULL AND has_manifest, false) AS mb FROM f), n AS (SELECT *, coalesce(mb AND uploaded = built, false) AS mu FROM m),
+a AS (SELECT count(*) AS regions, count(*) FILTER (WHERE acquired) AS acquired, count(*) FILTER (WHERE mb) AS built, count(*) FILTER (WHERE mu) AS published, coalesce(sum(docs) FILTER (WHERE mu), 0)::BIGINT AS documents, max(modified) FILTER (WHERE mu) AS data_time,
+3 * count(*) FILTER (WHERE mb) AS road_built, 3 * count(*) FILTER (WHERE has_manifest AND uploaded IS NOT DISTINCT FROM built) AS road_uploaded, 3 * count(*) FILTER (WHERE built IS NOT NULL AND NOT has_manifest) AS road_unavailable, CASE WHEN bool_or(failed) THEN 'running' ELSE 'failed' END AS status FROM n)
+SELECT *, CASE WHEN status = 'failed' THEN 'failed' WHEN acquired < regions THEN 'acquiring' WHEN built < regions THEN 'building' WHEN published < regions THEN 'publishing' ELSE 'ready' END AS phase, floor(acquired / regions * 1000 + 0.5) / 10 AS acquired_percent, floor(published / regions * 1000 + 0.5) / 10 AS published_percent FROM a""")
 def status_snapshot(spark, d):
+    """Some regions failed, but the run goes on."""
     _, _, road_state = _roads(spark, d)
-    return status.status_snapshot(view(spark, d, "region_state"), road_state.withColumn("unavailable", F.col("nodes") < 2))
+    s = view(spark, d, "region_state")
+    return status.status_snapshot(s, road_state, s.agg(F.when(F.bool_or("failed"), "running").otherwise("failed").alias("status")))
+
+
+@query(FLAGS + " SELECT ord, region_id, profile FROM f, (SELECT unnest(['car', 'bike', 'foot']) AS profile, unnest([0, 1, 2]) AS p) WHERE built IS NULL ORDER BY ord, p LIMIT 10")
+def next_pending_roads(spark, d):
+    s = view(spark, d, "region_state").select("ord", "region_id", "built")
+    return status.next_pending_roads(s.select("*", F.posexplode(F.array(F.lit("car"), F.lit("bike"), F.lit("foot"))).alias("profile_ord", "profile")))
 
 
 @query(FLAGS + " SELECT ord, region_id FROM f WHERE NOT acquired ORDER BY ord LIMIT 10")
@@ -612,13 +677,14 @@ def next_pending(spark, d):
     return status.next_pending(view(spark, d, "region_state"))
 
 
-@query(ROUTED + """, b AS (SELECT t.region_id, count(*) AS docs, concat(min(lat), ',', min(lon), ',', max(lat), ',', max(lon)) AS doc_bbox FROM routed t JOIN addr_points p USING (point_id) GROUP BY t.region_id), """ + FLAGS[5:] + """
-SELECT f.region_id, concat('shards/', f.region_id, '/') AS path, coalesce(b.docs, 0) AS docs FROM f LEFT JOIN b USING (region_id) WHERE ib""")
+@query(ROUTED + """, b AS (SELECT t.region_id, count(*) AS docs, concat_ws(',', min(lat)::DECIMAL(9,3), min(lon)::DECIMAL(9,3), max(lat)::DECIMAL(9,3), max(lon)::DECIMAL(9,3)) AS doc_bbox FROM routed t JOIN addr_points p USING (point_id) GROUP BY t.region_id), """ + FLAGS[5:] + """
+SELECT f.region_id, concat('shards/', f.region_id, '/') AS path, concat('g', ord % 3) AS groups, CASE WHEN ord % 2 = 0 THEN 'configured' ELSE b.doc_bbox END AS bbox, coalesce(b.docs, 0) AS docs, (sum(coalesce(b.docs, 0)) OVER ())::BIGINT AS total FROM f LEFT JOIN b USING (region_id) WHERE ib""")
 def root_summary(spark, d):
-    p = view(spark, d, "addr_points")
-    stats = _routed(spark, d).join(p, "point_id").groupBy("region_id").agg(F.count("*").alias("docs"), F.concat_ws(",", F.min("lat"), F.min("lon"), F.max("lat"), F.max("lon")).alias("doc_bbox"))
-    built = view(spark, d, "region_state").where("built = required").select("region_id", F.lit(None).cast("string").alias("bbox"))
-    return status.root_summary(built, stats).select("region_id", "path", "docs")
+    fixed = lambda c: c.cast("decimal(9,3)").cast("string")
+    box = F.concat_ws(",", *(fixed(f(c)) for f, c in ((F.min, "lat"), (F.min, "lon"), (F.max, "lat"), (F.max, "lon"))))
+    stats = spatial.routed(view(spark, d, "addr_points"), view(spark, d, "place_regions")).groupBy("region_id").agg(F.count("*").alias("docs"), box.alias("doc_bbox"))
+    built = view(spark, d, "region_state").where("built = required").select("region_id", F.array(F.concat(F.lit("g"), F.col("ord") % 3)).alias("groups"), F.when(F.col("ord") % 2 == 0, "configured").alias("bbox"))
+    return status.root_summary(built, stats).withColumn("groups", F.array_join("groups", ","))
 
 
 @query(FLAGS + " SELECT region_id, NOT ib AS needs_build, built IS NOT NULL AND NOT coalesce(built = uploaded, false) AS needs_upload FROM f")
@@ -666,13 +732,13 @@ def fingerprints(spark, d):
     return o.select(c("o_orderkey").alias("source_id"), X.fingerprint(status=c("o_orderstatus"), key=X.job_key(c("o_orderkey"), F.lit(None).cast("long")), date=F.unix_seconds(F.to_timestamp("o_orderdate"))).alias("fingerprint"), X.shard_fingerprint(content, F.lit("b1")).alias("shard"))
 
 
-@query(with_views("region_state") + """ SELECT region_id, profile, sha256(concat('{"neighbors":["a","b"],"options":"o","source":"', sha256(concat('{"format":"f2","profile":"', profile, '","schema":1,"source":"', required, '","turn_costs":', CASE WHEN profile = 'car' THEN 'true' ELSE 'false' END, '}')), '","version":"v1"}')) AS fingerprint
+@query(with_views("region_state") + """ SELECT region_id, profile, sha256(concat('{"format":"g1","options":"o","schema":1,"source":"', sha256(concat('{"format":"f2","neighbors":["a","b"],"profile":"', profile, '","schema":1,"source":"', required, '","turn_costs":', CASE WHEN profile = 'car' THEN 'true' ELSE 'false' END, ',"version":"v1"}')), '","version":"v1"}')) AS fingerprint
 FROM region_state, (SELECT unnest(['car', 'bike', 'foot']) AS profile)""")
 def road_fingerprints(spark, d):
     _, profiles, _ = _roads(spark, d)
-    source = X.road_source_fingerprint(F.lit(1), F.lit("f2"), F.col("required"), F.col("profile"), F.col("profile") == "car")
+    source = X.road_source_fingerprint(F.lit(1), F.lit("f2"), F.col("required"), F.col("profile"), F.col("profile") == "car", F.array(F.lit("b"), F.lit("a")), F.lit("v1"))
     rows = view(spark, d, "region_state").crossJoin(profiles)
-    return rows.select("region_id", "profile", X.road_index_fingerprint(source, F.array(F.lit("b"), F.lit("a")), F.lit("v1"), F.lit("o")).alias("fingerprint"))
+    return rows.select("region_id", "profile", X.road_index_fingerprint(F.lit(1), F.lit("g1"), source, F.lit("v1"), F.lit("o")).alias("fingerprint"))
 
 
 @query("""SELECT o_orderkey AS region_id, array_to_string(list_filter([CASE WHEN o_orderstatus = 'P' THEN 'schema' END, CASE WHEN o_totalprice < 50000 THEN 'documents' END, CASE WHEN o_custkey % 3 = 0 THEN 'source' END, CASE WHEN o_custkey % 5 = 0 THEN 'output' END], lambda x: x IS NOT NULL), ',') AS reasons,
@@ -693,20 +759,19 @@ def source_versions(spark, d):
     return o.select(c("o_orderkey").alias("source_id"), F.unix_seconds(X.http_date(http)).alias("modified"), X.source_metadata(license=c("o_orderpriority"), attribution=F.lit(" "), url=F.lit(None)).alias("metadata"))
 
 
-@query(with_views("place_regions") + """, x AS (SELECT string_agg(concat_ws('|', region_id, min_lat::BIGINT, min_lon::BIGINT, max_lat::BIGINT, max_lon::BIGINT, country_code, subdivision_code), ';' ORDER BY region_id) AS s FROM place_regions)
-SELECT sha256(concat('1:events:', sha256(s))) AS identity FROM x""")
+@query(with_views("place_regions") + f" SELECT sha256(concat('1:events:', {digest_sql("concat_ws(';', region_id, concat_ws('|', region_id, min_lat::BIGINT, min_lon::BIGINT, max_lat::BIGINT, max_lon::BIGINT, country_code, subdivision_code))")})) AS identity FROM place_regions")
 def partition_identity(spark, d):
     r = view(spark, d, "place_regions")
     whole = r.select("region_id", *(F.col(c).cast("long").alias(c) for c in ("min_lat", "min_lon", "max_lat", "max_lon")), "country_code", "subdivision_code")
     return identity.partition_identity("events", 1, whole)
 
 
-@query(FLAGS + ", x AS (SELECT string_agg(concat_ws('=', region_id, required), ';' ORDER BY region_id) AS s FROM region_state) SELECT sha256(concat('3:', sha256(s))) AS fingerprint FROM x")
+@query(FLAGS + f" SELECT sha256(concat('3:', {digest_sql("concat_ws(';', region_id, concat_ws('=', region_id, required))")})) AS fingerprint FROM region_state")
 def routing_fingerprint(spark, d):
     return identity.routing_fingerprint(view(spark, d, "region_state").select("region_id", F.col("required").alias("content")), 3)
 
 
-@query("SELECT n_nationkey AS region_id, sha256(string_agg(concat('s', s_suppkey, '=', s_name), ';' ORDER BY s_suppkey)) AS identity FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY n_nationkey")
+@query(f"SELECT n_nationkey AS region_id, {digest_sql("concat_ws(';', s_suppkey, concat('s', s_suppkey, '=', s_name))")} AS identity FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY n_nationkey")
 def region_source_identity(spark, d):
     s, n = spark.read.parquet(f"{d}/supplier.parquet"), spark.read.parquet(f"{d}/nation.parquet")
     return identity.region_source_identity(s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_nationkey").alias("region_id"), F.col("s_suppkey").alias("ord"), F.concat(F.lit("s"), "s_suppkey").alias("source_id"), F.col("s_name").alias("identity")))
@@ -745,3 +810,132 @@ def counters_stream(spark, d):
     at = new_path(spark, "counters")
     start_counters_stream(_stream(spark, d), "kind", f"{at}/out", f"{at}/checkpoint").awaitTermination()
     return latest_counters(spark, f"{at}/out").select("kind", "n")
+
+
+@query("""WITH e AS (SELECT concat('o', user_id) AS path, epoch_us(ts) // 1000 AS t, event_type = 'purchase' AS used FROM events), u AS (SELECT path, max(t) FILTER (WHERE used) AS last_used, max(t) AS last FROM e GROUP BY path),
+f AS (SELECT e.path, min(t) AS first FROM e JOIN u USING (path) WHERE NOT used AND (last_used IS NULL OR t > last_used) GROUP BY e.path)
+SELECT path, first AS first_seen_ms, last AS last_seen_ms, last - first >= 7 * 86400000 AS eligible FROM f JOIN u USING (path)""")
+def grace_stream(spark, d):
+    """Events as listings of objects, by user; a purchase is a reference."""
+    at = new_path(spark, "grace")
+    events = spark.read.parquet(f"{d}/events.parquet")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "*events*.parquet").parquet(d)
+    listings = stream.select(F.concat(F.lit("o"), "user_id").alias("path"), F.unix_millis(F.col("ts").cast("timestamp")).alias("seen_ms"), (F.col("event_type") == "purchase").alias("referenced"))
+    write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{at}/out/batch_id={n}")
+    partition.grace_stream(listings).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    found = read_partitions(spark, f"{at}/out")
+    return found.groupBy("path").agg(F.max_by(F.struct("first_seen_ms", "last_seen_ms", "eligible"), "batch_id").alias("s")).select("path", "s.*")
+
+
+ADDRESS_ROWS = with_views("addresses")
+
+
+@query(ADDRESS_ROWS + " SELECT concat('a', addr_id) AS id, trim(country) AS country, postcode, street, house_number, lat, lon FROM addresses")
+def delimited_addresses(spark, d):
+    """Customers as a file of semicolons, read by column numbers; the country comes from a default where it is blank."""
+    at = new_path(spark, "delimited")
+    a = view(spark, d, "addresses")
+    a.select(F.concat(F.lit("a"), "addr_id"), F.when(F.trim("country") == "us", "").otherwise(F.col("country")), "postcode", "street", "house_number", "lat", "lon").write.csv(at, sep=";")
+    fields = ["id", "country", "postcode", "street", "house_number", "lat", "lon"]
+    return readers.read_delimited_addresses(spark, at, {f: i for i, f in enumerate(fields)}, sep=";", defaults={"country": "us"}).select(fields)
+
+
+@query(ADDRESS_ROWS + " SELECT concat('ca/qc/addresses/city/', addr_id) AS id, 'CA' AS country, postcode, street, house_number, lat, lon, 'sources/ca/qc.json' AS url FROM addresses WHERE addr_id % 5 <> 0")
+def geojson_addresses(spark, d):
+    """Customers as newline GeoJSON; lines and points without coordinates are dropped."""
+    at = new_path(spark, "geojson")
+    a = view(spark, d, "addresses")
+    point = F.struct(F.when(F.col("addr_id") % 10 == 5, "LineString").otherwise("Point").alias("type"), F.when(F.col("addr_id") % 10 != 0, F.array("lon", "lat")).otherwise(F.array("lon")).alias("coordinates"))
+    properties = F.struct(F.col("addr_id").cast("string").alias("hash"), F.col("house_number").alias("number"), "street", "postcode")
+    a.select(F.to_json(F.struct(F.lit("Feature").alias("type"), properties.alias("properties"), point.alias("geometry")))).write.text(at)
+    return readers.read_geojson_addresses(spark, at, "ca/qc", "addresses", "city").select("id", "country", "postcode", "street", "house_number", "lat", "lon", "url")
+
+
+@query(DIFF + " SELECT 'snapshot' AS kind, concat('d', seq) AS doc_id, raw FROM snapshot_lines UNION ALL SELECT 'delta', doc_id, raw FROM diff WHERE change IN ('changed', 'added')")
+def corpus_files(spark, d):
+    """A snapshot and a delta written as lines and read again."""
+    at = new_path(spark, "corpus")
+    snapshot = readers.read_corpus(spark, writers.write_snapshot(view(spark, d, "snapshot_lines"), at, "1"))
+    writers.write_delta(delta.delta_lines(_diff(spark, d)), f"{at}/delta")
+    return snapshot.withColumn("kind", F.lit("snapshot")).unionByName(readers.read_corpus(spark, f"{at}/delta").withColumn("kind", F.lit("delta"))).select("kind", "doc_id", "raw")
+
+
+@query(with_views("place_regions") + " SELECT region_id, min_lat, min_lon, max_lat, max_lon, country_code AS codes, k <> 7 AS road_indexes FROM place_regions")
+def region_files(spark, d):
+    """Regions as a JSON array; ids come from paths."""
+    at = new_path(spark, "regions")
+    r = view(spark, d, "place_regions")
+    row = F.struct(F.concat(F.lit("x/"), "region_id").alias("path"), F.array("min_lat", "min_lon", "max_lat", "max_lon").alias("bbox"), F.array(F.lower("country_code")).alias("countryCodes"), F.when(F.col("k") == 7, False).alias("roadIndexes"))
+    r.agg(F.to_json(F.collect_list(row)).alias("value")).write.text(at)
+    return readers.read_regions(spark, at).select("region_id", *spatial.BOX, F.array_join("country_codes", ",").alias("codes"), "road_indexes")
+
+
+@query(with_views("place_regions") + " SELECT region_id AS id, min_lat, min_lon, max_lat, max_lon FROM place_regions")
+def feature_coverage(spark, d):
+    """Region features as polygons; their boxes again from the positions. A box over the antimeridian has a position on its far side."""
+    at = new_path(spark, "features")
+    r = view(spark, d, "place_regions")
+    at_ = lambda lon, lat: F.array(F.col(lon) if isinstance(lon, str) else lon, F.col(lat))
+    # Between both ends, so that the largest gap is outside.
+    width = F.when(F.col("max_lon") < F.col("min_lon"), F.col("max_lon") - F.col("min_lon") + 360).otherwise(F.col("max_lon") - F.col("min_lon"))
+    middle = X.normalize_lon(F.col("min_lon") + width / 2)
+    ring = F.array(at_("min_lon", "min_lat"), at_(middle, "min_lat"), at_("max_lon", "min_lat"), at_("max_lon", "max_lat"), at_("min_lon", "max_lat"), at_("min_lon", "min_lat"))
+    geometry = F.when(F.col("k") % 2 == 0, F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))).otherwise(F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.array(F.array(ring)).alias("coordinates"))))
+    feature = F.concat(F.lit('{"properties":{"id":"'), "region_id", F.lit('"},"geometry":'), geometry, F.lit("}"))
+    r.agg(F.concat(F.lit('{"features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("value")).write.text(at)
+    return spatial.coverage_bbox(spatial.geometry_positions(readers.read_region_features(spark, at), "id"), "id")
+
+
+@query("SELECT DISTINCT concat(o_orderkey % 50, '-live.bin') AS value FROM orders")
+def manifest_files(spark, d):
+    """Names from orders written as one JSON document, found in a listing by its size, and read as a manifest; the names of binary files in it."""
+    at = new_path(spark, "manifests")
+    names = spark.read.parquet(f"{d}/orders.parquet").select(F.concat(F.col("o_orderkey") % 50, F.lit("-live.bin")).alias("name"))
+    writers.write_document(names.agg(F.array_sort(F.collect_set("name")).alias("packs")), at)
+    listed = readers.read_object_listing(spark, at).where("size > 0").select(X.basename(F.col("path")).alias("file"))
+    read = readers.read_manifests(spark, at)
+    whole = read.join(listed, X.basename(read["doc"]) == listed["file"], "left_semi")
+    return gc.manifest_protections(whole).where("kind = 'basename'").select("value")
+
+
+@query(FLAGS + " SELECT region_id, docs, built FROM f WHERE ord % 2 = 0")
+def state_table(spark, d):
+    """The state saved twice; the latest version is what is read."""
+    at = new_path(spark, "state")
+    s = view(spark, d, "region_state").select("region_id", "docs", "built", "ord")
+    for version, rows in enumerate((s, s.where("ord % 2 = 0"))):
+        writers.save_state(rows.drop("ord"), at, version)
+    return writers.load_state(spark, at, "region_id string, docs long, built string").select("region_id", F.col("docs").cast("int").alias("docs"), "built")
+
+
+@query("SELECT unnest(['forced', 'missing', 'regions', 'drift', 'none']) AS reason")
+def stats_reasons(spark, d):
+    """Totals of documents against those of some sources, with the regions of both."""
+    c = view(spark, d, "corpus")
+    own, less = c.select("region_id").distinct(), c.where("region_id <> 'en'").select("region_id").distinct()
+    n, old = c.agg(F.count("*").alias("total")), c.where("doc_id % 2 = 0").agg(F.count("*").alias("old_total"))
+    same = n.withColumn("old_total", F.col("total"))
+    of = lambda stats, totals, forced: delta.stats_reasons(own, stats, totals.withColumn("forced", F.lit(forced)))
+    all_ = [of(own, same, True), of(own.limit(0), same, False), of(less, same, False), of(own, n.join(old), False), of(own, same, False)]
+    out = all_[0]
+    for x in all_[1:]:
+        out = out.unionByName(x)
+    return out.select(F.coalesce("reason", F.lit("none")).alias("reason"))
+
+
+@query("SELECT o_custkey AS region_id, coalesce(sum(o_orderkey % 7) FILTER (WHERE o_orderkey > b), 0)::BIGINT AS deleted_pending FROM (SELECT *, coalesce(max(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) OVER (PARTITION BY o_custkey), -1) AS b FROM orders) GROUP BY o_custkey")
+def deleted_pending(spark, d):
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    return delta.deleted_pending(o.select(F.col("o_custkey").alias("region_id"), F.col("o_orderkey").alias("generation"), (F.col("o_orderstatus") == "F").alias("full"), (F.col("o_orderkey") % 7).cast("long").alias("deleted")))
+
+
+@query("SELECT o_orderkey AS source_id, least(8, greatest(1, ceil(floor(o_totalprice * 10000) / 536870912)))::INTEGER AS partitions FROM orders")
+def road_partitions(spark, d):
+    return spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("source_id"), X.road_partitions(F.floor(F.col("o_totalprice") * 10000)).alias("partitions"))
+
+
+@query(ADDRESS_ROWS + " SELECT addr_id, upper(trim(country)) AS country FROM addresses WHERE lat > 42 AND addr_id % 3 <> 0")
+def normalized_addresses(spark, d):
+    """Records after a normaliser and a predicate of the caller's."""
+    own = lambda rows: rows.where("lat > 42").withColumn("country", F.upper(X.clean(F.col("country"))))
+    return enrich.normalized(view(spark, d, "addresses"), own, lambda rows: F.col("addr_id") % 3 != 0).select("addr_id", "country")

@@ -43,8 +43,9 @@ def read_geojson_addresses(spark: SparkSession, path: str, source: str, layer: s
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """(seq, doc_id, raw) of JSON lines, plain or gzip; seq follows the order of files and lines."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("seq"), line_id(F.col("value")).alias("doc_id"), F.col("value").alias("raw"))
+    """(seq, doc_id, raw) of JSON lines, plain or gzip. seq (file, part, line) follows the order of file names and of lines, whatever order tasks read files in."""
+    lines = spark.read.text(path).select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"))
+    return lines.select(F.struct("file", "part", F.monotonically_increasing_id().alias("line")).alias("seq"), line_id(F.col("value")).alias("doc_id"), F.col("value").alias("raw"))
 
 
 def read_regions(spark: SparkSession, path: str, ids: list[str] | None = None) -> DataFrame:

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_region_partitions(routed: DataFrame, path: str, spread: int = 8) -> None:
-    """Gzip JSON lines below region_id=...; a record of several regions is written once for each. A large region is dealt to `spread` files."""
-    routed.repartition("region_id", F.pmod(F.xxhash64(*[c for c in routed.columns if c != "region_id"]), F.lit(spread))).write.mode("overwrite").partitionBy("region_id").option("compression", "gzip").json(path)
+def write_region_partitions(routed: DataFrame, path: str, rows: int = 1_000_000) -> None:
+    """Gzip JSON lines below region_id=...; a record of several regions is written once for each. A region has a file for each `rows` records, so none is written by one task alone."""
+    # One row for each region.
+    files = routed.groupBy("region_id").agg(F.ceil(F.count("*") / rows).cast("int").alias("_files"))
+    dealt = routed.join(F.broadcast(files), "region_id").withColumn("_file", F.pmod(F.xxhash64(*[c for c in routed.columns if c != "region_id"]), F.col("_files")))
+    dealt.repartition("region_id", "_file").drop("_files", "_file").write.mode("overwrite").partitionBy("region_id").option("compression", "gzip").json(path)
 
 
 def write_snapshot(corpus: DataFrame, root: str, version: str) -> str:

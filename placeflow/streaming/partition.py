@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from placeflow.operators.spatial import route_points
+from placeflow.operators.spatial import routed
 
 
 def start_partition_stream(points: DataFrame, regions: DataFrame, out: str, checkpoint: str):
-    """Route a stream of points and write each batch under its own batch_id; a batch that is run again replaces what it wrote, so rows are there once."""
+    """Route a stream of points and write them by batch_id, then by region, in order of their ids.
+
+    A batch that is run again replaces what it wrote, so rows are there once; readers take a region's batches in order.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed = route_points(batch, regions)
-        batch.join(routed, "point_id").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        routed(batch, regions).repartition("region_id").sortWithinPartitions("region_id", "point_id").write.mode("overwrite").partitionBy("region_id").parquet(f"{out}/batch_id={batch_id}")
 
     return points.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -44,14 +46,13 @@ def latest_counters(spark: SparkSession, out: str) -> DataFrame:
 def _grace(days: float):
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         """first_seen is kept while an object stays unreferenced; a reference forgets it."""
-        rows = pd.concat(list(frames)).sort_values("seen_ms")
-        first = state.get[0] if state.exists else None
-        for r in rows.itertuples():
-            if r.referenced:
-                first = None
-            elif first is None:
-                first = int(r.seen_ms)
-        last = int(rows.seen_ms.iloc[-1])
+        rows = pd.concat(list(frames))
+        used = rows.seen_ms[rows.referenced].max()
+        unused = rows.seen_ms[~rows.referenced & ~(rows.seen_ms <= used)]
+        first = state.get[0] if state.exists and pd.isna(used) else None
+        if first is None and len(unused):
+            first = int(unused.min())
+        last = int(rows.seen_ms.max())
         if first is None:
             if state.exists:
                 state.remove()

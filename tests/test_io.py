@@ -41,7 +41,8 @@ def test_corpus_snapshot_delta_and_state(spark, tmp_path):
     path = writers.write_snapshot(lines, f"{tmp_path}/snap", "1")
     back = readers.read_corpus(spark, path)
     assert sorted(r.doc_id for r in back.collect()) == sorted(f"d{i}" for i in range(50))
-    writers.write_delta(delta_lines(corpus_diff(back.where("doc_id <> 'd7'"), lines)), f"{tmp_path}/delta")
+    fresh = readers.read_corpus(spark, writers.write_snapshot(lines, f"{tmp_path}/fresh", "1"))
+    writers.write_delta(delta_lines(corpus_diff(back.where("doc_id <> 'd7'"), fresh)), f"{tmp_path}/delta")
     assert [r.value for r in spark.read.text(f"{tmp_path}/delta").collect()] == ['{"id":"d7"}']
     assert writers.load_state(spark, f"{tmp_path}/state", "a int").count() == 0
     for v in (1, 2):
@@ -51,6 +52,27 @@ def test_corpus_snapshot_delta_and_state(spark, tmp_path):
     assert json.loads(spark.read.text(f"{tmp_path}/doc").first().value) == {"a": 1, "b": "x"}
 
 
+def test_order_of_files(spark, tmp_path):
+    """Lines follow the names of files, although tasks read large files first; so the first and last lines of an id are right."""
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "1.jsonl").write_text('{"id":"a","n":1}\n')
+    (tmp_path / "c" / "2.jsonl").write_text("".join(f'{{"id":"x{i}"}}\n' for i in range(5000)) + '{"id":"a","n":2}\n')
+    (tmp_path / "c" / "3.jsonl").write_text('{"id":"a","n":3}\n')
+    rows = readers.read_corpus(spark, f"{tmp_path}/c").orderBy("seq").collect()
+    assert [r.doc_id for r in rows] == ["a", *(f"x{i}" for i in range(5000)), "a", "a"]
+    diff = corpus_diff(readers.read_corpus(spark, f"{tmp_path}/c/3.jsonl"), readers.read_corpus(spark, f"{tmp_path}/c")).where("doc_id = 'a'").orderBy("seq").collect()
+    assert [(r.raw[-2], r.change) for r in diff] == [("1", "changed"), ("2", "added"), ("3", "added")]
+
+
+def test_partitions_by_rows(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "case when id < 90 then 'big' else 'small' end as region_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # which joins small files
+    writers.write_region_partitions(rows, f"{tmp_path}/p", rows=30)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = lambda r: len(list((tmp_path / "p" / f"region_id={r}").glob("*.json.gz")))
+    assert files("small") == 1 and 1 < files("big") <= 3 and spark.read.json(f"{tmp_path}/p").count() == 100
+
+
 def test_listing_and_manifests(spark, tmp_path):
     (tmp_path / "m" / "sub").mkdir(parents=True)
     (tmp_path / "m" / "sub" / "a.json").write_text('{"k": ["x.bin"]}')

@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
-from placeflow.operators import delta, enrich, gc, regions, roads, search, spatial
+from placeflow.operators import delta, enrich, gc, regions, roads, search, spatial, status
 
 REGION = "region_id string, min_lat double, min_lon double, max_lat double, max_lon double, country_code string, subdivision_code string"
 POINT = "point_id long, lat double, lon double, country string, state string"
@@ -29,10 +29,23 @@ def test_overlaps_and_dateline(spark):
     assert routed(spark, points, rows) == {1: ["overlap", "west"], 2: ["dateline"], 3: ["dateline"], 4: [], 5: [], 6: [], 7: []}
 
 
-def test_tie_breaks(spark):
+def test_tie_breaks(spark, monkeypatch):
     rows = [("quebec", 44.0, -80.0, 63.0, -57.0, "CA", "CA-QC"), ("ontario", 41.0, -96.0, 57.0, -74.0, "CA", "CA-ON"), ("vermont", 42.7, -73.5, 45.1, -71.4, "US", "US-VT")]
-    points = [(1, 45.0, -74.5, "", ""), (2, 45.0, -74.5, "CA", "QC"), (3, 45.0, -74.5, "ca ", "ON"), (4, 45.0, -73.4, "US", "VT"), (5, 45.0, -73.4, "Canada", "Quebec"), (6, 46.0, -60.0, "US", "")]
-    assert routed(spark, points, rows) == {1: ["ontario", "quebec"], 2: ["quebec"], 3: ["ontario"], 4: ["vermont"], 5: ["quebec", "vermont"], 6: ["quebec"]}
+    points = [(1, 45.0, -74.5, "", ""), (2, 45.0, -74.5, "CA", "QC"), (3, 45.0, -74.5, "ca ", "ON"), (4, 45.0, -73.4, "US", "VT"), (5, 45.0, -73.4, "Canada", "Quebec"), (6, 46.0, -60.0, "US", ""), (7, 45.0, -74.5, "Canada", "CA-QC")]
+    want = {1: ["ontario", "quebec"], 2: ["quebec"], 3: ["ontario"], 4: ["vermont"], 5: ["quebec", "vermont"], 6: ["quebec"], 7: ["ontario", "quebec"]}
+    assert routed(spark, points, rows) == want
+    # The same with the cells too many to be sent to all tasks.
+    monkeypatch.setattr(spatial, "BROADCAST_CELLS", 0)
+    assert routed(spark, points, rows) == want
+
+
+def test_several_codes_and_shared_ids(spark):
+    """Regions as their reader gives them, with arrays of codes; rows that share an id are routed each by itself."""
+    box = "min_lat double, min_lon double, max_lat double, max_lon double"
+    r = spark.createDataFrame([("gb", 40.0, -80.0, 50.0, -70.0, ["GB", "IM"], []), ("ie", 40.0, -80.0, 50.0, -70.0, ["IE"], ["IE-D", "IE-C"]), ("both", 40.0, -80.0, 50.0, -70.0, ["IE", "GB"], ["GB-NIR"]), ("none", 40.0, -80.0, 50.0, -70.0, None, None)], f"region_id string, {box}, country_codes array<string>, subdivision_codes array<string>")
+    p = spark.createDataFrame([(1, 45.0, -75.0, "im", ""), (1, 45.0, -75.0, "IE", "c"), (2, 45.0, -75.0, "GB", "NIR"), (3, 45.0, -75.0, "FR", "x"), (4, 45.0, -75.0, "IE", "zz")], POINT)
+    got = spatial.routed(p, r).groupBy("point_id", "country").agg(F.array_sort(F.collect_list("region_id")).alias("r")).collect()
+    assert {(x.point_id, x.country): x.r for x in got} == {(1, "im"): ["gb"], (1, "IE"): ["ie"], (2, "GB"): ["both"], (3, "FR"): ["none"], (4, "IE"): ["both", "ie"]}
 
 
 def test_synthetic_routing_has_no_amplification(spark):
@@ -136,7 +149,8 @@ def test_garbage(spark):
     body = {"root": {"file": "authority/root.json"}, "hot_prefixes": 2048, "pages": "pages/", "tables": [{"pack": "new.bin.gz"}], "docs": "docs/packs/live.bin", "bad": "../up.bin", "word_path": "words/"}
     m = spark.createDataFrame([("m", "shards/a", json.dumps(body))], "doc string, base string, j string").select("doc", "base", F.parse_json("j").alias("body"))
     p = gc.manifest_protections(m)
-    assert {tuple(r) for r in p.collect()} == {("basename", "new.bin.gz"), ("basename", "live.bin"), ("path", "shards/a/docs/packs/live.bin"), ("prefix", "shards/a/pages/"), ("prefix", "shards/a/words/"), ("prefix", "shards/a/authority/hot/")}
+    # A binary file at an unsafe path keeps its name, and a manifest protects itself.
+    assert {tuple(r) for r in p.collect()} == {("path", "m"), ("basename", "up.bin"), ("basename", "new.bin.gz"), ("basename", "live.bin"), ("path", "shards/a/docs/packs/live.bin"), ("prefix", "shards/a/pages/"), ("prefix", "shards/a/words/"), ("prefix", "shards/a/authority/hot/")}
     o = spark.createDataFrame([(x, 10) for x in ("x/new.bin.gz", "shards/a/docs/packs/live.bin", "shards/a/pages/1.bin", "docs/packs/old.bin", "docs/packs/older.bin", "a.json")], "path string, size long")
     before = spark.createDataFrame([("docs/packs/old.bin", "2026-01-01 00:00:00"), ("docs/packs/older.bin", "soon"), ("x/new.bin.gz", "2026-01-01 00:00:00")], "path string, first_seen string")
     now = F.lit("2026-01-08 00:00:01").cast("timestamp")
@@ -144,7 +158,7 @@ def test_garbage(spark):
     assert {r.path: r.eligible for r in c.collect()} == {"docs/packs/old.bin": True, "docs/packs/older.bin": False}
     assert gc.gc_summary(o, p, c).first().asDict() == dict(immutable_objects=5, immutable_bytes=50, protected_objects=3, protected_bytes=30, pending_objects=1, pending_bytes=10, eligible_objects=1, eligible_bytes=10)
     bases = spark.createDataFrame([("routes/car/a/",), ("routes/../unsafe/",), ("../x/",), ("other/",)], "base string")
-    assert [r.value for r in gc.catalog_protections(bases).collect()] == ["routes/car/a/"]
+    assert sorted(r.value for r in gc.catalog_protections(bases).collect()) == ["routes/car/a/", "routes/catalog.json"]
 
 
 def test_nested_protections(spark):
@@ -164,9 +178,74 @@ def test_nested_protections(spark):
     assert ("path", "shards/deep/deep/last.bin") in got
 
 
+def test_live_references_hold_objects(spark):
+    """The rules on live objects, on literal manifests."""
+    bodies = [
+        ("shards/quebec/manifest.min.json", {"directory": {"root": "terms/directory-root.abc.bin.gz", "pages": "terms/directory-pages/", "pack_table": ["0000.current.bin.gz"]}, "docs": {"pointers": {"file": "docs/pointers/current.bin"}}}),
+        ("shards/quebec/manifest.gen0000.min.json", {"authority": {"autocomplete": {"hot_prefixes": "1330", "directory": {"file": "authority/lexicon-root.current.bin.gz"}, "root": {"file": "elsewhere/root.bin"}}}}),
+        ("manifest.min.json", {"suggest_routing": {"authority": {"autocomplete": {"hot_prefixes": 2048, "root": {"file": "top.bin.gz"}}}}}),
+    ]
+    m = spark.createDataFrame([(d, d.rpartition("/")[0], json.dumps(b)) for d, b in bodies], "doc string, base string, j string").select("doc", "base", F.parse_json("j").alias("body"))
+    routes = gc.catalog_protections(spark.createDataFrame([("routes/car/quebec",), ("routes/bike/ontario/",), ("../unsafe/",), ("routes/catalog.json",)], "base string"))
+    live = ["shards/quebec/terms/directory-root.abc.bin.gz", "shards/quebec/terms/packs/0000.current.bin.gz", "shards/quebec/terms/directory-pages/0000.bin.gz", "shards/quebec/docs/pointers/current.bin", "shards/quebec/authority/hot/live.bin.gz", "hot/live.bin.gz", "routes/car/quebec/shards/00/pack.live.bin", "routes/bike/ontario/root.live.bin.gz", "shards/quebec/manifest.min.json", "manifest.min.json", "routes/catalog.json"]
+    dead = ["shards/quebec/docs/packs/old.bin", "shards/quebec/gen-0001/authority/hot/old.bin.gz", "shards/quebec/elsewhere/hot/old.bin", "routes/car/alberta/root.old.bin.gz", "unsafe/object.bin", "shards/quebec/manifest.json"]
+    o = spark.createDataFrame([(p, 1) for p in live + dead], "path string, size long")
+    assert sorted(r.path for r in gc.protected_objects(o, gc.manifest_protections(m).union(routes)).collect()) == sorted(live)
+
+
 def test_generation_manifests(spark):
-    d = spark.createDataFrame([("shards/a", "gen-1/m.json"), ("shards/a", "shards/a/gen-1/m.json"), ("shards/a", "../m.json"), ("shards/a", None)], "b string, p string")
-    assert [r[0] for r in d.select(X.generation_manifest_path(F.col("b"), F.col("p"))).collect()] == ["shards/a/gen-1/m.json", "shards/a/gen-1/m.json", None, None]
+    rows = [("shards/quebec/", "gen-0001/", "gen-0001/manifest.min.json"), ("shards/quebec/", "gen-0001/", "manifest.min.json"), ("shards/quebec/", "../other/", "manifest.min.json"), ("shards/quebec/", "gen-0001/", None), ("shards/quebec/", "", "a/m.json"), ("shards/quebec", None, None), ("shards/quebec", "gen-1/", "../m.json")]
+    d = spark.createDataFrame(rows, "b string, p string, m string")
+    assert [r[0] for r in d.select(X.generation_manifest_path(F.col("b"), F.col("p"), F.col("m"))).collect()] == ["shards/quebec/gen-0001/manifest.min.json"] * 2 + [None, "shards/quebec/gen-0001/manifest.min.json", "shards/quebec/a/m.json", "shards/quebec/manifest.min.json", None]
+
+
+def test_keep_set(spark):
+    g = "base string, id_map string, generations array<struct<path:string,manifest:string,id_map:string>>"
+    rows = [("s/a", "ids.bin", [("gen-1/", "gen-1/manifest.min.json", "ids.bin"), ("./gen-2", "x.min.json", None)]), ("s/b", None, None)]
+    got = sorted(r.path for r in gc.shard_keep_paths(spark.createDataFrame(rows, g)).collect())
+    root = ["manifest.full.json", "manifest.json", "manifest.min.json"]
+    assert got == sorted([f"s/{x}/{n}" for x in "ab" for n in root] + ["s/a/ids.bin", "s/a/gen-1/ids.bin", "s/a/x.min.json", "s/a/x.json"] + [f"s/a/gen-{i}/{n}" for i in (1, 2) for n in ("manifest.json", "manifest.min.json")])
+
+
+def test_publish_ranks(spark):
+    paths = ["_build/x.json", "a/_build/x.bin", "tmp/x", "manifest.min.json", "gen-1/manifest.full.json", "manifest.gen.json", "manifest.json.gz"]
+    d = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in d.select(X.publish_rank(F.col("p"))).collect()] == [0, 1, 1, 3, 2, 2, 1]
+
+
+def test_status(spark):
+    state = spark.createDataFrame([("a", True, "f", True, "f", 5, 1), ("b", True, "f", False, "f", 7, 2), ("c", True, "g", True, "f", 9, 3)], "region_id string, acquired boolean, built string, has_manifest boolean, uploaded string, docs long, modified long")
+    run = lambda s: spark.createDataFrame([(s,)], "status string")
+    got = status.status_snapshot(state, state.drop("docs"), run("running")).first().asDict()
+    assert got == dict(regions=3, acquired=3, built=2, published=1, documents=5, data_time=1, road_built=2, road_uploaded=1, road_unavailable=1, status="running", phase="building", acquired_percent=100.0, published_percent=33.3)
+    assert status.status_snapshot(state, state.drop("docs"), run("failed")).first().phase == "failed"
+
+
+def test_words_of_all_scripts(spark):
+    d = spark.createDataFrame([("L'été à Zürich, año 2024 — Straße",)], "t string").select(X.tokens(F.col("t")))
+    assert d.first()[0] == ["l", "été", "à", "zürich", "año", "2024", "straße"]
+
+
+def test_many_lines_without_ids(spark):
+    d = lambda rows: spark.createDataFrame(rows, "seq long, raw string")
+    got = delta.corpus_diff(d([(1, "x"), (2, "y")]), d([(1, "y"), (2, "z"), (3, "y")]))
+    assert sorted((r.seq, r.change) for r in got.collect()) == [(1, "unchanged"), (2, "added"), (3, "added")]
+
+
+def test_dense_longitudes(spark):
+    """The largest gap may lie within a degree."""
+    lons = [-180 + i * 0.25 for i in range(1440)]
+    rows = [("a", 0.0, x) for x in lons if not 10 < x < 10.5] + [("b", 1.0, x) for x in lons] + [("c", 2.0, 5.0)]
+    got = {r.k: tuple(r)[1:] for r in spatial.coverage_bbox(spark.createDataFrame(rows, "k string, lat double, lon double"), "k").collect()}
+    assert got == {"a": (0.0, 10.5, 0.0, 10.0), "b": (1.0, -179.75, 1.0, -180.0), "c": (2.0, 5.0, 2.0, 5.0)}
+
+
+def test_catalog_needs_jobs(spark):
+    none = spark.createDataFrame([], "source string, layer string, name string, job long, updated long, output boolean, size long")
+    with pytest.raises(ValueError, match="no usable job"):
+        enrich.read_job_catalog(none)
+    two = spark.createDataFrame([("b", "addresses", "y", 1, 2, True, 3), ("a", "addresses", "z", 2, None, True, 3), ("a", "addresses", "x", 3, None, True, 3)], none.schema)
+    assert [(r.source, r.name) for r in enrich.read_job_catalog(two).collect()] == [("a", "x"), ("a", "z"), ("b", "y")]
 
 
 def test_vocabulary_fails_closed(spark):
@@ -235,10 +314,10 @@ def test_federation(spark):
 
 
 def test_hierarchy(spark):
-    f = spark.createDataFrame([("a", None, ["AA"]), ("b", "a", []), ("c", "b", []), ("d/e", None, []), ("d", None, ["DD"])], "id string, parent string, codes array<string>")
+    f = spark.createDataFrame([("a", None, ["AA"]), ("b", "a", []), ("c", "b", []), ("d/e", None, []), ("d", None, ["DD"]), ("d/e/f", "a", [])], "id string, parent string, codes array<string>")
     up = regions.region_ancestors(f.select("id", "parent"))
-    assert sorted(map(tuple, up.collect())) == [("b", "a", 1), ("c", "a", 2), ("c", "b", 1)]
-    assert sorted(map(tuple, regions.region_children(f).collect())) == [("a", "b"), ("b", "c"), ("d", "d/e")]
+    assert sorted(map(tuple, up.collect())) == [("b", "a", 1), ("c", "a", 2), ("c", "b", 1), ("d/e/f", "a", 1)]
+    assert sorted(map(tuple, regions.region_children(f).collect())) == [("a", "b"), ("a", "d/e/f"), ("b", "c"), ("d", "d/e"), ("d", "d/e/f"), ("d/e", "d/e/f")]
     with pytest.raises(Exception, match="no coverage"):
         regions.refresh_coverage(spark.createDataFrame([("r", "x")], "region_id string, path string"), spark.createDataFrame([], "path string, codes array<string>, min_lat double, min_lon double, max_lat double, max_lon double")).collect()
 
