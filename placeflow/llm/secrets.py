@@ -1,16 +1,19 @@
 """Secrets in texts: known shapes, and strings that a tokenizer packs badly.
 
 Known shapes are found by pattern: assignments of passwords, secrets, tokens and keys, access key ids, and
-long runs of hexadecimal digits. Further, a run of key letters with letters and digits is put through a
+long runs of hexadecimal digits. Further, a run of RUN_LEAST or more key characters is put through a
 byte-level BPE vocabulary: language and code pack well, random strings give few characters a token. Runs
-whose ratio is low are spans of kind `random`, unless they are known digests or identifiers: hexadecimal
-digests of usual lengths, UUIDs, numbers with units or dates, paths of plain words, or a value that the
-caller lists by its SHA-256, or they touch a span of a known shape.
+whose ratio is low are spans of kind `random`: at most MOST_RATIO for runs with letters and digits, and at most
+MOST_LETTERS_RATIO for letters alone, which must be LETTERS_LEAST long, or MIXED_LEAST with several changes of
+case, as long words of inflected languages pack badly too. Left out are known digests and identifiers:
+hexadecimal digests of usual lengths, UUIDs, words and numbers between marks (a word of WORD_LEAST letters must
+pack well to count as one), a value that the caller lists by its SHA-256, and what touches a known shape.
 
 Patterns run only on texts that a linear-time scan has flagged. No shuffle; whole texts are read.
 
-Null texts count as empty. Repeated rows give repeated results. Other columns are ignored. An empty table gives
-an empty table. Places are code points, ends are exclusive.
+Null texts count as empty. Repeated rows give repeated results. A very long text is a slice of its own; long runs are
+encoded in windows. Other columns are ignored. An empty table gives an empty table. Places are code points, ends
+are exclusive.
 """
 
 from __future__ import annotations
@@ -31,16 +34,20 @@ from placeflow.llm._common import parts, texts
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # AKIA[A-Z0-9]+ of 20 characters
 HEX = r"[0-9a-f]{24,}"
-RUN = r"[A-Za-z0-9+/_=-]{20,}"
+RUN_LEAST = 12
+RUN = rf"[A-Za-z0-9+/_=-]{{{RUN_LEAST},}}"
 KINDS = ("assign", "access", "hex", "random")
 BASE = KINDS[:3]
 ASSIGN_LEAST = 6
 #: Characters a token, at most, of a random string; runs are encoded in windows, so that long ones cost no more.
 MOST_RATIO, WINDOW = 2.1, 256
+MOST_LETTERS_RATIO, LETTERS_LEAST, MIXED_LEAST, WORD_LEAST = 1.7, 20, 16, 8
 
 _assign, _access, _hex, _run = re.compile(ASSIGN, re.I | re.A), re.compile(ACCESS), re.compile(HEX), re.compile(RUN)
 _digest = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z", re.I)
 _uuid = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\Z", re.I)
+_letter, _figure, _change, _marks = re.compile("[A-Za-z]"), re.compile("[0-9]"), re.compile("[a-z][A-Z]"), re.compile(r"[-_/=+]")
+_word = re.compile(r"([A-Z]?[a-z]+|[A-Z]+)?[0-9]{0,8}")
 _MAY_ASSIGN = r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
 
 
@@ -58,12 +65,25 @@ def ratio(encoder, run: str) -> float:
     return len(run) / sum(len(encoder.encode_ordinary(run[i : i + WINDOW])) for i in range(0, len(run), WINDOW))
 
 
-def identifier(run: str) -> bool:
+def identifier(run: str, encoder) -> bool:
     """Digests, UUIDs, and names made of words and numbers between marks."""
     if _digest.match(run) or _uuid.match(run):
         return True
-    words = re.split(r"[-_/=+]", run)
-    return all(re.fullmatch(r"(?:[A-Z]?[a-z]+|[A-Z]+)?[0-9]{0,8}", w) for w in words)
+    for part in _marks.split(run):
+        if not (m := _word.fullmatch(part)):
+            return False
+        if len(m[1] or "") >= WORD_LEAST and ratio(encoder, m[1]) <= MOST_RATIO:
+            return False
+    return True
+
+
+def most_ratio(run: str) -> float:
+    """The ratio up to which a run counts as random, by what it is made of; 0 for runs that never do."""
+    if not _letter.search(run):
+        return 0.0
+    if _figure.search(run):
+        return MOST_RATIO
+    return MOST_LETTERS_RATIO if len(run) >= LETTERS_LEAST or (len(run) >= MIXED_LEAST and len(_change.findall(run)) >= 3) else 0.0
 
 
 def find(text: str, encoder, known: frozenset[str] = frozenset()) -> list[tuple[int, int, int, float]]:
@@ -78,10 +98,10 @@ def find(text: str, encoder, known: frozenset[str] = frozenset()) -> list[tuple[
             reach = max(reach, base[at][1])
             at += 1
         run = m[0]
-        if reach > m.start() or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)) or identifier(run):
+        if reach > m.start() or not (limit := most_ratio(run)):
             continue
         r = ratio(encoder, run)
-        if r <= MOST_RATIO and (not known or hashlib.sha256(run.encode()).hexdigest() not in known):
+        if r <= limit and not identifier(run, encoder) and (not known or hashlib.sha256(run.encode()).hexdigest() not in known):
             spans.append((m.start(), 3, m.end(), r))
     return sorted(spans)
 
@@ -94,7 +114,7 @@ def _scan(path: str, pattern: str, known: frozenset[str]):
         for batch in batches:
             for part in parts(batch):
                 text = part.column("text")
-                may = pc.or_(pc.match_substring_regex(text, r"[A-Za-z0-9+/_=-]{20}"), pc.match_substring_regex(text, _MAY_ASSIGN))
+                may = pc.or_(pc.match_substring_regex(text, rf"[A-Za-z0-9+/_=-]{{{RUN_LEAST}}}"), pc.match_substring_regex(text, _MAY_ASSIGN))
                 out = [[]] * part.num_rows
                 for i in pc.indices_nonzero(may).to_pylist():
                     out[i] = [{"start": s, "kind": k, "end": e, "ratio": r} for s, k, e, r in find(text[i].as_py(), encoder, known)]

@@ -59,3 +59,32 @@ def test_known_values_and_empty_table(spark):
     known = hashlib.sha256(b"xK9v2LqT7mWz4RbN8cYp3HdF6s").hexdigest()
     assert find_secrets(df, PATH, PATTERN, (known,)).first().secrets == []
     assert find_secrets(df.limit(0), PATH, PATTERN).count() == 0
+
+
+def test_recall_and_precision_on_planted_keys(spark):
+    """Keys of several alphabets and lengths among prose: nine in ten are found, and nothing else is."""
+    import string
+
+    rnd = random.Random(9)
+    letters, digits = string.ascii_letters, string.digits
+    alphabets = ["0123456789abcdef", "0123456789ABCDEF", letters + digits, letters + digits + "+/", letters + digits + "-_", string.ascii_lowercase + digits, string.ascii_uppercase + "234567"]
+    prose = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 4000").select("text").collect() if r.text]
+    rows, places = [], []
+    for n in (14, 16, 18, 20, 23, 32, 48):
+        for alphabet in alphabets:
+            for _ in range(8):
+                key = "".join(rnd.choice(alphabet) for _ in range(n))
+                before = rnd.choice(prose) + " "
+                rows.append(f"{before}{key} {rnd.choice(prose)}")
+                places.append((len(before), len(before) + n))
+    for _ in range(40):
+        key = "".join(rnd.choice(letters) for _ in range(24))
+        rows.append(f"{key}, alone")
+        places.append((0, 24))
+    got = report(spark, [*rows, *prose])
+    spans = {i: [tuple(map(int, s.split(":")[1:])) for s in got[i].spans.split(",") if s.startswith(("random", "hex"))] for i in got}
+    hit = sum(any(a < e and s < b for s, e in spans[i]) for i, (a, b) in enumerate(places))
+    assert hit >= 0.9 * len(places)
+    random_ = [(i, tuple(map(int, s.split(":")[1:]))) for i in got for s in got[i].spans.split(",") if s.startswith("random")]
+    right = sum(i < len(places) and a < places[i][1] and places[i][0] < b for i, (a, b) in random_)
+    assert right >= 0.9 * len(random_)
