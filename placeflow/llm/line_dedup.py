@@ -5,13 +5,13 @@ each task counts its own keys before the shuffle, so a line that a third of all
 for each task. Keys found in enough documents are dealt to shards. A shard is a minimal perfect hash of
 its keys (levels of bit arrays) with arrays of fingerprints, document counts and largest ids at the hash's
 places. Documents probe these arrays; lines aren't joined. If all shards fit BROADCAST_BYTES (the size is
-known from the count of keys), each document is probed as it is read. Else shards are taken in groups of
-that size, line digests of each document are probed group after group, and what is found is joined to the
-documents by id.
+known from the count of keys), each document is probed as it is read. Else line digests are dealt by shard,
+those of a shard with many to slices of about SLICE_DIGESTS, each slice is probed in a task that holds its one
+shard, and what is found is joined to the documents by id.
 
-Null or empty texts are one empty line. Repeated rows count as documents of their own; rows without an
-id count as smaller than any other. Other columns are ignored, or carried if they are named. Lines keep
-their order. An empty table gives an empty table.
+Null or empty texts are one empty line. Rows that share an id are one document, so are rows without one, whose
+id counts as smaller than any other. A very long text is a slice of its own; its lines are held at once. Other
+columns are ignored, or carried if they are named. Lines keep their order. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -30,6 +30,9 @@ from placeflow.scratch import save
 KEYS_PER_SHARD = 1 << 19
 BROADCAST_BYTES = 64 << 20
 KEY_BYTES = 20
+SLICE_DIGESTS = 1 << 20
+#: Ids (about 40 bytes each in memory) that may be sent to all tasks.
+BROADCAST_IDS = 500_000
 _LEVELS, _GAMMA = 40, 1.6
 _FIRST = -(1 << 63)
 _U = np.uint64
@@ -152,6 +155,8 @@ def _ids(batch: pa.RecordBatch) -> list[int]:
 
 
 def _count_lines(least: int):
+    """The number of rows with each key, and their largest id."""
+
     def run(batches):
         for batch in batches:
             seen: dict[bytes, list[int]] = {}
@@ -169,6 +174,19 @@ def _count_lines(least: int):
     return run
 
 
+def _pairs(least: int):
+    """Each key with each id of the rows that hold it."""
+
+    def run(batches):
+        for batch in batches:
+            for part in parts(batch):
+                pairs = {(doc, d) for doc, text in zip(_ids(part), part.column("text").cast(pa.binary()).to_pylist(), strict=True) for _, d in _digests(text, least)[1]}
+                lo, hi = _halves([d for _, d in pairs])
+                yield pa.RecordBatch.from_arrays([pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)), pa.array([doc for doc, _ in pairs], pa.int64())], ["lo", "hi", "largest"])
+
+    return run
+
+
 def _build(table: pa.Table) -> pa.Table:
     lo, hi = (table.column(c).to_numpy().view(np.uint64) for c in ("lo", "hi"))
     shard = Shard.build(lo, hi, table.column("n").to_numpy(), table.column("largest").to_numpy())
@@ -177,13 +195,24 @@ def _build(table: pa.Table) -> pa.Table:
 
 def line_index(docs: DataFrame, least_chars: int, least_docs: int) -> tuple[DataFrame, int, int]:
     """(a row for each shard, the number of shards, the number of keys) for the keys in at least least_docs documents. docs: doc_id, text."""
-    counted = docs.select("doc_id", "text").mapInArrow(_count_lines(least_chars), "lo long, hi long, n long, largest long")
+    own = docs.select("doc_id", "text")
+    # Ids of several rows: their keys are told apart by id, all others are counted row by row.
+    shared = save(own.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("key")).groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1").select("key"), "line-ids")
+    n_shared = shared.count()
+    several = None
+    if n_shared:
+        some = F.broadcast(shared) if n_shared <= BROADCAST_IDS else shared
+        keyed = own.withColumn("key", F.coalesce("doc_id", F.lit(_FIRST)))
+        several = keyed.join(some, "key", "left_semi").select("doc_id", "text")
+        own = keyed.join(some, "key", "left_anti").select("doc_id", "text")
+    counted = own.mapInArrow(_count_lines(least_chars), "lo long, hi long, n long, largest long")
+    if several is not None:
+        pairs = several.mapInArrow(_pairs(least_chars), "lo long, hi long, largest long").distinct()
+        counted = counted.unionByName(pairs.withColumn("n", F.lit(1).cast("long")))
     keys = save(counted.groupBy("lo", "hi").agg(F.sum("n").alias("n"), F.max("largest").alias("largest")).where(F.col("n") >= least_docs), "line-keys")
     n = keys.count()
     shards = max(1, math.ceil(n / KEYS_PER_SHARD))
-    # The upper half as an unsigned number, modulo the shards.
-    shard = F.expr(f"cast(pmod(pmod(shiftrightunsigned(hi, 1), {shards}) * 2 + (hi & 1), {shards}) as int)")
-    rows = keys.withColumn("shard", shard).groupBy("shard").applyInArrow(_build, _SHARD)
+    rows = keys.withColumn("shard", _shard_of(shards)).groupBy("shard").applyInArrow(_build, _SHARD)
     return save(rows, "line-shards"), shards, n
 
 
@@ -218,33 +247,40 @@ def _drop(held, index_of, least: int, more: tuple[str, ...]):
 
 
 def _hashes(least: int):
+    """The distinct keys of each document."""
+
     def run(batches):
         for batch in batches:
             for part in parts(batch):
-                found = [b"".join({x for _, x in _digests(t, least)[1]}) for t in part.column("text").cast(pa.binary()).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(_ids(part), pa.int64()), pa.array(found, pa.binary())], ["key", "digests"])
+                pairs = {(doc, d) for doc, text in zip(_ids(part), part.column("text").cast(pa.binary()).to_pylist(), strict=True) for _, d in _digests(text, least)[1]}
+                lo, hi = _halves([d for _, d in pairs])
+                yield pa.RecordBatch.from_arrays([pa.array([doc for doc, _ in pairs], pa.int64()), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64))], ["key", "lo", "hi"])
 
     return run
 
 
-def _find(index_of):
-    def run(batches):
-        index = index_of()
-        for batch in batches:
-            found = batch.column("digests").to_pylist()
-            owner = np.repeat(batch.column("key").to_numpy(), [len(x) // 16 for x in found])
-            every = np.frombuffer(b"".join(found), np.dtype("V16"))
-            counts, largest = index.probe(*_halves([b"".join(found)]))
-            gone = (counts > 0) & (owner < largest)
-            yield pa.RecordBatch.from_arrays([pa.array(owner[gone]), pa.array([x.tobytes() for x in every[gone]], pa.binary())], ["key", "digest"])
+def _probe(digests: pa.Table, shard: pa.Table) -> pa.Table:
+    """The digests of a slice that the shard drops from their documents."""
+    key = digests.column("key").to_numpy()
+    gone = np.zeros(len(key), bool)
+    if shard.num_rows and len(key):
+        lo, hi = (digests.column(c).to_numpy().view(np.uint64) for c in ("lo", "hi"))
+        counts, largest = Shard.load({c: shard.column(c)[0].as_py() for c in shard.column_names}).probe(lo, hi)
+        gone = (counts > 0) & (key < largest)
+    found = digests.filter(pa.array(gone))
+    both = np.stack([found.column(c).to_numpy() for c in ("lo", "hi")], 1).astype("<i8")
+    return pa.table([found.column("key"), pa.array([x.tobytes() for x in both], pa.binary())], names=["key", "digest"])
 
-    return run
+
+def _shard_of(shards: int):
+    """The upper half as an unsigned number, modulo the shards."""
+    return F.expr(f"cast(pmod(pmod(shiftrightunsigned(hi, 1), {shards}) * 2 + (hi & 1), {shards}) as int)")
 
 
-def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, broadcast_bytes: int = BROADCAST_BYTES, slice_digests: int = SLICE_DIGESTS) -> DataFrame:
     """doc_id, text (without the dropped lines), n_lines, n_dropped and, with carry, a struct `row` of docs' other columns.
 
-    A key of at least least_chars code points in at least least_docs documents loses its lines in all
+    A key of at least least_chars code points in at least least_docs documents (by id) loses its lines in all
     documents but the one with the largest id.
     """
     spark = docs.sparkSession
@@ -263,14 +299,15 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = 40, least_docs: int
 
     if n * KEY_BYTES <= broadcast_bytes:
         return own.mapInArrow(_drop(None, broadcast(rows), least_chars, more), schema)
-    each = max(1, broadcast_bytes // (KEY_BYTES * max(1, n // shards)))
-    hashes = save(own.mapInArrow(_hashes(least_chars), "key long, digests binary"), "line-digests")
-    found = None
-    for first in range(0, shards, each):
-        some = rows.where(F.col("shard").between(first, first + each - 1))
-        hit = save(hashes.mapInArrow(_find(broadcast(some)), "key long, digest binary"), "line-hits")
-        found = hit if found is None else found.union(hit)
+    hashes = save(own.mapInArrow(_hashes(least_chars), "key long, lo long, hi long").withColumn("shard", _shard_of(shards)), "line-digests")
+    # A row for each shard: into how many slices its digests go.
+    slices = save(hashes.groupBy("shard").agg(F.ceil(F.count("*") / slice_digests).cast("int").alias("slices")), "line-slices")
+    dealt = hashes.join(F.broadcast(slices), "shard").withColumn("slice", F.pmod(F.xxhash64("key"), F.col("slices")).cast("int"))
+    copies = rows.join(F.broadcast(slices), "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    arrays = [c for c in rows.columns if c != "shard"]
+    left = dealt.select("shard", "slice", "key", "lo", "hi").groupBy("shard", "slice")
+    found = left.cogroup(copies.select("shard", "slice", *arrays).groupBy("shard", "slice")).applyInArrow(_probe, "key long, digest binary")
     # A document's own lines only: as many as the document has.
-    lists = found.distinct().groupBy("key").agg(F.collect_list("digest").alias("gone"))
+    lists = found.groupBy("key").agg(F.collect_set("digest").alias("gone"))
     joined = own.withColumn("key", F.coalesce("doc_id", F.lit(_FIRST))).join(lists, "key", "left").drop("key")
     return joined.mapInArrow(_drop("gone", None, least_chars, more), schema)
