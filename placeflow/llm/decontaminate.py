@@ -1,23 +1,27 @@
 """Benchmark contamination by a generalised suffix automaton of the test items.
 
-The items' words are numbered; their sequences are the strings of one suffix automaton. A document's words
+The items' words are numbered; their sequences are the strings of a suffix automaton. A document's words
 are streamed through it: the state and the longest matching length say, at each word, whether the last
 `window` words stand in an item, and in which items. A word that no item has leads to the root, so only
-runs of known words are walked; hashes of all words are looked up in one array pass first, and words are
-told apart by their text. Items with fewer words than the window count as one window of all their words.
+runs of known words are walked; words are looked up by hash in one array pass, and then compared by their bytes.
+Items with fewer words than the window count as one window of all their words.
 
-The items go to the executors in blocks of at most ITEM_WORDS words, so what is broadcast has a bound; each
-block is one pass over the documents, and what several passes find is merged by document. One pass is
-enough for benchmarks of a size known today.
+Items are cut to pieces of at most BLOCK_WORDS words that overlap by a window, dealt to blocks of about that
+size, and each block's automaton is built in a task, as flat arrays in the shared folder. The arrays of PASS_WORDS
+words at most (some 40 bytes a word) are broadcast for one pass over the documents; larger benchmarks take several
+passes, and what these find is merged by document. No item goes through the driver but in these arrays.
 
 Null texts have no words and are clean. Items without words, without text or without an id match nothing;
-repeated items count once for each id. Repeated document rows give repeated results. Other columns are
-ignored, or carried if asked for. Empty tables give: no documents, no rows; no items, clean documents.
+repeated items count once for each id. Repeated document rows give repeated results. A very long text is a slice of
+its own, some 60 bytes for each word. Other columns are ignored, or carried if asked for. Empty tables give: no
+documents, no rows; no items, clean documents.
 """
 
 from __future__ import annotations
 
 import uuid
+from array import array
+from bisect import bisect_left
 from collections import deque
 
 import numpy as np
@@ -28,12 +32,13 @@ from pyspark.sql import functions as F
 from placeflow.llm._common import parts, raw, separators, word_hashes, word_spans
 from placeflow.scratch import save
 
-ITEM_WORDS = 2_000_000
+BLOCK_WORDS, PASS_WORDS = 250_000, 1_000_000
 _INSIDE = separators(keep_alnum_only=True)
-_BITS = 22
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
-class Automaton:
+class Builder:
     """Suffix automaton of several sequences of word numbers, with the items of each window."""
 
     def __init__(self, items: list[tuple[int, list[bytes]]], window: int):
@@ -59,7 +64,6 @@ class Automaton:
             if len(s) < window:
                 self.short.setdefault(self.holder(state, len(s)), {}).setdefault(len(s), set()).add(item)
                 self.shortest = min(self.shortest, len(s))
-        self.known = self._lookup()
 
     def _add(self, last: int, c: int) -> int:
         step, link, length = self.step, self.link, self.length
@@ -97,62 +101,141 @@ class Automaton:
             state = self.link[state]
         return state
 
-    def _lookup(self) -> np.ndarray:
-        """Flags by the low bits of a word's hash: false for words that no item has."""
-        flags = np.zeros(1 << _BITS, bool)
-        if self.numbers:
-            words = list(self.numbers)
-            sizes = np.array([len(w) for w in words])
-            ends = np.cumsum(sizes)
-            flags[(word_hashes(np.frombuffer(b"".join(words), np.uint8), ends - sizes, ends) & np.uint64((1 << _BITS) - 1)).astype(np.int64)] = True
-        return flags
-
-    def walk(self, words: list[bytes], first: int, hits: list[tuple[int, int]], items: set[int]) -> None:
-        """Add what a run of words matches: hits as (first, end) word numbers, items."""
-        step, link, length, window, number = self.step, self.link, self.length, self.window, self.numbers.get
-        state, size = 0, 0
-        for i, w in enumerate(words):
-            c = number(w, -1)
-            while state and c not in step[state]:
+    def arrays(self) -> dict[str, np.ndarray]:
+        """The automaton as flat arrays. Of the many states with one transition its word and end stand in arrays by state; all others are sorted pairs of state and word."""
+        n = len(self.step)
+        word, to = np.full(n, -1, np.int32), np.zeros(n, np.int32)
+        many = []
+        for state, step in enumerate(self.step):
+            if len(step) == 1 and state:
+                ((word[state], to[state]),) = step.items()
+            else:
+                many += [(state << 32 | c, end) for c, end in step.items()]
+        many.sort()
+        holder = np.full(n, -1, np.int32)
+        for state in range(1, n):
+            if self.length[state] >= self.window:
+                holder[state] = self.holder(state, self.window)
+        states = sorted(self.items)
+        windows = [(s, i) for s in states for i in sorted(self.items[s])]
+        short = [(s, size, i) for s, by in self.short.items() for size, own in by.items() for i in own]
+        names = list(self.numbers)
+        text, sizes = np.frombuffer(b"".join(names), np.uint8), np.array([len(w) for w in names], np.int64)
+        ends = np.cumsum(sizes)
+        hashes = word_hashes(text, ends - sizes, ends)
+        order = np.argsort(hashes, kind="stable")
+        return {
+            "word": word, "to": to, "keys": np.array([k for k, _ in many], np.int64), "ends": np.array([e for _, e in many], np.int32), "link": np.array(self.link, np.int32), "length": np.array(self.length, np.int32), "holder": holder,
+            "windows": np.array(windows, np.int64).reshape(-1, 2), "short": np.array(short, np.int64).reshape(-1, 3), "hashes": hashes[order], "number": order.astype(np.int32), "text": text, "stops": ends,
+        }
+
+
+_KINDS = {"word": "<i4", "to": "<i4", "keys": "<i8", "ends": "<i4", "link": "<i4", "length": "<i4", "holder": "<i4", "windows": "<i8", "short": "<i8", "hashes": "<u8", "number": "<i4", "text": "u1", "stops": "<i8"}
+
+
+class Automaton:
+    """A block's automaton, over the arrays of its Builder."""
+
+    def __init__(self, arrays: dict[str, np.ndarray], window: int):
+        self.window = window
+        flat = lambda name, code: array(code, arrays[name].tobytes())
+        self.word, self.to, self.ends, self.link, self.length, self.holder = (flat(n, "i") for n in ("word", "to", "ends", "link", "length", "holder"))
+        self.keys = flat("keys", "q")
+        self.hashes, self.number, self.text, self.stops = arrays["hashes"], arrays["number"], arrays["text"], arrays["stops"]
+        windows = arrays["windows"].reshape(-1, 2)
+        self.states, self.item_ids = flat_states(windows[:, 0]), windows[:, 1]
+        self.short: dict[int, list[tuple[int, int]]] = {}
+        self.shortest = window
+        for state, size, item in arrays["short"].reshape(-1, 3).tolist():
+            self.short.setdefault(state, []).append((size, item))
+            self.shortest = min(self.shortest, size)
+
+    def numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word, or -1; words with the hash of one here are compared byte by byte."""
+        if not len(self.hashes) or not len(starts):
+            return np.full(len(starts), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        found = self.number[at]
+        first = np.where(found > 0, self.stops[found - 1], 0)
+        size = ends - starts
+        same = (self.hashes[at] == hashes) & (self.stops[found] - first == size)
+        may = np.flatnonzero(same)
+        step = 1 << 16
+        for lo in range(0, len(may), step):
+            some = may[lo : lo + step]
+            n = size[some]
+            stops = np.cumsum(n)
+            within = np.arange(int(stops[-1])) - np.repeat(stops - n, n)
+            equal = _LOWER[data[np.repeat(starts[some], n) + within]] == self.text[np.repeat(first[some], n) + within]
+            same[some] = np.logical_and.reduceat(equal, stops - n)
+        return np.where(same, found, -1)
+
+    def items(self, state: int) -> list[int]:
+        lo = bisect_left(self.states, state)
+        return self.item_ids[lo : bisect_left(self.states, state + 1)].tolist()
+
+    def walk(self, words: list[int], first: int, hits: list[tuple[int, int]], items: set[int]) -> None:
+        """Add what a run of known words matches: hits as (first, end) word numbers, items."""
+        word, to, keys, ends, link, length, window = self.word, self.to, self.keys, self.ends, self.link, self.length, self.window
+        n = len(keys)
+        state, size, last = 0, 0, -1
+        for i, c in enumerate(words, first + 1):
+            while True:
+                if word[state] == c:
+                    state, size = to[state], size + 1
+                    break
+                if word[state] < 0:
+                    at = bisect_left(keys, state << 32 | c)
+                    if at < n and keys[at] == state << 32 | c:
+                        state, size = ends[at], size + 1
+                        break
+                if not state:
+                    size = 0
+                    break
                 state = link[state]
                 size = length[state]
-            state = step[state].get(c, 0)
-            size = size + 1 if state else 0
             if size >= window:
-                hits.append((first + i + 1 - window, first + i + 1))
-                items |= self.items.get(self.holder(state, window), set())
+                hits.append((i - window, i))
+                if (h := self.holder[state]) != last:
+                    last = h
+                    items.update(self.items(h))
             if self.short and size >= self.shortest:
                 at = state
                 while at > 0:
-                    for n, own in self.short.get(at, {}).items():
-                        if n <= size:
-                            hits.append((first + i + 1 - n, first + i + 1))
-                            items |= own
+                    for k, own in self.short.get(at, ()):
+                        if k <= size:
+                            hits.append((i - k, i))
+                            items.add(own)
                     at = link[at]
 
-    def match(self, column: pa.Array) -> list[tuple[int, list[tuple[int, int]], set[int], tuple]]:
-        """(number of words, hit ranges of words, items, (starts, ends) of the words in bytes) of each text."""
-        data, offsets = raw(column)
-        starts, ends, first = word_spans(data, offsets, _INSIDE)
-        counts = np.diff(first)
-        out = [(int(n), [], set(), None) for n in counts]
-        if not self.numbers or not len(starts):
-            return out
-        known = self.known[(word_hashes(data, starts, ends) & np.uint64((1 << _BITS) - 1)).astype(np.int64)]
-        # Runs of words that may be known, within documents.
+
+def flat_states(states: np.ndarray) -> array:
+    return array("q", states.astype("<i8").tobytes())
+
+
+def match(automata: list[Automaton], column: pa.Array) -> list[tuple[int, list[tuple[int, int]], set[int], tuple | None]]:
+    """(number of words, hit ranges of words, items, (starts, ends) of the words in bytes) of each text."""
+    data, offsets = raw(column)
+    starts, ends, first = word_spans(data, offsets, _INSIDE)
+    found: list[tuple[list, set]] = [([], set()) for _ in range(len(first) - 1)]
+    hashes = word_hashes(data, starts, ends) if automata else None
+    for automaton in automata if len(starts) else ():
+        numbers = automaton.numbers(data, starts, ends, hashes)
+        known = numbers >= 0
+        # Runs of known words, within documents.
         cut = np.zeros(len(known) + 1, bool)
         cut[1:-1] = known[1:] != known[:-1]
         cut[first] = True
         cut[0] = cut[-1] = True
         edges = np.flatnonzero(cut)
         lo, hi = edges[:-1], edges[1:]
-        runs = known[lo] & (hi - lo >= self.shortest)
+        runs = known[lo] & (hi - lo >= automaton.shortest)
         lo, hi = lo[runs], hi[runs]
         docs = np.searchsorted(first, lo, "right") - 1
         for a, b, d in zip(lo.tolist(), hi.tolist(), docs.tolist(), strict=True):
-            words = [bytes(data[s:e]).lower() for s, e in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)]
-            self.walk(words, a - int(first[d]), out[d][1], out[d][2])
-        return [(n, merged(h), i, (starts[f : f + n] - o, ends[f : f + n] - o) if h else None) for (n, h, i, _), f, o in zip(out, first.tolist(), offsets.tolist(), strict=False)]
+            automaton.walk(numbers[a:b].tolist(), a - int(first[d]), *found[d])
+    counts = np.diff(first).tolist()
+    return [(n, merged(h), i, (starts[f : f + n] - o, ends[f : f + n] - o) if h else None) for n, (h, i), f, o in zip(counts, found, first.tolist(), offsets.tolist(), strict=False)]
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -179,11 +262,11 @@ def _match(sent, window: int, more: tuple[str, ...]):
     tag = uuid.uuid4().hex
 
     def run(batches):
-        automaton = _built(sent, tag, window)
+        automata = _loaded(sent, tag, window)
         pair = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             for part in parts(batch):
-                found = automaton.match(part.column("text"))
+                found = match(automata, part.column("text"))
                 hits = [[{"first": a, "end": b} for a, b in h] for _, h, _, _ in found]
                 spans = [[{"first": int(at[0][a]), "end": int(at[1][b - 1])} for a, b in h] for _, h, _, at in found]
                 yield pa.RecordBatch.from_arrays(
@@ -197,30 +280,67 @@ def _match(sent, window: int, more: tuple[str, ...]):
 _last: deque = deque(maxlen=1)
 
 
-def _built(sent, tag: str, window: int) -> Automaton:
-    """The automaton of a broadcast block; a worker keeps the last one it built."""
+def _loaded(sent, tag: str, window: int) -> list[Automaton]:
+    """The automata of a pass; a worker keeps those that it loaded last."""
     if not _last or _last[0][0] != tag:
-        _last.append((tag, Automaton(sent.value, window)))
+        _last.append((tag, [Automaton({k: np.frombuffer(row[k], kind) for k, kind in _KINDS.items()}, window) for row in sent.value]))
     return _last[0][1]
 
 
-def item_blocks(benchmark: DataFrame, most_words: int, id_col: str, text_col: str):
-    """Lists of (item id, words), each of at most most_words words or one item."""
-    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id is not null and text is not null")
-    block: list[tuple[int, list[bytes]]] = []
+def _pieces(window: int, block_words: int):
+    """Items as pieces of lower-case words joined by spaces; pieces of one item overlap by a window less a word."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch.column("id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                words = words_of(text)
+                step = max(1, block_words)
+                for lo in range(0, max(1, len(words) - window + 1), step):
+                    piece = words[lo : lo + step + window - 1]
+                    if piece:
+                        rows.append((item, len(piece), b" ".join(piece)))
+            items, sizes, texts = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.array(texts, pa.binary())], ["id", "n", "words"])
+
+    return run
+
+
+def _build(window: int):
+    def build(table: pa.Table) -> pa.Table:
+        built = Builder([(i, w.split(b" ")) for i, w in zip(table.column("id").to_pylist(), table.column("words").to_pylist(), strict=True)], window).arrays()
+        columns = {"block": pa.array([table.column("block")[0].as_py()], pa.int64()), "n": pa.array([sum(table.column("n").to_pylist())], pa.int64())}
+        return pa.table(columns | {k: pa.array([built[k].astype(kind).tobytes()], pa.binary()) for k, kind in _KINDS.items()})
+
+    return build
+
+
+def item_automata(benchmark: DataFrame, window: int, block_words: int, id_col: str, text_col: str) -> DataFrame:
+    """(block, n: its words, the arrays of its automaton)."""
+    items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id is not null and text is not null").distinct()
+    pieces = save(items.mapInArrow(_pieces(window, block_words), "id long, n long, words binary"), "item-pieces")
+    # A running sum of sizes only: a row of three numbers for each piece.
+    place = F.struct("id", "n", F.xxhash64("words"))
+    sums = F.sum("n").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = pieces.select(place.alias("place"), "n").distinct().select("place", F.floor(F.coalesce(sums, F.lit(0)) / block_words).alias("block"))
+    dealt = pieces.withColumn("place", place).join(blocks, "place").select("block", "id", "n", "words")
+    return save(dealt.groupBy("block").applyInArrow(_build(window), "block long, n long, " + ", ".join(f"{k} binary" for k in _KINDS)), "item-automata")
+
+
+def passes(automata: DataFrame, pass_words: int) -> list[list[int]]:
+    """Blocks of each pass over the documents, of at most pass_words words or one block."""
+    out: list[list[int]] = [[]]
     held = 0
-    for r in items.distinct().orderBy("id", "text").toLocalIterator():
-        words = words_of(r["text"].encode())
-        if block and held + len(words) > most_words:
-            yield block
-            block, held = [], 0
-        if words:
-            block.append((r["id"], words))
-            held += len(words)
-    yield block
-
-
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", carry: bool = False, item_words: int = ITEM_WORDS) -> DataFrame:
+    for r in automata.select("block", "n").orderBy("block").collect():
+        if out[-1] and held + r["n"] > pass_words:
+            out.append([])
+            held = 0
+        out[-1].append(r["block"])
+        held += r["n"]
+    return out
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", carry: bool = False, block_words: int = BLOCK_WORDS, pass_words: int = PASS_WORDS) -> DataFrame:
     """doc_id, n_words, hits (ranges of word numbers), bytes (the same in bytes of the UTF-8 text), items (ids, ascending) and, with carry, `row`: a struct of docs' columns."""
     spark = docs.sparkSession
     columns = [F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")]
@@ -229,20 +349,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
     own = docs.select(*columns)
     more = ("row",) if carry else ()
     schema = _FOUND + "".join(f", row {own.schema['row'].dataType.simpleString()}" for _ in more)
-    blocks = item_blocks(benchmark, item_words, item_id, item_text)
-    first = next(blocks)
-    rest = next(blocks, None)
-    if rest is None:
-        return own.mapInArrow(_match(spark.sparkContext.broadcast(first), window, more), schema)
+    automata = item_automata(benchmark, window, block_words, item_id, item_text)
+    each = passes(automata, pass_words)
+
+    def sent(blocks: list[int]):
+        return spark.sparkContext.broadcast([{k: bytes(r[k]) for k in _KINDS} for r in automata.where(F.col("block").isin(blocks)).collect()])
+
+    if len(each) == 1:
+        return own.mapInArrow(_match(sent(each[0]), window, more), schema)
     # Several passes: rows get a number that lasts, then what each pass finds is put together by it.
     numbered = save(own.withColumn("n", F.monotonically_increasing_id()), "contamination-docs")
     found = None
-    block = first
-    while block is not None:
-        some = numbered.select(F.col("n").alias("doc_id"), "text").mapInArrow(_match(spark.sparkContext.broadcast(block), window, ()), _FOUND)
+    for blocks in each:
+        some = numbered.select(F.col("n").alias("doc_id"), "text").mapInArrow(_match(sent(blocks), window, ()), _FOUND)
         hit = save(some.where(F.size("hits") > 0), "contamination-hits")
         found = hit if found is None else found.union(hit)
-        block, rest = rest, next(blocks, None)
     both = found.groupBy("doc_id").agg(F.flatten(F.collect_list("hits")).alias("h"), F.flatten(F.collect_list("bytes")).alias("b"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     none = [F.expr("cast(array() as array<struct<first:bigint,end:bigint>>)"), F.expr("cast(array() as array<bigint>)")]
     counted = numbered.mapInArrow(_count(more), "n long, doc_id long, n_words long" + schema[len(_FOUND) :])

@@ -31,8 +31,9 @@ def brute(docs, items, window):
     return sorted(out)
 
 
-@pytest.mark.parametrize("item_words", [10**6, 12])
-def test_equals_rule(spark, item_words):
+@pytest.mark.parametrize(("block_words", "pass_words"), [(10**6, 10**6), (12, 10**6), (12, 20), (3, 0)])
+def test_equals_rule(spark, block_words, pass_words):
+    """With one automaton, several in a pass, and several passes; with items longer than a block."""
     rnd = random.Random(11)
     alphabet = ["a", "B", "c", "É", "x1", "_", "né"]
     some = lambda n: " ".join(rnd.choice(alphabet) for _ in range(n))
@@ -40,7 +41,7 @@ def test_equals_rule(spark, item_words):
     docs = [(i, some(rnd.randint(0, 30))) for i in range(150)] + [(1, None), (None, ""), (7, "a-b_c/É" * 30), (7, "a-b_c/É" * 30)]
     d = spark.createDataFrame([(i, t, 9) for i, t in docs], "doc_id long, text string, items int")
     b = spark.createDataFrame(items, "item_id long, text string")
-    got = find_contamination(d, b, 5, item_words=item_words)
+    got = find_contamination(d, b, 5, block_words=block_words, pass_words=pass_words)
     assert sorted((r.n_words, sum(h["end"] - h["first"] for h in r.hits), r.items) for r in got.collect()) == brute(docs, items, 5)
     assert contamination_report(got).count() == len(docs)
 
@@ -59,3 +60,16 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.contaminated for r in contamination_report(find_contamination(docs, none)).collect()] == [False]
     assert find_contamination(docs.limit(0), none).count() == 0
+
+
+def test_long_texts(spark):
+    rnd = random.Random(2)
+    item = [f"w{rnd.randrange(400)}" for _ in range(3000)]
+    text = [f"w{rnd.randrange(400)}" for _ in range(120_000)]
+    text[5000:5040] = item[100:140]
+    docs = [(1, " ".join(text)), (2, "x" * 400_000), (3, " ".join(item))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    want = brute(docs, [(7, " ".join(item))], 13)
+    for block in (10**6, 1000):
+        got = find_contamination(d, b, 13, block_words=block)
+        assert sorted((r.n_words, sum(h["end"] - h["first"] for h in r.hits), r.items) for r in got.collect()) == want
