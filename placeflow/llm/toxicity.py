@@ -1,19 +1,21 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Words (ASCII letters and digits and all other letters, A-Z lower-cased) and the beginnings of longer words are
-hashed to buckets, so that inflected and compound forms share terms; a document is the set of its buckets. The buckets whose share differs most between the labels, by LEAST_Z standard errors at
-least, are the model's terms. The
-score is the logistic function of a bias, a weight for each term present and, for each pair of terms present,
+hashed to buckets, so that inflected and compound forms share terms; a document is the set of its buckets. All
+buckets in LEAST_DOCS documents or more whose share differs between the labels by LEAST_Z standard errors or more
+are the model's terms. The score is the logistic function of a bias, a weight for each term present and, for each pair of terms present,
 the product of their factor vectors: so pairs such as an insult and a mention of a group count beyond the sum
 of their weights. Scoring is one pass without a shuffle; whole texts are read.
 
 Bounds (documented parameters): at most SAMPLE labelled rows are learnt from, those first by the hash of
-their id; at most TERMS terms. What comes to the driver is at most SAMPLE x TERMS flags.
+their id. What comes to the driver is the terms of these rows, 4 bytes for each that a row holds; batches of BATCH
+rows are laid out in full. Rows are learnt in order of id and terms, so the model doesn't hang on the layout of tasks.
 
 Labels other than 0 and 1, and labels whose document is missing, are left out; a document labelled twice is
 toxic if any label says so. Null texts count as empty; an empty text scores the bias. Without labels of both
-kinds the score is the base rate (0.01 without any). Repeated rows give repeated results. Other columns are
-ignored. An empty table gives an empty table.
+kinds the score is the base rate (0.01 without any). Repeated rows give repeated results. A very long text is a slice
+of its own, some 100 bytes for each word and its beginnings. Other columns are ignored. An empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from placeflow.llm._common import give_back, parts, raw, separators, texts, word_hashes, word_spans
 from placeflow.scratch import save
 
-BITS, TERMS, LEAST_Z, SAMPLE = 20, 2048, 4.0, 20_000
+BITS, LEAST_Z, LEAST_DOCS, SAMPLE = 20, 4.0, 5, 20_000
 FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 20, 256, 0.05, 1e-4
 THRESHOLD = 0.3
 #: Lengths, in bytes, of the beginnings of words that are terms too.
@@ -52,17 +54,19 @@ def _raw_score(x, bias, weights, factors):
     return bias + x @ weights + 0.5 * ((sums**2).sum(1) - x @ (factors**2).sum(1)), sums
 
 
-def fit_machine(x: np.ndarray, y: np.ndarray, seed: int = 1) -> tuple[float, np.ndarray, np.ndarray]:
-    """(bias, weights, factors) from flags x of terms and labels y of 0 and 1, by Adagrad over small batches."""
+def fit_machine(rows: list[np.ndarray], terms: int, y: np.ndarray, seed: int = 1) -> tuple[float, np.ndarray, np.ndarray]:
+    """(bias, weights, factors) from each row's term numbers and labels y of 0 and 1, by Adagrad over small batches."""
     rnd = np.random.default_rng(seed)
     rate = float(np.clip(y.mean(), 1e-3, 1 - 1e-3))
-    bias, weights, factors = np.log(rate / (1 - rate)), np.zeros(x.shape[1]), rnd.normal(0, 0.01, (x.shape[1], FACTORS))
+    bias, weights, factors = np.log(rate / (1 - rate)), np.zeros(terms), rnd.normal(0, 0.01, (terms, FACTORS))
     seen_b, seen_w, seen_f = 1e-6, np.full(weights.shape, 1e-6), np.full(factors.shape, 1e-6)
     for _ in range(EPOCHS):
         order = rnd.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             at = order[lo : lo + BATCH]
-            b = x[at].astype(np.float64)
+            b = np.zeros((len(at), terms))
+            for i, k in enumerate(at.tolist()):
+                b[i, rows[k]] = 1
             z, sums = _raw_score(b, bias, weights, factors)
             g = (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y[at]) / len(at)
             gw = b.T @ g
@@ -97,7 +101,7 @@ def _buckets(batches):
             pairs = np.unique(docs << BITS | buckets)
             cuts = np.searchsorted(pairs, np.arange(part.num_rows + 1) << BITS)
             sets = [(pairs[a:b] & ((1 << BITS) - 1)).astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(sets, pa.list_(pa.int32()))], ["toxic", "buckets"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(sets, pa.list_(pa.int32()))], ["doc_id", "toxic", "buckets"])
 
 
 def _flags(terms: np.ndarray):
@@ -106,8 +110,8 @@ def _flags(terms: np.ndarray):
             rows = []
             for buckets in batch.column("buckets"):
                 t = terms[buckets.values.to_numpy()]
-                rows.append(t[t >= 0].astype(np.int16).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(rows, pa.binary())], ["toxic", "terms"])
+                rows.append(np.sort(t[t >= 0]).astype(">i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(rows, pa.binary())], ["doc_id", "toxic", "terms"])
 
     return run
 
@@ -118,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     chosen = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # At most `sample` rows of two numbers are broadcast.
-    rows = save(texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("text", "toxic").mapInArrow(_buckets, "toxic int, buckets array<int>"), "toxicity-sample")
+    rows = save(texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(_buckets, "doc_id long, toxic int, buckets array<int>"), "toxicity-sample")
     n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     terms = np.full(1 << BITS, -1, np.int64)
     if not 0 < pos < n:
@@ -127,17 +131,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     each = rows.select(F.explode("buckets").alias("bucket"), "toxic").groupBy("bucket").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
     share = F.col("n") / n
     z = (F.col("a") / pos - (F.col("n") - F.col("a")) / (n - pos)) / F.sqrt(share * (1 - share) * (1 / pos + 1 / (n - pos)) + 1e-12)
-    best = each.where((F.col("n") >= 5) & (F.abs(z) >= LEAST_Z)).orderBy(F.abs(z).desc(), "bucket").limit(TERMS).select("bucket").collect()
-    terms[[r["bucket"] for r in best]] = np.arange(len(best))
+    best = each.where((F.col("n") >= LEAST_DOCS) & (F.abs(z) >= LEAST_Z)).orderBy(F.abs(z).desc(), "bucket").select("bucket").toArrow().column(0).to_numpy()
+    terms[best] = np.arange(len(best))
     held = spark.sparkContext.broadcast(terms)
-    table = rows.mapInArrow(lambda b: _flags(held.value)(b), "toxic int, terms binary").toArrow()
-    x = np.zeros((table.num_rows, max(1, len(best))), np.uint8)
-    for i, t in enumerate(table.column("terms").to_pylist()):
-        x[i, np.frombuffer(t, np.int16)] = 1
-    y = table.column("toxic").to_numpy().astype(np.float64)
-    # In an order of their own, so that the model doesn't hang on how tasks deliver rows.
-    order = np.lexsort((y, *x[:, : min(48, x.shape[1])].T))
-    return Model(terms, *fit_machine(x[order], y[order]))
+    table = rows.mapInArrow(lambda b: _flags(held.value)(b), "doc_id long, toxic int, terms binary").toArrow()
+    learnt = sorted(zip(*(table.column(c).to_pylist() for c in ("doc_id", "terms", "toxic")), strict=True))
+    y = np.array([t for _, _, t in learnt], np.float64)
+    return Model(terms, *fit_machine([np.frombuffer(t, ">i4").astype(np.int64) for _, t, _ in learnt], max(1, len(best)), y))
 
 
 def _score(sent, more: tuple[str, ...]):

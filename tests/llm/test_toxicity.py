@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from placeflow.llm.queries import op1_toxicity
-from placeflow.llm.toxicity import Model, drop_toxic, fit, fit_machine, score
+from placeflow.llm.toxicity import BITS, Model, _words, drop_toxic, fit, fit_machine, score
 
 DIR = "/root/testdata/sf0.1"
 
@@ -19,11 +19,42 @@ def test_pairs_count_beyond_terms():
     rnd = np.random.default_rng(0)
     x = rnd.integers(0, 2, (3000, 6))
     y = (x[:, 0] & x[:, 1]).astype(float)
-    m = Model(np.zeros(0), *fit_machine(x, y))
+    m = Model(np.zeros(0), *fit_machine([np.flatnonzero(r) for r in x], 6, y))
     s = m.score(np.array([[1, 1, 0, 0, 0, 0], [1, 0, 0, 0, 0, 0], [0, 1, 0, 0, 0, 0]], float))
     assert s[0] > 0.7 and s[1] < 0.3 and s[2] < 0.3
 
 
+def test_score_equals_all_pairs(spark):
+    """Scores against the sum over single terms and over all pairs of terms, worked out one by one."""
+    rnd = np.random.default_rng(4)
+    words = ["alpha", "beta", "gamma", "delta", "ep", "zeta"]
+    terms = np.full(1 << BITS, -1, np.int64)
+    buckets = sorted({b for w in words for b in bucket_set(w)})
+    terms[buckets] = np.arange(len(buckets))
+    m = Model(terms, -0.5, rnd.normal(0, 0.4, len(buckets)), rnd.normal(0, 0.3, (len(buckets), 8)))
+    rows = [(i, " ".join(rnd.choice(words, rnd.integers(0, 6)))) for i in range(60)] + [(60, None), (61, "Alpha, ALPHA other words")]
+    got = {r.doc_id: r.score for r in score(spark.createDataFrame([(int(i), t) for i, t in rows], "doc_id long, text string"), m).collect()}
+    for i, t in rows:
+        own = sorted({terms[b] for w in (t or "").replace(",", " ").lower().split() for b in bucket_set(w)} - {-1})
+        z = m.bias + sum(m.weights[a] for a in own) + sum(m.factors[a] @ m.factors[b] for n, a in enumerate(own) for b in own[:n])
+        assert abs(got[i] - 1 / (1 + np.exp(-z))) < 1e-5
+
+
+def bucket_set(word):
+    """The buckets of one word."""
+    import pyarrow as pa
+
+    return set(_words(pa.record_batch([pa.array([word])], names=["text"]))[0].tolist())
+
+
+def test_fit_is_reproducible_and_takes_all_terms(spark):
+    rnd = np.random.default_rng(6)
+    rows = [(i, " ".join(rnd.choice([f"w{k}" for k in range(3000)], 60)) + (" " + " ".join(f"bad{k}" for k in rnd.choice(2500, 900, False)) if i % 3 == 0 else "")) for i in range(240)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    a, b = fit(docs.repartition(7), labels), fit(docs.coalesce(1).orderBy(F.desc("doc_id")), labels)
+    assert len(a.weights) > 2048 and (a.terms == b.terms).all() and (a.weights == b.weights).all() and (a.factors == b.factors).all() and a.bias == b.bias
+
+
 def test_odd_inputs(spark):
     docs = spark.createDataFrame([(i, t, 0.5, "r") for i, t in [(1, "bad idiot"), (2, "fine"), (3, None), (3, ""), (None, "x" * 100_000)]], "doc_id long, text string, score double, row string")
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (9, 1), (None, 1), (2, None), (2, 7)], "doc_id long, toxic int")
