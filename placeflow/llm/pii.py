@@ -5,7 +5,8 @@ confirm them, and words near a span move its score. All patterns run in time lin
 runs are entered at their first character only, and no group repeats without a bound, but for the
 labels of a mail domain.
 
-Null texts count as empty. Documents are taken row by row, so repeated rows give repeated results.
+Null texts count as empty. Documents are taken row by row, so repeated rows give repeated results; a very long text
+takes memory of a few times its size.
 Other columns of the input, whatever their names, are ignored. An empty table gives an empty table.
 """
 
@@ -30,6 +31,8 @@ BASE = KINDS[:4]
 PRIOR = {"email": 0.8, "ip": 0.5, "card": 0.8, "phone": 0.6, "iban": 0.9}
 NEAR = {"email": "mail|contact|write", "ip": "ip|host|server|address", "card": "card|visa|credit|payment", "phone": "phone|tel|call|mobile|fax", "iban": "iban|bank|account|konto"}
 CONTEXT, BOOST = 40, 0.15
+#: Spans carried in one array.
+CHUNK = 256
 
 
 def luhn(span: Column) -> Column:
@@ -65,15 +68,17 @@ def _spans(kind: str, text: Column) -> Column:
     gaps = F.split(text, pattern, -1)
     pieces = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("hit"))
     empty = F.expr("cast(array() as array<struct<gap:string,hit:string,start:int>>)")
-    begin = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    # Only confirmed spans are carried, in short arrays that are put by when full, so that long lists aren't copied again and again.
+    begin = F.struct(F.lit(0).alias("at"), empty.alias("out"), F.array().cast("array<array<struct<gap:string,hit:string,start:int>>>").alias("full"))
 
     def step(acc, p):
         start = acc["at"] + F.length(p["gap"])
-        # Only confirmed spans are carried, so that the array stays short.
-        kept = F.when(_confirmed(kind, p["hit"]), F.concat(acc["out"], F.array(F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"), start.alias("start"))))).otherwise(acc["out"])
-        return F.struct((start + F.length(p["hit"])).alias("at"), kept.alias("out"))
+        is_full = F.size(acc["out"]) >= CHUNK
+        before = F.when(is_full, empty).otherwise(acc["out"])
+        kept = F.when(_confirmed(kind, p["hit"]), F.concat(before, F.array(F.struct(p["gap"].alias("gap"), p["hit"].alias("hit"), start.alias("start"))))).otherwise(before)
+        return F.struct((start + F.length(p["hit"])).alias("at"), kept.alias("out"), F.when(is_full, F.concat(acc["full"], F.array(acc["out"]))).otherwise(acc["full"]).alias("full"))
 
-    confirmed = F.aggregate(pieces, begin, step, lambda acc: acc["out"])
+    confirmed = F.aggregate(pieces, begin, step, lambda acc: F.flatten(F.concat(acc["full"], F.array(acc["out"]))))
     near = lambda p: F.lower(F.right(p["gap"], F.lit(CONTEXT))).rlike(rf"(?:^|[^a-z])(?:{NEAR[kind]})")
     return F.transform(
         confirmed,

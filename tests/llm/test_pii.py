@@ -59,5 +59,26 @@ def test_method_adds_ibans_and_context(spark):
     assert got[1].base_sha256 == brute(rows[0][1])[1]
 
 
+def test_ibans_against_the_checksum(spark):
+    """An IBAN is a span if and only if its number, letters as 10 to 35, leaves 1 modulo 97."""
+    rnd = random.Random(8)
+    rows, want = [], {}
+    for i in range(300):
+        country, body = rnd.choice(["DE", "GB", "FR"]), "".join(rnd.choice("0123456789ABCXYZ") for _ in range(rnd.randint(11, 30)))
+        number = lambda s: int("".join(str(int(c, 36)) for c in s))
+        check = 98 - number(body + country + "00") % 97 if i % 2 else rnd.randint(2, 98)
+        iban = f"{country}{check:02d}{body}"
+        want[i] = number(body + iban[:4]) % 97 == 1
+        rows.append((i, f"é {iban}."))
+    got = {r.doc_id: f"iban:2:{len(t) - 1}" in r.spans for r, (_, t) in zip(sorted(pii_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()), rows, strict=True)}
+    assert got == want and 140 < sum(want.values()) < 170
+
+
+def test_many_spans_in_one_text(spark):
+    text = "mail a@b.co or 1.2.3.4 " * 3000
+    got = pii_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (got.n_email, got.n_ip, got.base_sha256) == (3000, 3000, brute(text)[1])
+
+
 def test_empty_table(spark):
     assert pii_report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
