@@ -15,7 +15,8 @@ The base score takes words at white space and one end for each text, with add-ha
 training tokens. Words are told apart by a 64-bit hash. Counts of the HEAVY most frequent words are broadcast;
 all others are joined by hash, so no table that grows with the vocabulary is broadcast.
 
-Null texts count as empty: one end. Repeated rows give repeated results. Other columns are ignored. Without
+Null texts count as empty: one end. Repeated rows give repeated results. A very long text is a slice of its own, some
+60 bytes of memory for each byte. Other columns are ignored. Without
 training texts all symbols are alike and the base score is 0. An empty table gives an empty table.
 """
 
@@ -91,7 +92,7 @@ class Trie:
         nodes[0] = np.zeros(1, np.int64)
         tables = {}
         for k, ids in nodes.items():
-            tables[k] = np.zeros((len(ids), width - 1), np.float32)
+            tables[k] = np.zeros((len(ids), width - 1))
             tables[k][np.searchsorted(ids, counts[k][0]), self.column[counts[k][1]]] = counts[k][2]
         first = dict(zip(nodes, np.concatenate(([0], np.cumsum([len(x) for x in nodes.values()]))).tolist(), strict=False))
         self.lengths = np.empty((sum(map(len, nodes.values())), width), np.uint16)
@@ -256,15 +257,15 @@ def _score(sent):
                     light.append(words[~is_heavy])
                     times.append(counts[~is_heavy].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("n"), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(first) + 1, pa.int64()), pa.array(lengths, pa.int64()), pa.array(base, pa.float64()), pa.array(known, pa.int64()), pa.array(light, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())), pa.ListArray.from_arrays(place, pa.array(keys, pa.int64())), pa.ListArray.from_arrays(place, pa.array(often, pa.int32()))],
-                    ["n", "doc_id", "held_out", "n_tokens", "length", "base", "known", "light", "times", "places", "often"],
+                    [part.column("n"), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(first) + 1, pa.int64()), pa.array(np.diff(offsets), pa.int64()), pa.array(lengths, pa.int64()), pa.array(base, pa.float64()), pa.array(known, pa.int64()), pa.array(light, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())), pa.ListArray.from_arrays(place, pa.array(keys, pa.int64())), pa.ListArray.from_arrays(place, pa.array(often, pa.int32()))],
+                    ["n", "doc_id", "held_out", "n_tokens", "n_bytes", "length", "base", "known", "light", "times", "places", "often"],
                 )
 
     return run
 
 
 def lm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. held_out: a boolean column over doc_id; the model learns from the others."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, score_per_byte. held_out: a boolean column over doc_id; the model learns from the others."""
     spark = docs.sparkSession
     own = texts(docs, id_col, text_col).withColumn("held_out", held_out)
     counts = save(own.where(~F.col("held_out")).select("text").mapInArrow(_count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
@@ -279,7 +280,7 @@ def lm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str =
     levels = _levels(counts.where(F.col("kind") == _GRAM))
     trie, kept = _trie(*levels)
     sent = spark.sparkContext.broadcast((trie, *_pairs(*levels, kept), keys, logs))
-    schema = "n long, doc_id long, held_out boolean, n_tokens long, length long, base double, known long, light array<long>, times array<int>, places array<long>, often array<int>"
+    schema = "n long, doc_id long, held_out boolean, n_tokens long, n_bytes long, length long, base double, known long, light array<long>, times array<int>, places array<long>, often array<int>"
     scored = save(own.withColumn("n", F.monotonically_increasing_id()).mapInArrow(_score(sent), schema), "lm-scores")
     light = scored.select("n", F.explode(F.arrays_zip("light", "times")).alias("w")).select("n", F.col("w.light").alias("key"), F.col("w.times").alias("times"))
     found = light.join(words.select("key", F.col("n").alias("c")), "key", "left")
@@ -290,6 +291,7 @@ def lm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str =
     further = places.join(lengths, "key").groupBy("n").agg(F.sum(F.col("often") * F.col("length")).alias("further"))
     end = float(np.log10(n_texts + 0.5))
     each = float(np.log10(total + 0.5 * (distinct + 1)))
+    score = -(F.col("length") + F.coalesce("further", F.lit(0))) / STEP
     return scored.drop("light", "times", "places", "often").join(sums, "n", "left").join(further, "n", "left").select(
         "doc_id",
         "held_out",
@@ -297,5 +299,6 @@ def lm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str =
         (F.col("known") + F.coalesce("seen", F.lit(0)) + int(n_texts > 0)).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) + F.lit(end) - F.col("n_tokens") * F.lit(each)).alias("base_score"),
-        (-(F.col("length") + F.coalesce("further", F.lit(0))) / STEP).alias("score"),
+        score.alias("score"),
+        (score / (F.col("n_bytes") + 1)).alias("score_per_byte"),
     )
