@@ -96,12 +96,13 @@ def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _buckets(batches):
     for batch in batches:
-        for part in parts(batch, most=2 << 20):
+        for part in parts(batch, most=1 << 20):
             buckets, docs = _words(part)
             pairs = np.unique(docs << BITS | buckets)
             cuts = np.searchsorted(pairs, np.arange(part.num_rows + 1) << BITS)
             sets = [(pairs[a:b] & ((1 << BITS) - 1)).astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(sets, pa.list_(pa.int32()))], ["doc_id", "toxic", "buckets"])
+        give_back()
 
 
 def _flags(terms: np.ndarray):
@@ -146,7 +147,7 @@ def _score(sent, more: tuple[str, ...]):
         weights, factors = model.weights.astype(np.float32), model.factors.astype(np.float32)
         model = Model(model.terms, model.bias, weights, factors)
         for batch in batches:
-            for part in parts(batch, most=2 << 20):
+            for part in parts(batch, most=1 << 20):
                 buckets, doc = _words(part)
                 term = model.terms[buckets]
                 doc, term = doc[term >= 0], term[term >= 0]
