@@ -45,7 +45,7 @@ from placeflow.operators.components import connected_components
 from placeflow.scratch import discard, save
 
 #: A block of a group: at most so many sets, and about so many shingles.
-BLOCK_SETS, BLOCK_SHINGLES = 2048, 2_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 512, 1_000_000
 #: Shingles ordered last because they are frequent: at most so many, each in this many documents of a batch at least.
 FREQUENT, BATCH_LEAST = 65_536, 3
 SIGNATURE = 1024
