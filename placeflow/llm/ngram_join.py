@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import mix, parts, raw, separators, word_hashes, word_spans
+from placeflow.llm._common import give_back, mix, parts, raw, separators, word_hashes, word_spans
 from placeflow.operators.components import connected_components
 from placeflow.scratch import discard, save
 
@@ -134,9 +134,15 @@ def _frequent(n: int):
         for batch in batches:
             for part in parts(batch, most=32 << 20):
                 found = [s for p in parts(part) for s in shingle_sets(p.column("text"), n)]
-                tokens, counts = np.unique(np.concatenate(found), return_counts=True)
+                tokens = np.concatenate(found)
+                del found
+                tokens.sort()
+                first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.zeros(0, np.int64)
+                counts = np.diff(np.append(first, len(tokens)))
                 often = counts >= BATCH_LEAST
-                yield pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["token", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[first[often]].view(np.int64)), pa.array(counts[often].astype(np.int64))], ["token", "n"])
+                del tokens, first, counts, often
+            give_back()
 
     return run
 
@@ -166,6 +172,7 @@ def _prefixes(n: int, percent: int, frequent, more: tuple[str, ...]):
                     [part.column("doc_id"), pa.array(n_, pa.int64()), pa.array(digest_, pa.int64()), pa.array(least_, pa.int64()), pa.array(signature_, pa.binary()), pa.array(rare_, pa.list_(pa.int64())), pa.array(often_, pa.list_(pa.int64())), *(part.column(c) for c in more)],
                     ["doc_id", "n", "digest", "least", "signature", "rare", "often", *more],
                 )
+            give_back()
 
     return run
 
@@ -348,6 +355,7 @@ def _link(n: int, percent: int):
             found = group_links(list(own.values()), percent)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([digests[a] for a, _ in found], pa.int64()), pa.array([digests[b] for _, b in found], pa.int64())], ["src", "dst"])
+        give_back()
 
     return run
 
