@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import parts, raw, separators, word_hashes, word_spans
+from placeflow.llm._common import give_back, parts, raw, separators, word_hashes, word_spans
 from placeflow.scratch import save
 
 BLOCK_WORDS, PASS_WORDS = 250_000, 1_000_000
@@ -273,6 +273,7 @@ def _match(sent, window: int, more: tuple[str, ...]):
                     [part.column("doc_id"), pa.array([n for n, *_ in found], pa.int64()), pa.array(hits, pair), pa.array(spans, pair), pa.array([sorted(i) for _, _, i, _ in found], pa.list_(pa.int64())), *(part.column(c) for c in more)],
                     ["doc_id", "n_words", "hits", "bytes", "items", *more],
                 )
+            give_back()
 
     return run
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import ASCII_SPACE, mix, parts
+from placeflow.llm._common import ASCII_SPACE, give_back, mix, parts
 from placeflow.scratch import save
 
 KEYS_PER_SHARD = 1 << 19
@@ -170,6 +170,7 @@ def _count_lines(least: int):
                             s[1] = max(s[1], doc)
             lo, hi = _halves(list(seen))
             yield pa.RecordBatch.from_arrays([pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)), pa.array([s[0] for s in seen.values()], pa.int64()), pa.array([s[1] for s in seen.values()], pa.int64())], ["lo", "hi", "n", "largest"])
+            give_back()
 
     return run
 
@@ -242,6 +243,7 @@ def _drop(held, index_of, least: int, more: tuple[str, ...]):
                 text = part.column("text").to_pylist()
                 text = [t if k is None else k.decode() for t, k in zip(text, kept, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(text, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), *(part.column(c) for c in more)], ["doc_id", "text", "n_lines", "n_dropped", *more])
+            give_back()
 
     return run
 
