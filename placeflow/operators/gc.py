@@ -55,35 +55,38 @@ def gc_summary(objects: DataFrame, protections: DataFrame, candidates: DataFrame
     return all_.agg(*(c for k, t in kinds.items() for c in (F.count_if(t).alias(f"{k}_objects"), F.coalesce(F.sum(F.when(t, F.col("size"))), F.lit(0)).alias(f"{k}_bytes"))))
 
 
-def _references(batches):
+def _references():
     """What the JSON documents of a batch refer to: (doc, base, kind, value) of binary files, folders and files beside hot prefixes, at any depth."""
-    for batch in batches:
-        rows: list[tuple] = []
-        for doc, base, body in zip(*(batch.column(c).to_pylist() for c in ("doc", "base", "body")), strict=True):
-            left = [("", json.loads(body))] if body is not None else []
-            while left:
-                key, value = left.pop()
-                if isinstance(value, list):
-                    left += [(key, v) for v in value]
-                elif isinstance(value, dict):
-                    left += value.items()
-                    file = next((f for k in ("directory", "root") if isinstance(d := value.get(k), dict) and (f := d.get("file"))), None)
-                    if isinstance(file, str) and _positive(value.get("hot_prefixes")):
-                        rows.append((doc, base, "hot", file))
-                elif isinstance(value, str):
-                    if value.endswith((".bin", ".bin.gz")):
-                        rows.append((doc, base, "binary", value))
-                    if (key == "pages" or key.endswith("_path")) and value.endswith("/"):
-                        rows.append((doc, base, "folder", value))
-        columns = list(zip(*rows, strict=True)) or [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["doc", "base", "kind", "value"])
-
-
-def _positive(n) -> bool:
-    try:
-        return float(n) > 0
-    except (TypeError, ValueError):
-        return False
+
+    def positive(n) -> bool:
+        try:
+            return float(n) > 0
+        except (TypeError, ValueError):
+            return False
+
+    def run(batches):
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, base, body in zip(*(batch.column(c).to_pylist() for c in ("doc", "base", "body")), strict=True):
+                left = [("", json.loads(body))] if body is not None else []
+                while left:
+                    key, value = left.pop()
+                    if isinstance(value, list):
+                        left += [(key, v) for v in value]
+                    elif isinstance(value, dict):
+                        left += value.items()
+                        file = next((f for k in ("directory", "root") if isinstance(d := value.get(k), dict) and (f := d.get("file"))), None)
+                        if isinstance(file, str) and positive(value.get("hot_prefixes")):
+                            rows.append((doc, base, "hot", file))
+                    elif isinstance(value, str):
+                        if value.endswith((".bin", ".bin.gz")):
+                            rows.append((doc, base, "binary", value))
+                        if (key == "pages" or key.endswith("_path")) and value.endswith("/"):
+                            rows.append((doc, base, "folder", value))
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["doc", "base", "kind", "value"])
+
+    return run
 
 
 def manifest_protections(manifests: DataFrame) -> DataFrame:
@@ -92,7 +95,7 @@ def manifest_protections(manifests: DataFrame) -> DataFrame:
     JSON nests without a bound, so documents are walked in the tasks that read them; rules on paths are column expressions.
     """
     read = manifests.select(F.col("doc").cast("string"), F.col("base").cast("string"), F.to_json("body").alias("body"))
-    refs = read.mapInArrow(_references, "doc string, base string, kind string, value string")
+    refs = read.mapInArrow(_references(), "doc string, base string, kind string, value string")
     inside = X.path_join(F.col("base"), F.col("value"))
     folder = F.concat(F.regexp_replace(inside, "/$", ""), F.lit("/"))
     above = X.dirname(inside)

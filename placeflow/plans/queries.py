@@ -638,7 +638,8 @@ def manifest_protections(spark, d):
         F.array(F.struct(hot, file("lexicon.json", "root"))).alias("suggest"),
         deep.alias("deep"),
     )
-    o = spark.read.parquet(f"{d}/orders.parquet")
+    # Bodies are large beside the rows they are made of, which may come in one part.
+    o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice").repartition(2 * spark.sparkContext.defaultParallelism)
     base = F.concat(F.lit("s/"), "o_custkey")
     return gc.manifest_protections(o.select(F.concat(base, F.lit("/manifest-"), key, F.lit(".json")).alias("doc"), base.alias("base"), F.parse_json(F.to_json(body)).alias("body")))
 
