@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
 from placeflow.operators import delta, enrich, gc, identity, regions, roads, search, spatial, status
+from placeflow.operators.components import connected_components
 from placeflow.plans.bindings import view, with_views
 from placeflow.scratch import new_path, save
 from placeflow.sources import readers, writers
@@ -468,26 +469,39 @@ def shared_portals(spark, d):
     return _portals(spark, d)
 
 
-@query()
+#: Labels spread from the nodes that have no lesser neighbour, the least of a component among them.
+REACHED = EDGES.replace("WITH ", "WITH RECURSIVE ", 1) + """, und AS MATERIALIZED (SELECT src AS u, dst AS v FROM e UNION SELECT dst, src FROM e),
+spread(node, label) AS (SELECT u, u FROM und GROUP BY u HAVING min(v) > u UNION SELECT und.v, label FROM spread JOIN und ON und.u = node), members AS (SELECT node, min(label) AS component FROM spread GROUP BY node)"""
+
+
+@query(REACHED + " SELECT component, count(*) AS nodes FROM members GROUP BY component")
 def graph_components(spark, d):
-    """Checked against a union-find in tests: recursion over whole tables is too slow in SQL."""
     return roads.graph_components(roads.road_edges(view(spark, d, "way_refs")))
 
 
+@query(REACHED + " SELECT node, component FROM members")
+def component_members(spark, d):
+    return connected_components(roads.road_edges(view(spark, d, "way_refs")))
+
+
 def _depots(spark, d):
     """Sources: the least node of each line status."""
     return spark.read.parquet(f"{d}/lineitem.parquet").groupBy("l_linestatus", "l_returnflag").agg(F.min("l_partkey").alias("source")).select("source").distinct()
 
 
-@query()
+@query(EDGES.replace("WITH ", "WITH RECURSIVE ", 1) + """, links AS MATERIALIZED (SELECT src, dst, min(seconds) AS step FROM e GROUP BY ALL), depots AS (SELECT min(l_partkey) AS source FROM lineitem GROUP BY l_linestatus, l_returnflag),
+times(source, node, seconds) USING KEY (source, node) AS (SELECT DISTINCT source, source, 0::DOUBLE FROM depots
+UNION SELECT t.source, dst, min(t.seconds + step) FROM times t JOIN links ON src = t.node LEFT JOIN recurring.times k ON k.source = t.source AND k.node = dst WHERE k.seconds IS NULL OR t.seconds + step < k.seconds GROUP BY ALL)
+SELECT source, node, seconds FROM times""")
 def travel_times(spark, d):
-    """Checked against Dijkstra in tests."""
+    """Checked against Dijkstra in tests too."""
     return roads.travel_times(roads.road_edges(view(spark, d, "way_refs")), _depots(spark, d))
 
 
-@query()
+@query(EDGES + """, legs AS (SELECT way_id, CASE WHEN src = dst THEN 0 ELSE e.seconds END::DOUBLE AS s FROM st LEFT JOIN e USING (way_id, src, dst) WHERE dst IS NOT NULL)
+SELECT way_id AS trip_id, CASE WHEN count(*) = count(s) THEN sum(s) END AS seconds, count(*) AS legs FROM legs GROUP BY way_id""")
 def itinerary_costs(spark, d):
-    """Trips: the nodes of each way in order of position, by the way's own edges; staying at a node takes no time. Checked by brute force in tests."""
+    """Trips: the nodes of each way in order of position, by the way's own edges; staying at a node takes no time. Checked by brute force in tests too."""
     refs = view(spark, d, "way_refs")
     of_way = lambda c: F.struct("way_id", F.col(c).alias("node_id"))
     stops = refs.select(F.col("way_id").alias("trip_id"), "pos", of_way("node_id").alias("node"))
@@ -496,9 +510,14 @@ def itinerary_costs(spark, d):
     return roads.itinerary_costs(stops, edges.union(stays))
 
 
-@query()
+@query(EDGES.replace("WITH ", "WITH RECURSIVE ", 1) + """, f AS (SELECT way_id, min(flag) AS region_id FROM way_refs GROUP BY way_id), fe AS MATERIALIZED (SELECT region_id, src, dst, min(seconds) AS step FROM e JOIN f USING (way_id) GROUP BY ALL),
+g AS (SELECT region_id, src AS node_id FROM fe UNION SELECT region_id, dst FROM fe), placed AS (SELECT * FROM g JOIN part ON p_partkey = node_id),
+links AS MATERIALIZED (SELECT region_id AS from_region, src, region_id AS to_region, dst, step FROM fe UNION ALL SELECT a.region_id, a.node_id, b.region_id, b.node_id, 0 FROM placed a JOIN placed b ON a.node_id = b.node_id AND a.region_id <> b.region_id),
+times(region_id, node_id, seconds) USING KEY (region_id, node_id) AS (SELECT 'N', min(src), 0::DOUBLE FROM fe WHERE region_id = 'N'
+UNION SELECT to_region, dst, min(t.seconds + step) FROM times t JOIN links ON from_region = t.region_id AND src = t.node_id LEFT JOIN recurring.times k ON k.region_id = to_region AND k.node_id = dst WHERE k.seconds IS NULL OR t.seconds + step < k.seconds GROUP BY ALL)
+SELECT (SELECT concat('N:', min(src)) FROM fe WHERE region_id = 'N') AS source, region_id, node_id, seconds FROM times""")
 def federated_travel_times(spark, d):
-    """Checked by brute force in tests; the flags of ways as three regions, each a neighbour of the others."""
+    """Checked by brute force in tests too; the flags of ways as three regions, each a neighbour of the others."""
     refs, nodes = view(spark, d, "way_refs"), view(spark, d, "nodes")
     flags = refs.groupBy("way_id").agg(F.min("flag").alias("region_id"))
     edges = save(roads.road_edges(refs).join(flags, "way_id"), "edges")
