@@ -96,3 +96,16 @@ def test_all_contexts_count(spark, monkeypatch):
         for i, t in rows:
             want = brute(train, t)
             assert want - len(sequence(t)) / ppm.STEP <= got[i] <= want + 1e-6
+
+
+def test_very_long_text(spark):
+    # Each further period of a text adds the same code length.
+    period, n = "The cat of Zürich, ", 150_000
+    held = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5 == 1)
+    learnt = [i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5 != 1][:2]
+    train = ["the cat sat", "of the zoo, the cat"]
+    df = spark.createDataFrame([*zip(learnt, train, strict=True), (held, period * n)], "doc_id long, text string")
+    got = next(r for r in lm_scores(df, crc_mod(F.col("doc_id"), 5) == 1).collect() if r.doc_id == held)
+    two, three = brute(train, period * 2), brute(train, period * 3)
+    want = two + (n - 2) * (three - two)
+    assert got.n_tokens == 4 * n + 1 and want - len((period * n).encode()) / ppm.STEP - 1 <= got.score <= want + 1
