@@ -216,9 +216,9 @@ def is_immutable(path: Column) -> Column:
 
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Metres on a sphere."""
+    """Metres on a sphere; null if any coordinate is."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_METRES * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    return 2 * EARTH_METRES * F.asin(F.sqrt(F.when(a > 1, F.lit(1.0)).otherwise(a)))
 
 
 def tile(lat: Column, lon: Column, zoom: int) -> tuple[Column, Column]:

@@ -57,12 +57,18 @@ def suppress_duplicates(corpus: DataFrame, addresses: DataFrame, units: bool = F
 
 
 def group_postal(addresses: DataFrame) -> DataFrame:
-    """A row for each country and postcode: centroid, bounds, most frequent locality (first by name among equals), all localities, count."""
+    """A row for each country and postcode: centroid, bounds, most frequent locality (first by name among equals), all localities, samples, addresses and sources.
+
+    Samples are all records, addresses those whose kind (where there is such a column) isn't postal_code; sources are the
+    configured places (priority) of the sources that the group comes from.
+    """
     own = addresses.where(X.clean(F.col("postcode")) != "").withColumn("city", X.clean(F.col("city")))
     keys = ["country", "postcode"]
     places = own.where("city <> ''").groupBy(*keys, "city").agg(F.count("*").alias("n"))
     names = places.groupBy(*keys).agg(F.min_by("city", F.struct(-F.col("n"), F.col("city"))).alias("locality"), F.array_sort(F.collect_set("city")).alias("localities"))
-    spots = own.groupBy(*keys).agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.min("lat").alias("min_lat"), F.min("lon").alias("min_lon"), F.max("lat").alias("max_lat"), F.max("lon").alias("max_lon"), F.count("*").alias("addresses"))
+    is_address = ~F.col("kind").eqNullSafe("postal_code") if "kind" in own.columns else F.lit(True)
+    origin = [F.array_sort(F.collect_set("priority")).alias("sources")] if "priority" in own.columns else []
+    spots = own.groupBy(*keys).agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.min("lat").alias("min_lat"), F.min("lon").alias("min_lon"), F.max("lat").alias("max_lat"), F.max("lon").alias("max_lon"), F.count("*").alias("samples"), F.count_if(is_address).alias("addresses"), *origin)
     return spots.join(names, keys, "left")
 
 
@@ -75,6 +81,11 @@ def enrich_corpus(corpus: DataFrame, addresses: DataFrame) -> DataFrame:
     return place.unionByName(extra).unionByName(postal)
 
 
+def enrichment_counters(enriched: DataFrame) -> DataFrame:
+    """One row: addresses_written, postal_docs and total_docs of an enriched corpus."""
+    return enriched.agg(F.count_if(F.col("kind") == "address").alias("addresses_written"), F.count_if(F.col("kind") == "postal_code").alias("postal_docs"), F.count("*").alias("total_docs"))
+
+
 def lane_filter(enriched: DataFrame, lane: str) -> DataFrame:
     """Imported addresses stay out of ranked text, suggestions and the map; other lanes see all."""
     return enriched.where(F.col("kind") != "address") if lane in ("text", "suggest", "map") else enriched

@@ -24,6 +24,17 @@ def partition_identity(source: str, schema: int, regions: DataFrame) -> DataFram
     return list_identity(regions, [], ["region_id"], row).select(F.sha2(F.concat(F.lit(f"{schema}:{source}:"), "identity"), 256).alias("identity"))
 
 
+def reusable_partitions(prior: DataFrame, now: DataFrame, listing: DataFrame) -> DataFrame:
+    """(source_id, reusable): whether a source's partitions can be used again: their identity is today's and the output of every region that isn't empty exists.
+
+    prior: source_id, identity, path, n, a row for each region written; now: source_id, identity; listing: path.
+    """
+    lost = prior.where(F.coalesce("n", F.lit(0)) > 0).join(listing.select("path"), "path", "left_anti").groupBy("source_id").agg(F.lit(True).alias("lost"))
+    before = prior.groupBy("source_id").agg(F.max("identity").alias("before"))
+    both = now.select("source_id", "identity").join(before, "source_id", "left").join(lost, "source_id", "left")
+    return both.select("source_id", (F.coalesce(F.col("before") == F.col("identity"), F.lit(False)) & F.col("lost").isNull()).alias("reusable"))
+
+
 def region_source_identity(sources: DataFrame) -> DataFrame:
     """(region_id, identity) of (region_id, ord, source_id, identity) lists in configured order."""
     return list_identity(sources, ["region_id"], ["ord"], F.concat_ws("=", "source_id", "identity"))

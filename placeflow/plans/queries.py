@@ -230,7 +230,7 @@ KEY = "concat(upper(trim(country)), '|', upper(postcode), '|', regexp_replace(up
 NEW = with_views("addresses", "places") + f""", keyed AS (SELECT *, {KEY} AS k FROM addresses), known AS (SELECT DISTINCT {KEY} AS k FROM places),
 new AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY priority, addr_id) AS r FROM keyed) WHERE r = 1 AND k NOT IN (SELECT k FROM known))"""
 POSTAL = """, c AS (SELECT country, postcode, city, count(*) AS n FROM addresses GROUP BY ALL), loc AS (SELECT country, postcode, arg_min(city, (-n, city)) AS locality, string_agg(city, ',' ORDER BY city) AS localities FROM c GROUP BY ALL),
-spot AS (SELECT country, postcode, avg(lat) AS lat, avg(lon) AS lon, min(lat) AS min_lat, min(lon) AS min_lon, max(lat) AS max_lat, max(lon) AS max_lon, count(*) AS addresses FROM addresses GROUP BY ALL)"""
+spot AS (SELECT country, postcode, avg(lat) AS lat, avg(lon) AS lon, min(lat) AS min_lat, min(lon) AS min_lon, max(lat) AS max_lat, max(lon) AS max_lon, count(*) AS samples, count(*) AS addresses, CASE WHEN min(priority) = max(priority) THEN min(priority)::VARCHAR ELSE '0,1' END AS sources FROM addresses GROUP BY ALL)"""
 
 
 @query(NEW + " SELECT addr_id, country, postcode, street, house_number FROM new")
@@ -238,10 +238,10 @@ def suppress_duplicates(spark, d):
     return enrich.suppress_duplicates(view(spark, d, "places"), view(spark, d, "addresses")).select("addr_id", "country", "postcode", "street", "house_number")
 
 
-@query(with_views("addresses") + POSTAL + " SELECT country, postcode, round(lat, 6) AS lat, round(lon, 6) AS lon, min_lat, min_lon, max_lat, max_lon, addresses, locality, localities FROM spot JOIN loc USING (country, postcode)")
+@query(with_views("addresses") + POSTAL + " SELECT country, postcode, round(lat, 6) AS lat, round(lon, 6) AS lon, min_lat, min_lon, max_lat, max_lon, samples, addresses, sources, locality, localities FROM spot JOIN loc USING (country, postcode)")
 def postal_groups(spark, d):
     p = enrich.group_postal(view(spark, d, "addresses"))
-    return p.select("country", "postcode", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "min_lat", "min_lon", "max_lat", "max_lon", "addresses", "locality", F.array_join("localities", ",").alias("localities"))
+    return p.select("country", "postcode", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "min_lat", "min_lon", "max_lat", "max_lon", "samples", "addresses", F.array_join(F.col("sources").cast("array<string>"), ",").alias("sources"), "locality", F.array_join("localities", ",").alias("localities"))
 
 
 ENRICHED = NEW + POSTAL + """, enriched AS (SELECT id, 'place' AS kind, country, postcode, lat, lon FROM places UNION ALL SELECT concat('a', addr_id), 'address', country, postcode, lat, lon FROM new
@@ -253,6 +253,11 @@ def enrich_corpus(spark, d):
     return enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "addresses")).select("id", "kind", "country", "postcode", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
+@query(ENRICHED + " SELECT count(*) FILTER (WHERE kind = 'address') AS addresses_written, count(*) FILTER (WHERE kind = 'postal_code') AS postal_docs, count(*) AS total_docs FROM enriched")
+def enrichment_counters(spark, d):
+    return enrich.enrichment_counters(enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "addresses")))
+
+
 @query(ENRICHED + " SELECT kind, count(*) AS n FROM enriched WHERE kind <> 'address' GROUP BY kind")
 def lane_filter(spark, d):
     return enrich.lane_filter(enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "addresses")), "text").groupBy("kind").agg(F.count("*").alias("n"))
@@ -439,6 +444,26 @@ def road_edges(spark, d):
     return roads.road_edges(view(spark, d, "way_refs"))
 
 
+PROFILES = with_views("way_refs", "nodes") + """, speed(profile, flag, kmh) AS (VALUES ('car', 'R', 110), ('car', 'N', 30), ('bike', 'N', 16), ('bike', 'A', 12), ('foot', 'N', 5), ('foot', 'A', 5)),
+w AS (SELECT way_id, min(flag) AS flag, bool_or(one_way) AS one_way FROM way_refs GROUP BY way_id),
+o AS (SELECT profile, way_id, one_way AND profile <> 'foot' AS one_way, CASE WHEN way_id % 4 = 0 THEN least(kmh, 25) ELSE kmh END::DOUBLE AS kmh FROM w JOIN speed USING (flag) WHERE way_id % 5 <> 0 OR profile <> 'bike'),
+r AS (SELECT o.*, pos, node_id, radians(lat) AS lat, radians(lon) AS lon FROM o JOIN way_refs USING (way_id) LEFT JOIN nodes USING (node_id)),
+st AS (SELECT profile, way_id, one_way, kmh, node_id AS src, lead(node_id) OVER x AS dst, lat, lead(lat) OVER x AS lat2, lead(lon) OVER x - lon AS dlon FROM r WINDOW x AS (PARTITION BY profile, way_id ORDER BY pos)),
+ok AS (SELECT *, 2 * 6371008.8 * asin(sqrt(least(1, pow(sin((lat2 - lat) / 2), 2) + cos(lat) * cos(lat2) * pow(sin(dlon / 2), 2)))) / (kmh / 3.6) AS seconds FROM st WHERE src <> dst AND lat IS NOT NULL AND lat2 IS NOT NULL)"""
+
+
+@query(PROFILES + " SELECT profile, way_id, src, dst, round(min(seconds), 3) AS seconds FROM (SELECT profile, way_id, src, dst, seconds FROM ok UNION ALL SELECT profile, way_id, dst, src, seconds FROM ok WHERE NOT one_way) GROUP BY profile, way_id, src, dst")
+def profile_edges(spark, d):
+    """The edges of all profiles: motorways, streets and tracks by flag, a limit on some ways, others barred to bikes."""
+    refs = view(spark, d, "way_refs")
+    way, flag = F.col("way_id"), F.col("flag")
+    kind = F.when(flag == "R", "motorway").when(flag == "N", "residential").otherwise("track")
+    ways = refs.groupBy("way_id").agg(F.min("flag").alias("flag"), F.bool_or("one_way").alias("one_way"))
+    ways = ways.select("way_id", kind.alias("kind"), "one_way", F.when(way % 4 == 0, 25).alias("max_speed"), F.when(way % 5 == 0, F.array(F.lit("bike"))).alias("barred"))
+    out = [roads.road_edges(roads.profile_refs(refs, ways, view(spark, d, "nodes"), p), p).select(F.lit(p).alias("profile"), "way_id", "src", "dst", F.round("seconds", 3).alias("seconds")) for p in roads.SPEEDS]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query(EDGES + ", f AS (SELECT way_id, min(flag) AS flag FROM way_refs GROUP BY way_id), x AS (SELECT flag, src, dst FROM e JOIN f USING (way_id)) SELECT flag, (SELECT count(DISTINCT n) FROM (SELECT src AS n FROM x a WHERE a.flag = x.flag UNION ALL SELECT dst FROM x a WHERE a.flag = x.flag)) AS nodes, count(*) AS edges FROM x GROUP BY flag")
 def graph_counts(spark, d):
     refs = view(spark, d, "way_refs")
@@ -786,6 +811,20 @@ def partition_identity(spark, d):
     return identity.partition_identity("events", 1, whole)
 
 
+@query(with_views("objects") + """, p AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n, concat('shards/', l_returnflag, '/packs/', l_orderkey, '-', l_linenumber, CASE WHEN l_orderkey % 7 = 0 THEN '.gone' WHEN l_linenumber % 3 = 0 THEN '.bin' WHEN l_linenumber % 3 = 1 THEN '.bin.gz' ELSE '.json' END) AS path FROM lineitem),
+lost AS (SELECT DISTINCT k FROM p WHERE k % 14 = 0 AND path NOT IN (SELECT path FROM objects))
+SELECT o_orderkey AS source_id, o_orderstatus <> 'F' AND o_orderkey IN (SELECT k FROM p) AND o_orderkey NOT IN (SELECT k FROM lost) AS reusable FROM orders""")
+def reusable_partitions(spark, d):
+    """Sources by order, some with a new identity, some whose output is gone: where that held no records, they can be used still."""
+    k, n = F.col("l_orderkey"), F.col("l_linenumber")
+    end = F.when(k % 7 == 0, ".gone").when(n % 3 == 0, ".bin").when(n % 3 == 1, ".bin.gz").otherwise(".json")
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    prior = lines.select(k.alias("source_id"), F.concat(F.lit("i"), k).alias("identity"), F.concat(F.lit("shards/"), "l_returnflag", F.lit("/packs/"), k, F.lit("-"), n, end).alias("path"), F.when(k % 14 == 0, 5).otherwise(F.when(k % 7 == 0, 0).otherwise(1)).alias("n"))
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    now = o.select(F.col("o_orderkey").alias("source_id"), F.concat(F.when(F.col("o_orderstatus") == "F", "new").otherwise("i"), "o_orderkey").alias("identity"))
+    return identity.reusable_partitions(prior, now, view(spark, d, "objects"))
+
+
 @query(FLAGS + f" SELECT sha256(concat('3:', {digest_sql("concat_ws(';', region_id, concat_ws('=', region_id, required))")})) AS fingerprint FROM region_state")
 def routing_fingerprint(spark, d):
     return identity.routing_fingerprint(view(spark, d, "region_state").select("region_id", F.col("required").alias("content")), 3)

@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
-from placeflow.operators import delta, enrich, gc, regions, roads, search, spatial, status
+from placeflow.operators import delta, enrich, gc, identity, regions, roads, search, spatial, status
 
 REGION = "region_id string, min_lat double, min_lon double, max_lat double, max_lon double, country_code string, subdivision_code string"
 POINT = "point_id long, lat double, lon double, country string, state string"
@@ -143,6 +143,31 @@ def test_enrichment(spark):
     addresses = spark.createDataFrame(rows, "addr_id long, country string, postcode string, street string, house_number string, city string, lat double, lon double, priority int")
     assert [r.addr_id for r in enrich.suppress_duplicates(corpus, addresses).collect()] == [3]
     assert sorted(r.kind for r in enrich.enrich_corpus(corpus, addresses).collect()) == ["address", "place", "postal_code", "postal_code"]
+    assert tuple(enrich.enrichment_counters(enrich.enrich_corpus(corpus, addresses)).first()) == (1, 2, 4)
+    assert tuple(enrich.enrichment_counters(enrich.enrich_corpus(corpus, addresses.limit(0))).first()) == (0, 0, 1)
+    kinds = addresses.withColumn("kind", F.when(F.col("addr_id") == 2, "postal_code").otherwise("address"))
+    groups = {r.country: (r.samples, r.addresses, r.sources) for r in enrich.group_postal(kinds).collect()}
+    assert groups == {"ca": (1, 1, [0]), "CA": (2, 1, [0, 1])}
+
+
+def test_profile_edges(spark):
+    refs = spark.createDataFrame([(w, p, n) for w in (1, 2, 3, 4) for p, n in enumerate((10, 11, 12))], "way_id long, pos int, node_id long")
+    rows = [(1, "residential", True, None, None), (2, "motorway", False, 50, None), (3, "residential", False, 0, ["car"]), (4, "river", False, None, None)]
+    ways = spark.createDataFrame(rows, "way_id long, kind string, one_way boolean, max_speed int, barred array<string>")
+    nodes = spark.createDataFrame([(10, 0.0, 0.0), (11, 0.0, 1.0)], "node_id long, lat double, lon double")
+    edges = {p: {(r.way_id, r.src, r.dst): round(r.seconds) for r in roads.road_edges(roads.profile_refs(refs, ways, nodes, p), p).collect()} for p in roads.SPEEDS}
+    degree = 111_195.08
+    assert edges["car"] == {(1, 10, 11): round(degree / 30 * 3.6), (2, 10, 11): round(degree / 50 * 3.6), (2, 11, 10): round(degree / 50 * 3.6)}
+    bike, foot = round(degree / 16 * 3.6), round(degree / 5 * 3.6)
+    assert edges["bike"] == {(1, 10, 11): bike, (3, 10, 11): bike, (3, 11, 10): bike}
+    assert edges["foot"] == {(w, a, b): foot for w in (1, 3) for a, b in ((10, 11), (11, 10))}
+
+
+def test_reusable_partitions(spark):
+    prior = spark.createDataFrame([("a", "i", "p/1", 2), ("a", "i", "p/2", 0), ("b", "i", "p/3", 1), ("c", "old", "p/1", 1)], "source_id string, identity string, path string, n long")
+    now = spark.createDataFrame([("a", "i"), ("b", "i"), ("c", "i"), ("d", "i")], "source_id string, identity string")
+    listing = spark.createDataFrame([("p/1",)], "path string")
+    assert sorted(map(tuple, identity.reusable_partitions(prior, now, listing).collect())) == [("a", True), ("b", False), ("c", False), ("d", False)]
 
 
 def test_garbage(spark):
