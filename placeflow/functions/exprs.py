@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import json
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 GRID_DEGREES = 5
 EARTH_METRES = 6_371_008.8
@@ -121,10 +124,45 @@ def _sorted(fields: dict) -> Column:
 
 
 def fingerprint(**fields: Column | dict) -> Column:
-    """SHA-256 of the fields as JSON with sorted names, also within fields given as dicts; nulls stay out."""
+    """SHA-256 of the fields as JSON with sorted names, also within fields given as dicts; nulls stay out. For columns that hold structs, maps or VARIANT: nested_fingerprint()."""
     return F.sha2(F.to_json(_sorted(fields)), 256)
 
 
+def canonical(c: Column, kind: T.DataType) -> Column:
+    """A value of any nested type as JSON text in one form: names of structs and keys of maps sorted at every depth, fields and values that are null left out, arrays in their order (with null for null). Null for null.
+
+    The columns are rewritten by their type when the plan is made; VARIANT keeps its names sorted, so its text is the same form, but for nulls, which it states.
+    """
+    if isinstance(kind, T.StructType):
+        named = [(f.name, canonical(c.getField(f.name), f.dataType)) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return _object(c, F.array(*(F.concat(F.lit(json.dumps(n, ensure_ascii=False) + ":"), v) for n, v in named)) if named else F.array().cast("array<string>"))
+    if isinstance(kind, T.MapType):
+        names = F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(e["key"].cast("string").alias("k"), e["value"].alias("v"))), lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0))
+        return _object(c, F.transform(names, lambda e: F.concat(_scalar(e["k"]), F.lit(":"), canonical(e["v"], kind.valueType))))
+    if isinstance(kind, T.ArrayType):
+        return F.when(c.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(c, lambda x: F.coalesce(canonical(x, kind.elementType), F.lit("null"))), ","), F.lit("]")))
+    if isinstance(kind, T.VariantType):
+        return F.to_json(c)
+    return F.when(c.isNotNull(), _scalar(c))
+
+
+def _object(c: Column, entries: Column) -> Column:
+    return F.when(c.isNotNull(), F.concat(F.lit("{"), F.array_join(F.array_compact(entries), ","), F.lit("}")))
+
+
+def _scalar(c: Column) -> Column:
+    """A value as JSON text: that of an array of it, without the brackets."""
+    whole = F.to_json(F.array(c))
+    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+
+
+def nested_fingerprint(df: DataFrame, *columns: str) -> Column:
+    """SHA-256 of columns of df (all, without names) in canonical form: equal for equal values whatever the order of fields and keys, and whether they are structs or maps."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    named = [(n, canonical(F.col(f"`{n}`"), kinds[n])) for n in sorted(columns or kinds)]
+    return F.sha2(_object(F.lit(True), F.array(*(F.concat(F.lit(json.dumps(n, ensure_ascii=False) + ":"), v) for n, v in named))), 256)
+
+
 def sum_digest(row: Column) -> Column:
     """An aggregate: a hash of all rows' texts whatever their order, combined in every task before any shuffle. Put a row's place in its text where order counts."""
     one = F.sha2(row, 256)
@@ -162,18 +200,20 @@ def dirname(path: Column) -> Column:
 
 
 def safe_path(path: Column) -> Column:
-    """The path without ./ parts; null for an empty, absolute or upward path."""
+    """The path without ./ parts and doubled slashes; null for an absolute or upward path, and where nothing is left (empty, `.`, `./`)."""
     p = F.coalesce(path.cast("string"), F.lit(""))
-    parts = F.filter(F.split(p, "/"), lambda x: (x != ".") & (x != ""))
-    bad = (p == "") | p.startswith("/") | F.array_contains(parts, "..")
-    joined = F.concat(F.array_join(parts, "/"), F.when(p.endswith("/"), "/").otherwise(""))
+    # A ./ in front goes first: what then starts with a slash is absolute.
+    raw = F.when(p.startswith("./"), F.substring(p, 3, 1 << 30)).otherwise(p)
+    parts = F.filter(F.split(raw, "/"), lambda x: (x != ".") & (x != ""))
+    bad = (F.size(parts) == 0) | raw.startswith("/") | F.array_contains(parts, "..")
+    joined = F.concat(F.array_join(parts, "/"), F.when(raw.rlike(r"(^|/)\.?$"), "/").otherwise(""))
     return F.when(~bad, joined)
 
 
 def path_join(base: Column, path: Column) -> Column:
-    """A safe path below a folder."""
-    p = safe_path(path)
-    return F.when(p.isNotNull(), F.when(F.coalesce(base, F.lit("")) == "", p).otherwise(F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/"), p)))
+    """A safe path below a folder ('' or '.': the root); null if either is unsafe."""
+    p, b = safe_path(path), F.coalesce(base, F.lit(""))
+    return F.when(p.isNotNull(), F.when(b.isin("", "."), p).otherwise(safe_path(F.concat(b, F.lit("/"), p))))
 
 
 def generation_manifest_path(base: Column, path: Column, manifest: Column) -> Column:

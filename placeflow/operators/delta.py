@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -91,9 +90,15 @@ def deleted_pending(generations: DataFrame) -> DataFrame:
 
 
 def current_corpus(generations: DataFrame) -> DataFrame:
-    """The latest line of each doc_id over base and deltas (doc_id, generation, raw); deletions wait for a full rebuild."""
-    latest = F.row_number().over(W.partitionBy("doc_id").orderBy(F.col("generation").desc(), F.col("seq").desc()))
-    return generations.withColumn("r", latest).where("r = 1").drop("r")
+    """The lines in force over base and deltas (doc_id, generation, seq, raw): of each id the last line of its latest generation; deletions wait for a full rebuild.
+
+    A delta's line replaces earlier lines of its id, and only these. Lines without an id replace nothing and are
+    replaced by nothing: each stays until the next full build. The last line is an aggregate, so an id that many lines share isn't gathered.
+    """
+    rest = [c for c in generations.columns if c != "doc_id"]
+    named = F.coalesce(F.col("doc_id"), F.lit("")) != ""
+    last = generations.where(named).groupBy("doc_id").agg(F.max_by(F.struct(*rest), F.struct("generation", "seq")).alias("r")).select("doc_id", "r.*")
+    return last.select(generations.columns).unionByName(generations.where(~named))
 
 
 def bootstrap_pending(state: DataFrame) -> DataFrame:

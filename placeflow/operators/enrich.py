@@ -39,10 +39,14 @@ def filter_allowed(records: DataFrame, field: str, allowed: list[str]) -> DataFr
     return records.where(F.upper(X.clean(F.col(field))).isin([a.strip().upper() for a in allowed]))
 
 
+def _tidy(c: str) -> Column:
+    """Upper case, single spaces, none around."""
+    return F.regexp_replace(F.upper(X.clean(F.col(c))), r"\s+", " ")
+
+
 def civic_key(units: bool = False) -> Column:
     """Country, postcode, street and house number (and unit) with upper case and single spaces."""
-    tidy = lambda c: F.regexp_replace(F.upper(X.clean(F.col(c))), r"\s+", " ")
-    return F.concat_ws("|", *(tidy(c) for c in ("country", "postcode", "street", "house_number", *(["unit"] if units else []))))
+    return F.concat_ws("|", *(_tidy(c) for c in ("country", "postcode", "street", "house_number", *(["unit"] if units else []))))
 
 
 def suppress_duplicates(corpus: DataFrame, addresses: DataFrame, units: bool = False) -> DataFrame:
@@ -57,12 +61,12 @@ def suppress_duplicates(corpus: DataFrame, addresses: DataFrame, units: bool = F
 
 
 def group_postal(addresses: DataFrame) -> DataFrame:
-    """A row for each country and postcode: centroid, bounds, most frequent locality (first by name among equals), all localities, samples, addresses and sources.
+    """A row for each country and postcode, both as civic_key writes them, so that case and blanks make no groups of their own: centroid, bounds, most frequent locality (first by name among equals), all localities, samples, addresses and sources.
 
     Samples are all records, addresses those whose kind (where there is such a column) isn't postal_code; sources are the
     configured places (priority) of the sources that the group comes from.
     """
-    own = addresses.where(X.clean(F.col("postcode")) != "").withColumn("city", X.clean(F.col("city")))
+    own = addresses.where(X.clean(F.col("postcode")) != "").withColumns({"country": _tidy("country"), "postcode": _tidy("postcode"), "city": X.clean(F.col("city"))})
     keys = ["country", "postcode"]
     places = own.where("city <> ''").groupBy(*keys, "city").agg(F.count("*").alias("n"))
     names = places.groupBy(*keys).agg(F.min_by("city", F.struct(-F.col("n"), F.col("city"))).alias("locality"), F.array_sort(F.collect_set("city")).alias("localities"))

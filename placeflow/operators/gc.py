@@ -60,7 +60,7 @@ def _references():
 
     def positive(n) -> bool:
         try:
-            return float(n) > 0
+            return (int(n, 16) if isinstance(n, str) and n.strip()[:2] in ("0x", "0X") else float(n)) > 0
         except (TypeError, ValueError):
             return False
 

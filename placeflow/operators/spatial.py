@@ -28,8 +28,8 @@ def _codes(regions: DataFrame, kind: str) -> Column:
     return X.norm_codes(F.col(f"{kind}_codes") if f"{kind}_codes" in regions.columns else F.array(f"{kind}_code"))
 
 
-def _with_boxes(points: DataFrame, regions: DataFrame, *columns: Column) -> DataFrame:
-    """Valid points with `inside`: an array of the regions (region_id and columns) whose box contains them.
+def _with_boxes(points: DataFrame, regions: DataFrame, *columns: Column, how: str = "inner") -> DataFrame:
+    """Valid points with `inside`: an array of the regions (region_id and columns) whose box contains them; null, with how left, where no box is near.
 
     The regions of a cell are one row, so points meet them by an equi-join on the cell and stay one row each. The
     table of cells is sent to the points if it is small; configurations are.
@@ -40,7 +40,7 @@ def _with_boxes(points: DataFrame, regions: DataFrame, *columns: Column) -> Data
         cells = F.broadcast(cells)
     valid = points.where(X.valid_coord(F.col("lat"), F.col("lon"))).withColumn("cell", X.grid_cell(F.col("lat"), F.col("lon")))
     inside = F.filter("boxes", lambda r: X.bbox_contains(F.col("lat"), F.col("lon"), *(r[c] for c in BOX)))
-    return valid.join(cells, "cell").withColumn("inside", inside).drop("cell", "boxes")
+    return valid.join(cells, "cell", how).withColumn("inside", inside).drop("cell", "boxes")
 
 
 def spatial_candidates(points: DataFrame, regions: DataFrame) -> DataFrame:
@@ -49,13 +49,13 @@ def spatial_candidates(points: DataFrame, regions: DataFrame) -> DataFrame:
     return found.withColumn("region_id", F.explode("inside.region_id")).drop("inside")
 
 
-def routed(points: DataFrame, regions: DataFrame) -> DataFrame:
-    """points (lat, lon, country, state and any others) with region_id, a row for each region they go to.
+def _decided(points: DataFrame, regions: DataFrame, how: str = "inner") -> DataFrame:
+    """Valid points with `inside` as an array of the regions that they go to.
 
     Among several boxes a two-letter country code decides, else regions without codes, else all; among what is left
     the subdivision decides, again only after a two-letter country code. No shuffle: all of a point's boxes are in its row.
     """
-    found = _with_boxes(points, regions, _codes(regions, "country").alias("countries"), _codes(regions, "subdivision").alias("subdivisions"))
+    found = _with_boxes(points, regions, _codes(regions, "country").alias("countries"), _codes(regions, "subdivision").alias("subdivisions"), how=how)
     country, sub = F.upper(X.clean(F.col("country"))), X.qualify_subdivision(F.col("country"), F.col("state"))
     iso = country.rlike("^[A-Z]{2}$")
     some = lambda test, among, other: F.when(F.exists(among, test), F.filter(among, test)).otherwise(other)
@@ -63,8 +63,12 @@ def routed(points: DataFrame, regions: DataFrame) -> DataFrame:
     first = some(lambda r: F.array_contains(r["countries"], country), all_, some(lambda r: F.size(r["countries"]) == 0, all_, all_))
     left = found.withColumn("inside", F.when(iso & (F.size(all_) > 1), first).otherwise(all_))
     second = some(lambda r: F.array_contains(r["subdivisions"], sub), all_, all_)
-    left = left.withColumn("inside", F.when(iso & (F.size(all_) > 1) & (X.clean(F.col("state")) != ""), second).otherwise(all_))
-    return left.withColumn("region_id", F.explode("inside.region_id")).drop("inside")
+    return left.withColumn("inside", F.when(iso & (F.size(all_) > 1) & (X.clean(F.col("state")) != ""), second).otherwise(all_))
+
+
+def routed(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """points (lat, lon, country, state and any others) with region_id, a row for each region they go to."""
+    return _decided(points, regions).withColumn("region_id", F.explode("inside.region_id")).drop("inside")
 
 
 def route_points(points: DataFrame, regions: DataFrame) -> DataFrame:
@@ -77,12 +81,17 @@ def region_counts(routed: DataFrame, regions: DataFrame) -> DataFrame:
     return regions.select("region_id").join(routed.groupBy("region_id").agg(F.count("*").alias("n")), "region_id", "left").select("region_id", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def partition_stats(points: DataFrame, routed: DataFrame) -> DataFrame:
-    """One row: rows_read, normalized (valid), unmatched, writes and writes for each row read."""
-    read = points.agg(F.count("*").alias("rows_read"), F.count_if(X.valid_coord(F.col("lat"), F.col("lon"))).alias("normalized"))
-    per_point = routed.groupBy("point_id").agg(F.count("*").alias("w")).agg(F.count("*").alias("matched"), F.coalesce(F.sum("w"), F.lit(0)).alias("writes"))
-    both = read.join(per_point)
-    return both.select("rows_read", "normalized", (F.col("rows_read") - F.col("matched")).alias("unmatched"), "writes", (F.col("writes") / F.greatest("rows_read", F.lit(1))).alias("amplification"))
+def partition_stats(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """One row: rows_read, normalized (valid), unmatched, writes and writes for each row read.
+
+    unmatched: valid rows that no region takes. Rows are counted where they are routed, each for itself, whatever ids
+    they share, and only sums are shuffled.
+    """
+    valid = _decided(points, regions, "left")
+    n = F.coalesce(F.when(F.col("inside").isNotNull(), F.size("inside")), F.lit(0))
+    counted = valid.agg(F.count("*").alias("normalized"), F.count_if(n == 0).alias("unmatched"), F.coalesce(F.sum(n), F.lit(0)).alias("writes"))
+    both = points.agg(F.count("*").alias("rows_read")).join(counted)
+    return both.select("rows_read", "normalized", "unmatched", "writes", (F.col("writes") / F.greatest("rows_read", F.lit(1))).alias("amplification"))
 
 
 def region_neighbors(regions: DataFrame, margin: float = 0.02, overlap: float = 0.8) -> DataFrame:

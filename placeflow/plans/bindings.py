@@ -18,6 +18,10 @@ VIEWS: dict[str, str] = {
     "fresh_lines": """SELECT doc_id AS seq, concat('{{"id":"d', doc_id, '","h":"', CASE WHEN n_chars < 500 THEN 'changed' ELSE md5(coalesce(text, '')) END, '"}}') AS raw, lang FROM {documents} WHERE source <> 'src5'""",
     "addresses": """SELECT c_custkey AS addr_id, CASE WHEN c_nationkey % 2 = 0 THEN 'CA' ELSE 'us ' END AS country, concat('P', c_custkey % 40) AS postcode, concat('Street ', c_custkey % 20) AS street, CAST(c_custkey % 25 AS STRING) AS house_number,
         c_mktsegment AS city, CAST(c_custkey % 9 + 40 AS DOUBLE) AS lat, CAST(c_custkey % 11 - 80 AS DOUBLE) AS lon, CASE WHEN c_acctbal > 5000 THEN 0 ELSE 1 END AS priority FROM {customer}""",
+    # The same with countries and postcodes in several cases, with blanks around and within.
+    "spelt_addresses": """SELECT c_custkey AS addr_id, CASE WHEN c_nationkey % 2 = 0 THEN CASE WHEN c_custkey % 3 = 0 THEN 'ca' ELSE ' CA ' END ELSE CASE WHEN c_custkey % 3 = 0 THEN 'US' ELSE 'us ' END END AS country,
+        concat(CASE WHEN c_custkey % 4 < 2 THEN 'P  ' ELSE ' p ' END, c_custkey % 20, CASE WHEN c_custkey % 5 = 0 THEN ' ' ELSE '' END) AS postcode, concat('Street ', c_custkey % 20) AS street, CAST(c_custkey % 25 AS STRING) AS house_number,
+        c_mktsegment AS city, CAST(c_custkey % 9 + 40 AS DOUBLE) AS lat, CAST(c_custkey % 11 - 80 AS DOUBLE) AS lon, CASE WHEN c_acctbal > 5000 THEN 0 ELSE 1 END AS priority FROM {customer}""",
     "places": """SELECT concat('s', s_suppkey) AS id, CASE WHEN s_nationkey % 2 = 0 THEN 'ca' ELSE 'US' END AS country, concat('p', s_suppkey % 40) AS postcode, concat('STREET  ', s_suppkey % 20) AS street, CAST(s_suppkey % 25 AS STRING) AS house_number,
         CAST(s_suppkey % 9 + 40 AS DOUBLE) AS lat, CAST(s_suppkey % 11 - 80 AS DOUBLE) AS lon FROM {supplier}""",
     "objects": """SELECT DISTINCT concat('shards/', l_returnflag, '/packs/', l_orderkey, '-', l_linenumber, CASE l_linenumber % 3 WHEN 0 THEN '.bin' WHEN 1 THEN '.bin.gz' ELSE '.json' END) AS path, l_orderkey % 1000 + 1 AS size FROM {lineitem}""",

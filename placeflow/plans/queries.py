@@ -12,7 +12,7 @@ from placeflow.operators import delta, enrich, gc, identity, regions, roads, sea
 from placeflow.operators.components import connected_components
 from placeflow.plans.bindings import view, with_views
 from placeflow.scratch import new_path, save
-from placeflow.sources import readers, writers
+from placeflow.sources import readers, versions, writers
 from placeflow.sources.writers import write_region_partitions
 from placeflow.streaming import partition
 from placeflow.streaming.partition import latest_counters, read_partitions, start_counters_stream, start_partition_stream
@@ -64,10 +64,19 @@ def route_candidates(spark, d):
     return spatial.spatial_candidates(view(spark, d, "addr_points"), view(spark, d, "place_regions")).select("point_id", "region_id")
 
 
-@query(ROUTED + """ SELECT rows_read, normalized, rows_read - matched AS unmatched, writes, writes / greatest(rows_read, 1) AS amplification
-FROM (SELECT count(*) AS rows_read, count(*) FILTER (WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) AS normalized FROM addr_points), (SELECT count(DISTINCT point_id) AS matched, count(*) AS writes FROM routed)""")
+STATS = """ SELECT rows_read, normalized, normalized - matched AS unmatched, writes, writes / greatest(rows_read, 1) AS amplification
+FROM (SELECT count(*) AS rows_read, count(*) FILTER (WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) AS normalized FROM addr_points), (SELECT count(DISTINCT point_id) AS matched, count(*) AS writes FROM routed)"""
+
+
+@query(ROUTED + STATS)
 def partition_stats(spark, d):
-    return spatial.partition_stats(view(spark, d, "addr_points"), _routed(spark, d))
+    return spatial.partition_stats(view(spark, d, "addr_points"), view(spark, d, "place_regions"))
+
+
+@query(ROUTED + STATS)
+def partition_stats_shared_ids(spark, d):
+    """The same counters although seven rows share each id: rows are counted, not ids."""
+    return spatial.partition_stats(view(spark, d, "addr_points").withColumn("point_id", F.floor(F.col("point_id") / 7)), view(spark, d, "place_regions"))
 
 
 IV = "SELECT region_id, min_lat, max_lat, min_lon AS lo, CASE WHEN min_lon <= max_lon THEN max_lon ELSE 180 END AS hi FROM place_regions UNION ALL SELECT region_id, min_lat, max_lat, CAST(-180 AS DOUBLE), max_lon FROM place_regions WHERE min_lon > max_lon"
@@ -218,10 +227,17 @@ def refresh_decision(spark, d):
     return delta.refresh_decision(state).select("lang", "added", "changed", "deleted", "decision", "reason")
 
 
-@query(DIFF + " SELECT concat('d', coalesce(f.seq, s.seq)) AS doc_id, CASE WHEN f.seq IS NOT NULL AND (s.seq IS NULL OR s.raw <> f.raw) THEN f.raw ELSE s.raw END AS raw FROM snapshot_lines s FULL JOIN fresh_lines f ON f.seq = s.seq")
+@query(DIFF + """ SELECT concat('d', coalesce(f.seq, s.seq)) AS doc_id, CASE WHEN f.seq IS NOT NULL AND (s.seq IS NULL OR s.raw <> f.raw) THEN f.raw ELSE s.raw END AS raw FROM snapshot_lines s FULL JOIN fresh_lines f ON f.seq = s.seq
+UNION ALL SELECT '', concat('{"old":', o_orderkey, '}') FROM orders WHERE o_orderkey % 3 <> 0 UNION ALL SELECT '', concat('{"new":', o_orderkey, '}') FROM orders WHERE o_orderkey % 3 <> 1 AND o_orderkey > (SELECT min(o_orderkey) FROM orders WHERE o_orderkey % 3 <> 1)
+UNION ALL SELECT '', concat('{"new":', min(o_orderkey), '}') FROM orders WHERE o_orderkey % 3 <> 1""")
 def current_corpus(spark, d):
-    base = view(spark, d, "snapshot_lines").select("seq", delta.line_id(F.col("raw")).alias("doc_id"), "raw", F.lit(0).alias("generation"))
-    return delta.current_corpus(base.unionByName(delta.delta_lines(_diff(spark, d)).withColumn("generation", F.lit(1)))).select("doc_id", "raw")
+    """Lines with ids, and lines of orders without, of which each stays: those of the base, and those that the delta adds."""
+    o = spark.read.parquet(f"{d}/orders.parquet")
+    bare = lambda name, test: o.where(test).select(F.col("o_orderkey").alias("seq"), F.concat(F.lit('{"' + name + '":'), "o_orderkey", F.lit("}")).alias("raw"))
+    snapshot = view(spark, d, "snapshot_lines").select("seq", "raw").unionByName(bare("old", "o_orderkey % 3 <> 0"))
+    fresh = view(spark, d, "fresh_lines").select("seq", "raw").unionByName(bare("new", "o_orderkey % 3 <> 1"))
+    base = snapshot.select("seq", delta.line_id(F.col("raw")).alias("doc_id"), "raw", F.lit(0).alias("generation"))
+    return delta.current_corpus(base.unionByName(delta.delta_lines(delta.corpus_diff(snapshot, fresh)).withColumn("generation", F.lit(1)))).select("doc_id", "raw")
 
 
 # Enrichment ----------------------------------------------------------------------------------------------------
@@ -229,8 +245,10 @@ def current_corpus(spark, d):
 KEY = "concat(upper(trim(country)), '|', upper(postcode), '|', regexp_replace(upper(street), '\\s+', ' ', 'g'), '|', house_number)"
 NEW = with_views("addresses", "places") + f""", keyed AS (SELECT *, {KEY} AS k FROM addresses), known AS (SELECT DISTINCT {KEY} AS k FROM places),
 new AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY priority, addr_id) AS r FROM keyed) WHERE r = 1 AND k NOT IN (SELECT k FROM known))"""
-POSTAL = """, c AS (SELECT country, postcode, city, count(*) AS n FROM addresses GROUP BY ALL), loc AS (SELECT country, postcode, arg_min(city, (-n, city)) AS locality, string_agg(city, ',' ORDER BY city) AS localities FROM c GROUP BY ALL),
-spot AS (SELECT country, postcode, avg(lat) AS lat, avg(lon) AS lon, min(lat) AS min_lat, min(lon) AS min_lon, max(lat) AS max_lat, max(lon) AS max_lon, count(*) AS samples, count(*) AS addresses, CASE WHEN min(priority) = max(priority) THEN min(priority)::VARCHAR ELSE '0,1' END AS sources FROM addresses GROUP BY ALL)"""
+POSTAL = f""", tidy AS (SELECT * REPLACE (upper(trim(country)) AS country, regexp_replace(upper(trim(postcode)), '\\s+', ' ', 'g') AS postcode) FROM spelt_addresses), c AS (SELECT country, postcode, city, count(*) AS n FROM tidy GROUP BY ALL), loc AS (SELECT country, postcode, arg_min(city, (-n, city)) AS locality, string_agg(city, ',' ORDER BY city) AS localities FROM c GROUP BY ALL),
+spot AS (SELECT country, postcode, avg(lat) AS lat, avg(lon) AS lon, min(lat) AS min_lat, min(lon) AS min_lon, max(lat) AS max_lat, max(lon) AS max_lon, count(*) AS samples, count(*) AS addresses, CASE WHEN min(priority) = max(priority) THEN min(priority)::VARCHAR ELSE '0,1' END AS sources FROM tidy GROUP BY ALL)"""
+SPELT_NEW = with_views("spelt_addresses", "places") + f""", keyed AS (SELECT *, concat_ws('|', upper(trim(country)), regexp_replace(upper(trim(postcode)), '\\s+', ' ', 'g'), upper(street), house_number) AS k FROM spelt_addresses), known AS (SELECT DISTINCT {KEY} AS k FROM places),
+new AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY priority, addr_id) AS r FROM keyed) WHERE r = 1 AND k NOT IN (SELECT k FROM known))"""
 
 
 @query(NEW + " SELECT addr_id, country, postcode, street, house_number FROM new")
@@ -238,29 +256,30 @@ def suppress_duplicates(spark, d):
     return enrich.suppress_duplicates(view(spark, d, "places"), view(spark, d, "addresses")).select("addr_id", "country", "postcode", "street", "house_number")
 
 
-@query(with_views("addresses") + POSTAL + " SELECT country, postcode, round(lat, 6) AS lat, round(lon, 6) AS lon, min_lat, min_lon, max_lat, max_lon, samples, addresses, sources, locality, localities FROM spot JOIN loc USING (country, postcode)")
+@query(with_views("spelt_addresses") + POSTAL + " SELECT country, postcode, round(lat, 6) AS lat, round(lon, 6) AS lon, min_lat, min_lon, max_lat, max_lon, samples, addresses, sources, locality, localities FROM spot JOIN loc USING (country, postcode)")
 def postal_groups(spark, d):
-    p = enrich.group_postal(view(spark, d, "addresses"))
+    """Countries and postcodes in several cases and with blanks."""
+    p = enrich.group_postal(view(spark, d, "spelt_addresses"))
     return p.select("country", "postcode", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "min_lat", "min_lon", "max_lat", "max_lon", "samples", "addresses", F.array_join(F.col("sources").cast("array<string>"), ",").alias("sources"), "locality", F.array_join("localities", ",").alias("localities"))
 
 
-ENRICHED = NEW + POSTAL + """, enriched AS (SELECT id, 'place' AS kind, country, postcode, lat, lon FROM places UNION ALL SELECT concat('a', addr_id), 'address', country, postcode, lat, lon FROM new
+ENRICHED = SPELT_NEW + POSTAL + """, enriched AS (SELECT id, 'place' AS kind, country, postcode, lat, lon FROM places UNION ALL SELECT concat('a', addr_id), 'address', country, postcode, lat, lon FROM new
 UNION ALL SELECT concat('p-', country, '-', postcode), 'postal_code', country, postcode, lat, lon FROM spot)"""
 
 
 @query(ENRICHED + " SELECT id, kind, country, postcode, round(lat, 6) AS lat, round(lon, 6) AS lon FROM enriched")
 def enrich_corpus(spark, d):
-    return enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "addresses")).select("id", "kind", "country", "postcode", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+    return enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "spelt_addresses")).select("id", "kind", "country", "postcode", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
 @query(ENRICHED + " SELECT count(*) FILTER (WHERE kind = 'address') AS addresses_written, count(*) FILTER (WHERE kind = 'postal_code') AS postal_docs, count(*) AS total_docs FROM enriched")
 def enrichment_counters(spark, d):
-    return enrich.enrichment_counters(enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "addresses")))
+    return enrich.enrichment_counters(enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "spelt_addresses")))
 
 
 @query(ENRICHED + " SELECT kind, count(*) AS n FROM enriched WHERE kind <> 'address' GROUP BY kind")
 def lane_filter(spark, d):
-    return enrich.lane_filter(enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "addresses")), "text").groupBy("kind").agg(F.count("*").alias("n"))
+    return enrich.lane_filter(enrich.enrich_corpus(view(spark, d, "places"), view(spark, d, "spelt_addresses")), "text").groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query(with_views("place_regions") + """, s AS (SELECT n_name AS source_id, n_nationkey AS i FROM nation)
@@ -947,26 +966,81 @@ def feature_coverage(spark, d):
 
 @query("SELECT DISTINCT concat(o_orderkey % 50, '-live.bin') AS value FROM orders")
 def manifest_files(spark, d):
-    """Names from orders written as one JSON document, found in a listing by its size, and read as a manifest; the names of binary files in it."""
+    """Names from orders written as one JSON document, found in a listing by its path, and read as a manifest; the names of binary files in it."""
     at = new_path(spark, "manifests")
     names = spark.read.parquet(f"{d}/orders.parquet").select(F.concat(F.col("o_orderkey") % 50, F.lit("-live.bin")).alias("name"))
-    writers.write_document(names.agg(F.array_sort(F.collect_set("name")).alias("packs")), at)
-    listed = readers.read_object_listing(spark, at).where("size > 0").select(X.basename(F.col("path")).alias("file"))
-    read = readers.read_manifests(spark, at)
-    whole = read.join(listed, X.basename(read["doc"]) == listed["file"], "left_semi")
+    writers.write_document(names.agg(F.array_sort(F.collect_set("name")).alias("packs")), f"{at}/sub")
+    listed = readers.read_object_listing(spark, at).where("size > 0").select("path")
+    read = readers.read_manifests(spark, at, "part-*")
+    whole = read.join(listed, F.col("doc") == F.col("path"), "left_semi")
     return gc.manifest_protections(whole).where("kind = 'basename'").select("value")
 
 
+STORE = """WITH o AS (SELECT DISTINCT l_returnflag AS f, l_partkey % 20 AS k, l_linenumber % 3 AS t FROM lineitem), files AS (SELECT concat('shards/', f, CASE t WHEN 0 THEN '/packs/' WHEN 1 THEN '/pages/' ELSE '/authority/hot/' END, f, t, '-', k, CASE WHEN k % 2 = 0 THEN '.bin' ELSE '.bin.gz' END) AS path, f, k, t FROM o)"""
+
+
+@query(STORE + """ SELECT path, length(path)::BIGINT AS size FROM files WHERE NOT (t = 0 AND (k % 4 = 0 OR (f = 'N' AND k % 5 = 1))) AND NOT (t = 1 AND f <> 'R') AND NOT (t = 2 AND f = 'A')""")
+def garbage_of_files(spark, d):
+    """Objects and manifests as files of one store, listed and read from its root: packs are held by name or path, pages by their folder, hot lists by the root beside them; the manifests hold themselves."""
+    at = new_path(spark, "store")
+    flag, k, t = F.col("l_returnflag"), F.col("l_partkey") % 20, F.col("l_linenumber") % 3
+    shard = F.concat(F.lit("shards/"), "f")
+    end = F.when(F.col("k") % 2 == 0, ".bin").otherwise(".bin.gz")
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select(flag.alias("f"), k.alias("k"), t.alias("t")).distinct()
+    files = rows.select(F.concat(shard, F.when(F.col("t") == 0, "/packs/").when(F.col("t") == 1, "/pages/").otherwise("/authority/hot/"), "f", "t", F.lit("-"), "k", end).alias("path"))
+    name = F.concat("f", "t", F.lit("-"), "k")
+    pack = F.when(F.col("k") % 4 == 0, F.concat(name, end)).when((F.col("f") == "N") & (F.col("k") % 5 == 1), F.concat(F.lit("./packs//"), name, end))
+    held = rows.where("t = 0").groupBy("f").agg(F.array_sort(F.collect_set(F.when(F.col("k") % 4 == 0, pack))).alias("names"), F.array_sort(F.collect_set(F.when(F.col("k") % 4 != 0, pack))).alias("paths"))
+    body = F.struct("names", "paths", F.when(F.col("f") != "R", "./pages/").alias("pages"), F.lit("./").alias("up_path"), F.struct(F.when(F.col("f") == "A", "0x5").otherwise("0").alias("hot_prefixes"), F.struct(F.lit("authority/root.json").alias("file")).alias("root")).alias("authority"))
+    manifests = held.select(F.concat(shard, F.lit("/manifest.min.json")).alias("path"), F.to_json(body).cast("binary").alias("content"))
+    writers.write_objects(files.select("path", F.col("path").cast("binary").alias("content")).unionByName(manifests), at).write.format("noop").mode("overwrite").save()
+    listing = readers.read_object_listing(spark, at)
+    never = spark.createDataFrame([], "path string, first_seen string")
+    return gc.prune_candidates(listing, gc.manifest_protections(readers.read_manifests(spark, at)), never, _now()).select("path", "size")
+
+
 @query(FLAGS + " SELECT region_id, docs, built FROM f WHERE ord % 2 = 0")
 def state_table(spark, d):
-    """The state saved twice; the latest version is what is read."""
+    """The state saved twice, then a save that breaks off; the latest whole version is what is read."""
     at = new_path(spark, "state")
     s = view(spark, d, "region_state").select("region_id", "docs", "built", "ord")
     for version, rows in enumerate((s, s.where("ord % 2 = 0"))):
         writers.save_state(rows.drop("ord"), at, version)
+    s.where("ord = 1").drop("ord").write.parquet(f"{at}/{versions.DATA}/2-interrupted/_temporary/0")
     return writers.load_state(spark, at, "region_id string, docs long, built string").select("region_id", F.col("docs").cast("int").alias("docs"), "built")
 
 
+@query(with_views("snapshot_lines", "fresh_lines") + " SELECT 'held' AS kind, raw FROM snapshot_lines UNION ALL SELECT 'current', raw FROM fresh_lines")
+def snapshot_versions(spark, d):
+    """Three snapshots, the first of them held by a reader while old ones are deleted; what that reader and a new one read."""
+    at = new_path(spark, "snapshots")
+    lines = view(spark, d, "snapshot_lines")
+    first = writers.write_snapshot(lines, at, "a")
+    versions.lease(spark, at, versions.current(spark, at)["number"])
+    for label, rows in (("b", lines.limit(0)), ("c", view(spark, d, "fresh_lines"))):
+        writers.write_snapshot(rows, at, label)
+    versions.vacuum(spark, at, keep=1)
+    read = lambda kind, path: readers.read_corpus(spark, path).select(F.lit(kind).alias("kind"), "raw")
+    return read("held", first).unionByName(read("current", writers.current_snapshot(spark, at)))
+
+
+@query("""WITH c AS (SELECT o_orderkey AS source_id, concat('{"applies":{"groups":["a","g', o_custkey % 3, '"],"ids":["x"]},"defaults":{"country":"', o_orderpriority, '","zone":"z"},"header":', CASE WHEN o_orderstatus = 'P' THEN 'true' ELSE 'false' END, ',"size":', o_orderkey, '}') AS j FROM orders) SELECT source_id, sha256(j) AS fingerprint, 'struct,map,variant' AS kinds FROM c""")
+def nested_fingerprints(spark, d):
+    """One configuration of each order as structs, as maps and as VARIANT, with names in unlike order: one fingerprint."""
+    o, c = spark.read.parquet(f"{d}/orders.parquet"), F.col
+    groups, header = F.array(F.lit("a"), F.concat(F.lit("g"), c("o_custkey") % 3)), c("o_orderstatus") == "P"
+    s = lambda **k: F.struct(*(v.alias(n) for n, v in k.items()))
+    structs = o.select(c("o_orderkey").alias("source_id"), c("o_orderkey").alias("size"), s(zone=F.lit("z"), country=c("o_orderpriority")).alias("defaults"), header.alias("header"), s(ids=F.array(F.lit("x")), groups=groups, none=F.lit(None).cast("string")).alias("applies"))
+    maps = o.select(c("o_orderkey").alias("source_id"), header.alias("header"), F.create_map(F.lit("zone"), F.lit("z"), F.lit("country"), c("o_orderpriority"), F.lit("none"), F.lit(None)).alias("defaults"), F.create_map(F.lit("ids"), F.array(F.lit("x")), F.lit("groups"), groups).alias("applies"), c("o_orderkey").alias("size"))
+    text = structs.select("source_id", F.to_json(F.struct("size", "defaults", "header", s(ids=F.col("applies.ids"), groups=F.col("applies.groups")).alias("applies"))).alias("j"))
+    variants = text.select("source_id", F.parse_json("j").alias("v"))
+    fields = ("applies", "defaults", "header", "size")
+    each = [("struct", structs, X.nested_fingerprint(structs, *fields)), ("map", maps, X.nested_fingerprint(maps, *fields)), ("variant", variants, F.sha2(X.canonical(c("v"), variants.schema["v"].dataType), 256))]
+    out = [df.select("source_id", F.lit(kind).alias("kind"), print_.alias("fingerprint")) for kind, df, print_ in each]
+    order = F.when(c("kind") == "struct", 0).when(c("kind") == "map", 1).otherwise(2)
+    return out[0].unionByName(out[1]).unionByName(out[2]).groupBy("source_id", "fingerprint").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "kind"))), lambda x: x["kind"]), ",").alias("kinds"))
+
+
 @query("SELECT unnest(['forced', 'missing', 'regions', 'drift', 'none']) AS reason")
 def stats_reasons(spark, d):
     """Totals of documents against those of some sources, with the regions of both."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
 from placeflow.operators.delta import line_id
+from placeflow.sources.versions import qualified
 
 ADDRESS = "id string, kind string, house_number string, street string, unit string, city string, district string, state string, postcode string, country string, lat double, lon double, url string"
 FIELDS = [f.split()[0] for f in ADDRESS.split(", ")]
@@ -69,12 +70,20 @@ def read_region_features(spark: SparkSession, path: str) -> DataFrame:
     return f.select("f.properties.id", "f.properties.parent", "f.properties.name", X.norm_codes(F.col("f.properties.`iso3166-1:alpha2`")).alias("codes"), "f.geometry")
 
 
+def _files(spark: SparkSession, root: str, names: str | None) -> DataFrame:
+    """Files below a root, with their paths relative to it, as protections and candidates name them."""
+    base = qualified(spark, root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = (files.option("pathGlobFilter", names) if names else files).load(root)
+    return files.withColumn("path", F.substring("path", len(base) + 2, 1 << 30))
+
+
 def read_object_listing(spark: SparkSession, root: str) -> DataFrame:
-    """(path, size, modified) of all files below a folder; contents aren't read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    """(path below the root, size, modified) of all files; contents aren't read."""
+    return _files(spark, root, None).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
-def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """(doc, base, body VARIANT): a row for each JSON document."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("doc"), "value")
+def read_manifests(spark: SparkSession, root: str, names: str = "*.json") -> DataFrame:
+    """(doc, base, body VARIANT): a row for each JSON document whose name matches; doc and base (its folder) are paths below the root, as in the listing. A document that isn't JSON fails the job."""
+    files = _files(spark, root, names).select(F.col("path").alias("doc"), F.col("content").cast("string").alias("value"))
     return files.select("doc", X.dirname(F.col("doc")).alias("base"), F.parse_json("value").alias("body"))

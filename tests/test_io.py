@@ -1,12 +1,15 @@
 """Readers, writers and streams on small files."""
 
 import json
+import os
+import shutil
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from placeflow.operators.delta import corpus_diff, delta_lines
-from placeflow.sources import readers, writers
+from placeflow.sources import readers, versions, writers
 from placeflow.streaming.partition import _grace, grace_stream
 
 
@@ -74,11 +77,71 @@ def test_partitions_by_rows(spark, tmp_path):
 
 
 def test_listing_and_manifests(spark, tmp_path):
-    (tmp_path / "m" / "sub").mkdir(parents=True)
-    (tmp_path / "m" / "sub" / "a.json").write_text('{"k": ["x.bin"]}')
-    got = readers.read_object_listing(spark, f"{tmp_path}/m").collect()
-    assert [(r.path.rsplit("/", 1)[1], r.size) for r in got] == [("a.json", 16)]
-    assert readers.read_manifests(spark, f"{tmp_path}/m/sub").first().base.endswith("/m/sub")
+    """Both name a file by its path below the root, whatever characters it has and however the root is written."""
+    (tmp_path / "m" / "sub dir").mkdir(parents=True)
+    (tmp_path / "m" / "sub dir" / "a%é.json").write_text('{"k": ["x.bin"]}')
+    (tmp_path / "m" / "x.bin").write_bytes(b"12")
+    for root in (f"{tmp_path}/m", f"file://{tmp_path}/m/", f"file:{tmp_path}/m"):
+        got = readers.read_object_listing(spark, root).collect()
+        assert sorted((r.path, r.size) for r in got) == [("sub dir/a%é.json", 16), ("x.bin", 2)]
+        assert [(r.doc, r.base) for r in readers.read_manifests(spark, root).collect()] == [("sub dir/a%é.json", "sub dir")]
+
+
+def test_objects(spark, tmp_path):
+    rows = spark.createDataFrame([("a/b/x.bin", b"123"), ("y.json", None)], "path string, content binary")
+    assert sorted(map(tuple, writers.write_objects(rows, f"{tmp_path}/o").collect())) == [("a/b/x.bin", 3), ("y.json", 0)]
+    assert (tmp_path / "o" / "a" / "b" / "x.bin").read_bytes() == b"123" and len(list((tmp_path / "o").rglob("*"))) == 4
+    with pytest.raises(Exception, match="unsafe path"):
+        writers.write_objects(spark.createDataFrame([("../x", b"")], rows.schema), f"{tmp_path}/o").collect()
+
+
+def test_interrupted_saves(spark, tmp_path):
+    """A save that breaks off leaves the former version in force; one whose files are lost fails."""
+    root = f"{tmp_path}/state"
+    state = lambda n: spark.createDataFrame([(n,)], "a int")
+    broken = state(0).select(F.raise_error("power cut").cast("int").alias("a"))
+    with pytest.raises(Exception, match="power cut"):
+        writers.save_state(broken, root, 0)
+    assert writers.load_state(spark, root, "a int").count() == 0
+    writers.save_state(state(1), root, 1)
+    with pytest.raises(Exception, match="power cut"):
+        writers.save_state(broken, root, 2)
+    assert [r.a for r in writers.load_state(spark, root, "a int").collect()] == [1]
+    with pytest.raises(ValueError, match="isn't above"):
+        writers.save_state(state(5), root, 1)
+    shutil.rmtree(writers.save_state(state(3), root, 3))
+    with pytest.raises(ValueError, match="can't be read"):
+        writers.load_state(spark, root, "a int")
+
+
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
+    root, state = f"{tmp_path}/state", spark.createDataFrame([(1,)], "a int")
+    real = versions.create_text
+
+    def late(session, path, text):
+        monkeypatch.setattr(versions, "create_text", real)
+        writers.save_state(state, root, 1)
+        real(session, path, text)
+
+    monkeypatch.setattr(versions, "create_text", late)
+    with pytest.raises(Exception, match="(?i)exist"):
+        writers.save_state(spark.createDataFrame([(2,)], "a int"), root, 1)
+    assert [r.a for r in writers.load_state(spark, root, "a int").collect()] == [1]
+    assert not [n for n in os.listdir(f"{root}/_commits") if n.startswith(".0") and not n.endswith(".crc")]
+
+
+def test_old_versions_are_kept_for_readers(spark, tmp_path):
+    root = f"{tmp_path}/snap"
+    lines = lambda n: spark.createDataFrame([(f'{{"id":"{n}"}}',)], "raw string")
+    paths = [writers.write_snapshot(lines(n), root, f"v{n}") for n in range(4)]
+    held = versions.lease(spark, root, 0)
+    versions.lease(spark, root, 1, hours=-1)
+    os.makedirs(f"{root}/data/new-unfinished")
+    assert versions.vacuum(spark, root, keep=1) == sorted(p.removeprefix(f"{root}/") for p in paths[1:3])
+    assert [readers.read_corpus(spark, p).first().doc_id for p in (paths[0], writers.current_snapshot(spark, root))] == ["0", "3"]
+    versions.delete(spark, held)
+    assert versions.vacuum(spark, root, keep=1, grace_hours=0) == sorted([paths[0].removeprefix(f"{root}/"), "data/new-unfinished"])
+    assert [r["label"] for r in versions.commits(spark, root)] == ["v0", "v1", "v2", "v3"]
 
 
 def test_grace_stream(spark, tmp_path):

@@ -56,7 +56,15 @@ def test_synthetic_routing_has_no_amplification(spark):
     r = spark.createDataFrame(rows, REGION)
     out = spatial.route_points(p, r)
     assert {x.region_id: x.n for x in spatial.region_counts(out, r).collect()} == {k[0]: n // 4 for k in rows}
-    assert spatial.partition_stats(p, out).first() == Row(rows_read=n, normalized=n, unmatched=0, writes=n, amplification=1.0)
+    assert spatial.partition_stats(p, r).first() == Row(rows_read=n, normalized=n, unmatched=0, writes=n, amplification=1.0)
+
+
+def test_counters_count_rows(spark):
+    """Rows that share an id are each counted; rows without a valid place are neither normalised nor unmatched."""
+    r = spark.createDataFrame([("a", 0.0, 0.0, 10.0, 10.0, "", ""), ("b", 5.0, 5.0, 20.0, 20.0, "", "")], REGION)
+    p = spark.createDataFrame([(1, 1.0, 1.0, "", ""), (1, 2.0, 2.0, "", ""), (1, 6.0, 6.0, "", ""), (1, -50.0, 1.0, "", ""), (2, 19.0, -150.0, "", ""), (2, 95.0, 0.0, "", ""), (3, None, 0.0, "", "")], POINT)
+    assert spatial.partition_stats(p, r).first() == Row(rows_read=7, normalized=5, unmatched=2, writes=4, amplification=4 / 7)
+    assert spatial.partition_stats(p.limit(0), r).first() == Row(rows_read=0, normalized=0, unmatched=0, writes=0, amplification=0.0)
 
 
 def test_codes(spark):
@@ -109,6 +117,12 @@ def test_generations_equal_a_full_build(spark):
     assert {r.doc_id: r.raw for r in delta.current_corpus(base.union(new)).collect()} == {f"d{i}": f"v{i}" if i < 15 else f"w{i}" for i in range(30)}
 
 
+def test_lines_without_ids_stay(spark):
+    rows = [(1, "", "x", 0), (2, "", "y", 0), (3, None, "z", 0), (4, "a", "old", 0), (5, "a", "older line", 0), (1, "", "w", 1), (2, "a", "new", 1)]
+    got = delta.current_corpus(spark.createDataFrame(rows, "seq long, doc_id string, raw string, generation int"))
+    assert sorted((r.doc_id or "", r.generation, r.raw) for r in got.collect()) == [("", 0, "x"), ("", 0, "y"), ("", 0, "z"), ("", 1, "w"), ("a", 1, "new")]
+
+
 @pytest.mark.parametrize(("change", "want"), [({}, "delta"), ({"has_base": False}, "full"), ({"n_generations": 6}, "full"), ({"n_generations": 5}, "delta"), ({"added": 0}, "noop"), ({"added": 31}, "full"), ({"added": 30}, "delta"), ({"deleted_pending": 1}, "full")])
 def test_decision(spark, change, want):
     row = dict(has_base=True, builder_changed=False, stats_changed=False, has_snapshot=True, has_fresh=True, n_generations=1, added=1, changed=0, deleted=0, docs=100, deleted_pending=0, fresh=100) | change
@@ -142,12 +156,15 @@ def test_enrichment(spark):
     rows = [(1, "ca", "h1", "main st", "1", "X", 1.0, 2.0, 0), (2, "CA", "H1", "Main St", "214", "Y", 3.0, 4.0, 1), (3, "CA", "H1", "Main St", "214", "Y", 3.0, 4.0, 0)]
     addresses = spark.createDataFrame(rows, "addr_id long, country string, postcode string, street string, house_number string, city string, lat double, lon double, priority int")
     assert [r.addr_id for r in enrich.suppress_duplicates(corpus, addresses).collect()] == [3]
-    assert sorted(r.kind for r in enrich.enrich_corpus(corpus, addresses).collect()) == ["address", "place", "postal_code", "postal_code"]
-    assert tuple(enrich.enrichment_counters(enrich.enrich_corpus(corpus, addresses)).first()) == (1, 2, 4)
+    assert sorted(r.kind for r in enrich.enrich_corpus(corpus, addresses).collect()) == ["address", "place", "postal_code"]
+    assert tuple(enrich.enrichment_counters(enrich.enrich_corpus(corpus, addresses)).first()) == (1, 1, 3)
     assert tuple(enrich.enrichment_counters(enrich.enrich_corpus(corpus, addresses.limit(0))).first()) == (0, 0, 1)
     kinds = addresses.withColumn("kind", F.when(F.col("addr_id") == 2, "postal_code").otherwise("address"))
     groups = {r.country: (r.samples, r.addresses, r.sources) for r in enrich.group_postal(kinds).collect()}
-    assert groups == {"ca": (1, 1, [0]), "CA": (2, 1, [0, 1])}
+    assert groups == {"CA": (3, 2, [0, 1])}
+    spelt = spark.createDataFrame([(1, "ca ", "p  1", "a", "1", "X", 1.0, 2.0, 0), (2, "CA", "P 1 ", "b", "2", "Y", 3.0, 4.0, 1)], addresses.schema)
+    assert [(r.country, r.postcode, r.samples, r.localities) for r in enrich.group_postal(spelt).collect()] == [("CA", "P 1", 2, ["X", "Y"])]
+    assert [r.id for r in enrich.enrich_corpus(corpus, spelt).where("kind = 'postal_code'").collect()] == ["p-CA-P 1"]
 
 
 def test_profile_edges(spark):
@@ -218,6 +235,30 @@ def test_live_references_hold_objects(spark):
     assert sorted(r.path for r in gc.protected_objects(o, gc.manifest_protections(m).union(routes)).collect()) == sorted(live)
 
 
+def test_safe_paths(spark):
+    want = {"a/b": "a/b", "./a//b/./c": "a/b/c", "a/": "a/", "a/.": "a/", "a/./": "a/", ".": None, "./": None, "././": None, "": None, "/a": None, ".//a": None, "a/../b": None, "..": None, "//": None, "..a": "..a", "a.": "a.", ".hidden": ".hidden"}
+    d = spark.createDataFrame(list(want.items()), "p string, w string").select("p", "w", X.safe_path(F.col("p")).alias("got"), X.path_join(F.lit("s/a/"), F.col("p")).alias("below"), X.path_join(F.lit("/abs"), F.col("p")).alias("absolute"), X.path_join(F.lit("."), F.col("p")).alias("root"))
+    for r in d.collect():
+        assert r.got == r.w and r.below == (r.w and f"s/a/{r.w}") and r.absolute is None and r.root == r.w, r
+    body = {"y_path": "./", "pages": ".", "deep_path": "/", "file": "./b.bin"}
+    m = spark.createDataFrame([("m.json", "r", json.dumps(body))], "doc string, base string, j string").select("doc", "base", F.parse_json("j").alias("body"))
+    assert {tuple(r) for r in gc.manifest_protections(m).collect()} == {("path", "m.json"), ("basename", "b.bin"), ("path", "r/b.bin")}
+
+
+def test_nested_fingerprints(spark):
+    """One value in four shapes and orders of names has one fingerprint; unlike values and unlike orders of arrays don't."""
+    of = lambda sql: spark.sql(f"select {sql}").select(X.nested_fingerprint(spark.sql(f"select {sql}")).alias("f")).first().f
+    same = [
+        "named_struct('b', array(named_struct('y', 1, 'x', 'é \"q\"'), null), 'a', map('k2', 2.5d, 'k1', null)) as v, true as u",
+        "true as u, named_struct('a', map('k1', null, 'k2', 2.5d), 'b', array(named_struct('x', 'é \"q\"', 'y', 1), null)) as v",
+        "true as u, named_struct('a', named_struct('k2', 2.5d, 'k1', cast(null as int)), 'b', array(map('y', '1'), null)) as v",
+    ]
+    assert of(same[0]) == of(same[1]) != of(same[2])
+    assert of("array(1, 2) as v") != of("array(2, 1) as v") and of("map(1, 'a', 10, 'b') as v") == of("map(10, 'b', 1, 'a') as v")
+    d = spark.createDataFrame([(json.dumps(j),) for j in ({"b": [{"y": 1, "x": None}], "a": {"z": 1, "k": "t"}}, {"a": {"k": "t", "z": 1}, "b": [{"x": None, "y": 1}]})], "j string").select(F.parse_json("j").alias("v"))
+    assert len({r[0] for r in d.select(X.nested_fingerprint(d)).collect()}) == 1
+
+
 def test_generation_manifests(spark):
     rows = [("shards/quebec/", "gen-0001/", "gen-0001/manifest.min.json"), ("shards/quebec/", "gen-0001/", "manifest.min.json"), ("shards/quebec/", "../other/", "manifest.min.json"), ("shards/quebec/", "gen-0001/", None), ("shards/quebec/", "", "a/m.json"), ("shards/quebec", None, None), ("shards/quebec", "gen-1/", "../m.json")]
     d = spark.createDataFrame(rows, "b string, p string, m string")
