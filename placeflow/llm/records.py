@@ -12,9 +12,9 @@ index, a Parquet table (file, part, roll, at, bytes, first, doc_id, n_tokens). O
 there, so files of lost or repeated attempts are never read. Files are written through pyarrow's file systems
 (local, HDFS, object stores) into the folder that driver and executors share.
 
-Encoding: with a byte-level vocabulary that has no normaliser, a piece is a run of white space or of
-other characters with the space before it; the library's pattern never matches over the end of such a piece, so
-each piece is encoded once in a task. Texts that hold a special string, and texts under other vocabularies, are one piece.
+Encoding: with a byte-level vocabulary that has no normaliser, the pieces that the library's pattern makes are found in array
+passes, and the library encodes each once in a task (see Encoder); pieces are told apart by 64-bit hashes. Texts that hold a
+special string, and texts under other vocabularies, are encoded whole by the library.
 
 Null and empty texts give a record of the end id alone. Repeated rows give a record each. A very long text is one
 record, in memory of a few times its size. Other columns of the input are ignored. An empty table gives no files.
@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import uuid
 from functools import lru_cache
@@ -32,20 +31,23 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placeflow.llm._common import give_back, parts, texts
-from placeflow.llm.bpe import spread
+from placeflow.llm._common import give_back, mix, parts, texts
+from placeflow.llm.bpe import byte_symbols, spread
 from placeflow.scratch import new_path, save
 
 FILE_BYTES = 128 << 20
+#: Bytes of text that are encoded at a time.
+SLICE = 2 << 20
 #: Bytes of records that are read and checked at a time.
 CHUNK = 4 << 20
 #: Pieces remembered in a task, and their characters.
-PIECES, HELD = 400_000, 16 << 20
+PIECES, HELD = 1_000_000, 24 << 20
 _INDEX = "file string, part int, roll int, at long, bytes long, first long, doc_id long, n_tokens long"
 _RECORD = "doc_id long, start long, n_tokens long, ids binary"
 
@@ -122,60 +124,148 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 # Encoding --------------------------------------------------------------------------------------------------------
 
-#: White space as the library's pattern knows it.
-_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PIECE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-_ASCII_PIECE = re.compile("(?a: ?[^\\t-\\r ]+|[\\t-\\r ]+(?![^\\t-\\r ])|[\\t-\\r ]+)")
+_LETTER, _NUMBER, _OTHER, _SPACE, _UNSEEN = range(5)
+#: Pieces longer than this are told apart by XXH3: for long ones, unlike pieces with equal polynomials are easily built.
+_LONG = 32
+_BASE = 0x9E3779B97F4A7C15
+#: Ends of contractions that are pieces of their own.
+_ONE, _TWO = "stmd", ("re", "ve", "ll")
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    with np.errstate(over="ignore"):
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            p = np.full(n, base, np.uint64)
+            p[0] = 1
+            out.append(np.multiply.accumulate(p))
+    return out[0], out[1]
 
 
 class Encoder:
-    """The ids of texts under a vocabulary file; pieces are encoded once and remembered."""
+    """The ids of texts under a vocabulary file.
+
+    With a byte-level vocabulary whose pattern is the usual one (contractions; runs of letters, of numbers and of others, each
+    with a space before it; white space), pieces are found in array passes over code points, and the library's model is asked
+    once for each distinct piece, by hash, in the order of the text. Which code points are letters, numbers or white space is
+    asked of the library too, once each.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         spec = json.loads(Path(path).read_text(encoding="utf-8"))
-        pre = spec.get("pre_tokenizer") or {}
-        self.cuts = spec.get("normalizer") is None and spec.get("post_processor") is None and pre.get("type") == "ByteLevel" and bool(pre.get("use_regex", True)) and not pre.get("add_prefix_space")
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        usual = pre.get("type") == "ByteLevel" and bool(pre.get("use_regex", True)) and not pre.get("add_prefix_space")
+        plain = spec.get("normalizer") is None and spec.get("post_processor") is None and not model.get("dropout")
+        self.cuts = usual and plain and model.get("type", "BPE") == "BPE"
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.letters = dict(enumerate(byte_symbols()))
+        self.kinds = np.full(0x110000, _UNSEEN, np.uint8)
+        self.kinds[32] = _SPACE
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
         self.held = 0
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.values, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-    def split(self, text: str) -> list[str]:
+    def _kind(self, ch: str) -> int:
+        pre = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        among = pre(f"a{ch}1")
+        if len(among) == 2:
+            return _NUMBER if among[0][0] == "a" else _LETTER
+        return _OTHER if len(pre(f"{ch}!")) == 1 else _SPACE
+
+    def _starts(self, points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """Where pieces start. firsts: the first place of each text that isn't empty."""
+        kinds = self.kinds[points]
+        if (kinds == _UNSEEN).any():
+            for p in np.unique(points[kinds == _UNSEEN]).tolist():
+                self.kinds[p] = self._kind(chr(p))
+            kinds = self.kinds[points]
+        n = len(points)
+        first = np.zeros(n + 1, bool)
+        first[firsts] = first[n] = True
+        space = kinds == _SPACE
+        change = first[:n].copy()
+        change[1:] |= kinds[1:] != kinds[:-1]
+        # The last white space before anything else starts a piece: alone, or as the space before what follows.
+        last = space.copy()
+        last[:-1] &= ~space[1:]
+        last &= ~first[1:]
+        starts = change | last
+        joined = np.zeros(n, bool)
+        joined[1:] = (points[:-1] == 32) & ~space[1:] & ~first[1:n]
+        starts &= ~joined
+        for i in np.flatnonzero((points == 39) & starts).tolist():
+            tail = points[i + 1 : i + 3].tolist()
+            room = 0 if first[i + 1] else 1 if i + 2 > n or first[i + 2] else 2
+            size = 1 if room and chr(tail[0]) in _ONE else 2 if room == 2 and chr(tail[0]) + chr(tail[1]) in _TWO else 0
+            if size:
+                starts[i + 1 : i + 1 + size] = False
+                if i + 1 + size < n:
+                    starts[i + 1 + size] = True
+        return np.flatnonzero(starts)
+
+    def _hashes(self, text: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        up, down = _powers(1 << max(12, (len(points)).bit_length()))
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(points) + 1, np.uint64)
+            np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], out=sums[1:])
+            out = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+        for k in np.flatnonzero(ends - starts > _LONG).tolist():
+            out[k] = xxhash.xxh3_64_intdigest(text[starts[k] : ends[k]].encode(), 1)
+        return out
+
+    def _pieces(self, rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number for each row)."""
+        text = "".join(rows)
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+        offsets = np.concatenate(([0], np.cumsum(lengths)))
         if not text:
-            return []
-        if not self.cuts or any(s in text for s in self.special):
-            return [text]
-        return (_ASCII_PIECE if text.isascii() else _PIECE).findall(text)
+            return np.zeros(0, np.uint32), np.zeros(len(rows), np.int64)
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        starts = self._starts(points, offsets[:-1][lengths > 0])
+        ends = np.append(starts[1:], len(points))
+        distinct, at, which = np.unique(self._hashes(text, points, starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) and (self.held > HELD or len(self.hashes) + len(distinct) > PIECES):
+            self.forget()
+        place = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = place < len(self.hashes)
+        known[inside] = self.hashes[place[inside]] == distinct[inside]
+        new = at[~known]
+        ask, letters = self.tokenizer.model.tokenize, self.letters
+        got = [[t.id for t in ask(text[a:b].encode().decode("latin-1").translate(letters))] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+        places = np.arange(len(self.sizes), len(self.sizes) + len(got))
+        self.values = np.concatenate([self.values, np.fromiter((i for ids in got for i in ids), np.uint32)])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, got), np.int64, len(got))])
+        self.held += int((ends - starts)[new].sum())
+        hashes, all_ = np.concatenate([self.hashes, distinct[~known]]), np.concatenate([self.places, places])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.places = hashes[order], all_[order]
+        picks = self.places[np.searchsorted(self.hashes, distinct)][which]
+        ids, sizes = spread(self.values, self.sizes, np.cumsum(self.sizes), picks)
+        before = np.concatenate(([0], np.cumsum(sizes)))
+        return ids, np.diff(before[np.searchsorted(starts, offsets)])
 
     def encode(self, rows: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, their number for each row)."""
-        pieces = [self.split(text) for text in rows]
-        distinct = set().union(*pieces)
-        new = list(distinct - self.known.keys())
-        if self.known and (self.held > HELD or len(self.known) + len(new) > PIECES):
-            self.forget()
-            new = list(distinct)
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)] if new else []
-        self.known |= zip(new, range(len(self.known), len(self.known) + len(new)), strict=True)
-        self.values = np.concatenate([self.values, np.array([i for ids in got for i in ids], np.uint32)])
-        self.sizes = np.concatenate([self.sizes, np.array([len(ids) for ids in got], np.int64)])
-        counts = np.array([len(p) for p in pieces], np.int64)
-        picks = np.fromiter((i for p in pieces for i in map(self.known.__getitem__, p)), np.int64, int(counts.sum()))
-        ids, sizes = spread(self.values, self.sizes, np.cumsum(self.sizes), picks)
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        stops = np.cumsum(counts)
-        self.held += sum(map(len, new))
-        return ids, ends[stops] - ends[stops - counts]
+        whole = [i for i, t in enumerate(rows) if t and (not self.cuts or any(s in t for s in self.special))]
+        own = {i: np.array(e.ids, np.uint32) for i, e in zip(whole, self.tokenizer.encode_batch_fast([rows[i] for i in whole], add_special_tokens=False), strict=True)} if whole else {}
+        ids, counts = self._pieces(["" if i in own else t for i, t in enumerate(rows)] if own else rows)
+        if own:
+            cuts = np.concatenate(([0], np.cumsum(counts)))
+            each = [own.get(i, ids[cuts[i] : cuts[i + 1]]) for i in range(len(rows))]
+            ids, counts = np.concatenate(each), np.array([len(e) for e in each], np.int64)
+        return ids, counts
 
 
 @lru_cache(maxsize=2)
@@ -220,7 +310,7 @@ def _write(folder: str, path: str, end: int | None, most: int):
         roll, at, first, out, name = -1, 0, 0, None, ""
         try:
             for batch in batches:
-                for some in parts(batch):
+                for some in parts(batch, most=SLICE):
                     doc_ids = some.column("doc_id").to_pylist()
                     ids, counts = _with_end(*encoder.encode(some.column("text").to_pylist()), end)
                     rows = []
