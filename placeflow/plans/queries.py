@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
-from placeflow.operators import delta, enrich, gc, identity, regions, roads, search, spatial, status
+from placeflow.operators import delta, enrich, gc, identity, regions, roads, routes, search, spatial, status
 from placeflow.operators.components import connected_components
 from placeflow.plans.bindings import view, with_views
 from placeflow.scratch import new_path, save
@@ -491,26 +491,23 @@ def graph_counts(spark, d):
 
 
 @query(EDGES + """, t AS (SELECT a.way_id AS from_way, a.dst AS via, b.way_id AS to_way, min(b.seconds + CASE WHEN a.way_id <> b.way_id THEN 2 ELSE 0 END) AS seconds FROM e a JOIN e b ON a.dst = b.src WHERE a.src <> b.dst OR a.way_id <> b.way_id GROUP BY ALL)
-SELECT from_way, count(*) AS turns, sum(seconds) AS seconds FROM t WHERE NOT EXISTS (SELECT 1 FROM way_refs w WHERE w.way_id = from_way AND w.node_id = via AND w.flag = 'A' AND from_way <> to_way) GROUP BY from_way""")
+SELECT from_way, via, to_way, seconds FROM t WHERE NOT EXISTS (SELECT 1 FROM way_refs w WHERE w.way_id = from_way AND w.node_id = via AND w.flag = 'A' AND from_way <> to_way)""")
 def turn_edges(spark, d):
     edges, refs = roads.road_edges(view(spark, d, "way_refs")), view(spark, d, "way_refs")
     # No turn off a way at its nodes of one flag.
     leave = refs.where("flag = 'A'").select(F.col("way_id").alias("from_way"), F.col("node_id").alias("via")).distinct()
     others = edges.select(F.col("src").alias("via"), F.col("way_id").alias("to_way")).distinct()
-    turns = roads.turn_edges(edges, leave.join(others, "via").where("from_way <> to_way"))
-    return turns.groupBy("from_way").agg(F.count("*").alias("turns"), F.sum("seconds").alias("seconds"))
+    return roads.turn_edges(edges, leave.join(others, "via").where("from_way <> to_way"))
 
 
-def _portals(spark, d):
-    refs, nodes = view(spark, d, "way_refs"), view(spark, d, "nodes")
-    graph = lambda f: refs.where(F.col("flag") == f).select(F.lit(f).alias("region_id"), "node_id").distinct().join(nodes, "node_id")
-    pairs = refs.select(F.lit("N").alias("region_a"), F.lit("R").alias("region_b")).distinct()
-    return roads.shared_portals(graph("N"), graph("R"), pairs)
-
-
-@query(with_views("way_refs") + " SELECT 'N' AS region_a, 'R' AS region_b, node_id FROM (SELECT DISTINCT node_id FROM way_refs WHERE flag = 'N') JOIN (SELECT DISTINCT node_id FROM way_refs WHERE flag = 'R') USING (node_id) JOIN part ON p_partkey = node_id")
+@query(with_views("way_refs") + ", g AS (SELECT DISTINCT flag, node_id FROM way_refs JOIN part ON p_partkey = node_id) SELECT a.flag AS region_a, b.flag AS region_b, node_id FROM g a JOIN g b USING (node_id) WHERE a.flag < b.flag")
 def shared_portals(spark, d):
-    return _portals(spark, d)
+    """The flags as three regions, each a neighbour of the others."""
+    refs, nodes = view(spark, d, "way_refs"), view(spark, d, "nodes")
+    graphs = refs.select(F.col("flag").alias("region_id"), "node_id").distinct().join(nodes, "node_id")
+    flags = refs.select("flag").distinct()
+    pairs = flags.select(F.col("flag").alias("region_a")).join(flags.select(F.col("flag").alias("region_b")), F.col("region_a") < F.col("region_b"))
+    return roads.shared_portals(graphs, graphs, pairs)
 
 
 #: Labels spread from the nodes that have no lesser neighbour, the least of a component among them.
@@ -539,7 +536,7 @@ UNION SELECT t.source, dst, min(t.seconds + step) FROM times t JOIN links ON src
 SELECT source, node, seconds FROM times""")
 def travel_times(spark, d):
     """Checked against Dijkstra in tests too."""
-    return roads.travel_times(roads.road_edges(view(spark, d, "way_refs")), _depots(spark, d))
+    return routes.travel_times(roads.road_edges(view(spark, d, "way_refs")), _depots(spark, d))
 
 
 @query(EDGES + """, legs AS (SELECT way_id, CASE WHEN src = dst THEN 0 ELSE e.seconds END::DOUBLE AS s FROM st LEFT JOIN e USING (way_id, src, dst) WHERE dst IS NOT NULL)
@@ -554,21 +551,81 @@ def itinerary_costs(spark, d):
     return roads.itinerary_costs(stops, edges.union(stays))
 
 
-@query(EDGES.replace("WITH ", "WITH RECURSIVE ", 1) + """, f AS (SELECT way_id, min(flag) AS region_id FROM way_refs GROUP BY way_id), fe AS MATERIALIZED (SELECT region_id, src, dst, min(seconds) AS step FROM e JOIN f USING (way_id) GROUP BY ALL),
+#: Labels (seconds, hops) from the least and the greatest node of each line status, the node before each, and paths.
+LABELS = EDGES.replace("WITH ", "WITH RECURSIVE ", 1) + """, links AS MATERIALIZED (SELECT src, dst, min(seconds)::DOUBLE AS step FROM e GROUP BY ALL), ends AS (SELECT unnest([min(l_partkey), max(l_partkey)]) AS source FROM lineitem GROUP BY l_linestatus, l_returnflag),
+lab(source, node, l) USING KEY (source, node) AS (SELECT DISTINCT source, source, {'s': 0::DOUBLE, 'h': 0::BIGINT} FROM ends
+UNION SELECT t.source, dst, min({'s': t.l.s + step, 'h': t.l.h + 1}) FROM lab t JOIN links ON src = t.node LEFT JOIN recurring.lab k ON k.source = t.source AND k.node = dst WHERE k.l IS NULL OR {'s': t.l.s + step, 'h': t.l.h + 1} < k.l GROUP BY ALL),
+labels AS MATERIALIZED (SELECT source, node, l.s AS seconds, l.h AS hops FROM lab),
+prev AS MATERIALIZED (SELECT a.source, dst AS node, min(src) AS prev FROM labels a JOIN links ON src = a.node JOIN labels b ON b.source = a.source AND b.node = dst AND b.seconds = a.seconds + step AND b.hops = a.hops + 1 GROUP BY ALL)"""
+
+
+def _ends(spark, d):
+    """Sources: the least and the greatest node of each line status."""
+    return spark.read.parquet(f"{d}/lineitem.parquet").groupBy("l_linestatus", "l_returnflag").agg(F.array(F.min("l_partkey"), F.max("l_partkey")).alias("ends")).select(F.explode("ends").alias("source")).distinct()
+
+
+@query(LABELS + """, paths(source, node, pos, via) AS (SELECT source, node, hops, node FROM labels UNION ALL SELECT p.source, p.node, pos - 1, prev FROM paths p JOIN prev v ON v.source = p.source AND v.node = p.via)
+SELECT source, node, pos, via, seconds FROM paths JOIN (SELECT source, node AS via, seconds FROM labels) USING (source, via)""")
+def shortest_paths(spark, d):
+    """All nodes of all paths, with the time at each. Checked by brute force in tests too."""
+    edges = save(roads.road_edges(view(spark, d, "way_refs")), "edges")
+    labels = routes.shortest_labels(edges, _ends(spark, d))
+    times = labels.select("source", F.col("node").alias("via"), "seconds")
+    return routes.route_paths(routes.route_tree(labels, edges)).join(times, ["source", "via"]).select("source", "node", "pos", "via", "seconds")
+
+
+FEDERATED = EDGES.replace("WITH ", "WITH RECURSIVE ", 1) + """, f AS (SELECT way_id, min(flag) AS region_id FROM way_refs GROUP BY way_id), fe AS MATERIALIZED (SELECT region_id, src, dst, min(seconds) AS step FROM e JOIN f USING (way_id) GROUP BY ALL),
 g AS (SELECT region_id, src AS node_id FROM fe UNION SELECT region_id, dst FROM fe), placed AS (SELECT * FROM g JOIN part ON p_partkey = node_id),
-links AS MATERIALIZED (SELECT region_id AS from_region, src, region_id AS to_region, dst, step FROM fe UNION ALL SELECT a.region_id, a.node_id, b.region_id, b.node_id, 0 FROM placed a JOIN placed b ON a.node_id = b.node_id AND a.region_id <> b.region_id),
-times(region_id, node_id, seconds) USING KEY (region_id, node_id) AS (SELECT 'N', min(src), 0::DOUBLE FROM fe WHERE region_id = 'N'
-UNION SELECT to_region, dst, min(t.seconds + step) FROM times t JOIN links ON from_region = t.region_id AND src = t.node_id LEFT JOIN recurring.times k ON k.region_id = to_region AND k.node_id = dst WHERE k.seconds IS NULL OR t.seconds + step < k.seconds GROUP BY ALL)
-SELECT (SELECT concat('N:', min(src)) FROM fe WHERE region_id = 'N') AS source, region_id, node_id, seconds FROM times""")
-def federated_travel_times(spark, d):
-    """Checked by brute force in tests too; the flags of ways as three regions, each a neighbour of the others."""
+links AS MATERIALIZED (SELECT concat(region_id, ':', src) AS src, concat(region_id, ':', dst) AS dst, step::DOUBLE AS step FROM fe UNION ALL SELECT concat(a.region_id, ':', a.node_id), concat(b.region_id, ':', b.node_id), 0 FROM placed a JOIN placed b ON a.node_id = b.node_id AND a.region_id <> b.region_id),
+ends AS (SELECT concat(region_id, ':', unnest([min(src), max(src)])) AS source FROM fe GROUP BY region_id),
+""" + LABELS[LABELS.index("lab(source, node, l)") :]
+
+
+def _federation(spark, d):
+    """The flags of ways as three regions, each a neighbour of the others, their portals, and the least and greatest node of each region as sources."""
     refs, nodes = view(spark, d, "way_refs"), view(spark, d, "nodes")
     flags = refs.groupBy("way_id").agg(F.min("flag").alias("region_id"))
     edges = save(roads.road_edges(refs).join(flags, "way_id"), "edges")
     graphs = edges.select("region_id", F.explode(F.array("src", "dst")).alias("node_id")).distinct().join(nodes, "node_id")
     pairs = spark.createDataFrame([("A", "N"), ("A", "R"), ("N", "R")], "region_a string, region_b string")
-    start = edges.where("region_id = 'N'").agg(F.min("src").alias("node_id")).select(F.lit("N").alias("region_id"), "node_id")
-    return roads.federated_travel_times(edges, roads.shared_portals(graphs, graphs, pairs), start)
+    return edges, roads.shared_portals(graphs, graphs, pairs), edges.groupBy("region_id").agg(F.array(F.min("src"), F.max("src")).alias("n")).select("region_id", F.explode("n").alias("node_id"))
+
+
+@query(FEDERATED + " SELECT source, split_part(node, ':', 1) AS region_id, split_part(node, ':', 2)::BIGINT AS node_id, seconds FROM labels")
+def federated_travel_times(spark, d):
+    """Checked by brute force in tests too."""
+    return routes.federated_travel_times(*_federation(spark, d))
+
+
+@query(FEDERATED + """, route(source, node, regions, crossings) AS (SELECT source, source, split_part(source, ':', 1), '' FROM ends
+UNION ALL SELECT r.source, v.node, CASE WHEN v.node[1] <> v.prev[1] THEN concat(regions, '>', v.node[1]) ELSE regions END, CASE WHEN v.node[1] <> v.prev[1] THEN concat(crossings, v.prev[1], v.node, ';') ELSE crossings END FROM route r JOIN prev v ON v.source = r.source AND v.prev = r.node)
+SELECT source, node[1] AS region_id, split_part(node, ':', 2)::BIGINT AS node_id, seconds, regions, crossings FROM route JOIN labels USING (source, node)""")
+def federated_routes(spark, d):
+    """Regions and portals of the route to each node of each region."""
+    r = routes.federated_routes(*_federation(spark, d))
+    text = F.array_join(F.transform("crossings", lambda c: F.concat(c["from_region"], c["to_region"], F.lit(":"), c["node_id"], F.lit(";"))), "")
+    return r.select("source", "region_id", "node_id", "seconds", F.array_join("regions", ">").alias("regions"), text.alias("crossings"))
+
+
+TURN_TIMES = EDGES.replace("WITH ", "WITH RECURSIVE ", 1) + """, s AS MATERIALIZED (SELECT row_number() OVER () AS id, way_id, src, dst, seconds::DOUBLE AS seconds FROM e), bar AS MATERIALIZED (SELECT DISTINCT way_id, node_id FROM way_refs WHERE flag = 'A'),
+tl AS MATERIALIZED (SELECT a.id AS a, b.id AS b, b.seconds + CASE WHEN a.way_id <> b.way_id THEN 2 ELSE 0 END AS step FROM s a JOIN s b ON a.dst = b.src LEFT JOIN bar ON bar.way_id = a.way_id AND bar.node_id = a.dst WHERE (a.src <> b.dst OR a.way_id <> b.way_id) AND (bar.way_id IS NULL OR a.way_id = b.way_id)),
+ends AS (SELECT DISTINCT unnest([min(l_partkey), max(l_partkey)]) AS source FROM lineitem GROUP BY l_linestatus, l_returnflag),
+t(source, id, seconds) USING KEY (source, id) AS (SELECT source, id, seconds FROM ends JOIN s ON src = source
+UNION SELECT t.source, b, min(t.seconds + step) FROM t JOIN tl ON a = t.id LEFT JOIN recurring.t k ON k.source = t.source AND k.id = b WHERE k.seconds IS NULL OR t.seconds + step < k.seconds GROUP BY ALL)"""
+
+
+def _barred(spark, d, edges):
+    """No turn off a way at its nodes of one flag."""
+    leave = view(spark, d, "way_refs").where("flag = 'A'").select(F.col("way_id").alias("from_way"), F.col("node_id").alias("via")).distinct()
+    others = edges.select(F.col("src").alias("via"), F.col("way_id").alias("to_way")).distinct()
+    return leave.join(others, "via").where("from_way <> to_way")
+
+
+@query(TURN_TIMES + " SELECT source, node, min(seconds) AS seconds FROM (SELECT source, dst AS node, t.seconds FROM t JOIN s USING (id) UNION ALL SELECT source, source, 0 FROM ends) GROUP BY ALL")
+def turn_travel_times(spark, d):
+    """Times that keep turn rules and pay for turns. Checked by brute force in tests too."""
+    edges = save(roads.road_edges(view(spark, d, "way_refs")), "edges")
+    return routes.turn_travel_times(edges, _barred(spark, d, edges), _ends(spark, d))
 
 
 ROADS = with_views("region_state") + """, pf AS (SELECT unnest(['car', 'bike', 'foot']) AS profile), rs AS (SELECT region_id, profile, concat(required, '-', profile) AS required, CASE WHEN built IS NOT NULL THEN concat(built, '-', profile) END AS built, CASE WHEN uploaded IS NOT NULL THEN concat(uploaded, '-', profile) END AS uploaded, ord AS nodes, ord * 2 AS edges FROM region_state, pf)"""

@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
-from placeflow.operators import delta, enrich, gc, identity, regions, roads, search, spatial, status
+from placeflow.operators import delta, enrich, gc, identity, regions, roads, routes, search, spatial, status
 
 REGION = "region_id string, min_lat double, min_lon double, max_lat double, max_lon double, country_code string, subdivision_code string"
 POINT = "point_id long, lat double, lon double, country string, state string"
@@ -352,7 +352,7 @@ def test_graphs(spark):
         return best
 
     got = {}
-    for r in roads.travel_times(e, spark.createDataFrame([(3,), (70,)], "source long")).collect():
+    for r in routes.travel_times(e, spark.createDataFrame([(3,), (70,)], "source long")).collect():
         got.setdefault(r.source, {})[r.node] = r.seconds
     assert got == {3: dijkstra(3), 70: dijkstra(70)}
     root = {n: n for _, a, b, _ in both for n in (a, b)}
@@ -375,7 +375,7 @@ def test_graphs(spark):
 def test_federation(spark):
     e = spark.createDataFrame([("a", 1, 2, 4.0), ("b", 2, 3, 5.0)], "region_id string, src long, dst long, seconds double")
     portals = spark.createDataFrame([("a", "b", 2)], "region_a string, region_b string, node_id long")
-    got = roads.federated_travel_times(e, portals, spark.createDataFrame([("a", 1)], "region_id string, node_id long"))
+    got = routes.federated_travel_times(e, portals, spark.createDataFrame([("a", 1)], "region_id string, node_id long"))
     assert {(r.region_id, r.node_id): r.seconds for r in got.collect()} == {("a", 1): 0.0, ("a", 2): 4.0, ("b", 2): 4.0, ("b", 3): 9.0}
 
 
@@ -443,14 +443,21 @@ def test_road_queries_equal_all_ways(spark):
             graphs.setdefault(region, set()).update((x, y))
     got = {r.trip_id: (r.seconds, r.legs) for r in QUERIES["itinerary_costs"](spark, d).collect()}
     assert got == {w: t for w, t in trips.items() if t[1]}
-    start = ("N", min(x for r, x in links if r == "N"))
-    best, queue = {}, [(0.0, start)]
-    while queue:
-        s, at = heapq.heappop(queue)
-        if at in best:
-            continue
-        best[at] = s
-        for step, to in links.get(at, []) + [(0.0, (r, at[1])) for r in graphs if at[1] in nodes and at[1] in graphs[r]]:
-            heapq.heappush(queue, (s + step, to))
-    assert {r for r, _ in best} == {"A", "N", "R"}
-    assert {(r.region_id, r.node_id): r.seconds for r in QUERIES["federated_travel_times"](spark, d).collect()} == best
+    ends = {}
+    for r, x in [k for k in links] + [to for v in links.values() for _, to in v]:
+        ends.setdefault(r, set()).add(x)
+    want = {}
+    # The least and the greatest node from which an edge starts, or at which one ends, of each region.
+    firsts = {(r, f(x for q, x in links if q == r)) for r in ends for f in (min, max)}
+    for start in firsts:
+        best, queue = {}, [(0.0, start)]
+        while queue:
+            s, at = heapq.heappop(queue)
+            if at in best:
+                continue
+            best[at] = s
+            for step, to in links.get(at, []) + [(0.0, (r, at[1])) for r in graphs if at[1] in nodes and at[1] in graphs[r]]:
+                heapq.heappush(queue, (s + step, to))
+        assert {r for r, _ in best} == {"A", "N", "R"}
+        want |= {(f"{start[0]}:{start[1]}", *k): v for k, v in best.items()}
+    assert {(r.source, r.region_id, r.node_id): r.seconds for r in QUERIES["federated_travel_times"](spark, d).collect()} == want
