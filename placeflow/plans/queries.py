@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +18,9 @@ from placeflow.plans.bindings import view, with_views
 from placeflow.scratch import new_path, save
 from placeflow.sources import readers, versions, writers
 from placeflow.sources.writers import write_region_partitions
-from placeflow.streaming import partition
-from placeflow.streaming.partition import latest_counters, read_partitions, start_counters_stream, start_partition_stream
+from placeflow.sources.producers import record_source
+from placeflow.streaming import grace
+from placeflow.streaming.partition import latest_counters, ordered_partitions, read_partitions, start_counters_stream, start_partition_stream, stream_counters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -924,11 +929,15 @@ def io_roundtrip(spark, d):
     return rows.groupBy("region_id").agg(F.count("*").alias("n"), F.countDistinct("point_id").alias("points"))
 
 
+def _points(events: DataFrame, *more: str) -> DataFrame:
+    """Events as points, by the expressions of addr_points."""
+    spec = {"lat": "CASE WHEN event_id % 97 = 0 THEN CAST(95 AS DOUBLE) ELSE CAST(event_id * 7919 % 180001 AS DOUBLE) / 1000 - 90 END", "lon": "CAST(event_id * 104729 % 360001 AS DOUBLE) / 1000 - 180"}
+    return events.selectExpr("event_id as point_id", *(f"{v} as {k}" for k, v in spec.items()), "CASE event_id % 4 WHEN 0 THEN 'CA' WHEN 1 THEN 'US' WHEN 2 THEN 'ca ' ELSE 'Canada' END as country", "CASE user_id % 4 WHEN 0 THEN 'QC' WHEN 1 THEN 'CA-ON' WHEN 2 THEN 'vt' ELSE '' END as state", "event_type as kind", *more)
+
+
 def _stream(spark, d):
     events = spark.read.parquet(f"{d}/events.parquet")
-    spec = {"lat": "CASE WHEN event_id % 97 = 0 THEN CAST(95 AS DOUBLE) ELSE CAST(event_id * 7919 % 180001 AS DOUBLE) / 1000 - 90 END", "lon": "CAST(event_id * 104729 % 360001 AS DOUBLE) / 1000 - 180"}
-    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "*events*.parquet").parquet(d)
-    return stream.selectExpr("event_id as point_id", *(f"{v} as {k}" for k, v in spec.items()), "CASE event_id % 4 WHEN 0 THEN 'CA' WHEN 1 THEN 'US' WHEN 2 THEN 'ca ' ELSE 'Canada' END as country", "CASE user_id % 4 WHEN 0 THEN 'QC' WHEN 1 THEN 'CA-ON' WHEN 2 THEN 'vt' ELSE '' END as state", "event_type as kind")
+    return _points(spark.readStream.schema(events.schema).option("pathGlobFilter", "*events*.parquet").parquet(d))
 
 
 @query(ROUTED + " SELECT r.region_id, count(*) AS n FROM routed r GROUP BY r.region_id")
@@ -947,19 +956,97 @@ def counters_stream(spark, d):
     return latest_counters(spark, f"{at}/out").select("kind", "n")
 
 
-@query("""WITH e AS (SELECT concat('o', user_id) AS path, epoch_us(ts) // 1000 AS t, event_type = 'purchase' AS used FROM events), u AS (SELECT path, max(t) FILTER (WHERE used) AS last_used, max(t) AS last FROM e GROUP BY path),
-f AS (SELECT e.path, min(t) AS first FROM e JOIN u USING (path) WHERE NOT used AND (last_used IS NULL OR t > last_used) GROUP BY e.path)
-SELECT path, first AS first_seen_ms, last AS last_seen_ms, last - first >= 7 * 86400000 AS eligible FROM f JOIN u USING (path)""")
-def grace_stream(spark, d):
-    """Events as listings of objects, by user; a purchase is a reference."""
+@query(ROUTED + """, o AS (SELECT region_id, point_id, row_number() OVER (PARTITION BY region_id ORDER BY user_id % 3, value DESC, point_id) AS pos FROM routed JOIN events ON event_id = point_id) SELECT region_id, point_id, pos FROM o""")
+def partition_order(spark, d):
+    """Events as three jobs, rows by value in each, one job a batch. The second batch breaks off before its record and is run again: each row is there once, in the order of batches, jobs and rows."""
+    at = new_path(spark, "order")
+    events = spark.read.parquet(f"{d}/events.parquet")
+    for job in range(3):
+        events.where(F.col("user_id") % 3 == job).repartition(1).sortWithinPartitions(F.col("value").desc(), "event_id").write.mode("append").parquet(f"{at}/in/")
+    regions_ = view(spark, d, "place_regions")
+    stream = _points(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in").select("*", F.col("_metadata.file_name").alias("source"), F.col("_metadata.row_index").alias("ord")), "source", "ord")
+
+    def power_cut(batch_id: int) -> None:
+        if batch_id == 1:
+            raise RuntimeError("power cut")
+
+    for cut in (power_cut, None):
+        with contextlib.suppress(StreamingQueryException):
+            start_partition_stream(stream, regions_, f"{at}/out", f"{at}/checkpoint", before_commit=cut).awaitTermination()
+    return ordered_partitions(spark, f"{at}/out").select("region_id", "point_id", "pos")
+
+
+@query(ROUTED + """, n AS (SELECT count(*) AS rows_read, count(*) FILTER (WHERE lat BETWEEN -90 AND 90) AS normalized FROM addr_points) SELECT 0::BIGINT AS batch_id, rows_read, normalized, normalized - (SELECT count(DISTINCT point_id) FROM routed) AS unmatched, (SELECT count(*) FROM routed) AS writes FROM n""")
+def stream_counters_log(spark, d):
+    """Counters of the batches of a stream, from its log."""
+    at = new_path(spark, "stream")
+    start_partition_stream(_stream(spark, d), view(spark, d, "place_regions"), f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    return stream_counters(spark, f"{at}/out")
+
+
+GRACE = """WITH e AS (SELECT concat('o', user_id) AS path, epoch_us(ts) // 1000 AS t, event_type = 'purchase' AS used FROM events), u AS (SELECT path, max(t) FILTER (WHERE used) AS last_used, max(t) AS last FROM e GROUP BY path),
+f AS (SELECT e.path, min(t) AS first FROM e JOIN u USING (path) WHERE NOT used AND (last_used IS NULL OR t > last_used) GROUP BY e.path)"""
+
+
+def _grace(spark, d, make, *columns):
+    """The last candidate of each path from a stream of events as listings of objects, by user; a purchase is a reference."""
     at = new_path(spark, "grace")
     events = spark.read.parquet(f"{d}/events.parquet")
     stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "*events*.parquet").parquet(d)
-    listings = stream.select(F.concat(F.lit("o"), "user_id").alias("path"), F.unix_millis(F.col("ts").cast("timestamp")).alias("seen_ms"), (F.col("event_type") == "purchase").alias("referenced"))
-    write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{at}/out/batch_id={n}")
-    partition.grace_stream(listings).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    found = read_partitions(spark, f"{at}/out")
-    return found.groupBy("path").agg(F.max_by(F.struct("first_seen_ms", "last_seen_ms", "eligible"), "batch_id").alias("s")).select("path", "s.*")
+    listings = stream.select(F.concat(F.lit("o"), "user_id").alias("path"), *columns, (F.col("event_type") == "purchase").alias("referenced"))
+    write = lambda batch, n: versions.commit(spark, at, str(n), lambda path: batch.write.parquet(path))
+    make(listings).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out = None
+    for r in versions.commits(spark, at):
+        batch = spark.read.schema(grace.CANDIDATE).parquet(f"{at}/{r['path']}").withColumn("batch", F.lit(int(r["label"])))
+        out = batch if out is None else out.unionByName(batch)
+    return out.groupBy("path").agg(F.max_by(F.struct("first_seen_ms", "last_seen_ms", "eligible"), "batch").alias("s")).select("path", "s.*")
+
+
+@query(GRACE + " SELECT path, first AS first_seen_ms, last AS last_seen_ms, last - first >= 7 * 86400000 AS eligible FROM f JOIN u USING (path)")
+def grace_stream(spark, d):
+    return _grace(spark, d, grace.grace_stream, F.unix_millis(F.col("ts").cast("timestamp")).alias("seen_ms"))
+
+
+@query(GRACE + " SELECT path, first AS first_seen_ms, last AS last_seen_ms, last - first >= 7 * 86400000 OR first + 7 * 86400000 <= (SELECT max(t) FROM e) AS eligible FROM f JOIN u USING (path)")
+def grace_timers(spark, d):
+    """With timers: a path turns eligible once the stream's time passes the end of its grace period, without a further row of its own."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, grace.ROCKSDB)
+    try:
+        return _grace(spark, d, grace.grace_timers, F.col("ts").cast("timestamp").alias("seen"))
+    finally:
+        spark.conf.set(key, before)
+
+
+@query(with_views("addresses") + " SELECT concat('job-', addr_id % 4) AS job, addr_id, postcode, street, lat FROM addresses")
+def record_producer(spark, d):
+    """Customers as the records of four jobs, read through a producer of the caller's by a stream that is stopped after two jobs and goes on from its offset when there are four."""
+    at = new_path(spark, "producer")
+    rows = view(spark, d, "addresses").select(F.concat(F.lit("job-"), F.col("addr_id") % 4).alias("job"), "addr_id", "postcode", "street", "lat")
+    line = F.to_json(F.struct("addr_id", "postcode", "street", "lat"))
+    rows.select(F.concat("job", F.lit("-x")).alias("job"), line.alias("value")).repartition("job").write.partitionBy("job").text(f"{at}/jobs")
+    folder, name = f"{versions.qualified(spark, at)}/jobs", f"records_{uuid.uuid4().hex}"
+
+    def lines(job: str):
+        from pyarrow.fs import FileSelector, FileSystem
+
+        fs, base = FileSystem.from_uri(folder)
+        for info in sorted(fs.get_file_info(FileSelector(f"{base}/job={job}-x")), key=lambda i: i.path):
+            if info.base_name.startswith("part-"):
+                with fs.open_input_stream(info.path) as f:
+                    for raw in f.read().splitlines():
+                        r = json.loads(raw)
+                        yield job, r["addr_id"], r["postcode"], r["street"], r["lat"]
+
+    def write(batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{at}/out/batch_id={n}")
+
+    for jobs in (["job-2", "job-0"], ["job-2", "job-0", "job-3", "job-1"]):
+        spark.dataSource.register(record_source(name, "job string, addr_id long, postcode string, street string, lat double", lambda jobs=jobs: jobs, lines))
+        spark.readStream.format(name).load().writeStream.foreachBatch(write).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{at}/out").select("job", "addr_id", "postcode", "street", "lat")
 
 
 ADDRESS_ROWS = with_views("addresses")

@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from placeflow.plans.bindings import TABLES
 
 DIR = "/root/testdata/sf0.001"
-PLACES = [n for n in entry.place_queries.QUERIES if n not in ("partition_stream", "counters_stream", "grace_stream")]
+PLACES = [n for n in entry.place_queries.QUERIES if n not in ("partition_stream", "counters_stream", "grace_stream", "grace_timers", "stream_counters_log")]
 
 
 @pytest.fixture(scope="module")

@@ -4,13 +4,11 @@ import json
 import os
 import shutil
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from placeflow.operators.delta import corpus_diff, delta_lines
 from placeflow.sources import readers, versions, writers
-from placeflow.streaming.partition import _grace, grace_stream
 
 
 def test_delimited(spark, tmp_path):
@@ -142,15 +140,3 @@ def test_old_versions_are_kept_for_readers(spark, tmp_path):
     versions.delete(spark, held)
     assert versions.vacuum(spark, root, keep=1, grace_hours=0) == sorted([paths[0].removeprefix(f"{root}/"), "data/new-unfinished"])
     assert [r["label"] for r in versions.commits(spark, root)] == ["v0", "v1", "v2", "v3"]
-
-
-def test_grace_stream(spark, tmp_path):
-    day = 86_400_000
-    schema = "path string, seen_ms long, referenced boolean"
-    for i, rows in enumerate([[("a", 0, False), ("b", 0, False)], [("a", 8 * day, False), ("b", day, True)], [("b", 9 * day, False)]]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        out = []
-        spark_stream = grace_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"))
-        spark_stream.writeStream.outputMode("update").foreachBatch(lambda df, _: out.extend(map(tuple, df.collect()))).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
-        assert sorted(out) == [[("a", 0, 0, False), ("b", 0, 0, False)], [("a", 0, 8 * day, True)], [("b", 9 * day, 9 * day, False)]][i]
-    assert list(_grace(1)(("x",), iter([pd.DataFrame({"seen_ms": [1], "referenced": [True]})]), type("S", (), {"exists": False})())) == []
