@@ -106,19 +106,6 @@ def routed_search(queries, routing, corpus, df, stats, k: int = 5) -> DataFrame:
     return best(scores.join(few(routed), ["query_id", "region_id"], "left_semi"), k, "query_id").select("query_id", "rank", "doc_id", "score")
 
 
-def suggest_lexicon(df: DataFrame, least: int = 3, depth: int = 10) -> DataFrame:
-    """(prefix, term, df): each prefix of 1 to depth letters with the terms of at least `least` letters that start so."""
-    long = df.where(F.length("term") >= least)
-    return long.select(F.explode(F.sequence(F.lit(1), F.least(F.length("term"), F.lit(depth)))).alias("n"), "term", "df").select(F.expr("left(term, n)").alias("prefix"), "term", "df")
-
-
-def suggest(prefixes: DataFrame, lexicon: DataFrame, k: int = 5) -> DataFrame:
-    """(prefix, rank, term, df): the most frequent terms, then by name."""
-    order = W.partitionBy("prefix").orderBy(F.col("df").desc(), "term")
-    hits = lexicon.join(prefixes.select("prefix").distinct(), "prefix", "left_semi")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("prefix", "rank", "term", "df")
-
-
 def facet_counts(corpus: DataFrame, field: str) -> DataFrame:
     """(region_id, value, n) without blank values."""
     return corpus.select("region_id", X.clean(F.col(field)).alias("value")).where("value <> ''").groupBy("region_id", "value").agg(F.count("*").alias("n"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
-from placeflow.operators import delta, enrich, gc, identity, regions, roads, routes, search, spatial, status
+from placeflow.operators import delta, enrich, gc, identity, regions, roads, routes, search, spatial, status, views
 from placeflow.operators.components import connected_components
 from placeflow.plans.bindings import view, with_views
 from placeflow.scratch import new_path, save
@@ -382,26 +382,73 @@ def text_routing(spark, d):
     return search.text_routing(view(spark, d, "corpus")).select("term", F.array_join("regions", ",").alias("regions"))
 
 
-@query(TOK + """, lw AS (SELECT doc_id, unnest(t) AS w FROM tok WHERE doc_id % 20 = 0), rq AS (SELECT doc_id AS query_id, max({'n': length(w), 'w': w}).w AS term FROM lw GROUP BY doc_id),
+@query(TOK + """, lw AS (SELECT doc_id, unnest(t) AS w FROM tok WHERE doc_id % 20 = 0), rq AS (SELECT doc_id AS query_id, max({'n': length(w), 'w': w}).w AS term FROM lw GROUP BY doc_id
+UNION ALL SELECT DISTINCT -1 - query_id, unnest(regexp_extract_all(lower(query), '[\\p{L}\\p{N}]+')) FROM search_queries),
 st AS (SELECT count(*) AS n, sum(len(t)) / count(*) AS al FROM tok),
 sc AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / al))), 6) AS score FROM rq JOIN df USING (term) JOIN post USING (term), st GROUP BY ALL)
 SELECT query_id, rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM sc) WHERE rank <= 5""")
 def routed_search(spark, d):
-    """The stated queries: the longest word of every twentieth document, found mostly in one region."""
+    """The stated queries: the longest word of every twentieth document, found mostly in one region, and all benchmark texts, with a word that no region has in every third."""
     c = view(spark, d, "corpus")
     word = F.transform(X.tokens(F.col("text")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
-    q = save(c.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.array_max(word)["w"].alias("query")).where("query is not null"), "queries")
+    one = c.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.array_max(word)["w"].alias("query")).where("query is not null")
+    many = view(spark, d, "search_queries").select((-1 - F.col("query_id")).alias("query_id"), F.when(F.col("query_id") % 3 == 0, F.concat("query", F.lit(" qqzzxqqzzx"))).otherwise(F.col("query")).alias("query"))
+    q = save(one.unionByName(many), "queries")
     routing = save(search.text_routing(c, q), "routing")
     return search.routed_search(q, routing, c, search.term_df(c, q), search.scoring_stats(c))
 
 
-@query(TOK + r""", pre AS (SELECT DISTINCT left(item_word, n) AS prefix FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS item_word, n FROM benchmark, (SELECT unnest([2, 4]) AS n))),
-x AS (SELECT prefix, term, df FROM pre JOIN (SELECT * FROM df WHERE length(term) >= 3) ON left(term, length(prefix)) = prefix)
-SELECT prefix, rank, term, df FROM (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY df DESC, term)::INTEGER AS rank FROM x) WHERE rank <= 5""")
+@query(TOP)
+def stored_search(spark, d):
+    """Benchmark texts over postings stored by region and bucket of terms, of which only those are read that hold a term."""
+    c, q = view(spark, d, "corpus"), view(spark, d, "search_queries")
+    root = new_path(spark, "routing")
+    fingerprints = c.select("region_id").distinct().withColumn("fingerprint", F.lit("v1"))
+    views.update_routing(spark, root, c.select("region_id", F.lit(None).cast("string").alias("old_text"), F.coalesce("text", F.lit("")).alias("text")), fingerprints)
+    counts = views.read_routing(spark, root)
+    return views.stored_search(spark, views.write_postings(c), q, views.routing_table(counts), views.merged_df(counts), search.scoring_stats(c))
+
+
+@query(TOK + """, now AS (SELECT doc_id, CASE WHEN doc_id % 11 = 3 THEN concat(region_id, '-new') ELSE region_id END AS region_id, CASE WHEN region_id = 'fr' AND doc_id % 7 = 1 THEN t[3:] || ['neuvième'] ELSE t END AS t FROM tok WHERE region_id = 'es' OR doc_id % 5 <> 2),
+es AS (SELECT doc_id, region_id, t FROM tok WHERE region_id = 'es')
+SELECT term, region_id, count(*) AS n FROM (SELECT DISTINCT doc_id, region_id, unnest(t) AS term FROM (SELECT * FROM now WHERE region_id <> 'es' UNION ALL SELECT * FROM es)) GROUP BY ALL""")
+def routing_view(spark, d):
+    """The routing view after four updates: all documents; some removed; some changed; some moved to new regions. One region never changes its fingerprint, so what happens to it counts for nothing."""
+    root = new_path(spark, "routing")
+    words = X.tokens(F.col("text"))
+    first = view(spark, d, "corpus").select("doc_id", "region_id", F.array_join(words, " ").alias("text"))
+    second = first.where("region_id = 'es' or doc_id % 5 <> 2")
+    third = second.withColumn("text", F.when((F.col("region_id") == "fr") & (F.col("doc_id") % 7 == 1), F.concat(F.array_join(F.slice(words, 3, 1 << 30), " "), F.lit(" neuvième"))).otherwise(F.col("text")))
+    fourth = third.withColumn("region_id", F.when(F.col("doc_id") % 11 == 3, F.concat("region_id", F.lit("-new"))).otherwise(F.col("region_id")))
+    before = first.limit(0)
+    for n, now in enumerate((first, second, third, fourth)):
+        print_ = now.select("region_id").distinct().withColumn("fingerprint", F.when(F.col("region_id") == "es", "es").otherwise(f"v{n}"))
+        views.update_routing(spark, root, views.document_changes(before, now), print_)
+        before = now
+    return views.read_routing(spark, root).select("term", "region_id", "n")
+
+
+LEXICON = TOK + """, x AS (SELECT left(term, n) AS prefix, term, df FROM df, (SELECT unnest(range(1, 11)) AS n) WHERE length(term) >= greatest(3, n)),
+tops AS (SELECT prefix, row_number() OVER (PARTITION BY prefix ORDER BY df DESC, term)::INTEGER AS rank, term, df FROM x)"""
+
+
+@query(LEXICON + " SELECT prefix, rank, term, df FROM tops WHERE rank <= 5")
+def suggest_tops(spark, d):
+    """The best terms of all prefixes, from term counts of the regions."""
+    c = view(spark, d, "corpus")
+    counts = c.select("region_id", F.explode(F.array_distinct(X.tokens(F.col("text")))).alias("term")).groupBy("region_id", "term").agg(F.count("*").alias("n"))
+    return views.suggest_tops(views.merged_df(counts)).select("prefix", F.posexplode("items").alias("r", "x")).select("prefix", (F.col("r") + 1).alias("rank"), F.col("x.term").alias("term"), (-F.col("x.minus")).alias("df"))
+
+
+@query(LEXICON + r""", pre AS (SELECT DISTINCT left(w, n) AS prefix FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM benchmark), (SELECT unnest(range(1, 11)) AS n) WHERE n <= length(w))
+SELECT prefix, rank, term, df FROM tops JOIN pre USING (prefix) WHERE rank <= 5""")
 def suggest_topk(spark, d):
+    """All prefixes of the words of benchmark texts, looked up in a stored lexicon."""
     words = view(spark, d, "search_queries").select(F.explode(X.tokens(F.col("query"))).alias("w")).distinct()
-    prefixes = words.select(F.explode(F.array(F.expr("left(w, 2)"), F.expr("left(w, 4)"))).alias("prefix"))
-    return search.suggest(prefixes, search.suggest_lexicon(search.term_df(view(spark, d, "corpus"))))
+    prefixes = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("w"), F.lit(10))), lambda n: F.left("w", n))).alias("prefix"))
+    root = new_path(spark, "suggestions")
+    views.write_suggestions(views.suggest_tops(search.term_df(view(spark, d, "corpus"))), root)
+    return views.suggest_from_tops(prefixes, views.read_suggestions(spark, root))
 
 
 @query(with_views("corpus") + " SELECT type AS value, count(*) AS n FROM corpus GROUP BY type")

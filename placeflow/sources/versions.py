@@ -7,7 +7,7 @@ Two writers of one version can't both succeed, since a record never replaces ano
 the caller's.
 
 A reader that needs a version for longer takes a lease on it. vacuum() deletes the folders of old versions that nobody
-holds, and what interrupted saves left behind.
+holds, and what interrupted saves left behind. A record may name folders of earlier versions too (its `regions`); these are kept as well.
 """
 
 from __future__ import annotations
@@ -73,6 +73,15 @@ def delete(spark: SparkSession, path: str) -> None:
     _fs(spark, path).delete(_path(spark, path), True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).mkdirs(_path(spark, path))
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A value as Spark writes it in the name of a partition's folder."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def commits(spark: SparkSession, root: str) -> list[dict]:
     """The records of all versions, first to last."""
     folder = f"{root.rstrip('/')}/{COMMITS}"
@@ -109,10 +118,11 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2, grace_hours: float = 2
     """Delete the folders that no record among the last `keep`, no lease and no save within the grace period holds; returns their names. Records stay, as history."""
     root, now = root.rstrip("/"), time.time() * 1000
     records = commits(spark, root)
-    held = {r["path"] for r in records[-keep:]} if keep else set()
+    named = lambda r: {r["path"], *("/".join(x["path"].split("/")[:2]) for x in r.get("regions", {}).values())}
+    held = set().union(*map(named, records[-keep:])) if keep else set()
     for n in names(spark, f"{root}/{READERS}"):
         if not n.startswith(".") and int(read_text(spark, f"{root}/{READERS}/{n}")) > now:
-            held |= {r["path"] for r in records if r["number"] == int(n.split("-")[0])}
+            held |= set().union(*(named(r) for r in records if r["number"] == int(n.split("-")[0])))
     fs, gone = _fs(spark, root), []
     listed = fs.listStatus(_path(spark, f"{root}/{DATA}")) if fs.exists(_path(spark, f"{root}/{DATA}")) else []
     known = {r["path"] for r in records}
