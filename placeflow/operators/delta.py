@@ -11,22 +11,38 @@ def line_id(raw: Column) -> Column:
     return F.regexp_extract(raw, '"id":"([^"]*)"', 1)
 
 
-def corpus_diff(snapshot: DataFrame, fresh: DataFrame) -> DataFrame:
-    """(seq, doc_id, raw, change) of (seq, raw) lines: added, changed, unchanged, and deleted with the snapshot's line.
+def _lines(df: DataFrame) -> DataFrame:
+    return df.where(F.trim("raw") != "").withColumn("doc_id", line_id(F.col("raw")))
+
+
+def diff_keys(snapshot: DataFrame, fresh: DataFrame) -> DataFrame:
+    """(seq, doc_id, change) of (seq, raw) lines, by 128 bits of hashes: no line is shuffled.
 
     Blank lines don't count. Of a repeated id the snapshot's last line holds; the first fresh line is compared
-    with it, later ones are added. First and last lines are aggregates, so neither the lines of one id nor those
+    with it, later ones are added. First and last lines are aggregates of numbers, so neither the lines of one id nor those
     without any meet in one task.
     """
-    lines = lambda df: df.where(F.trim("raw") != "").withColumn("doc_id", line_id(F.col("raw")))
-    old = lines(snapshot).groupBy("doc_id").agg(F.max_by("raw", "seq").alias("old_raw"), F.max("seq").alias("old_seq"))
-    new = lines(fresh)
-    first = new.groupBy("doc_id").agg(F.min("seq").alias("seq"), F.min_by("raw", "seq").alias("raw"))
+    keys = lambda df: _lines(df).select("doc_id", "seq", F.xxhash64("raw").alias("h"), F.xxhash64(F.lit(1), "raw").alias("g"))
+    pick = lambda f, n: (f("h", "seq").alias(f"{n}_h"), f("g", "seq").alias(f"{n}_g"))
+    old = keys(snapshot).groupBy("doc_id").agg(F.max("seq").alias("old_seq"), *pick(F.max_by, "old"))
+    new = keys(fresh)
+    first = new.groupBy("doc_id").agg(F.min("seq").alias("seq"), *pick(F.min_by, "new"))
     both = first.join(old, "doc_id", "full_outer")
-    change = F.when(F.col("raw").isNull(), "deleted").when(F.col("old_raw").isNull(), "added").when(F.sha1(F.col("raw")) == F.sha1(F.col("old_raw")), "unchanged").otherwise("changed")
-    compared = both.select(F.coalesce("seq", "old_seq").alias("seq"), "doc_id", F.coalesce("raw", "old_raw").alias("raw"), change.alias("change"))
-    later = new.join(first.select("doc_id", "seq"), ["doc_id", "seq"], "left_anti")
-    return compared.unionByName(later.select("seq", "doc_id", "raw", F.lit("added").alias("change")))
+    same = (F.col("new_h") == F.col("old_h")) & (F.col("new_g") == F.col("old_g"))
+    change = F.when(F.col("new_h").isNull(), "deleted").when(F.col("old_h").isNull(), "added").when(same, "unchanged").otherwise("changed")
+    compared = both.select(F.coalesce("seq", "old_seq").alias("seq"), "doc_id", change.alias("change"))
+    later = new.select("doc_id", "seq").join(first.select("doc_id", "seq"), ["doc_id", "seq"], "left_anti")
+    return compared.unionByName(later.select("seq", "doc_id", F.lit("added").alias("change")))
+
+
+def corpus_diff(snapshot: DataFrame, fresh: DataFrame) -> DataFrame:
+    """(seq, doc_id, raw, change) of (seq, raw) lines: added, changed, unchanged, and deleted with the snapshot's line, by diff_keys().
+
+    Lines are fetched for the keys that are asked for: a condition on `change` holds before it.
+    """
+    keys = diff_keys(snapshot, fresh)
+    fetch = lambda some, df: some.join(_lines(df).select("doc_id", "seq", "raw"), ["doc_id", "seq"]).select("seq", "doc_id", "raw", "change")
+    return fetch(keys.where("change <> 'deleted'"), fresh).unionByName(fetch(keys.where("change = 'deleted'"), snapshot))
 
 
 def diff_summary(diff: DataFrame, *keys: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
+from placeflow.operators.search import few
 
 
 def stale_objects(listing: DataFrame, keep: DataFrame) -> DataFrame:
@@ -16,13 +17,19 @@ def stale_objects(listing: DataFrame, keep: DataFrame) -> DataFrame:
 
 
 def protected_objects(objects: DataFrame, protections: DataFrame) -> DataFrame:
-    """Objects (path, ...) that a protection (kind path, basename or prefix; value) holds. A prefix ends with '/', so a path's folders find it by equality."""
-    of = lambda kind: protections.where(F.col("kind") == kind).select("value").distinct()
+    """Objects (path, ...) that a protection (kind path, basename or prefix; value) holds. A prefix ends with '/', so a path's folders find it by equality.
+
+    Only folders at the depths that prefixes have are looked up. Protections are sent to the objects if there are few; else a join on them may split its keys, since it
+    keeps objects only.
+    """
+    of = lambda kind: few(protections.where(F.col("kind") == kind).select("value").distinct())
     parts = F.split("path", "/")
-    folders = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")))
+    # A number for each depth, however many prefixes there are.
+    depths = [r.n for r in protections.where("kind = 'prefix'").select((F.size(F.split("value", "/")) - 1).alias("n")).distinct().collect()]
+    folders = F.transform(F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda n: n < F.size(parts)), lambda n: F.concat(F.array_join(F.slice(parts, F.lit(1), n), "/"), F.lit("/")))
     by_path = objects.join(of("path"), F.col("path") == F.col("value"), "left_semi").select("path")
     by_name = objects.join(of("basename"), X.basename(F.col("path")) == F.col("value"), "left_semi").select("path")
-    by_folder = objects.where(F.size(parts) > 1).select("path", F.explode(folders).alias("folder")).join(of("prefix"), F.col("folder") == F.col("value"), "left_semi").select("path")
+    by_folder = objects.select("path", F.explode(folders).alias("folder")).join(of("prefix"), F.col("folder") == F.col("value"), "left_semi").select("path")
     return by_path.union(by_name).union(by_folder).distinct()
 
 

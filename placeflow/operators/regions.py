@@ -82,10 +82,11 @@ def expand_regions(selected: DataFrame, sizes: DataFrame, children: DataFrame, m
 
 
 def short_region_id(features: DataFrame) -> DataFrame:
-    """(id, short_id): the last part of the path, or the whole path with '-' where that part isn't unique."""
+    """(id, short_id): the last part of the path, or the whole path with '-' where that part isn't unique. Two regions that still come to one short id fail the job."""
     last = X.basename(F.col("id"))
-    n = F.count("*").over(W.partitionBy("last"))
-    return features.select("id", last.alias("last")).select("id", F.when(n > 1, F.replace("id", F.lit("/"), F.lit("-"))).otherwise(F.col("last")).alias("short_id"))
+    n, again = F.count("*").over(W.partitionBy("last")), F.count("*").over(W.partitionBy("short_id"))
+    named = features.select("id", last.alias("last")).select("id", F.when(n > 1, F.replace("id", F.lit("/"), F.lit("-"))).otherwise(F.col("last")).alias("short_id"))
+    return named.select("id", F.when(again > 1, F.raise_error(F.concat(F.lit("duplicate region id: "), F.col("short_id"))).cast("string")).otherwise(F.col("short_id")).alias("short_id"))
 
 
 def refresh_coverage(regions: DataFrame, features: DataFrame) -> DataFrame:

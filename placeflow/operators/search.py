@@ -146,42 +146,81 @@ def category_search(queries: DataFrame, lexicon: DataFrame, regions: DataFrame,
     return corpus.join(where, ["region_id", "type"]).select("query_id", "doc_id")
 
 
-def geo_near(queries: DataFrame, points: DataFrame, k: int = 5, degrees: int = 5) -> DataFrame:
+#: Sides of cells in degrees, the finest first; each is a multiple of the one before.
+NEAR_DEGREES = (0.078125, 0.3125, 1.25, 5.0)
+
+
+def _ring(queries: DataFrame, degrees: float, width: int) -> DataFrame:
+    """queries with a row for each cell within `width` cells of theirs."""
+    down, across = int(180 / degrees), int(360 / degrees)
+    row, column = X.grid_row(F.col("q_lat"), degrees), X.grid_column(F.col("q_lon"), degrees)
+    rows = F.sequence(F.greatest(row - width, F.lit(0)), F.least(row + width, F.lit(down - 1)))
+    # Columns once around at most.
+    columns = F.transform(F.sequence(column - min(width, across // 2), column + min(width, across // 2 - 1)), lambda c: F.pmod(c, F.lit(across)))
+    cells = F.flatten(F.transform(rows, lambda r: F.transform(columns, lambda c: (r * across + c).cast("int"))))
+    return queries.withColumn("cell", F.explode(cells))
+
+
+def _finest(queries: DataFrame, points: DataFrame, k: int) -> DataFrame:
+    """queries with `level`: the place of the finest cells of which the ring around them holds k points; the coarsest if none does. Points are counted once, by the finest cells; coarser counts are sums of these."""
+    row, column = X.grid_row(F.col("lat"), NEAR_DEGREES[0]), X.grid_column(F.col("lon"), NEAR_DEGREES[0])
+    fine = save(points.groupBy(row.alias("r"), column.alias("c")).agg(F.count("*").alias("n")), "cell-counts")
+    found = None
+    for level, degrees in enumerate(NEAR_DEGREES):
+        times, across = int(degrees / NEAR_DEGREES[0]), int(360 / degrees)
+        counts = fine.groupBy((F.floor(F.col("r") / times) * across + F.floor(F.col("c") / times)).cast("int").alias("cell")).agg(F.sum("n").alias("n"))
+        held = _ring(queries, degrees, 1).join(counts, "cell").groupBy("query_id").agg(F.sum("n").alias("n")).where(F.col("n") >= k).select("query_id", F.lit(level).alias("level"))
+        found = held if found is None else found.unionByName(held)
+    best = found.groupBy("query_id").agg(F.min("level").alias("level"))
+    return queries.join(best, "query_id", "left").withColumn("level", F.coalesce("level", F.lit(len(NEAR_DEGREES) - 1)))
+
+
+def geo_near(queries: DataFrame, points: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, point_id, metres): the nearest points of each query (query_id, q_lat, q_lon).
 
-    Points in the cells within a ring of a query are compared by an equi-join on the cell. Queries whose k-th distance
-    isn't below the ring's reach go on with a ring three times as wide, which at last is the whole grid.
+    Points in the cells within a ring of a query are compared by an equi-join on the cell. Cells are the finest whose ring
+    holds k points, so a query among many points meets few of them. Queries whose k-th distance isn't below the ring's
+    reach go on with a ring three times as wide, then with coarser cells, which at last are the whole grid.
     """
-    ok = points.where(X.valid_coord(F.col("lat"), F.col("lon"))).withColumn("cell", X.grid_cell(F.col("lat"), F.col("lon"), degrees))
-    down, across = 180 // degrees, 360 // degrees
+    ok = points.where(X.valid_coord(F.col("lat"), F.col("lon"))).select("point_id", "lat", "lon")
     metres = F.round(X.haversine(F.col("q_lat"), F.col("q_lon"), F.col("lat"), F.col("lon")), 3)
     order = W.partitionBy("query_id").orderBy("metres", "point_id")
     cols = ["query_id", "rank", "point_id", "metres"]
-    left, out, width = queries, None, 1
-    while True:
-        whole = width >= down
-        row, column = X.grid_row(F.col("q_lat"), degrees), X.grid_column(F.col("q_lon"), degrees)
-        rows = F.sequence(F.greatest(row - width, F.lit(0)), F.least(row + width, F.lit(down - 1)))
-        # Columns once around at most.
-        columns = F.transform(F.sequence(column - min(width, across // 2), column + min(width, across // 2 - 1)), lambda c: F.pmod(c, F.lit(across)))
-        cells = F.flatten(F.transform(rows, lambda r: F.transform(columns, lambda c: (r * across + c).cast("int"))))
-        near = left.withColumn("cell", F.explode(cells))
-        hits = ok.join(near, "cell").select("query_id", "q_lat", "point_id", metres.alias("metres"))
+    left, out = save(_finest(queries.select("query_id", "q_lat", "q_lon"), ok, k), "near-queries"), None
+
+    def ring(some: DataFrame, degrees: float, width: int) -> tuple[DataFrame, DataFrame]:
+        """(the k best in the ring, the queries for which no point outside can be nearer)."""
+        cells = ok.withColumn("cell", X.grid_cell(F.col("lat"), F.col("lon"), degrees))
+        hits = cells.join(_ring(some, degrees, width), "cell").select("query_id", "q_lat", "point_id", metres.alias("metres"))
         top = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        if whole:
-            found = top.select(cols)
-            return found if out is None else out.unionByName(found)
         # A point outside the ring is at least `width` cells away, by latitude or by longitude at the parallel nearest
         # the pole; the shortest way to a meridian d degrees off is asin(cos(lat) sin(d)).
         pole = F.least(F.abs(F.col("q_lat")) + (width + 1) * degrees, F.lit(90.0))
         reach = X.EARTH_METRES * F.asin(F.cos(F.radians(pole)) * F.sin(F.radians(F.lit(float(min(width * degrees, 90))))))
         sure = top.groupBy("query_id").agg(F.max("metres").alias("far"), F.count("*").alias("n"), F.max(reach).alias("reach")).where((F.col("n") == k) & (F.col("far") < F.col("reach"))).select("query_id")
-        found = save(top.join(sure, "query_id", "left_semi").select(cols), "near")
+        return top, sure
+
+    def settle(each: list[tuple[DataFrame, DataFrame]]) -> None:
+        nonlocal left, out
+        found = None
+        for top, sure in each:
+            some = top.join(sure, "query_id", "left_semi").select(cols)
+            found = some if found is None else found.unionByName(some)
+        found = save(found, "near")
         out = found if out is None else out.unionByName(found)
         left = left.join(found.select("query_id").distinct(), "query_id", "left_anti")
+
+    for width in (1, 3):
+        settle([ring(left.where(F.col("level") == level), degrees, width) for level, degrees in enumerate(NEAR_DEGREES)])
+        if left.isEmpty():
+            return out
+    coarse, width = NEAR_DEGREES[-1], 3
+    while width < int(180 / coarse):
+        settle([ring(left, coarse, width)])
         if left.isEmpty():
             return out
         width *= 3
+    return out.unionByName(ring(left, coarse, width)[0].select(cols))
 
 
 def geo_cell_counts(points: DataFrame, field: str, levels: tuple[int, ...] = (9, 12, 15)) -> DataFrame:

@@ -8,16 +8,27 @@ from pyspark.sql import functions as F
 from placeflow.functions import exprs as X
 
 
-def status_snapshot(state: DataFrame, roads: DataFrame, run: DataFrame) -> DataFrame:
+def status_snapshot(state: DataFrame, roads: DataFrame, run: DataFrame, published: DataFrame | None = None) -> DataFrame:
     """One row. state: region_id, acquired, built, has_manifest, uploaded, docs, modified; roads: built, has_manifest, uploaded; run: one row, status.
 
     What is built has a manifest; an upload counts if it is of what is built; only a failed run makes the phase failed.
+    published: the root as it was published, one row (region_ids, shards, documents; each may be null) or none. What it
+    states holds for published, documents and, by its regions, data_time; without it these come from the uploads.
     """
+    root = state.sparkSession.createDataFrame([(None, None, None)], "region_ids array<string>, shards long, documents long")
+    if published is not None:
+        given = published.agg(F.first("region_ids").alias("region_ids"), F.first("shards").alias("shards"), F.first("documents").alias("root_documents"))
+    else:
+        given = root.withColumnRenamed("documents", "root_documents")
     is_built = F.coalesce((F.col("built") != "") & F.col("has_manifest"), F.lit(False))
     is_up = is_built & F.col("uploaded").eqNullSafe(F.col("built"))
-    a = state.agg(
+    # One row of configuration beside every region.
+    with_root = state.join(F.broadcast(given))
+    shown = F.coalesce(F.array_contains("region_ids", F.col("region_id")), is_up)
+    a = with_root.agg(
         F.count("*").alias("regions"), F.count_if("acquired").alias("acquired"), F.count_if(is_built).alias("built"),
-        F.count_if(is_up).alias("published"), F.coalesce(F.sum(F.when(is_up, F.col("docs"))), F.lit(0)).alias("documents"), F.max(F.when(is_up, F.col("modified"))).alias("data_time"),
+        F.coalesce(F.max("shards"), F.max(F.size("region_ids")).cast("long"), F.count_if(is_up)).alias("published"),
+        F.coalesce(F.max("root_documents"), F.sum(F.when(is_up, F.col("docs"))), F.lit(0)).alias("documents"), F.max(F.when(shown, F.col("modified"))).alias("data_time"),
     )
     there = F.coalesce("has_manifest", F.lit(False))
     r = roads.agg(F.count_if(is_built).alias("road_built"), F.count_if(there & F.col("uploaded").eqNullSafe(F.col("built"))).alias("road_uploaded"), F.count_if(F.coalesce(F.col("built") != "", F.lit(False)) & ~there).alias("road_unavailable"))

@@ -218,7 +218,7 @@ SUMMARY = "count(*) FILTER (WHERE change = 'added') AS added, count(*) FILTER (W
 
 @query(DIFF + f" SELECT {SUMMARY} FROM diff")
 def diff_summary(spark, d):
-    return delta.diff_summary(_diff(spark, d))
+    return delta.diff_summary(delta.diff_keys(view(spark, d, "snapshot_lines").select("seq", "raw"), view(spark, d, "fresh_lines").select("seq", "raw")))
 
 
 @query(DIFF + f""", s AS (SELECT lang, {SUMMARY} FROM diff GROUP BY lang)
@@ -839,6 +839,17 @@ def status_snapshot(spark, d):
     return status.status_snapshot(s, road_state, s.agg(F.when(F.bool_or("failed"), "running").otherwise("failed").alias("status")))
 
 
+@query(FLAGS + """, p AS (SELECT region_id FROM region_state WHERE ord % 3 = 1), a AS (SELECT count(*) AS regions, count(*) FILTER (WHERE acquired) AS acquired, count(*) FILTER (WHERE built IS NOT NULL AND has_manifest) AS built, max(modified) FILTER (WHERE region_id IN (SELECT region_id FROM p)) AS data_time FROM f)
+SELECT regions, acquired, built, (SELECT count(*) FROM p) AS published, 1234567::BIGINT AS documents, data_time, CASE WHEN acquired < regions THEN 'acquiring' WHEN built < regions THEN 'building' WHEN (SELECT count(*) FROM p) < regions THEN 'publishing' ELSE 'ready' END AS phase FROM a""")
+def status_of_published_root(spark, d):
+    """With the root as it was published: its regions, and a number of documents of its own."""
+    _, _, road_state = _roads(spark, d)
+    s = view(spark, d, "region_state")
+    root = s.where("ord % 3 = 1").agg(F.collect_list("region_id").alias("region_ids")).select("region_ids", F.lit(None).cast("long").alias("shards"), F.lit(1234567).cast("long").alias("documents"))
+    run = s.agg(F.when(F.bool_or("failed"), "running").otherwise("failed").alias("status"))
+    return status.status_snapshot(s, road_state, run, root).select("regions", "acquired", "built", "published", "documents", "data_time", "phase")
+
+
 @query(FLAGS + " SELECT ord, region_id, profile FROM f, (SELECT unnest(['car', 'bike', 'foot']) AS profile, unnest([0, 1, 2]) AS p) WHERE built IS NULL ORDER BY ord, p LIMIT 10")
 def next_pending_roads(spark, d):
     s = view(spark, d, "region_state").select("ord", "region_id", "built")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_folder: ContextVar[str | None] = ContextVar("_folder", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session; where it is unset, a folder of this machine in local mode, and an error on a cluster."""
@@ -19,7 +24,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    return f"{_folder.get() or shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def run(spark: SparkSession, tag: str = "run") -> Iterator[str]:
+    """Everything that is saved within goes below one folder, which is deleted at the end, whether the job fails or not. Write results elsewhere before it ends: tables made within can't be read after it."""
+    at = new_path(spark, tag)
+    token = _folder.set(at)
+    try:
+        yield at
+    finally:
+        _folder.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def save(df: DataFrame, tag: str) -> DataFrame:
