@@ -7,27 +7,41 @@ from pyspark.sql import functions as F
 
 from placeflow.scratch import discard, save
 
+#: Nodes with more edges than this, and than a 10,000th of all, aren't gathered.
+HEAVY = 100_000
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+
+def _beside(rows: DataFrame, least: DataFrame, most: int) -> DataFrame:
+    """rows (u, ...) with the least neighbour m of u. least: u, m, n (rows of u). Nodes of more than `most` rows are sent to the rows, of which they can't be many; only the others' rows are shuffled by u."""
+    heavy = F.broadcast(least.where(F.col("n") > most).select("u", "m"))
+    marked = rows.join(heavy, "u", "left")
+    rest = marked.where("m is null").drop("m").join(least.where(F.col("n") <= most).select("u", "m"), "u")
+    return marked.where("m is not null").unionByName(rest)
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", heavy: int = HEAVY) -> DataFrame:
     """(node, component): component is the least node that edges reach. Nodes without an edge to another aren't in the result.
 
     Alternates large-star and small-star steps until the edges stay as they are; each round is written to the
-    shared folder. A node's least neighbour is an aggregate that is combined before the shuffle.
+    shared folder. A node's least neighbour is an aggregate that is combined before the shuffle, and the edges of a hub
+    stay where they are.
     """
     own = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v")
     now = save(own.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "components")
-    mark = None
+    # The edges as a whole: their number and an order-free sum of hashes.
+    state = lambda: tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+    mark = state()
     while True:
+        most = max(heavy, 2 * mark[0] // 10_000)
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n"))
         # Larger neighbours move to the least of the neighbourhood.
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(down.select("u", F.col("m").alias("v")))
+        large = save(_beside(both.where("v > u"), least, most).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "components")
+        down = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = _beside(large, down, most).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(down.select("u", F.col("m").alias("v")))
         before, now = now, save(small.distinct(), "components")
-        discard(before)
-        # The edges as a whole: their number and an order-free sum of hashes.
-        new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+        discard(before, large)
+        new = state()
         if new == mark:
             break
         mark = new

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,18 +55,22 @@ def scoring_stats(corpus: DataFrame) -> DataFrame:
     return corpus.select("region_id", F.size(X.tokens(F.col("text"))).alias("n"), *kept).groupBy("region_id").agg(F.count("*").alias("docs"), F.sum("n").alias("tokens"), *box)
 
 
-def bm25_scores(queries: DataFrame, posts: DataFrame, df: DataFrame, stats: DataFrame) -> DataFrame:
-    """(query_id, doc_id, region_id, score) by the frozen statistics, rounded to 6 places.
-
-    The part of a term in a document's score doesn't depend on the query, so it is worked out once for each posting;
-    queries meet them by their terms, and sums stay where the document's postings are.
-    """
+def _idf(asked: DataFrame, df: DataFrame, stats: DataFrame) -> DataFrame:
+    """(term, avg_length, idf) of the terms asked for."""
     total = stats.agg(F.sum("docs").alias("n_docs"), (F.sum("tokens") / F.sum("docs")).alias("avg_length"))
-    asked = query_terms(queries)
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = few(df.join(few(asked.select("term").distinct()), "term", "left_semi").join(total).select("term", "avg_length", idf.alias("idf")))
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("avg_length")))
-    hits = posts.join(weights, "term").select("doc_id", "region_id", "term", part.alias("part"))
+    return df.join(few(asked.select("term").distinct()), "term", "left_semi").join(total).select("term", "avg_length", idf.alias("idf"))
+
+
+def _part() -> Column:
+    """A term's part of a document's score; it doesn't depend on the query, so it is worked out once for each posting."""
+    return F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("avg_length")))
+
+
+def bm25_scores(queries: DataFrame, posts: DataFrame, df: DataFrame, stats: DataFrame) -> DataFrame:
+    """(query_id, doc_id, region_id, score) of all documents by the frozen statistics, rounded to 6 places."""
+    asked = query_terms(queries)
+    hits = posts.join(few(_idf(asked, df, stats)), "term").select("doc_id", "region_id", "term", _part().alias("part"))
     return hits.join(few(asked), "term").groupBy("doc_id", "query_id", "region_id").agg(F.round(F.sum("part"), 6).alias("score"))
 
 
@@ -74,13 +80,75 @@ def best(scores: DataFrame, k: int, *by: str) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def bm25_topk(queries, posts, df, stats, k: int = 5) -> DataFrame:
-    return best(bm25_scores(queries, posts, df, stats), k, "query_id").select("query_id", "rank", "doc_id", "score")
+def _leading(sent, k: int):
+    """The k best documents of each query and region among those of a task, by scores added up in arrays of documents by queries."""
+
+    def run(batches):
+        first, queries, ids = sent.value
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def compact() -> None:
+            q, region, score, doc = (np.concatenate(c) for c in zip(*held, strict=True))
+            by = np.lexsort((doc, -np.floor(score * 1e6 + 0.5), region, q))
+            q, region, score, doc = q[by], region[by], score[by], doc[by]
+            new = np.concatenate(([True], (q[1:] != q[:-1]) | (region[1:] != region[:-1])))
+            start = np.flatnonzero(new)
+            keep = np.arange(len(q)) - np.repeat(start, np.diff(np.append(start, len(q)))) < k
+            held[:] = [(q[keep], region[keep], score[keep], doc[keep])]
+
+        step = max(1, 4_000_000 // max(1, len(ids)))
+        for batch in batches:
+            for lo in range(0, batch.num_rows, step):
+                some = batch.slice(lo, step)
+                doc, region = some.column("doc_id").to_numpy(), np.array(some.column("region_id").to_pylist(), object)
+                lists = some.column("hits")
+                sizes = np.diff(lists.offsets.to_numpy())
+                entries = lists.flatten()
+                term, part = entries.field("no").to_numpy(), entries.field("part").to_numpy()
+                row, n = np.repeat(np.arange(len(doc)), sizes), first[term + 1] - first[term]
+                at = np.repeat(first[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                scores = np.bincount(np.repeat(row, n) * len(ids) + queries[at], np.repeat(part, n), len(doc) * len(ids))
+                some_at = np.flatnonzero(scores)
+                held.append((some_at % len(ids), region[some_at // len(ids)].astype(str), scores[some_at], doc[some_at // len(ids)]))
+                compact()
+        if held:
+            q, region, score, doc = held[0]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[q], pa.int64()), pa.array(region.tolist(), pa.string()), pa.array(doc, pa.int64()), pa.array(score, pa.float64())], ["query_id", "region_id", "doc_id", "score"])
+
+    return run
+
+
+def leading_scores(queries: DataFrame, posts: DataFrame, df: DataFrame, stats: DataFrame, k: int, most: int = BROADCAST_TERMS) -> DataFrame:
+    """(query_id, doc_id, region_id, score): of each region at least the documents that are among a query's k best there.
+
+    A document's postings of the queries' terms are one row. Tasks add up its scores for all queries at once and send on
+    the k best of each query and region, so no row for each query and posting is ever made. Beyond `most` terms of all queries
+    these don't fit in every task, and scores come from joins. Query ids and doc_ids are numbers.
+    """
+    spark = queries.sparkSession
+    asked = query_terms(queries)
+    if asked.limit(most + 1).count() > most:
+        return best(bm25_scores(queries, posts, df, stats), k, "query_id", "region_id").drop("rank")
+    # At most `most` rows: the terms of each query.
+    pairs = asked.toPandas()
+    terms, no = np.unique(pairs["term"].to_numpy(str), return_inverse=True) if len(pairs) else (np.zeros(0, str), np.zeros(0, np.int64))
+    ids, query = np.unique(pairs["query_id"].to_numpy(np.int64), return_inverse=True)
+    order = np.argsort(no, kind="stable")
+    sent = spark.sparkContext.broadcast((np.searchsorted(no[order], np.arange(len(terms) + 1)), query[order], ids))
+    numbers = spark.createDataFrame(list(zip(terms.tolist(), range(len(terms)), strict=True)), "term string, no int")
+    parts = posts.join(few(_idf(asked, df, stats).join(numbers, "term")), "term")
+    rows = parts.groupBy("doc_id", "region_id").agg(F.collect_list(F.struct("no", _part().alias("part"))).alias("hits"))
+    found = rows.mapInArrow(_leading(sent, k), "query_id long, region_id string, doc_id long, score double")
+    return found.withColumn("score", F.round("score", 6))
+
+
+def bm25_topk(queries, posts, df, stats, k: int = 5, most: int = BROADCAST_TERMS) -> DataFrame:
+    return best(leading_scores(queries, posts, df, stats, k, most), k, "query_id").select("query_id", "rank", "doc_id", "score")
 
 
 def bm25_sharded_topk(queries, posts, df, stats, k: int = 5) -> DataFrame:
     """The same by each region's own best, merged: the statistics are frozen, so scores compare."""
-    local = best(bm25_scores(queries, posts, df, stats), k, "query_id", "region_id").drop("rank")
+    local = best(leading_scores(queries, posts, df, stats, k), k, "query_id", "region_id").drop("rank")
     return best(local, k, "query_id").select("query_id", "rank", "doc_id", "score")
 
 
@@ -102,7 +170,7 @@ def routed_search(queries, routing, corpus, df, stats, k: int = 5) -> DataFrame:
     """bm25_topk over the documents of routed regions only: other regions' documents are left out before their texts are split, or read, where the corpus is partitioned by region."""
     routed = routed_regions(queries, routing, stats)
     open_ = corpus.join(F.broadcast(routed.select("region_id").distinct()), "region_id", "left_semi")
-    scores = bm25_scores(queries, postings(open_, queries), df, stats)
+    scores = leading_scores(queries, postings(open_, queries), df, stats, k)
     return best(scores.join(few(routed), ["query_id", "region_id"], "left_semi"), k, "query_id").select("query_id", "rank", "doc_id", "score")
 
 

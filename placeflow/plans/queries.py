@@ -691,9 +691,16 @@ def _roads(spark, d):
     return s.select("region_id", (F.col("ord") != 7).alias("road_indexes")), profiles, state
 
 
-@query(ROADS + " SELECT region_id, profile, concat('routes/', profile, '/', region_id, '/') AS base, nodes, edges FROM rs WHERE built = required AND uploaded = built AND nodes >= 2 AND edges >= 1 AND nodes <> 7")
+@query(ROADS + """, nb AS (SELECT r.region_id, concat_ws(',', r.min_lat::BIGINT, r.min_lon::BIGINT, r.max_lat::BIGINT, r.max_lon::BIGINT) AS bbox, r.country_code, n_regionkey FROM (""" + with_views("place_regions") + """ SELECT * FROM place_regions) r)
+SELECT region_id, profile, concat('routes/', profile, '/', region_id, '/') AS base, nodes, edges, bbox, concat('g', n_regionkey) AS groups, country_code AS country_codes, concat('v', nodes) AS data_version FROM rs JOIN nb USING (region_id) WHERE built = required AND uploaded = built AND nodes >= 2 AND edges >= 1 AND nodes <> 7""")
 def road_catalog(spark, d):
-    return roads.road_catalog(roads.road_rows(*_roads(spark, d)))
+    """With the regions' boxes, groups, codes and data versions, which the catalog passes on."""
+    r = view(spark, d, "place_regions")
+    box = F.concat_ws(",", *(F.col(c).cast("long").cast("string") for c in spatial.BOX))
+    more = r.select("region_id", box.alias("bbox"), F.array(F.concat(F.lit("g"), "n_regionkey")).alias("groups"), F.array("country_code").alias("country_codes"))
+    rows = roads.road_rows(*_roads(spark, d)).join(more, "region_id").withColumn("data_version", F.concat(F.lit("v"), "nodes"))
+    out = roads.road_catalog(rows)
+    return out.select("region_id", "profile", "base", "nodes", "edges", "bbox", F.array_join("groups", ",").alias("groups"), F.array_join("country_codes", ",").alias("country_codes"), "data_version")
 
 
 @query(ROADS + " SELECT region_id, bool_and(nodes = 7 OR coalesce(built = required, false)) AS current FROM rs GROUP BY region_id")
@@ -1243,7 +1250,10 @@ def nested_fingerprints(spark, d):
     return out[0].unionByName(out[1]).unionByName(out[2]).groupBy("source_id", "fingerprint").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "kind"))), lambda x: x["kind"]), ",").alias("kinds"))
 
 
-@query("SELECT unnest(['forced', 'missing', 'regions', 'drift', 'none']) AS reason")
+@query(with_views("corpus") + """, t AS (SELECT count(*) AS total, count(*) FILTER (WHERE doc_id % 2 = 0) AS old FROM corpus), own AS (SELECT DISTINCT region_id FROM corpus),
+c(forced, stats, total, old) AS (SELECT true, (SELECT list(region_id) FROM own), total, total FROM t UNION ALL SELECT false, [], total, total FROM t UNION ALL SELECT false, (SELECT list(region_id) FROM own WHERE region_id <> 'en'), total, total FROM t
+UNION ALL SELECT false, (SELECT list(region_id) FROM own), total, old FROM t UNION ALL SELECT false, (SELECT list(region_id) FROM own), total, total FROM t)
+SELECT CASE WHEN forced THEN 'forced' WHEN len(stats) = 0 THEN 'missing' WHEN len(stats) <> (SELECT count(*) FROM own) OR len(list_intersect(stats, (SELECT list(region_id) FROM own))) <> len(stats) THEN 'regions' WHEN abs(total - old) / greatest(1, old) > 0.1::DOUBLE THEN 'drift' ELSE 'none' END AS reason FROM c""")
 def stats_reasons(spark, d):
     """Totals of documents against those of some sources, with the regions of both."""
     c = view(spark, d, "corpus")

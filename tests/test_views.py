@@ -129,3 +129,18 @@ def test_shards_that_hold_no_term_stay_closed(spark, tmp_path):
     for region in ("fr", "es"):
         shutil.rmtree(f"{tmp_path}/posts/region_id={region}")
     assert got(one) == want(one)
+
+
+def test_scores_in_arrays_equal_scores_by_joins(spark):
+    """Ties, repeated words, regions without a hit, queries without a known word; on both sides of the bound."""
+    rnd = random.Random(2)
+    docs = [(i, rnd.choice(["fr", "es", "de"]), " ".join(rnd.choices(WORDS[:6], k=rnd.randrange(1, 7)))) for i in range(150)] + [(200, "it", "seul"), (201, "it", None)]
+    corpus = spark.createDataFrame(docs, DOC).repartition(5)
+    q = spark.createDataFrame([(1, "la la rue"), (7, "le ça seul"), (3, "inconnu"), (4, ""), (5, "routes rue x"), (6, None)], "query_id long, query string")
+    posts, df, stats = search.postings(corpus, q), search.term_df(corpus, q), search.scoring_stats(corpus)
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    want = rows(search.best(search.bm25_scores(q, posts, df, stats), 3, "query_id").select("query_id", "rank", "doc_id", "score"))
+    assert want and rows(search.bm25_topk(q, posts, df, stats, 3)) == want == rows(search.bm25_topk(q, posts, df, stats, 3, most=2)) == rows(search.bm25_sharded_topk(q, posts, df, stats, 3))
+    routing = search.text_routing(corpus, q)
+    assert rows(search.routed_search(q, routing, corpus, df, stats, 3)) == want
+    assert search.bm25_topk(q.limit(0), posts, df, stats).count() == 0 == search.bm25_topk(q, posts.limit(0), df, stats).count()
