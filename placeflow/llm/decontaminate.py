@@ -26,7 +26,7 @@ from collections import deque
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placeflow.llm._common import give_back, parts, raw, separators, word_hashes, word_spans
@@ -319,12 +319,10 @@ def _build(window: int):
 def item_automata(benchmark: DataFrame, window: int, block_words: int, id_col: str, text_col: str) -> DataFrame:
     """(block, n: its words, the arrays of its automaton)."""
     items = benchmark.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).where("id is not null and text is not null").distinct()
-    pieces = save(items.mapInArrow(_pieces(window, block_words), "id long, n long, words binary"), "item-pieces")
-    # A running sum of sizes only: a row of three numbers for each piece.
-    place = F.struct("id", "n", F.xxhash64("words"))
-    sums = F.sum("n").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = pieces.select(place.alias("place"), "n").distinct().select("place", F.floor(F.coalesce(sums, F.lit(0)) / block_words).alias("block"))
-    dealt = pieces.withColumn("place", place).join(blocks, "place").select("block", "id", "n", "words")
+    # Pieces of an eighth of a block at most, dealt to blocks by hash, so that blocks are about even.
+    pieces = save(items.mapInArrow(_pieces(window, max(1, block_words // 8)), "id long, n long, words binary"), "item-pieces").distinct()
+    total = pieces.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    dealt = pieces.withColumn("block", F.pmod(F.xxhash64("id", "words"), F.lit(max(1, -(-total // block_words)))))
     return save(dealt.groupBy("block").applyInArrow(_build(window), "block long, n long, " + ", ".join(f"{k} binary" for k in _KINDS)), "item-automata")
 
 

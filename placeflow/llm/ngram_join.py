@@ -362,9 +362,11 @@ def _link(n: int, percent: int):
 
 def _groups_of(sets: DataFrame, classes: DataFrame) -> DataFrame:
     """(pivot, digest, key, n, signature): the groups of each set, without those it leaves."""
-    # Rare shingles: all holders of one meet, and are few. Frequent ones: a row for each comes back.
-    of = W.partitionBy("token")
-    rare = sets.select(F.explode("rare").alias("token"), "digest").select("digest", F.min("digest").over(of).alias("pivot"), F.max("digest").over(of).alias("most"))
+    # Rare shingles: the least and the greatest holder are an aggregate, and only shingles with two holders go back to
+    # their rows, so the rows of one shingle needn't meet. Frequent ones: a row for each comes back.
+    held = sets.select(F.explode("rare").alias("token"), "digest")
+    ends = held.groupBy("token").agg(F.min("digest").alias("pivot"), F.max("digest").alias("most")).where("pivot <> most")
+    rare = held.join(ends, "token").select("digest", "pivot", "most")
     often = sets.select(F.explode("often").alias("token"), "digest")
     heads = often.groupBy("token").agg(F.min("digest").alias("pivot"), F.max("digest").alias("most"))
     both = rare.unionByName(often.join(F.broadcast(heads), "token").select("digest", "pivot", "most")).where("pivot <> most")

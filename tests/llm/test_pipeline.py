@@ -40,6 +40,46 @@ def test_planted_cases(spark, tmp_path):
         assert got[i].n_tokens == len(e.ids) and got[i].decoded == library.decode(e.ids, skip_special_tokens=False), i
 
 
+ODD = [(1, "one text of its own", "en", "s", 19), (1, "one text of its own", "en", "s", 19), (1, "and another that shares the id", "de", "s", 30), (None, None, None, None, None), (None, "no id here", "en", None, 10), (7, "", "en", "s", 0), (8, "x" * 300_000, "en", "s", 300_000), (9, "word " * 60_000, "fr", "s", 300_000)]
+
+
+def odd(spark):
+    return spark.createDataFrame([(*r, "extra", 3) for r in ODD], "doc_id long, text string, lang string, source string, n_chars long, row string, score int")
+
+
+def test_stages_take_odd_rows_and_clashing_names(spark):
+    """Nulls, repeated and shared ids, empty and very long texts, and columns named as the operators name theirs: all rows stay, as nothing is toxic, a copy of another id or contaminated."""
+    d = "/root/testdata/sf0.001"
+    docs = odd(spark)
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or "")
+    want = sorted(((i is not None, i or 0, t or "") for i, t, *_ in ODD))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, d)
+        assert out.columns == corpus_pipeline.COLUMNS, name
+        got = sorted(map(key, out.collect()))
+        if name == "line dedup":  # rows that share an id are one document there
+            assert {g[1] for g in got} == {w[1] for w in want}
+        else:
+            assert got == want, name
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens > 0) for r in corpus_pipeline.tokens(spark, docs, d).collect()) == sorted((i is not None, i or 0, bool(t)) for i, t, *_ in ODD)
+
+
+def test_stages_take_an_empty_table(spark):
+    d = "/root/testdata/sf0.001"
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd(spark).limit(0), d).count() == 0
+
+
+def test_copies_go_on_both_sides_of_the_bound(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, text if i % 3 else f"other {i} {text[::-1]} {i}", "en", "s", 1) for i in range(9)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = []
+    for bound in (corpus_pipeline.GONE, 0):
+        monkeypatch.setattr(corpus_pipeline, "GONE", bound)
+        out.append(sorted(r.doc_id for r in corpus_pipeline.near_duplicate(spark, docs, "/nowhere").collect()))
+    assert out[0] == out[1] and {1} == {i for i in out[0] if i % 3}
+
+
 def test_stages_keep_columns(spark):
     d = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{d}/documents.parquet")
