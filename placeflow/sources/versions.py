@@ -13,6 +13,7 @@ holds, and what interrupted saves left behind. A record may name folders of earl
 from __future__ import annotations
 
 import json
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -100,7 +101,8 @@ def commit(spark: SparkSession, root: str, label: str, write: Callable[[str], di
     root = root.rstrip("/")
     last = current(spark, root)
     number = last["number"] + 1 if last else 0
-    path = f"{DATA}/{label}-{uuid.uuid4().hex}"
+    # Names that begin with a mark are hidden from Spark's readers, and colons can't stand in a path.
+    path = f"{DATA}/v{re.sub('[^A-Za-z0-9.-]', '_', label)}-{uuid.uuid4().hex}"
     more = write(f"{root}/{path}") or {}
     record = {"number": number, "label": label, "path": path, "time_ms": int(time.time() * 1000), **more}
     create_text(spark, f"{root}/{COMMITS}/{number:012d}.json", json.dumps(record, sort_keys=True))

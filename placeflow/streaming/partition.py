@@ -37,7 +37,8 @@ def start_partition_stream(points: DataFrame, regions: DataFrame, out: str, chec
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch_id in _committed(spark, out):
+        name = f"{batch_id:012d}.json"
+        if name in versions.names(spark, f"{out}/{LOG}"):
             return
         missing = [c for c in order if c not in batch.columns]
         rows = batch.withColumns({c: F.monotonically_increasing_id() for c in missing}).persist()
@@ -53,7 +54,7 @@ def start_partition_stream(points: DataFrame, regions: DataFrame, out: str, chec
             if before_commit:
                 before_commit(batch_id)
             record = {"batch_id": batch_id, "attempt": attempt, "schema": written.schema.jsonValue(), **stats}
-            versions.create_text(spark, f"{out}/{LOG}/{batch_id:012d}.json", json.dumps(record, sort_keys=True))
+            versions.create_text(spark, f"{out}/{LOG}/{name}", json.dumps(record, sort_keys=True))
         finally:
             rows.unpersist()
 

@@ -131,7 +131,7 @@ def test_two_writers_of_one_version(spark, tmp_path, monkeypatch):
 def test_old_versions_are_kept_for_readers(spark, tmp_path):
     root = f"{tmp_path}/snap"
     lines = lambda n: spark.createDataFrame([(f'{{"id":"{n}"}}',)], "raw string")
-    paths = [writers.write_snapshot(lines(n), root, f"v{n}") for n in range(4)]
+    paths = [writers.write_snapshot(lines(n), root, f"_2026-01-0{n} 10:00/é") for n in range(4)]
     held = versions.lease(spark, root, 0)
     versions.lease(spark, root, 1, hours=-1)
     os.makedirs(f"{root}/data/new-unfinished")
@@ -139,4 +139,4 @@ def test_old_versions_are_kept_for_readers(spark, tmp_path):
     assert [readers.read_corpus(spark, p).first().doc_id for p in (paths[0], writers.current_snapshot(spark, root))] == ["0", "3"]
     versions.delete(spark, held)
     assert versions.vacuum(spark, root, keep=1, grace_hours=0) == sorted([paths[0].removeprefix(f"{root}/"), "data/new-unfinished"])
-    assert [r["label"] for r in versions.commits(spark, root)] == ["v0", "v1", "v2", "v3"]
+    assert [r["label"] for r in versions.commits(spark, root)] == [f"_2026-01-0{n} 10:00/é" for n in range(4)]
