@@ -3,13 +3,15 @@
 Words (ASCII letters and digits and all other letters, A-Z lower-cased) and the beginnings of longer words are
 hashed to buckets, so that inflected and compound forms share terms; a document is the set of its buckets. All
 buckets in LEAST_DOCS documents or more whose share differs between the labels by LEAST_Z standard errors or more
-are the model's terms. The score is the logistic function of a bias, a weight for each term present and, for each pair of terms present,
+are the model's terms; so are words that count only together: two words at most NEAR apart in LEAST_DOCS toxic documents
+or more whose documents are toxic more often, by PAIR_Z standard errors, than those of either word alone. The score is the logistic function of a bias, a weight for each term present and, for each pair of terms present,
 the product of their factor vectors: so pairs such as an insult and a mention of a group count beyond the sum
 of their weights. Scoring is one pass without a shuffle; whole texts are read.
 
 Bounds (documented parameters): at most SAMPLE labelled rows are learnt from, those first by the hash of
-their id. What comes to the driver is the terms of these rows, 4 bytes for each that a row holds; batches of BATCH
-rows are laid out in full. Rows are learnt in order of id and terms, so the model doesn't hang on the layout of tasks.
+their id. What comes to the driver is the terms of these rows, 4 bytes for each that a row holds, two counts for each
+bucket, and pairs of near words in LEAST_DOCS of the toxic rows or more, which are also sent to the tasks (8 bytes each; NEAR
+times a toxic row's words, divided by LEAST_DOCS, at most); batches of BATCH rows are laid out in full. Rows are learnt in order of id and terms, so the model doesn't hang on the layout of tasks.
 
 Labels other than 0 and 1, and labels whose document is missing, are left out; a document labelled twice is
 toxic if any label says so. Null texts count as empty; an empty text scores the bias. Without labels of both
@@ -33,6 +35,8 @@ from placeflow.scratch import save
 BITS, LEAST_Z, LEAST_DOCS, SAMPLE = 20, 4.0, 5, 20_000
 FACTORS, EPOCHS, BATCH, RATE, DECAY = 8, 20, 256, 0.05, 1e-4
 THRESHOLD = 0.3
+#: Words so far apart, at most, are tried as pairs; standard errors that tell a pair from its words (many pairs are tried).
+NEAR, PAIR_Z = 8, 6.0
 #: Lengths, in bytes, of the beginnings of words that are terms too.
 BEGINNINGS = (3, 4, 5, 6, 7)
 _INSIDE = separators(keep_alnum_only=True)
@@ -80,8 +84,8 @@ def fit_machine(rows: list[np.ndarray], terms: int, y: np.ndarray, seed: int = 1
     return float(bias), weights, factors
 
 
-def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each term, document of each term)."""
+def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, int]:
+    """(bucket of each term, document of each term, number of whole words, which come first and in order)."""
     data, offsets = raw(part.column("text"))
     starts, ends, first = word_spans(data, offsets, _INSIDE)
     docs = np.repeat(np.arange(part.num_rows), np.diff(first))
@@ -91,20 +95,63 @@ def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         s = starts[longer]
         hashes.append(~word_hashes(data, s, s + size))
         owners.append(docs[longer])
-    return (np.concatenate(hashes) >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate(owners)
+    return (np.concatenate(hashes) >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate(owners), len(docs)
 
 
 def _buckets(batches):
     for batch in batches:
         for part in parts(batch, most=1 << 20):
-            buckets, docs = _words(part)
+            buckets, docs, n = _words(part)
             pairs = np.unique(docs << BITS | buckets)
             cuts = np.searchsorted(pairs, np.arange(part.num_rows + 1) << BITS)
             sets = [(pairs[a:b] & ((1 << BITS) - 1)).astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(sets, pa.list_(pa.int32()))], ["doc_id", "toxic", "buckets"])
+            cuts = np.searchsorted(docs[:n], np.arange(part.num_rows + 1)).astype(np.int32)
+            words = pa.ListArray.from_arrays(cuts, pa.array(buckets[:n].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(sets, pa.list_(pa.int32())), words], ["doc_id", "toxic", "buckets", "words"])
         give_back()
 
 
+def _near(sent, usable: bool):
+    """Pairs of different words at most NEAR apart, once for each row: of words in the sorted array sent if usable, else pairs in it."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.column("words"):
+                words, found = row.values.to_numpy().astype(np.int64), []
+                ok = np.isin(words, sent.value) if usable else None
+                for far in range(1, NEAR + 1):
+                    a, b = words[:-far], words[far:]
+                    keep = a != b
+                    if usable:
+                        keep &= ok[:-far] & ok[far:]
+                    found.append(np.minimum(a, b)[keep] << BITS | np.maximum(a, b)[keep])
+                pairs = np.unique(np.concatenate(found))
+                yield pa.RecordBatch.from_arrays([pa.array(pairs if usable else pairs[np.isin(pairs, sent.value)])], ["pair"])
+
+    return run
+
+
+def _paired(rows: DataFrame, seen: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Sorted buckets of words that count together, of the rows' words and each bucket's number of rows and of toxic rows."""
+    sc = rows.sparkSession.sparkContext
+
+    def counted(label: int, values: np.ndarray, usable: bool, least: int) -> tuple[np.ndarray, np.ndarray]:
+        sent = sc.broadcast(values)
+        found = rows.where(F.col("toxic") == label).select("words").mapInArrow(lambda b: _near(sent, usable)(b), "pair long")
+        out = found.groupBy("pair").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy("pair").toArrow()
+        return out.column("pair").to_numpy(), out.column("n").to_numpy()
+
+    pairs, a = counted(1, np.flatnonzero(toxic >= LEAST_DOCS), True, LEAST_DOCS)
+    clean = np.zeros(len(pairs), np.int64)
+    held, n = counted(0, pairs, False, 1)
+    clean[np.searchsorted(pairs, held)] = n
+    share = (toxic + 0.5) / (seen + 1)
+    first, second = pairs >> BITS, pairs & ((1 << BITS) - 1)
+    alone = np.maximum(share[first], share[second])
+    z = (a / (a + clean) - alone) / np.sqrt(alone * (1 - alone) / (a + clean))
+    return np.unique(np.concatenate([first[z >= PAIR_Z], second[z >= PAIR_Z]]))
+
+
 def _flags(terms: np.ndarray):
     def run(batches):
         for batch in batches:
@@ -123,16 +170,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     chosen = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # At most `sample` rows of two numbers are broadcast.
-    rows = save(texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(_buckets, "doc_id long, toxic int, buckets array<int>"), "toxicity-sample")
+    rows = save(texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").mapInArrow(_buckets, "doc_id long, toxic int, buckets array<int>, words array<int>"), "toxicity-sample")
     n, pos = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     terms = np.full(1 << BITS, -1, np.int64)
     if not 0 < pos < n:
         rate = (pos + 0.01) / (n + 1)
         return Model(terms, float(np.log(rate / (1 - rate))), np.zeros(1), np.zeros((1, FACTORS)))
-    each = rows.select(F.explode("buckets").alias("bucket"), "toxic").groupBy("bucket").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
+    each = save(rows.select(F.explode("buckets").alias("bucket"), "toxic").groupBy("bucket").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")), "toxicity-buckets")
     share = F.col("n") / n
     z = (F.col("a") / pos - (F.col("n") - F.col("a")) / (n - pos)) / F.sqrt(share * (1 - share) * (1 / pos + 1 / (n - pos)) + 1e-12)
     best = each.where((F.col("n") >= LEAST_DOCS) & (F.abs(z) >= LEAST_Z)).orderBy(F.abs(z).desc(), "bucket").select("bucket").toArrow().column(0).to_numpy()
+    counts = each.select("bucket", "n", "a").toArrow()
+    seen, toxic = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    seen[counts.column("bucket")], toxic[counts.column("bucket")] = counts.column("n"), counts.column("a")
+    best = np.concatenate([best, np.setdiff1d(_paired(rows, seen, toxic), best)])
     terms[best] = np.arange(len(best))
     held = spark.sparkContext.broadcast(terms)
     table = rows.mapInArrow(lambda b: _flags(held.value)(b), "doc_id long, toxic int, terms binary").toArrow()
@@ -148,7 +199,7 @@ def _score(sent, more: tuple[str, ...]):
         model = Model(model.terms, model.bias, weights, factors)
         for batch in batches:
             for part in parts(batch, most=1 << 20):
-                buckets, doc = _words(part)
+                buckets, doc, _ = _words(part)
                 term = model.terms[buckets]
                 doc, term = doc[term >= 0], term[term >= 0]
                 order = np.argsort(doc, kind="stable")

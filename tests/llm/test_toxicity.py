@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from placeflow.llm.queries import op1_toxicity
-from placeflow.llm.toxicity import BITS, Model, _words, drop_toxic, fit, fit_machine, score
+from placeflow.llm.toxicity import BITS, THRESHOLD, Model, _words, drop_toxic, fit, fit_machine, score
 
 DIR = "/root/testdata/sf0.1"
 
@@ -24,6 +24,27 @@ def test_pairs_count_beyond_terms():
     assert s[0] > 0.7 and s[1] < 0.3 and s[2] < 0.3
 
 
+def test_fit_learns_a_pair_without_single_effects(spark):
+    """Two words that are as frequent in clean as in toxic rows (half of each), and toxic only where they meet."""
+    rnd = np.random.default_rng(8)
+    rows = []
+    for i in range(4000):
+        words, toxic = list(rnd.choice([f"w{k}" for k in range(400)], 40)), i % 10 == 0
+        if i % 20 == 0:
+            words[7], words[10] = "korv", "dalma"
+        elif toxic:
+            words[9] = "bad"
+        else:
+            words[9] = "korv" if i % 2 else "dalma"
+        rows.append((i, " ".join(words), int(toxic)))
+    korv = [[sum("korv" in t.split() for _, t, y in rows if y == k), sum(y == k for _, _, y in rows)] for k in (0, 1)]
+    assert abs(korv[0][0] / korv[0][1] - korv[1][0] / korv[1][1]) < 0.06
+    m = fit(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    asked = ["w1 korv w2 w3 dalma w4", "w1 korv w2 w3 w4", "w1 dalma w2 w3 w4", "w1 bad w2"]
+    got = {r.doc_id: r.score for r in score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), m).collect()}
+    assert got[0] > 0.7 and got[1] < 0.1 and got[2] < 0.1 and got[3] >= THRESHOLD
+
+
 def test_score_equals_all_pairs(spark):
     """Scores against the sum over single terms and over all pairs of terms, worked out one by one."""
     rnd = np.random.default_rng(4)
