@@ -112,21 +112,23 @@ def _buckets(batches):
 
 
 def _near(sent, usable: bool):
-    """Pairs of different words at most NEAR apart, once for each row: of words in the sorted array sent if usable, else pairs in it."""
+    """Pairs of different words at most NEAR apart, once for each row: of words whose bucket is sent as usable, else of the sorted pairs sent."""
 
     def run(batches):
+        ok, held = (sent.value, None) if usable else (None, sent.value)
         for batch in batches:
             for row in batch.column("words"):
                 words, found = row.values.to_numpy().astype(np.int64), []
-                ok = np.isin(words, sent.value) if usable else None
                 for far in range(1, NEAR + 1):
                     a, b = words[:-far], words[far:]
                     keep = a != b
                     if usable:
-                        keep &= ok[:-far] & ok[far:]
+                        keep &= ok[a] & ok[b]
                     found.append(np.minimum(a, b)[keep] << BITS | np.maximum(a, b)[keep])
                 pairs = np.unique(np.concatenate(found))
-                yield pa.RecordBatch.from_arrays([pa.array(pairs if usable else pairs[np.isin(pairs, sent.value)])], ["pair"])
+                if not usable:
+                    pairs = pairs[held[np.minimum(np.searchsorted(held, pairs), len(held) - 1)] == pairs] if len(held) else held
+                yield pa.RecordBatch.from_arrays([pa.array(pairs)], ["pair"])
 
     return run
 
@@ -141,14 +143,20 @@ def _paired(rows: DataFrame, seen: np.ndarray, toxic: np.ndarray) -> np.ndarray:
         out = found.groupBy("pair").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy("pair").toArrow()
         return out.column("pair").to_numpy(), out.column("n").to_numpy()
 
-    pairs, a = counted(1, np.flatnonzero(toxic >= LEAST_DOCS), True, LEAST_DOCS)
-    clean = np.zeros(len(pairs), np.int64)
+    share = (toxic + 0.5) / (seen + 1)
+
+    def beyond(clean) -> np.ndarray:
+        alone = np.maximum(share[pairs >> BITS], share[pairs & ((1 << BITS) - 1)])
+        return (a / (a + clean) - alone) / np.sqrt(alone * (1 - alone) / (a + clean))
+
+    pairs, a = counted(1, toxic >= LEAST_DOCS, True, LEAST_DOCS)
+    # Pairs that can't reach PAIR_Z even without a clean row aren't looked for in clean rows.
+    can = beyond(0) >= PAIR_Z
+    pairs, a = pairs[can], a[can]
     held, n = counted(0, pairs, False, 1)
+    clean = np.zeros(len(pairs), np.int64)
     clean[np.searchsorted(pairs, held)] = n
-    share = (toxic + 0.5) / (seen + 1)
-    first, second = pairs >> BITS, pairs & ((1 << BITS) - 1)
-    alone = np.maximum(share[first], share[second])
-    z = (a / (a + clean) - alone) / np.sqrt(alone * (1 - alone) / (a + clean))
+    z, first, second = beyond(clean), pairs >> BITS, pairs & ((1 << BITS) - 1)
     return np.unique(np.concatenate([first[z >= PAIR_Z], second[z >= PAIR_Z]]))
 
 
