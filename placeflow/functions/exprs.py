@@ -200,28 +200,32 @@ def dirname(path: Column) -> Column:
 
 
 def safe_path(path: Column) -> Column:
-    """The path without ./ parts and doubled slashes; null for an absolute or upward path, and where nothing is left (empty, `.`, `./`)."""
-    p = F.coalesce(path.cast("string"), F.lit(""))
+    """The path without ./ parts and doubled slashes; null for an absolute or upward path, and where nothing is left (empty, `.`, `./`).
+
+    A chain in which each step names the one before once: paths are joined from joined paths, and a step that named its
+    input n times would be evaluated n times for each of them.
+    """
     # A ./ in front goes first: what then starts with a slash is absolute.
-    raw = F.when(p.startswith("./"), F.substring(p, 3, 1 << 30)).otherwise(p)
-    parts = F.filter(F.split(raw, "/"), lambda x: (x != ".") & (x != ""))
-    bad = (F.size(parts) == 0) | raw.startswith("/") | F.array_contains(parts, "..")
-    joined = F.concat(F.array_join(parts, "/"), F.when(raw.rlike(r"(^|/)\.?$"), "/").otherwise(""))
-    return F.when(~bad, joined)
+    plain = F.coalesce(path.cast("string"), F.lit(""))
+    for pattern, to in ((r"\A\./", ""), ("/+", "/"), (r"(?<![^/])\./", ""), (r"(?<![^/])\.\z", "")):
+        plain = F.regexp_replace(plain, pattern, to)
+    return F.get(F.regexp_extract_all(plain, F.lit(r"(?s)\A(?!/)(?!(?:.*/)?\.\.(?:/|\z)).+\z"), F.lit(0)), 0)
+
+
+def _below(folder: Column, path: Column) -> Column:
+    return safe_path(F.concat(F.regexp_replace(F.concat(folder, F.lit("/")), r"\A\.?/\z", ""), safe_path(path)))
 
 
 def path_join(base: Column, path: Column) -> Column:
     """A safe path below a folder ('' or '.': the root); null if either is unsafe."""
-    p, b = safe_path(path), F.coalesce(base, F.lit(""))
-    return F.when(p.isNotNull(), F.when(b.isin("", "."), p).otherwise(safe_path(F.concat(b, F.lit("/"), p))))
+    return _below(F.coalesce(base, F.lit("")), path)
 
 
 def generation_manifest_path(base: Column, path: Column, manifest: Column) -> Column:
     """A generation's manifest (manifest.min.json if none is named), declared from the shard's folder or from the generation's own path; null if either is unsafe."""
     own, declared = F.coalesce(path, F.lit("")), F.coalesce(F.nullif(manifest, F.lit("")), F.lit("manifest.min.json"))
-    from_shard = (own != "") & declared.startswith(own)
-    below = F.when(own == "", base).otherwise(path_join(base, own))
-    return F.when(from_shard & safe_path(own).isNotNull(), path_join(base, declared)).when(~from_shard & below.isNotNull(), path_join(below, declared))
+    from_shard = F.when(safe_path(own).isNotNull(), F.coalesce(base, F.lit("")))
+    return _below(F.when((own != "") & declared.startswith(own), from_shard).when(own == "", base).otherwise(path_join(base, own)), declared)
 
 
 def join_path(folder: Column, path: Column) -> Column:

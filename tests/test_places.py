@@ -265,6 +265,13 @@ def test_generation_manifests(spark):
     assert [r[0] for r in d.select(X.generation_manifest_path(F.col("b"), F.col("p"), F.col("m"))).collect()] == ["shards/quebec/gen-0001/manifest.min.json"] * 2 + [None, "shards/quebec/gen-0001/manifest.min.json", "shards/quebec/a/m.json", "shards/quebec/manifest.min.json", None]
 
 
+def test_joined_paths_are_evaluated_once(spark):
+    """An expression that named its input twice at each step took a million characters here."""
+    d = spark.createDataFrame([("s", "a/", "m.json")], "b string, p string, m string")
+    plan = d.select(X.generation_manifest_path(F.col("b"), F.col("p"), F.col("m")))._jdf.queryExecution().analyzed().toString()
+    assert len(plan) < 10_000
+
+
 def test_keep_set(spark):
     g = "base string, id_map string, generations array<struct<path:string,manifest:string,id_map:string>>"
     rows = [("s/a", "ids.bin", [("gen-1/", "gen-1/manifest.min.json", "ids.bin"), ("./gen-2", "x.min.json", None)]), ("s/b", None, None)]
