@@ -774,22 +774,23 @@ def _generations(spark, d):
     own = F.concat(F.lit("gen-"), n, F.lit("/"))
     manifest = F.when(n % 3 == 0, F.concat(own, F.lit("manifest.min.json"))).when(n % 3 == 2, F.concat(F.lit("./"), own, F.lit("m.json")))
     g = F.struct(F.when(n < 6, own).when(n == 6, "../x/").alias("path"), manifest.alias("manifest"), F.when(n % 2 == 0, "ids.json").alias("id_map"))
-    return spark.read.parquet(f"{d}/lineitem.parquet").select(base.alias("base"), n.alias("n"), g.alias("g")).distinct()
+    return spark.read.parquet(f"{d}/lineitem.parquet").select(base.alias("base"), n.alias("n"), g.alias("g"))
 
 
 @query(GENERATIONS + """ SELECT concat('shards/', k) AS base, n, CASE WHEN n = 6 THEN NULL WHEN n >= 7 AND n % 3 = 1 THEN concat('shards/', k, '/manifest.min.json') WHEN n % 3 = 0 OR n % 3 = 1 THEN concat('shards/', k, '/gen-', n, '/manifest.min.json')
 WHEN n < 6 THEN concat('shards/', k, '/gen-', n, '/gen-', n, '/m.json') ELSE concat('shards/', k, '/gen-', n, '/m.json') END AS manifest FROM g""")
 def generation_manifests(spark, d):
-    return _generations(spark, d).select("base", "n", X.generation_manifest_path(F.col("base"), F.col("g.path"), F.col("g.manifest")).alias("manifest"))
+    return _generations(spark, d).distinct().select("base", "n", X.generation_manifest_path(F.col("base"), F.col("g.path"), F.col("g.manifest")).alias("manifest"))
 
 
 @query(GENERATIONS + """, k AS (SELECT DISTINCT concat('shards/', k, '/') AS b FROM g), e AS (SELECT concat('shards/', k, '/') AS b, n, CASE WHEN n < 6 THEN concat('gen-', n, '/') ELSE '' END AS p FROM g WHERE n <> 6)
 SELECT concat(b, unnest(['manifest.json', 'manifest.min.json', 'manifest.full.json', 'ids.json'])) AS path FROM k UNION SELECT concat(b, p, unnest(['manifest.json', 'manifest.min.json'])) FROM e UNION SELECT concat(b, p, 'ids.json') FROM e WHERE n % 2 = 0
 UNION SELECT concat(b, 'gen-', n, '/', unnest(['manifest.json', 'manifest.min.json'])) FROM e WHERE n % 3 = 0 UNION SELECT concat(b, 'gen-', n, '/m.json') FROM e WHERE n % 3 = 2""")
 def shard_keep_paths(spark, d):
-    shards = _generations(spark, d).where("n <> 6").groupBy("base").agg(F.collect_list("g").alias("generations"))
-    every = _generations(spark, d).select("base").distinct().join(shards, "base", "left")
-    return gc.shard_keep_paths(every.select("base", F.lit("ids.json").alias("id_map"), "generations"))
+    # By shard first, so that no task has the shards of a whole part of the input in hand.
+    rows = _generations(spark, d).repartition("base")
+    shards = rows.groupBy("base").agg(F.collect_set(F.when(F.col("n") != 6, F.col("g"))).alias("generations"))
+    return gc.shard_keep_paths(shards.select("base", F.lit("ids.json").alias("id_map"), "generations"))
 
 
 @query("""WITH o AS (SELECT *, concat('s/', o_custkey) AS b FROM orders)
