@@ -78,17 +78,19 @@ def _references():
                 left = [("", json.loads(body))] if body is not None else []
                 while left:
                     key, value = left.pop()
-                    if isinstance(value, list):
-                        left += [(key, v) for v in value]
-                    elif isinstance(value, dict):
+                    kind = type(value)
+                    if kind is dict:
                         left += value.items()
-                        file = next((f for k in ("directory", "root") if isinstance(d := value.get(k), dict) and (f := d.get("file"))), None)
-                        if isinstance(file, str) and positive(value.get("hot_prefixes")):
-                            rows.append((doc, base, "hot", file))
-                    elif isinstance(value, str):
+                        if "hot_prefixes" in value and positive(value["hot_prefixes"]):
+                            file = next((f for k in ("directory", "root") if isinstance(d := value.get(k), dict) and (f := d.get("file"))), None)
+                            if isinstance(file, str):
+                                rows.append((doc, base, "hot", file))
+                    elif kind is list:
+                        left += [(key, v) for v in value]
+                    elif kind is str:
                         if value.endswith((".bin", ".bin.gz")):
                             rows.append((doc, base, "binary", value))
-                        if (key == "pages" or key.endswith("_path")) and value.endswith("/"):
+                        elif value.endswith("/") and (key == "pages" or key.endswith("_path")):
                             rows.append((doc, base, "folder", value))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["doc", "base", "kind", "value"])
@@ -103,7 +105,9 @@ def manifest_protections(manifests: DataFrame) -> DataFrame:
     """
     read = manifests.select(F.col("doc").cast("string"), F.col("base").cast("string"), F.to_json("body").alias("body"))
     refs = read.mapInArrow(_references(), "doc string, base string, kind string, value string")
-    inside = X.path_join(F.col("base"), F.col("value"))
+    # Each reference is joined to its base once, whatever it becomes.
+    refs = refs.select("kind", "value", X.path_join(F.col("base"), F.col("value")).alias("inside"))
+    inside = F.col("inside")
     folder = F.concat(F.regexp_replace(inside, "/$", ""), F.lit("/"))
     above = X.dirname(inside)
     hot = F.concat(F.when(above == "", "").otherwise(F.concat(above, F.lit("/"))), F.lit("hot/"))
@@ -115,7 +119,7 @@ def manifest_protections(manifests: DataFrame) -> DataFrame:
         F.when(kind == "hot", F.struct(F.lit("prefix").alias("kind"), hot.alias("value"))),
     )
     own = manifests.select(F.lit("path").alias("kind"), F.col("doc").cast("string").alias("value"))
-    return refs.select(F.inline(F.array_compact(found))).unionByName(own).where("value is not null").distinct()
+    return refs.select(F.inline(found)).unionByName(own).where("value is not null").distinct()
 
 
 def catalog_protections(catalog: DataFrame, path: str = "routes/catalog.json") -> DataFrame:

@@ -280,6 +280,20 @@ def test_keep_set(spark):
     assert got == sorted([f"s/{x}/{n}" for x in "ab" for n in root] + ["s/a/ids.bin", "s/a/gen-1/ids.bin", "s/a/x.min.json", "s/a/x.json"] + [f"s/a/gen-{i}/{n}" for i in (1, 2) for n in ("manifest.json", "manifest.min.json")])
 
 
+def test_keep_paths_shuffle_rows_and_paths_only(spark):
+    """Generations used to be made twice, each deduplicated in the tasks that read them, and joined."""
+    from placeflow.plans.queries import QUERIES
+
+    plan = QUERIES["shard_keep_paths"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
+def test_references_are_joined_to_their_base_once(spark):
+    m = spark.createDataFrame([("m.json", "r", "{}")], "doc string, base string, b string").select("doc", "base", F.parse_json("b").alias("body"))
+    plan = gc.manifest_protections(m)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 2
+
+
 def test_publish_ranks(spark):
     paths = ["_build/x.json", "a/_build/x.bin", "tmp/x", "manifest.min.json", "gen-1/manifest.full.json", "manifest.gen.json", "manifest.json.gz"]
     d = spark.createDataFrame([(p,) for p in paths], "p string")
