@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from placeflow.llm._common import give_back, parts, texts
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -174,24 +174,30 @@ def spread(values: np.ndarray, sizes: np.ndarray, stops: np.ndarray, picks: np.n
 def encode_texts(v: Vocabulary, docs: list[bytes]) -> list[tuple[np.ndarray, bytes]]:
     """(ids, decoded text) of each text."""
     chunk_ids: defaultdict[bytes, int] = defaultdict(count().__next__)
-    rows = [list(map(chunk_ids.__getitem__, d.split())) for d in docs]
+    rows = [np.array(list(map(chunk_ids.__getitem__, d.split())), np.int32) for d in docs]
     word_ids: defaultdict[bytes | int, int] = defaultdict(count().__next__)
     chunk_words, chunk_sizes = [], []
     for chunk in chunk_ids:
         words = v.split(chunk)
         chunk_sizes.append(len(words))
         chunk_words += map(word_ids.__getitem__, words)
+    # From here on only numbers are needed; the tables of strings would be most of the memory of the merges.
+    chunk_ids.clear()
+    chunk_words = np.array(chunk_words, np.int64)
     plain = [w for w in word_ids if not isinstance(w, int)]
-    sizes = np.ones(len(word_ids), np.int64)
+    special = [w for w in word_ids if isinstance(w, int)]
     is_plain = np.array([not isinstance(w, int) for w in word_ids], bool)
+    word_ids.clear()
+    sizes = np.ones(len(is_plain), np.int64)
     values, got = merge_words(v, plain) if plain else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+    del plain
     sizes[is_plain] = got
     ids = np.empty(int(sizes.sum()), np.int32)
     own = np.repeat(is_plain, sizes)
     ids[own] = values
-    ids[~own] = [w for w in word_ids if isinstance(w, int)]
+    ids[~own] = special
     # Words to chunks, then chunks to documents.
-    flat, token_sizes = spread(ids, sizes, np.cumsum(sizes), np.array(chunk_words, np.int64))
+    flat, token_sizes = spread(ids, sizes, np.cumsum(sizes), chunk_words)
     of_chunk = np.repeat(np.arange(len(chunk_sizes)), chunk_sizes)
     chunk_tokens = np.bincount(of_chunk, weights=token_sizes, minlength=len(chunk_sizes)).astype(np.int64)
     names = list(map(v.names.__getitem__, flat.tolist()))
@@ -200,8 +206,8 @@ def encode_texts(v: Vocabulary, docs: list[bytes]) -> list[tuple[np.ndarray, byt
     some_empty = 0 in chunk_sizes
     out = []
     for row in rows:
-        got, _ = spread(flat, chunk_tokens, stops, np.array(row, np.int64))
-        strings = map(decoded.__getitem__, row)
+        got, _ = spread(flat, chunk_tokens, stops, row)
+        strings = map(decoded.__getitem__, row.tolist())
         out.append((got, b" ".join(filter(None, strings) if some_empty else strings)))
     return out
 
@@ -218,6 +224,8 @@ def _run(path: str):
                 )
                 del done
                 give_back()
+        batch = part = None  # the last batch goes with its task, not with the worker's next one
+        give_back()
 
     return run
 

@@ -1,6 +1,8 @@
 """BPE against the tokenizers library, and decoding as a round trip of ids."""
 
 import random
+import subprocess
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -36,3 +38,25 @@ def test_frame(spark, library):
     assert [np.frombuffer(r.ids, "<u4").tolist() for r in got if r.doc_id == 1] == [library.encode(rows[0][1], add_special_tokens=False).ids] * 2
     assert sorted(r.decoded for r in decode(out, PATH).collect()) == sorted(r.decoded for r in got)
     assert encode(df.limit(0), PATH).count() == 0
+
+
+def test_memory_of_unlike_words():
+    """A batch of 400,000 unlike words costs its process little beside the vocabulary (measured apart from this process, which keeps what other tests took)."""
+    code = """
+import pyarrow as pa, public_tokenizers
+from placeflow.llm import bpe
+path = public_tokenizers.path("word_bpe_49k.json")
+words = [f"w{i * 2654435761 % (1 << 32):x}" for i in range(400_000)]
+texts = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+del words
+batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+bpe.vocabulary(path)
+bpe.give_back()
+mb = lambda key: int(next(line for line in open("/proc/self/status") if line.startswith(key)).split()[1]) / 1024
+open("/proc/self/clear_refs", "w").write("5")
+before = mb("VmRSS")
+assert sum(part.num_rows for part in bpe._run(path)([batch])) == 400
+print(mb("VmHWM") - before)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert float(done.stdout) < 200, done.stdout
