@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
 from placeflow.operators import delta, enrich, gc, identity, regions, roads, routes, search, spatial, status
+from placeflow.plans import bindings
 
 REGION = "region_id string, min_lat double, min_lon double, max_lat double, max_lon double, country_code string, subdivision_code string"
 POINT = "point_id long, lat double, lon double, country string, state string"
@@ -482,3 +483,20 @@ def test_road_queries_equal_all_ways(spark):
         assert {r for r, _ in best} == {"A", "N", "R"}
         want |= {(f"{start[0]}:{start[1]}", *k): v for k, v in best.items()}
     assert {(r.source, r.region_id, r.node_id): r.seconds for r in QUERIES["federated_travel_times"](spark, d).collect()} == want
+
+
+@pytest.mark.parametrize("name", ["road_edges", "itinerary_costs"])
+def test_tasks_of_roads_grow_with_the_table(spark, monkeypatch, name):
+    """Line items are dealt by way once, to tasks whose number the table sets; edges, both ways included, are made without another shuffle."""
+    from placeflow.plans.queries import QUERIES
+
+    d = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").count()
+    monkeypatch.setattr(bindings, "DEALT", lines // 5)
+    plan = QUERIES[name](spark, d)._jdf.queryExecution().executedPlan().toString()
+    tasks = -(-lines // (lines // 5))
+    shuffles = [line for line in plan.splitlines() if "Exchange" in line]
+    assert all(f"hashpartitioning({key}" in " ".join(shuffles) for key in ["l_orderkey"] + ["source"] * (name == "itinerary_costs"))
+    assert all(f", {tasks})" in line for line in shuffles if "l_orderkey" in line or "source" in line)
+    if name == "road_edges":
+        assert len(shuffles) == 1
