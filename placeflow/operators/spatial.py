@@ -29,7 +29,7 @@ def _codes(regions: DataFrame, kind: str) -> Column:
 
 
 def _with_boxes(points: DataFrame, regions: DataFrame, *columns: Column, how: str = "inner") -> DataFrame:
-    """Valid points with `inside`: an array of the regions (region_id and columns) whose box contains them; null, with how left, where no box is near.
+    """Valid points with `inside`: an array of the regions (region_id and columns) whose box contains them. With how left all points, null where no box is near or the place isn't valid.
 
     The regions of a cell are one row, so points meet them by an equi-join on the cell and stay one row each. The
     table of cells is sent to the points if it is small; configurations are.
@@ -38,7 +38,8 @@ def _with_boxes(points: DataFrame, regions: DataFrame, *columns: Column, how: st
     cells = region_cells(regions).groupBy("cell").agg(F.array_sort(F.collect_list(box_)).alias("boxes"))
     if region_cells(regions).limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS:
         cells = F.broadcast(cells)
-    valid = points.where(X.valid_coord(F.col("lat"), F.col("lon"))).withColumn("cell", X.grid_cell(F.col("lat"), F.col("lon")))
+    ok = X.valid_coord(F.col("lat"), F.col("lon"))
+    valid = (points.where(ok) if how == "inner" else points).withColumn("cell", F.when(ok, X.grid_cell(F.col("lat"), F.col("lon"))))
     inside = F.filter("boxes", lambda r: X.bbox_contains(F.col("lat"), F.col("lon"), *(r[c] for c in BOX)))
     return valid.join(cells, "cell", how).withColumn("inside", inside).drop("cell", "boxes")
 
@@ -50,7 +51,7 @@ def spatial_candidates(points: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def _decided(points: DataFrame, regions: DataFrame, how: str = "inner") -> DataFrame:
-    """Valid points with `inside` as an array of the regions that they go to.
+    """Valid points (with how left: all) with `inside` as an array of the regions that they go to.
 
     Among several boxes a two-letter country code decides, else regions without codes, else all; among what is left
     the subdivision decides, again only after a two-letter country code. No shuffle: all of a point's boxes are in its row.
@@ -66,6 +67,16 @@ def _decided(points: DataFrame, regions: DataFrame, how: str = "inner") -> DataF
     return left.withColumn("inside", F.when(iso & (F.size(all_) > 1) & (X.clean(F.col("state")) != ""), second).otherwise(all_))
 
 
+def placed(points: DataFrame, regions: DataFrame) -> DataFrame:
+    """All points (lat, lon, country, state and any others) with `inside`: the ids of the regions that they go to; null where there is none."""
+    return _decided(points, regions, "left").withColumn("inside", F.col("inside.region_id"))
+
+
+def routed_rows(placed: DataFrame) -> DataFrame:
+    """placed points with region_id, a row for each region they go to."""
+    return placed.withColumn("region_id", F.explode("inside")).drop("inside")
+
+
 def routed(points: DataFrame, regions: DataFrame) -> DataFrame:
     """points (lat, lon, country, state and any others) with region_id, a row for each region they go to."""
     return _decided(points, regions).withColumn("region_id", F.explode("inside.region_id")).drop("inside")
@@ -87,11 +98,15 @@ def partition_stats(points: DataFrame, regions: DataFrame) -> DataFrame:
     unmatched: valid rows that no region takes. Rows are counted where they are routed, each for itself, whatever ids
     they share, and only sums are shuffled.
     """
-    valid = _decided(points, regions, "left")
+    return placed_stats(placed(points, regions))
+
+
+def placed_stats(placed: DataFrame) -> DataFrame:
+    """partition_stats of placed points, which are read once."""
+    ok = X.valid_coord(F.col("lat"), F.col("lon"))
     n = F.coalesce(F.when(F.col("inside").isNotNull(), F.size("inside")), F.lit(0))
-    counted = valid.agg(F.count("*").alias("normalized"), F.count_if(n == 0).alias("unmatched"), F.coalesce(F.sum(n), F.lit(0)).alias("writes"))
-    both = points.agg(F.count("*").alias("rows_read")).join(counted)
-    return both.select("rows_read", "normalized", "unmatched", "writes", (F.col("writes") / F.greatest("rows_read", F.lit(1))).alias("amplification"))
+    counted = placed.agg(F.count("*").alias("rows_read"), F.count_if(ok).alias("normalized"), F.count_if(ok & (n == 0)).alias("unmatched"), F.coalesce(F.sum(n), F.lit(0)).alias("writes"))
+    return counted.select("*", (F.col("writes") / F.greatest("rows_read", F.lit(1))).alias("amplification"))
 
 
 def region_neighbors(regions: DataFrame, margin: float = 0.02, overlap: float = 0.8) -> DataFrame:

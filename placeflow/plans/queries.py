@@ -1017,23 +1017,28 @@ def counters_stream(spark, d):
     return latest_counters(spark, f"{at}/out").select("kind", "n")
 
 
+#: Rows in a file of a job.
+FILE_ROWS = 500_000
+
+
 @query(ROUTED + """, o AS (SELECT region_id, point_id, row_number() OVER (PARTITION BY region_id ORDER BY user_id % 3, value DESC, point_id) AS pos FROM routed JOIN events ON event_id = point_id) SELECT region_id, point_id, pos FROM o""")
 def partition_order(spark, d):
     """Events as three jobs, rows by value in each, one job a batch. The second batch breaks off before its record and is run again: each row is there once, in the order of batches, jobs and rows."""
     at = new_path(spark, "order")
     events = spark.read.parquet(f"{d}/events.parquet")
-    for job in range(3):
-        events.where(F.col("user_id") % 3 == job).repartition(1).sortWithinPartitions(F.col("value").desc(), "event_id").write.mode("append").parquet(f"{at}/in/")
     regions_ = view(spark, d, "place_regions")
-    stream = _points(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in").select("*", F.col("_metadata.file_name").alias("source"), F.col("_metadata.row_index").alias("ord")), "source", "ord")
 
     def power_cut(batch_id: int) -> None:
-        if batch_id == 1:
-            raise RuntimeError("power cut")
+        raise RuntimeError("power cut")
 
-    for cut in (power_cut, None):
-        with contextlib.suppress(StreamingQueryException):
-            start_partition_stream(stream, regions_, f"{at}/out", f"{at}/checkpoint", before_commit=cut).awaitTermination()
+    # A job is as many files as its size asks for, in order of their names; what has come since the last batch is one batch.
+    files = -(-events.count() // (3 * FILE_ROWS)) or 1
+    for job in range(3):
+        events.where(F.col("user_id") % 3 == job).repartitionByRange(files, F.col("value").desc(), "event_id").sortWithinPartitions(F.col("value").desc(), "event_id").write.mode("append").parquet(f"{at}/in/")
+        stream = _points(spark.readStream.schema(events.schema).parquet(f"{at}/in").select("*", F.col("_metadata.file_name").alias("source"), F.col("_metadata.row_index").alias("ord")), "source", "ord")
+        for cut in (power_cut, None) if job == 1 else (None,):
+            with contextlib.suppress(StreamingQueryException) if cut else contextlib.nullcontext():
+                start_partition_stream(stream, regions_, f"{at}/out", f"{at}/checkpoint", before_commit=cut).awaitTermination()
     return ordered_partitions(spark, f"{at}/out").select("region_id", "point_id", "pos")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from placeflow.operators.spatial import partition_stats, routed
+from placeflow.operators.spatial import placed, placed_stats, routed_rows
 from placeflow.sources import versions
 
 #: Where a row stands: the job or file that it comes from, and its place in it.
@@ -26,6 +26,8 @@ def _committed(spark: SparkSession, out: str) -> dict[int, dict]:
 def start_partition_stream(points: DataFrame, regions: DataFrame, out: str, checkpoint: str, order: tuple[str, ...] = ORDER, before_commit: Callable[[int], None] | None = None):
     """Route a stream of points to their regions. Each batch's fragments are written first, then one record that makes them count.
 
+    A batch's rows are dealt to tasks before they are routed, so a file that one task has to read is routed by many, and
+    once: fragments and counters are made of the rows that stand with their regions.
     Fragments are dealt by ranges of (region, source, row), so a region of many rows is several tasks', and each file holds
     rows of one region in the order of their source. The record names the batch's folder and the table of its fragments (region_id, file,
     first and last source and row, rows), with counters of the batch. Readers take what records name: a batch that
@@ -41,16 +43,17 @@ def start_partition_stream(points: DataFrame, regions: DataFrame, out: str, chec
         if name in versions.names(spark, f"{out}/{LOG}"):
             return
         missing = [c for c in order if c not in batch.columns]
-        rows = batch.withColumns({c: F.monotonically_increasing_id() for c in missing}).persist()
+        dealt = batch.withColumns({c: F.monotonically_increasing_id() for c in missing}).repartition(*order)
+        rows = placed(dealt, regions).persist()
         try:
             attempt = f"batch_id={batch_id}/attempt={uuid.uuid4().hex}"
             keys = ("region_id", *order)
-            routed(rows, regions).repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy("region_id").parquet(f"{out}/data/{attempt}")
+            routed_rows(rows).repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy("region_id").parquet(f"{out}/data/{attempt}")
             place = F.struct(*order)
-            written = spark.read.schema(routed(rows, regions).schema).parquet(f"{out}/data/{attempt}")
+            written = spark.read.schema(routed_rows(rows).schema).parquet(f"{out}/data/{attempt}")
             fragments = written.groupBy("region_id", F.col("_metadata.file_name").alias("file")).agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("rows"))
             fragments.write.parquet(f"{out}/fragments/{attempt}")
-            stats = partition_stats(rows, regions).first().asDict()
+            stats = placed_stats(rows).first().asDict()
             if before_commit:
                 before_commit(batch_id)
             record = {"batch_id": batch_id, "attempt": attempt, "schema": written.schema.jsonValue(), **stats}
