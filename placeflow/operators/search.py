@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,14 +34,57 @@ def _terms(corpus: DataFrame, words: Column, queries: DataFrame | None, *keep: s
     return rows if queries is None else rows.join(few(query_terms(queries).select("term").distinct()), "term", "left_semi")
 
 
-def postings(corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+#: Words that a task counts at once, and sums of documents by queries that it holds at once.
+WORDS, CELLS = 1_000_000, 500_000
+
+
+def _counted(sent):
+    """The terms of each document and how often it holds them, from documents split into words (t); of the terms sent, if there are any."""
+
+    def run(batches):
+        asked = None if sent is None else pa.array(sent.value, pa.string())
+        for batch in batches:
+            offsets = batch.column("t").offsets.to_numpy()
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + WORDS, side="right")) - 1)
+                some, sizes = batch.slice(lo, hi - lo), np.diff(offsets[lo : hi + 1])
+                words, row = some.column("t").flatten(), np.repeat(np.arange(hi - lo), sizes)
+                lo = hi
+                if asked is None:
+                    coded = words.dictionary_encode()
+                    terms, no = coded.dictionary, coded.indices.to_numpy()
+                else:
+                    terms, no = asked, pc.fill_null(pc.index_in(words, value_set=asked), -1).to_numpy()
+                    row, no = row[no >= 0], no[no >= 0]
+                n = max(1, len(terms))
+                key, tf = np.unique(row * n + no, return_counts=True)
+                row = key // n
+                columns = [some.column("doc_id").take(pa.array(row)), some.column("region_id").take(pa.array(row)), pa.array(sizes[row], pa.int32()), terms.take(pa.array(key % n)), pa.array(tf, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "region_id", "length", "term", "tf"])
+
+    return run
+
+
+def postings(corpus: DataFrame, queries: DataFrame | None = None, most: int = BROADCAST_TERMS) -> DataFrame:
     """(doc_id, region_id, length, term, tf) of (doc_id, region_id, text), of the queries' terms if these are given.
 
-    Dealt by doc_id, so that scores of a document need no further shuffle.
+    A document's words are counted where its text is, and nothing is shuffled; only rows that share an id and a region are
+    added up after that. Beyond `most` terms these aren't sent to the tasks but joined.
     """
-    words = corpus.select("doc_id", "region_id", X.tokens(F.col("text")).alias("t")).withColumn("length", F.size("t"))
-    rows = _terms(words, F.col("t"), queries, "doc_id", "region_id", "length")
-    return rows.repartition("doc_id").groupBy("doc_id", "region_id", "length", "term").agg(F.count("*").alias("tf"))
+    asked = None if queries is None else query_terms(queries).select("term").distinct()
+    sent = None
+    if asked is not None and asked.limit(most + 1).count() <= most:
+        # At most `most` rows.
+        sent, asked = corpus.sparkSession.sparkContext.broadcast(sorted(r.term for r in asked.collect())), None
+    kind = {c: corpus.schema[c].dataType.simpleString() for c in ("doc_id", "region_id")}
+    words = corpus.select("doc_id", "region_id", X.tokens(F.col("text")).alias("t"))
+    rows = words.mapInArrow(_counted(sent), f"doc_id {kind['doc_id']}, region_id {kind['region_id']}, length int, term string, tf long")
+    if asked is not None:
+        rows = rows.join(asked, "term", "left_semi").select("doc_id", "region_id", "length", "term", "tf")
+    if corpus.groupBy("doc_id", "region_id").count().where("count > 1").isEmpty():
+        return rows
+    return rows.groupBy("doc_id", "region_id", "length", "term").agg(F.sum("tf").alias("tf"))
 
 
 def term_df(corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
@@ -96,7 +140,7 @@ def _leading(sent, k: int):
             keep = np.arange(len(q)) - np.repeat(start, np.diff(np.append(start, len(q)))) < k
             held[:] = [(q[keep], region[keep], score[keep], doc[keep])]
 
-        step = max(1, 4_000_000 // max(1, len(ids)))
+        step = max(1, CELLS // max(1, len(ids)))
         for batch in batches:
             for lo in range(0, batch.num_rows, step):
                 some = batch.slice(lo, step)
@@ -152,6 +196,11 @@ def bm25_sharded_topk(queries, posts, df, stats, k: int = 5) -> DataFrame:
     return best(local, k, "query_id").select("query_id", "rank", "doc_id", "score")
 
 
+def region_df(corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
+    """(region_id, term, n): documents of each region that hold each term, of the queries' terms if these are given; text_routing and term_df can be had of it."""
+    return _terms(corpus, F.array_distinct(X.tokens(F.col("text"))), queries, "region_id").groupBy("region_id", "term").agg(F.count("*").alias("n"))
+
+
 def text_routing(corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
     """(term, regions): the regions that hold each term, of the queries' terms if these are given."""
     pairs = _terms(corpus, F.array_distinct(X.tokens(F.col("text"))), queries, "region_id").distinct()

@@ -354,7 +354,7 @@ def _search(spark, d):
     """The stated queries, postings of their terms, document frequencies and statistics."""
     c, q = view(spark, d, "corpus"), view(spark, d, "search_queries")
     posts = save(search.postings(c, q), "postings")
-    return q, posts, posts.groupBy("term").agg(F.count("*").alias("df")), search.scoring_stats(c)
+    return q, posts, save(posts.groupBy("term").agg(F.count("*").alias("df")), "df"), save(search.scoring_stats(c), "stats")
 
 
 @query(TOK + " SELECT region_id, count(*) AS docs, sum(len(t))::BIGINT AS tokens FROM tok GROUP BY region_id")
@@ -394,8 +394,8 @@ def routed_search(spark, d):
     one = c.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), F.array_max(word)["w"].alias("query")).where("query is not null")
     many = view(spark, d, "search_queries").select((-1 - F.col("query_id")).alias("query_id"), F.when(F.col("query_id") % 3 == 0, F.concat("query", F.lit(" qqzzxqqzzx"))).otherwise(F.col("query")).alias("query"))
     q = save(one.unionByName(many), "queries")
-    routing = save(search.text_routing(c, q), "routing")
-    return search.routed_search(q, routing, c, search.term_df(c, q), search.scoring_stats(c))
+    counts = save(search.region_df(c, q), "counts")
+    return search.routed_search(q, save(views.routing_table(counts), "routing"), c, save(views.merged_df(counts), "df"), save(search.scoring_stats(c), "stats"))
 
 
 @query(TOP)
@@ -406,7 +406,7 @@ def stored_search(spark, d):
     fingerprints = c.select("region_id").distinct().withColumn("fingerprint", F.lit("v1"))
     views.update_routing(spark, root, c.select("region_id", F.lit(None).cast("string").alias("old_text"), F.coalesce("text", F.lit("")).alias("text")), fingerprints)
     counts = views.read_routing(spark, root)
-    return views.stored_search(spark, views.write_postings(c), q, views.routing_table(counts), views.merged_df(counts), search.scoring_stats(c))
+    return views.stored_search(spark, views.write_postings(c), q, views.routing_table(counts), save(views.merged_df(counts), "df"), save(search.scoring_stats(c), "stats"))
 
 
 @query(TOK + """, now AS (SELECT doc_id, CASE WHEN doc_id % 11 = 3 THEN concat(region_id, '-new') ELSE region_id END AS region_id, CASE WHEN region_id = 'fr' AND doc_id % 7 = 1 THEN t[3:] || ['neuvième'] ELSE t END AS t FROM tok WHERE region_id = 'es' OR doc_id % 5 <> 2),
