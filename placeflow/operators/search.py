@@ -66,6 +66,11 @@ def _counted(sent):
     return run
 
 
+def _unique(corpus: DataFrame) -> bool:
+    """Whether no two rows share an id and a region."""
+    return corpus.groupBy("doc_id", "region_id").count().where("count > 1").isEmpty()
+
+
 def postings(corpus: DataFrame, queries: DataFrame | None = None, most: int = BROADCAST_TERMS) -> DataFrame:
     """(doc_id, region_id, length, term, tf) of (doc_id, region_id, text), of the queries' terms if these are given.
 
@@ -82,11 +87,33 @@ def postings(corpus: DataFrame, queries: DataFrame | None = None, most: int = BR
     rows = words.mapInArrow(_counted(sent), f"doc_id {kind['doc_id']}, region_id {kind['region_id']}, length int, term string, tf long")
     if asked is not None:
         rows = rows.join(asked, "term", "left_semi").select("doc_id", "region_id", "length", "term", "tf")
-    if corpus.groupBy("doc_id", "region_id").count().where("count > 1").isEmpty():
+    if _unique(corpus):
         return rows
     return rows.groupBy("doc_id", "region_id", "length", "term").agg(F.sum("tf").alias("tf"))
 
 
+def _packed(batches):
+    """The postings that a task counts at once, gathered by region and term."""
+    for b in _counted(None)(batches):
+        region, term = (b.column(c).dictionary_encode("encode") for c in ("region_id", "term"))
+        key = region.indices.to_numpy().astype(np.int64) * max(1, len(term.dictionary)) + term.indices.to_numpy()
+        order = np.argsort(key, kind="stable")
+        start = np.flatnonzero(np.diff(key[order], prepend=-1))
+        entries = pa.StructArray.from_arrays([b.column(c).take(pa.array(order)) for c in ("doc_id", "length", "tf")], ["doc_id", "length", "tf"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(order)), pa.int32()), entries)
+        first = pa.array(order[start])
+        yield pa.RecordBatch.from_arrays([b.column("region_id").take(first), b.column("term").take(first), lists], ["region_id", "term", "entries"])
+
+
+def packed_postings(corpus: DataFrame) -> DataFrame:
+    """(region_id, term, entries: array of (doc_id, length, tf)): postings of all terms; a row holds those of about WORDS words of documents that stand together, so there are far fewer rows than postings."""
+    kind = {c: corpus.schema[c].dataType.simpleString() for c in ("doc_id", "region_id")}
+    if not _unique(corpus):
+        return postings(corpus).select("region_id", "term", F.array(F.struct("doc_id", "length", "tf")).alias("entries"))
+    words = corpus.select("doc_id", "region_id", X.tokens(F.col("text")).alias("t"))
+    return words.mapInArrow(_packed, f"region_id {kind['region_id']}, term string, entries array<struct<doc_id:{kind['doc_id']},length:int,tf:bigint>>")
+
+
 def term_df(corpus: DataFrame, queries: DataFrame | None = None) -> DataFrame:
     """(term, df): documents that hold each term, of the queries' terms if these are given."""
     return _terms(corpus, F.array_distinct(X.tokens(F.col("text"))), queries).groupBy("term").agg(F.count("*").alias("df"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from placeflow.functions import exprs as X
 from placeflow.operators import search
-from placeflow.scratch import new_path
+from placeflow.scratch import new_path, save
 from placeflow.sources import versions
 
 #: Version of the layout of these tables; a view of another one is built anew.
@@ -31,17 +31,20 @@ def document_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     a, b = side(old), side(new)
     keys = ["doc_id", "region_id"]
     both = a.join(b.withColumnRenamed("h", "new_h"), keys, "full_outer").where(~F.col("h").eqNullSafe(F.col("new_h"))).select(*keys, F.col("h").isNotNull().alias("was"), F.col("new_h").isNotNull().alias("is"))
-    texts = lambda df, name: df.select(*keys, F.coalesce("text", F.lit("")).alias(name))
-    return both.join(texts(old, "old_text"), keys, "left").join(texts(new, "text"), keys, "left").select(*keys, F.when(F.col("was"), F.col("old_text")).alias("old_text"), F.when(F.col("is"), F.col("text")).alias("text"))
+    differ = save(both, "changes")
+    # Texts of what is the same aren't shuffled.
+    some = search.few(differ.select(*keys))
+    texts = lambda df, name: df.join(some, keys, "left_semi").select(*keys, F.coalesce("text", F.lit("")).alias(name))
+    return differ.join(texts(old, "old_text"), keys, "left").join(texts(new, "text"), keys, "left").select(*keys, F.when(F.col("was"), F.col("old_text")).alias("old_text"), F.when(F.col("is"), F.col("text")).alias("text"))
 
 
 def term_deltas(changes: DataFrame) -> DataFrame:
     """(region_id, term, d): by how many documents each term's count changes."""
-    none = F.expr("cast(array() as array<string>)")
-    words = lambda c: F.when(F.col(c).isNotNull(), F.array_distinct(X.tokens(F.col(c)))).otherwise(none)
-    split = changes.select("region_id", words("old_text").alias("o"), words("text").alias("w"))
-    moved = split.select("region_id", F.explode(F.concat(F.transform(F.array_except("w", "o"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"))), F.transform(F.array_except("o", "w"), lambda t: F.struct(t.alias("term"), F.lit(-1).alias("d"))))).alias("x"))
-    return moved.groupBy("region_id", F.col("x.term").alias("term")).agg(F.sum("x.d").alias("d")).where("d <> 0")
+    # What a text has in both versions adds up to nothing, mostly before the shuffle.
+    side = lambda d, c: F.struct(F.lit(d).alias("d"), F.col(c).alias("text"))
+    sides = changes.select("region_id", F.explode(F.array(side(1, "text"), side(-1, "old_text"))).alias("x")).where("x.text is not null")
+    words = sides.select("region_id", "x.d", F.explode(F.array_distinct(X.tokens(F.col("x.text")))).alias("term"))
+    return words.groupBy("region_id", "term").agg(F.sum("d").alias("d")).where("d <> 0")
 
 
 def _counts(spark: SparkSession, root: str, regions: dict[str, dict]) -> DataFrame:
@@ -204,11 +207,11 @@ def _bucket(term: Column, buckets: int) -> Column:
 
 
 def write_postings(corpus: DataFrame, path: str | None = None, buckets: int = 16, rows: int = 5_000_000) -> str:
-    """Postings (doc_id, length, term, tf) of a corpus (doc_id, region_id, text) in a folder for each region and bucket of terms; a frequent term's bucket is several files. Returns the path."""
+    """Postings of a corpus (doc_id, region_id, text), packed (term, entries: array of (doc_id, length, tf)), in a folder for each region and bucket of terms; a frequent term's bucket is several files. Returns the path."""
     path = path or new_path(corpus.sparkSession, "postings")
-    posts = search.postings(corpus).withColumn("bucket", _bucket(F.col("term"), buckets))
+    posts = search.packed_postings(corpus).withColumn("bucket", _bucket(F.col("term"), buckets))
     # Documents are spread, so no region's bucket is one task's.
-    spread = F.pmod(F.xxhash64("doc_id"), F.lit(8))
+    spread = F.pmod(F.xxhash64(F.col("entries")[0]["doc_id"]), F.lit(8))
     posts.repartition("region_id", "bucket", spread).sortWithinPartitions("region_id", "bucket", "term").write.option("maxRecordsPerFile", rows).partitionBy("region_id", "bucket").parquet(path)
     return path
 
@@ -225,13 +228,13 @@ def open_shards(queries: DataFrame, routing: DataFrame, buckets: int) -> dict[st
 
 def stored_postings(spark: SparkSession, path: str, queries: DataFrame, routing: DataFrame, buckets: int = 16) -> DataFrame:
     """The postings of the queries' terms, from the shards that hold them; the others aren't opened: the condition is on the folders' columns, so it prunes before files are listed for reading."""
-    schema = "doc_id long, length int, term string, tf long, region_id string, bucket int"
+    schema = "term string, entries array<struct<doc_id:bigint,length:int,tf:bigint>>, region_id string, bucket int"
     shards = open_shards(queries, routing, buckets)
     test = F.lit(False)
     for region, some in shards.items():
         test = test | ((F.col("region_id") == region) & F.col("bucket").isin(some))
     posts = spark.read.schema(schema).parquet(path).where(test)
-    return posts.join(search.few(search.query_terms(queries).select("term").distinct()), "term", "left_semi").drop("bucket")
+    return posts.join(search.few(search.query_terms(queries).select("term").distinct()), "term", "left_semi").select("region_id", "term", F.inline("entries")).select("doc_id", "length", "term", "tf", "region_id")
 
 
 def stored_search(spark: SparkSession, path: str, queries: DataFrame, routing: DataFrame, df: DataFrame, stats: DataFrame, k: int = 5, buckets: int = 16) -> DataFrame:
