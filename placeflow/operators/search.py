@@ -152,11 +152,17 @@ def best(scores: DataFrame, k: int, *by: str) -> DataFrame:
 
 
 def _leading(sent, k: int):
-    """The k best documents of each query and region among those of a task, by scores added up in arrays of documents by queries."""
+    """The k best documents of each query and region among those of a task.
+
+    Scores are added up by documents and queries that share a term: in an array of all of these where most do, else by
+    sorting, so that the work is that of the terms found and not of all documents by all queries.
+    """
 
     def run(batches):
         first, queries, ids = sent.value
         held: list[tuple[np.ndarray, ...]] = []
+        regions: dict[str, int] = {}
+        sizes = {"kept": 0, "new": 0}
 
         def compact() -> None:
             q, region, score, doc = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -166,25 +172,42 @@ def _leading(sent, k: int):
             start = np.flatnonzero(new)
             keep = np.arange(len(q)) - np.repeat(start, np.diff(np.append(start, len(q)))) < k
             held[:] = [(q[keep], region[keep], score[keep], doc[keep])]
+            sizes.update(kept=int(keep.sum()), new=0)
 
-        step = max(1, CELLS // max(1, len(ids)))
         for batch in batches:
-            for lo in range(0, batch.num_rows, step):
-                some = batch.slice(lo, step)
-                doc, region = some.column("doc_id").to_numpy(), np.array(some.column("region_id").to_pylist(), object)
-                lists = some.column("hits")
-                sizes = np.diff(lists.offsets.to_numpy())
-                entries = lists.flatten()
-                term, part = entries.field("no").to_numpy(), entries.field("part").to_numpy()
-                row, n = np.repeat(np.arange(len(doc)), sizes), first[term + 1] - first[term]
-                at = np.repeat(first[term] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                scores = np.bincount(np.repeat(row, n) * len(ids) + queries[at], np.repeat(part, n), len(doc) * len(ids))
-                some_at = np.flatnonzero(scores)
-                held.append((some_at % len(ids), region[some_at // len(ids)].astype(str), scores[some_at], doc[some_at // len(ids)]))
-                compact()
+            lists = batch.column("hits")
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            entries = lists.flatten()
+            term, part = entries.field("no").to_numpy(), entries.field("part").to_numpy()
+            doc, region = batch.column("doc_id").to_numpy(), np.array([regions.setdefault(r, len(regions)) for r in batch.column("region_id").to_pylist()], np.int64)
+            n = first[term + 1] - first[term]
+            # Documents whose terms have about CELLS queries, or one document.
+            work = np.concatenate(([0], np.cumsum(n)))[ends]
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(work, work[lo] + CELLS, side="right")) - 1)
+                some, m = slice(ends[lo], ends[hi]), n[ends[lo] : ends[hi]]
+                at = np.repeat(first[term[some]] - np.cumsum(m) + m, m) + np.arange(m.sum())
+                cell = np.repeat(np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1])), m) * len(ids) + queries[at]
+                if (hi - lo) * len(ids) <= 4 * len(cell):
+                    scores = np.bincount(cell, np.repeat(part[some], m), (hi - lo) * len(ids))
+                    cell = np.flatnonzero(scores)
+                    scores = scores[cell]
+                else:
+                    cell, no = np.unique(cell, return_inverse=True)
+                    scores = np.bincount(no, np.repeat(part[some], m), len(cell))
+                    cell, scores = cell[scores != 0], scores[scores != 0]
+                held.append((cell % len(ids), region[lo + cell // len(ids)], scores, doc[lo + cell // len(ids)]))
+                sizes["new"] += len(cell)
+                # What is kept is sorted again only once as much has come.
+                if sizes["new"] > max(CELLS, sizes["kept"]):
+                    compact()
+                lo = hi
         if held:
+            compact()
             q, region, score, doc = held[0]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q], pa.int64()), pa.array(region.tolist(), pa.string()), pa.array(doc, pa.int64()), pa.array(score, pa.float64())], ["query_id", "region_id", "doc_id", "score"])
+            names = pa.array(list(regions), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[q], pa.int64()), names.take(pa.array(region)), pa.array(doc, pa.int64()), pa.array(score, pa.float64())], ["query_id", "region_id", "doc_id", "score"])
 
     return run
 
@@ -242,12 +265,22 @@ def routed_regions(queries: DataFrame, routing: DataFrame, regions: DataFrame) -
     return found.union(lost.join(regions.select("region_id"))).distinct()
 
 
+def same_queries(queries: DataFrame) -> DataFrame:
+    """(query_id, least, query): for each query the least of those that ask for the same terms, which has the same answer."""
+    terms = queries.select("query_id", "query", F.array_sort(F.array_distinct(X.tokens(F.col("query")))).alias("terms"))
+    least = terms.groupBy("terms").agg(F.min("query_id").alias("least"))
+    return terms.join(least, "terms").select("query_id", "least", "query")
+
+
 def routed_search(queries, routing, corpus, df, stats, k: int = 5) -> DataFrame:
-    """bm25_topk over the documents of routed regions only: other regions' documents are left out before their texts are split, or read, where the corpus is partitioned by region."""
-    routed = routed_regions(queries, routing, stats)
+    """bm25_topk over the documents of routed regions only: other regions' documents are left out before their texts are split, or read, where the corpus is partitioned by region. Queries of the same terms, of which there are more the more documents they come from, are searched once."""
+    same = save(same_queries(queries), "queries")
+    asked = same.where("query_id = least").select("query_id", "query")
+    routed = routed_regions(asked, routing, stats)
     open_ = corpus.join(F.broadcast(routed.select("region_id").distinct()), "region_id", "left_semi")
-    scores = leading_scores(queries, postings(open_, queries), df, stats, k)
-    return best(scores.join(few(routed), ["query_id", "region_id"], "left_semi"), k, "query_id").select("query_id", "rank", "doc_id", "score")
+    scores = leading_scores(asked, postings(open_, asked), df, stats, k)
+    found = best(scores.join(few(routed), ["query_id", "region_id"], "left_semi"), k, "query_id").select(F.col("query_id").alias("least"), "rank", "doc_id", "score")
+    return same.select("query_id", "least").join(found, "least").select("query_id", "rank", "doc_id", "score")
 
 
 def facet_counts(corpus: DataFrame, field: str) -> DataFrame:
